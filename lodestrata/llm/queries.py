@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestrata.llm import canonical
+from lodestrata.llm import canonical, mojibake
 from lodestrata.schemas import RECORD_COLUMNS
 from lodestrata.session import table
 
@@ -28,13 +28,22 @@ def p2_collisions(spark: SparkSession, root: str) -> DataFrame:
     return canonical.hash_collisions(canonical.copy_groups(prints)).select(F.hex("hash").alias("hash"), "n_records")
 
 
+def p4_restored(spark: SparkSession, root: str) -> DataFrame:
+    """The damaged fields with the restored text."""
+    return mojibake.repair(table(spark, root, "site_records"), "rec_id", ["nome_ente", "comune"])
+
+
+def p4_found(spark: SparkSession, root: str) -> DataFrame:
+    return p4_restored(spark, root).select(F.col("row_id").alias("rec_id"), F.col("field").alias("campo"))
+
+
 _CANON = "array_to_string(list_sort(list_filter([{}], x -> x <> '')), chr(1))".format(
     ", ".join(f"lower(regexp_replace(coalesce({c}, ''), '[^\\p{{L}}\\p{{N}}]', '', 'g'))" for c in COMPARED)
 )
 _GROUPS = f"""WITH t AS (SELECT *, {_CANON} AS canon FROM site_records),
 g AS (SELECT canon, min(rec_id) AS keep, count(*) AS n_copies FROM t GROUP BY canon)"""
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_collapsed, p2_collisions)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_collapsed, p2_collisions, p4_found, p4_restored)}
 ORACLES = {
     "p2_found": f"{_GROUPS} SELECT keep AS rec_id_a, rec_id AS rec_id_b FROM t JOIN g USING (canon) WHERE rec_id <> keep",
     "p2_collapsed": f"{_GROUPS} SELECT s.*, g.n_copies FROM site_records s JOIN g ON s.rec_id = g.keep",
