@@ -6,7 +6,7 @@ column are tested, the ones that fail make a dictionary of invalid values with r
 column with a billion rows and a million spellings is tested a million times.
 
 Skew: headers and dictionary are the small sides; Spark broadcasts them while their measured size allows. Beyond
-that both joins carry a salt of ``SALTS`` values, so a file or a value that holds a third of all rows is spread over
+that both joins are salted, so a file or a value that holds a third of all rows is spread over
 as many tasks. The distinct step combines on the map side.
 
 Defined results: a null line counts as an empty one; a file without header line takes ``default_header``; of several
@@ -24,8 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestrata.lineage import cut
+from lodestrata.skew import salted_join
 
-SALTS = 16
 DELIMITERS = (";", ",", "\t", "|")
 _BLANKS = r"[\s ﻿]"
 
@@ -75,11 +75,10 @@ def parsed_lines(df: DataFrame, id_col: str, file_col: str, number_col: str, lin
     headers = (
         lines.filter("no = 1").groupBy("file").agg(F.min_by("line", "id").alias("header"))
         .select("file", delim.alias("delim"), names.alias("names"))
-        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     )
     default_delim, default_names = _header(F.lit(default_header))
-    body = lines.filter("no <> 1 or no is null").withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
-    joined = body.join(headers, ["file", "salt"], "left").select(
+    body = lines.filter("no <> 1 or no is null")
+    joined = salted_join(body, headers, ["file"], "id", "left").select(
         "id", "file", "line", F.coalesce("delim", default_delim).alias("delim"), F.coalesce("names", default_names).alias("names")
     )
     quoted, one = r'"[^"]*+(?:""[^"]*+)*+"', F.concat(F.lit(r"\Q"), F.col("delim"), F.lit(r"\E"))
@@ -121,13 +120,11 @@ def quarantine(
         lines = lines.withColumn(f"v{k}", trimmed(_value(rule.column)))
     lines = cut(lines)
     pairs = F.explode(F.array(*[F.struct(F.lit(r.column).alias("column"), F.col(f"v{k}").alias("value")) for k, r in enumerate(rules)]))
-    bad = invalid_values(lines.select(pairs.alias("p")).select("p.*").filter("value <> ''"), rules).withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    )
-    out = lines.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
+    bad = invalid_values(lines.select(pairs.alias("p")).select("p.*").filter("value <> ''"), rules)
+    out = lines
     for k, rule in enumerate(rules):
-        own = bad.filter(F.col("column") == rule.column).select(F.col("value").alias(f"v{k}"), "salt", F.col("reason").alias(f"r{k}"))
-        out = out.join(own, [f"v{k}", "salt"], "left")
+        own = bad.filter(F.col("column") == rule.column).select(F.col("value").alias(f"v{k}"), F.col("reason").alias(f"r{k}"))
+        out = salted_join(out, own, [f"v{k}"], "id", "left")
     reasons = F.coalesce("fault", *[F.col(f"r{k}") for k in range(len(rules))])
     return out.select("id", "file", "names", "fields", reasons.alias("reason"))
 

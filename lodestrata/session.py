@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
@@ -27,6 +32,23 @@ def build_session(app: str = "lodestrata", master: str | None = None, **conf: st
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Make the package importable in the session's Python workers, once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    _shipped.add(context.applicationId)
+    package = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="lodestrata-code-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    shutil.copytree(package, f"{folder}/src/{package.name}", ignore=shutil.ignore_patterns("__pycache__"))
+    context.addPyFile(shutil.make_archive(f"{folder}/{package.name}", "zip", f"{folder}/src"))
+
+
 def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """The Parquet table ``name`` under ``root``; timestamps without zone become plain timestamps."""
+    ship(spark)
     return spark.read.parquet(f"{root}/{name}.parquet")
