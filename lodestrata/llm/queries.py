@@ -5,10 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestrata.llm import canonical, mojibake
+from lodestrata.llm import canonical, langseg, mojibake
 from lodestrata.schemas import RECORD_COLUMNS
 from lodestrata.session import table
 
+
+def p1_languages(spark: SparkSession, root: str) -> DataFrame:
+    """Every row with running text: its language with a confidence, and its stretches."""
+    return langseg.identify(table(spark, root, "siti_classificati"), "riga_id", "lang", "evidenza", cut_at=400)
+
+
+def p1_found(spark: SparkSession, root: str) -> DataFrame:
+    cases = p1_languages(spark, root).filter("n_langs > 1 or not agrees")
+    return cases.select(F.col("row_id").alias("riga_id"), F.explode("stretches").alias("s")).select(
+        "riga_id", F.col("s.position").alias("posizione"), F.col("s.lang").alias("lingua")
+    )
+
+
 COMPARED = [c for c in RECORD_COLUMNS if c != "retrieved_at"]
 
 
@@ -43,7 +56,7 @@ _CANON = "array_to_string(list_sort(list_filter([{}], x -> x <> '')), chr(1))".f
 _GROUPS = f"""WITH t AS (SELECT *, {_CANON} AS canon FROM site_records),
 g AS (SELECT canon, min(rec_id) AS keep, count(*) AS n_copies FROM t GROUP BY canon)"""
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_collapsed, p2_collisions, p4_found, p4_restored)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_languages, p2_found, p2_collapsed, p2_collisions, p4_found, p4_restored)}
 ORACLES = {
     "p2_found": f"{_GROUPS} SELECT keep AS rec_id_a, rec_id AS rec_id_b FROM t JOIN g USING (canon) WHERE rec_id <> keep",
     "p2_collapsed": f"{_GROUPS} SELECT s.*, g.n_copies FROM site_records s JOIN g ON s.rec_id = g.keep",
