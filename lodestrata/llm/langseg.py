@@ -298,9 +298,17 @@ _OUT = "row_id bigint, lang string, confidence double, declared string, agrees b
 
 
 def fit(texts: DataFrame, sample_by: Column) -> Crf:
-    """Lexicon over all rows of ``lang``, ``text``; weights on the ``SAMPLE_ROWS`` rows that come first by ``sample_by``."""
-    chosen = texts.filter("text <> '' and lang <> ''").orderBy(sample_by).limit(SAMPLE_ROWS).collect()
-    return train(lexicon(texts), [(r["lang"], r["text"]) for r in chosen])
+    """Lexicon over all rows of ``lang``, ``text``; weights on ``SAMPLE_ROWS`` rows, about as many of each language.
+
+    The rows are those with the smallest -ln(u) * (words of their language), u being a hash of ``sample_by``.
+    """
+    counts = lexicon(texts)
+    size = counts.sum(0) / counts.sum().clip(1)
+    per_spelling = F.create_map(*[F.lit(x) for s, k in _CODE.items() for x in (s, float(size[LANGS.index(k)]))])
+    u = (F.pmod(F.xxhash64(sample_by), F.lit(1 << 40)) + 1) / float(1 << 40)
+    key = -F.ln(u) * F.try_element_at(per_spelling, F.regexp_extract(F.lower(F.trim("lang")), r"^[^-_ (]+", 0))
+    chosen = texts.withColumn("__key", key).filter("text <> '' and __key is not null").orderBy("__key").limit(SAMPLE_ROWS).collect()
+    return train(counts, [(r["lang"], r["text"]) for r in chosen])
 
 
 def identify(df: DataFrame, id_col: str, lang_col: str, text_col: str, cut_at: int | None = None) -> DataFrame:
@@ -309,7 +317,7 @@ def identify(df: DataFrame, id_col: str, lang_col: str, text_col: str, cut_at: i
     ``cut_at``: the length that the text column is cut at, if it is.
     """
     texts = df.select(df[id_col].cast("bigint").alias("row_id"), df[lang_col].alias("lang"), df[text_col].alias("text"))
-    model = fit(texts, F.xxhash64("row_id", "text"))
+    model = fit(texts, F.struct("row_id", "text"))
     shared = df.sparkSession.sparkContext.broadcast((model.lexicon.astype(np.float32), model.weights.astype(np.float32), model.lex, model.bias, model.trans, model.prior))
 
     def label(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
