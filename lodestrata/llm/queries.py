@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestrata.llm import canonical, langseg, mojibake
+from lodestrata.llm import canonical, langseg, mojibake, pii
 from lodestrata.schemas import RECORD_COLUMNS
 from lodestrata.session import table
 
@@ -50,13 +50,28 @@ def p4_found(spark: SparkSession, root: str) -> DataFrame:
     return p4_restored(spark, root).select(F.col("row_id").alias("rec_id"), F.col("field").alias("campo"))
 
 
+def p9_found(spark: SparkSession, root: str) -> DataFrame:
+    found = pii.entities(table(spark, root, "documents"), "doc_id", "text")
+    return found.select("doc_id", F.col("start").alias("inizio"), F.col("kind").alias("tipo"))
+
+
+def p9_redacted(spark: SparkSession, root: str) -> DataFrame:
+    """Every document with a typed placeholder for each item."""
+    return pii.redact(table(spark, root, "documents"), "doc_id", "text")
+
+
+def p9_surrogates(spark: SparkSession, root: str) -> DataFrame:
+    """Every document with a keyed surrogate for each item."""
+    return pii.surrogates(table(spark, root, "documents"), "doc_id", "text", key="lodestrata")
+
+
 _CANON = "array_to_string(list_sort(list_filter([{}], x -> x <> '')), chr(1))".format(
     ", ".join(f"lower(regexp_replace(coalesce({c}, ''), '[^\\p{{L}}\\p{{N}}]', '', 'g'))" for c in COMPARED)
 )
 _GROUPS = f"""WITH t AS (SELECT *, {_CANON} AS canon FROM site_records),
 g AS (SELECT canon, min(rec_id) AS keep, count(*) AS n_copies FROM t GROUP BY canon)"""
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_languages, p2_found, p2_collapsed, p2_collisions, p4_found, p4_restored)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_languages, p2_found, p2_collapsed, p2_collisions, p4_found, p4_restored, p9_found, p9_redacted, p9_surrogates)}
 ORACLES = {
     "p2_found": f"{_GROUPS} SELECT keep AS rec_id_a, rec_id AS rec_id_b FROM t JOIN g USING (canon) WHERE rec_id <> keep",
     "p2_collapsed": f"{_GROUPS} SELECT s.*, g.n_copies FROM site_records s JOIN g ON s.rec_id = g.keep",
