@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestrata.llm import canonical, langseg, mojibake, pii
+from lodestrata.llm import canonical, langseg, mixing, mojibake, packing, pii
 from lodestrata.schemas import RECORD_COLUMNS
 from lodestrata.session import table
 
@@ -50,6 +50,27 @@ def p4_found(spark: SparkSession, root: str) -> DataFrame:
     return p4_restored(spark, root).select(F.col("row_id").alias("rec_id"), F.col("field").alias("campo"))
 
 
+def p7_packed(spark: SparkSession, root: str) -> DataFrame:
+    """Container and place of every document, for each capacity."""
+    capacities = packing.capacities_of(table(spark, root, "pack_capacity"), "pack_id", "capacity_tokens")
+    return packing.pack(table(spark, root, "documents"), "doc_id", "text", capacities)
+
+
+def p7_fill(spark: SparkSession, root: str) -> DataFrame:
+    """How full the containers of each capacity are."""
+    return packing.fill_report(p7_packed(spark, root), table(spark, root, "pack_capacity"))
+
+
+def p8_mixed(spark: SparkSession, root: str) -> DataFrame:
+    """The documents drawn for each mix."""
+    return mixing.mix(table(spark, root, "documents"), "doc_id", "text", "source", table(spark, root, "mix_targets"))
+
+
+def p8_shares(spark: SparkSession, root: str) -> DataFrame:
+    """The shares reached by each mix."""
+    return mixing.share_report(p8_mixed(spark, root), table(spark, root, "mix_targets"))
+
+
 def p9_found(spark: SparkSession, root: str) -> DataFrame:
     found = pii.entities(table(spark, root, "documents"), "doc_id", "text")
     return found.select("doc_id", F.col("start").alias("inizio"), F.col("kind").alias("tipo"))
@@ -71,7 +92,7 @@ _CANON = "array_to_string(list_sort(list_filter([{}], x -> x <> '')), chr(1))".f
 _GROUPS = f"""WITH t AS (SELECT *, {_CANON} AS canon FROM site_records),
 g AS (SELECT canon, min(rec_id) AS keep, count(*) AS n_copies FROM t GROUP BY canon)"""
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_languages, p2_found, p2_collapsed, p2_collisions, p4_found, p4_restored, p9_found, p9_redacted, p9_surrogates)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_languages, p2_found, p2_collapsed, p2_collisions, p4_found, p4_restored, p7_packed, p7_fill, p8_mixed, p8_shares, p9_found, p9_redacted, p9_surrogates)}
 ORACLES = {
     "p2_found": f"{_GROUPS} SELECT keep AS rec_id_a, rec_id AS rec_id_b FROM t JOIN g USING (canon) WHERE rec_id <> keep",
     "p2_collapsed": f"{_GROUPS} SELECT s.*, g.n_copies FROM site_records s JOIN g ON s.rec_id = g.keep",
