@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lodestrata.plans import problems
+from lodestrata.plans import observatory, problems
 
-QUERIES = {**problems.QUERIES}
-ORACLES = {**problems.ORACLES}
+QUERIES = {**observatory.QUERIES, **problems.QUERIES}
+ORACLES = {**observatory.ORACLES, **problems.ORACLES}
