@@ -86,7 +86,7 @@ def p9_surrogates(spark: SparkSession, root: str) -> DataFrame:
     return pii.surrogates(table(spark, root, "documents"), "doc_id", "text", key="lodestrata")
 
 
-_CANON = "array_to_string(list_sort(list_filter([{}], x -> x <> '')), chr(1))".format(
+_CANON = "array_to_string(list_sort(list_filter([{}], lambda x: x <> '')), chr(1))".format(
     ", ".join(f"lower(regexp_replace(coalesce({c}, ''), '[^\\p{{L}}\\p{{N}}]', '', 'g'))" for c in COMPARED)
 )
 _GROUPS = f"""WITH t AS (SELECT *, {_CANON} AS canon FROM site_records),
