@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestrata.functions.bands import percent
@@ -30,26 +30,104 @@ def top_items(df: DataFrame, items: Column, k: int, name: str = "item") -> DataF
     return df.select(F.explode(items).alias(name)).groupBy(name).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), name).limit(k)
 
 
-def spread(df: DataFrame, value: Column, by: list[str] | None = None, digits: int = 1) -> DataFrame:
-    """Count, mean, median, interpolated 95th percentile and maximum of a number; nulls left out."""
-    return df.select(*(by or []), value.cast("double").alias("v")).groupBy(*(by or [])).agg(
-        F.count("v").alias("n"), F.round(F.avg("v"), digits).alias("mean"), F.round(F.median("v"), digits).alias("median"),
-        F.round(F.percentile("v", 0.95), digits).alias("p95"), F.round(F.max("v"), digits).alias("max"),
-    )
+#: Groups of up to so many rows are ranked by the built-in aggregates, whose memory grows with a group's distinct values.
+IN_MEMORY_ROWS = 5_000_000
+_SLOTS = 1024
 
 
-def nearest_rank(df: DataFrame, by: list[str], value: str, q: float = 0.95) -> DataFrame:
-    """The nearest-rank percentile per group: position round(q * (n - 1)), half to even, of the sorted values.
+def _largest_group(rows: DataFrame, by: list[str]) -> int:
+    return rows.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
 
-    Counts per distinct value are accumulated instead of collecting a group's values.
-    """
-    from pyspark.sql import Window
 
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("__c"))
-    upto = F.sum("__c").over(Window.partitionBy(*by).orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
-    total = counts.groupBy(*by).agg(F.sum("__c").alias("__n"))
-    placed = counts.withColumn("__upto", upto).join(total, by)
-    return placed.filter(F.col("__upto") > F.bround(F.lit(q) * (F.col("__n") - 1), 0)).groupBy(*by).agg(F.min(value).alias("value"), F.max("__n").alias("n"))
+def order_statistics(rows: DataFrame, by: list[str], ranks: dict[str, Column], levels: int = 3) -> DataFrame:
+    """Values at given 0-based ranks of the column ``v`` per group, exactly, however large a group is.
+
+    ``ranks`` are expressions of the group's size ``n``. Equal values are counted together first, so no value is hot. A
+    group's range is cut into slots, rows are counted per slot, and only the slots that hold a wanted rank are cut again;
+    what is left after ``levels`` cuts is ranked by value. No task ever holds a group: slots are few, and the joins to
+    the group's few rows are salted by value.
+    """
+    from lodestrata.lineage import cut
+
+    names = [f"k{i}" for i in range(len(by))]
+    once = rows.select(*[F.col(c).alias(n) for c, n in zip(by, names, strict=True)], "v").groupBy(*names, "v").agg(F.count(F.lit(1)).alias("m"))
+    keyed = cut(once.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(16)).cast("int")))
+    groups = keyed.groupBy(*names).agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("m").alias("n"))
+    wanted = F.explode(F.array(*[F.struct(F.lit(k).alias("name"), r.cast("bigint").alias("rank")) for k, r in ranks.items()]))
+    ranges = cut(groups.withColumn("w", wanted).select(*names, "w.name", "lo", "hi", "w.rank"))
+    slot = F.when(F.col("hi") > F.col("lo"), F.least(F.lit(_SLOTS - 1), F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * _SLOTS))).otherwise(F.lit(0))
+    salts = F.explode(F.sequence(F.lit(0), F.lit(15))).alias("rsalt")
+
+    def within(r: DataFrame) -> DataFrame:
+        few = r.select(*[F.col(n).alias(f"r{n}") for n in names], "lo", "hi", salts).distinct()
+        same = F.col("salt") == F.col("rsalt")
+        for n in names:
+            same = same & F.col(n).eqNullSafe(F.col(f"r{n}"))
+        return keyed.join(few, same & F.col("v").between(F.col("lo"), F.col("hi"))).select(*names, "lo", "hi", "v", "m")
+
+    span = [*names, "lo", "hi"]
+    for level in range(levels):
+        last = level == levels - 1
+        cell = "v" if last else "slot"
+        inside = within(ranges) if last else within(ranges).withColumn("slot", slot)
+        counts = inside.groupBy(*span, cell).agg(F.sum("m").alias("c"), F.min("v").alias("a"), F.max("v").alias("b"))
+        w = Window.partitionBy(*span).orderBy(cell).rowsBetween(Window.unboundedPreceding, -1)
+        counts = counts.withColumn("before", F.coalesce(F.sum("c").over(w), F.lit(0)))
+        on = (F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("c"))
+        for n in span:
+            on = on & F.col(n).eqNullSafe(F.col(f"q_{n}"))
+        asked = ranges.select(*[F.col(n).alias(f"q_{n}") for n in span], "name", "rank")
+        hit = counts.join(asked, on).select(*names, "name", F.col("a").alias("lo"), F.col("b").alias("hi"), (F.col("rank") - F.col("before")).alias("rank"))
+        ranges = hit if last else cut(hit)
+    return ranges.select(*[F.col(n).alias(c) for c, n in zip(by, names, strict=True)], "name", F.col("lo").alias("value"))
+
+
+def spread(df: DataFrame, value: Column, by: list[str] | None = None, digits: int = 1, in_memory: int = IN_MEMORY_ROWS) -> DataFrame:
+    """Count, mean, median, interpolated 95th percentile and maximum of a number; nulls left out.
+
+    The largest group is counted first; above ``in_memory`` rows the quantiles come from ``order_statistics``.
+    """
+    by = by or []
+    rows = df.select(*by, value.cast("double").alias("v"))
+    plain = [F.count("v").alias("n"), F.round(F.avg("v"), digits).alias("mean"), F.round(F.max("v"), digits).alias("max")]
+    if _largest_group(rows, by) <= in_memory:
+        out = rows.groupBy(*by).agg(*plain, F.round(F.median("v"), digits).alias("median"), F.round(F.percentile("v", 0.95), digits).alias("p95"))
+        return out.select(*by, "n", "mean", "median", "p95", "max")
+    at = {f"{name}{end}": f((F.col("n") - 1) * q) for name, q in (("median", 0.5), ("p95", 0.95)) for end, f in (("_lo", F.floor), ("_hi", F.ceil))}
+    found = order_statistics(rows.filter("v is not null"), by, at).groupBy(*by).agg(*[F.max(F.when(F.col("name") == k, F.col("value"))).alias(k) for k in at])
+    names = {c: f"__{c}" for c in by}
+    base = rows.groupBy(*by).agg(*plain)
+    same = F.lit(True)
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(names[c]))
+    both = base.join(found.withColumnsRenamed(names), same, "left")
+
+    def quantile(name: str, q: float) -> Column:
+        exact = (F.col("n") - 1) * q
+        return F.round(F.col(f"{name}_lo") + (F.col(f"{name}_hi") - F.col(f"{name}_lo")) * (exact - F.floor(exact)), digits).alias(name)
+
+    return both.select(*by, "n", "mean", quantile("median", 0.5), quantile("p95", 0.95), "max")
+
+
+def nearest_rank(df: DataFrame, by: list[str], value: str, q: float = 0.95, in_memory: int = IN_MEMORY_ROWS) -> DataFrame:
+    """The nearest-rank percentile per group: position round(q * (n - 1)), half to even, of the sorted values; exact.
+
+    Counts per distinct value are accumulated; where a group is larger than ``in_memory``, by ``order_statistics``.
+    """
+    rows = df.filter(F.col(value).isNotNull()).select(*by, F.col(value).alias("v"))
+    rank = F.bround(F.lit(q) * (F.col("n") - 1), 0)
+    total = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
+    if _largest_group(rows, by) > in_memory:
+        found = order_statistics(rows, by, {"x": rank}).select(*[F.col(c).alias(f"__{c}") for c in by], "value")
+        same = F.lit(True)
+        for c in by:
+            same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
+        return total.join(found, same).select(*by, "value", "n")
+    counts = rows.groupBy(*by, "v").agg(F.count(F.lit(1)).alias("c"))
+    own = Window.partitionBy(*by)
+    upto, n = F.sum("c").over(own.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)), F.sum("c").over(own)
+    placed = counts.withColumns({"upto": upto, "n": n})
+    return placed.filter(F.col("upto") > rank).groupBy(*by).agg(F.min("v").alias("value"), F.max("n").alias("n"))
 
 
 def matrix_with_total(df: DataFrame, row: str, column: str, columns: list[str], total: str = "TOTALE") -> DataFrame:

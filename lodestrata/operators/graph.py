@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lodestrata.lineage import cut
 from lodestrata.operators.ranking import fair_cap
+from lodestrata.skew import salted_join
 
 
 def level_search(edges: DataFrame, seeds: DataFrame, max_depth: int, level_cap: int | None = None, allowed: DataFrame | None = None) -> DataFrame:
@@ -15,17 +16,19 @@ def level_search(edges: DataFrame, seeds: DataFrame, max_depth: int, level_cap:
     ``edges``: src, dst, dst_host, ord; ``seeds``: url, ord. A page belongs to the seed that reaches it first (smallest
     order on the level where it is first seen). ``level_cap`` keeps that many new pages of each level, in turns over
     hosts; ``allowed`` (one column url) is the perimeter. Each level is written once to the shared folder, so lineage
-    doesn't grow with depth.
+    doesn't grow with depth. Pages are aggregated by target, combining on the map side, before they are compared with
+    those seen; pages with very many links are spread by salt.
     """
     first = seeds.groupBy("url").agg(F.min("ord").alias("ord")).withColumn("seed", F.col("url"))
     frontier = cut(first.select("url", F.lit(0).alias("level"), "seed", F.col("ord").cast("bigint").alias("ord")))
     seen = frontier
     for level in range(1, max_depth + 1):
-        step = edges.join(frontier.select(F.col("url").alias("src"), "seed", F.col("ord").alias("from")), "src").join(seen.select(F.col("url").alias("dst")), "dst", "left_anti")
-        if allowed is not None:
-            step = step.join(allowed.select(F.col("url").alias("dst")).distinct(), "dst", "left_semi")
+        step = salted_join(edges, frontier.select(F.col("url").alias("src"), "seed", F.col("ord").alias("from")), ["src"], "dst")
         order = F.struct(F.col("from"), F.col("ord"))
         found = step.groupBy("dst").agg(F.min_by("seed", order).alias("seed"), F.min_by("dst_host", order).alias("host"), F.min("ord").cast("bigint").alias("ord"))
+        found = found.join(seen.select(F.col("url").alias("dst")), "dst", "left_anti")
+        if allowed is not None:
+            found = found.join(allowed.select(F.col("url").alias("dst")).distinct(), "dst", "left_semi")
         if level_cap is not None:
             found = fair_cap(found.withColumn("at", F.struct("ord", "dst")), "host", "at", level_cap).drop("turn", "at")
         frontier = cut(found.select(F.col("dst").alias("url"), F.lit(level).alias("level"), "seed", "ord"))

@@ -58,6 +58,7 @@ def carry_forward(new: DataFrame, old: DataFrame, key: str, flags: dict[str, obj
     return new.join(prev, key, "left").withColumns({c: F.coalesce(F.col(f"__{c}"), F.lit(d)) for c, d in flags.items()}).drop(*[f"__{c}" for c in flags])
 
 
-def collect_by_host(df: DataFrame, host: str, columns: list[str]) -> DataFrame:
-    """Distinct values of each column per host, sorted and joined."""
-    return df.groupBy(host).agg(*[F.array_join(F.array_sort(F.collect_set(c)), "|").alias(c) for c in columns])
+def values_by_host(df: DataFrame, host: str, columns: list[str]) -> DataFrame:
+    """Distinct filled values of each column per host, one row each: ``host``, ``column``, ``value``."""
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns]))
+    return df.select(host, cells.alias("c")).select(host, "c.*").filter("value <> ''").distinct()

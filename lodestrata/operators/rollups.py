@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestrata.functions.network import outside_eea
+from lodestrata.operators.ranking import cap_per_group
+from lodestrata.skew import salted_join
 from lodestrata.functions.cells import strip
 
 
@@ -96,8 +98,8 @@ def registry(df: DataFrame, root: str, host: str, order: str, keep: list[str], f
     root's distinct hosts only.
     """
     once = df.groupBy(root, host).agg(F.min(order).alias("o"))
-    rank = F.row_number().over(Window.partitionBy(root).orderBy("o", host))
-    hosts = once.withColumn("r", rank).filter(F.col("r") <= max_hosts).groupBy(root).agg(F.transform(F.array_sort(F.collect_list(F.struct("r", host))), lambda x: x[host]).alias("hosts"))
+    few = cap_per_group(once, [root], [F.col("o"), F.col(host)], max_hosts, spread_by=host).withColumnRenamed("__rank", "r")
+    hosts = few.groupBy(root).agg(F.transform(F.array_sort(F.collect_list(F.struct("r", host))), lambda x: x[host]).alias("hosts"))
     first = df.groupBy(root).agg(F.min_by(F.struct(*keep), order).alias("f"), *[F.bool_or(c).alias(c) for c in flags]).select(root, *[F.col(f"f.{c}").alias(c) for c in keep], *flags)
     return first.join(hosts, root).withColumn("hosts", F.array_join("hosts", "|"))
 
@@ -105,5 +107,5 @@ def registry(df: DataFrame, root: str, host: str, order: str, keep: list[str], f
 def shared_hosts(df: DataFrame, host: str, keep: list[str]) -> DataFrame:
     """Rows with a flag whether their host serves several rows; blank hosts serve none."""
     n = df.filter(F.coalesce(strip(host), F.lit("")) != "").groupBy(host).agg(F.count(F.lit(1)).alias("n_sharing"))
-    own = df.select(*keep, host).join(n, host, "left")
+    own = salted_join(df.select(*keep, host), n, [host], keep[0], "left")
     return own.select(*keep, host, F.coalesce("n_sharing", F.lit(0)).alias("n_sharing"), (F.coalesce("n_sharing", F.lit(0)) > 1).alias("shared"))

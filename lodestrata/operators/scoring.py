@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodestrata.operators.ranking import cap_per_group
+
 
 def points_with_reasons(tests: list[tuple[Column, int, str]], sep: str = "; ") -> tuple[Column, Column]:
     """(sum of the points of the tests that hold, their reasons in order); a test that is null doesn't hold."""
@@ -80,7 +82,8 @@ def verdicts(votes: DataFrame, host: str = "host") -> DataFrame:
     )
     stages = votes.groupBy(host, "stage").agg(F.min("ord").alias("o")).groupBy(host).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o", "stage"))), lambda x: x["stage"]), "+").alias("stages"))
     winners = votes.join(won.select(host, "field", "value"), [host, "field", "value"]).filter("evidence <> ''")
-    proof = winners.groupBy(host).agg(F.slice(F.transform(F.array_sort(F.collect_list(F.struct((-F.col("conf")).alias("c"), "ord", F.concat_ws(":", "stage", "evidence").alias("e")))), lambda x: x["e"]), 1, 4).alias("p"))
+    best = cap_per_group(winners.select(host, "conf", "ord", F.concat_ws(":", "stage", "evidence").alias("e")), [host], [F.desc("conf"), F.asc("ord"), F.asc("e")], 4, spread_by="ord")
+    proof = best.groupBy(host).agg(F.transform(F.array_sort(F.collect_list(F.struct("__rank", "e"))), lambda x: x["e"]).alias("p"))
     return wide.join(stages, host).join(proof.select(host, F.array_join("p", " || ").alias("evidence")), host, "left")
 
 

@@ -36,10 +36,10 @@ def key_difference(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
 
 
 def merge_sites(df: DataFrame, key: str, host: str, order: str) -> DataFrame:
-    """Per key: rows, and its distinct hosts in order of first appearance."""
-    once = df.groupBy(key, host).agg(F.min(order).alias("o"), F.count(F.lit(1)).alias("n"))
-    hosts = F.transform(F.array_sort(F.collect_list(F.struct("o", host))), lambda x: x[host])
-    return once.groupBy(key).agg(F.sum("n").alias("n_rows"), F.array_join(F.filter(hosts, lambda h: h != ""), "|").alias("hosts"))
+    """The hosts of each site, one row per key and host: its rows, and the order in which it first appears.
+
+    In this form a portal with any number of hosts is no large value; ordered by ``first`` it is the site's host list."""
+    return df.groupBy(key, host).agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n_rows"))
 
 
 def explode_or_blank(df: DataFrame, keep: list[str], items: Column, name: str) -> DataFrame:

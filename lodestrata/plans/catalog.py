@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lodestrata.plans import observatory, problems
+from lodestrata.plans import details, observatory, problems
 
-QUERIES = {**observatory.QUERIES, **problems.QUERIES}
-ORACLES = {**observatory.ORACLES, **problems.ORACLES}
+QUERIES = {**observatory.QUERIES, **details.QUERIES, **problems.QUERIES}
+ORACLES = {**observatory.ORACLES, **details.ORACLES, **problems.ORACLES}

@@ -241,22 +241,24 @@ def ag25_first_seen(spark: SparkSession, root: str) -> DataFrame:
     return rollups.first_seen(table(spark, root, "events"), "user_id", "ts", "event_id", ["event_type", "value"], "event_type")
 
 
-@query(f"""WITH o AS (SELECT regione, dominio_radice, min(sector) AS c, min(source_name) AS p, min(nullif(trim(country_code), '')) AS y FROM site_records GROUP BY 1, 2),
-x AS (SELECT *, CASE WHEN upper(trim(y)) NOT IN ({_EEA_SQL}) THEN dominio_radice || '(' || y || ')' END AS outside FROM o)
-SELECT regione, count(*) AS n_third, coalesce(array_to_string(list_sort(list_distinct(list(c) FILTER (c IS NOT NULL))), ';'), '') AS categories, coalesce(array_to_string(list_sort(list(dominio_radice) FILTER (dominio_radice IS NOT NULL)), ';'), '') AS domains,
-coalesce(array_to_string(list_sort(list_distinct(list(p) FILTER (p IS NOT NULL))), ';'), '') AS parents, count(outside) AS n_outside, coalesce(array_to_string(list_sort(list(outside) FILTER (outside IS NOT NULL)), ';'), '') AS outside, count(*) FILTER (y IS NULL) AS n_unknown FROM x GROUP BY 1""")
-def ag26_third_parties_by_host(spark: SparkSession, root: str) -> DataFrame:
-    return rollups.third_party_by_host(table(spark, root, RECORDS), "regione", "dominio_radice", "sector", "source_name", "country_code")
-
-
-@query("""WITH c AS (SELECT DISTINCT hostname, unnest(regexp_extract_all(text, 'cookie (\\S+)', 1)) AS name FROM documents),
-k AS (SELECT hostname, name, CASE WHEN lower(name) = '_ga' OR lower(name) = '_gid' OR lower(name) = '_fbp' OR lower(name) = '_px' OR contains(lower(name), '_pk_id') THEN 'profilazione'
+@query(f"""WITH r AS (SELECT doc_id, country_code, lower(regexp_extract(u, '://([^/?#:]*)', 1)) AS d FROM (SELECT doc_id, country_code, unnest(regexp_extract_all(text, 'src="([^"]+)"', 1)) AS u FROM documents)),
+o AS (SELECT doc_id, d, min(nullif(trim(country_code), '')) AS y FROM r GROUP BY 1, 2), x AS (SELECT *, CASE WHEN upper(trim(y)) NOT IN ({_EEA_SQL}) THEN d || '(' || y || ')' END AS o FROM o)
+SELECT doc_id, count(*) AS n_third, 'sdk' AS categories, array_to_string(list_sort(list(d)), ';') AS domains, 'terzi' AS parents, count(o) AS n_outside, coalesce(array_to_string(list_sort(list(o) FILTER (o IS NOT NULL)), ';'), '') AS outside,
+count(*) FILTER (y IS NULL) AS n_unknown FROM x GROUP BY 1""")
+def ag26_third_parties_by_page(spark: SparkSession, root: str) -> DataFrame:
+    refs = table(spark, root, "documents").select("doc_id", "country_code", F.explode(F.regexp_extract_all("text", F.lit('src="([^"]+)"'), F.lit(1))).alias("u"))
+    rows = refs.select("doc_id", "country_code", urls.host_of(F.col("u")).alias("domain"), F.lit("sdk").alias("category"), F.lit("terzi").alias("parent"))
+    return rollups.third_party_by_host(rows, "doc_id", "domain", "category", "parent", "country_code")
+
+
+@query("""WITH c AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(text, 'cookie (\\S+)', 1)) AS name FROM documents),
+k AS (SELECT doc_id, name, CASE WHEN lower(name) = '_ga' OR lower(name) = '_gid' OR lower(name) = '_fbp' OR lower(name) = '_px' OR contains(lower(name), '_pk_id') THEN 'profilazione'
  WHEN contains(lower(name), 'phpsessid') OR contains(lower(name), 'jsessionid') OR contains(lower(name), 'asp.net_sessionid') OR lower(name) = 'csrf' OR contains(lower(name), 'cookieconsent') OR lower(name) = 'lang' THEN 'tecnico' ELSE 'sconosciuto' END AS k FROM c)
-SELECT hostname, count(*) AS n_cookies, count(*) FILTER (k = 'tecnico') AS n_technical, count(*) FILTER (k = 'profilazione') AS n_profiling, count(*) FILTER (k = 'sconosciuto') AS n_unknown,
+SELECT doc_id, count(*) AS n_cookies, count(*) FILTER (k = 'tecnico') AS n_technical, count(*) FILTER (k = 'profilazione') AS n_profiling, count(*) FILTER (k = 'sconosciuto') AS n_unknown,
 coalesce(array_to_string(list_sort(list(name) FILTER (k = 'profilazione')), ';'), '') AS profiling FROM k GROUP BY 1""")
-def ag27_cookies_by_host(spark: SparkSession, root: str) -> DataFrame:
-    rows = table(spark, root, "documents").select("hostname", F.explode(F.regexp_extract_all("text", F.lit(r"cookie (\S+)"), F.lit(1))).alias("name"))
-    return rollups.cookies_by_host(rows, "hostname", "name", rules.cookie_class(F.col("name")))
+def ag27_cookies_by_page(spark: SparkSession, root: str) -> DataFrame:
+    rows = table(spark, root, "documents").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(r"cookie (\S+)"), F.lit(1))).alias("name"))
+    return rollups.cookies_by_host(rows, "doc_id", "name", rules.cookie_class(F.col("name")))
 
 
 @query()
@@ -447,8 +449,7 @@ def st2_first_per_host(spark: SparkSession, root: str) -> DataFrame:
     return concentration.first_per_key(table(spark, root, RECORDS).select("rec_id", "hostname"), "hostname", ["rec_id"])
 
 
-@query("""WITH h AS (SELECT dominio_radice, hostname, min(rec_id) AS o, count(*) AS n FROM site_records GROUP BY 1, 2)
-SELECT dominio_radice, sum(n)::BIGINT AS n_rows, coalesce(array_to_string(list(hostname ORDER BY o) FILTER (hostname <> ''), '|'), '') AS hosts FROM h GROUP BY 1""")
+@query("SELECT dominio_radice, hostname, min(rec_id) AS first, count(*) AS n_rows FROM site_records GROUP BY 1, 2")
 def st3_merge_sites(spark: SparkSession, root: str) -> DataFrame:
     return sets.merge_sites(table(spark, root, RECORDS), "dominio_radice", "hostname", "rec_id")
 
@@ -559,9 +560,9 @@ def jn12_suffix_match(spark: SparkSession, root: str) -> DataFrame:
     return rules.match_domains(hosts, "host", listed, "domain").select("rec_id", "domain")
 
 
-@query("""SELECT hostname, coalesce(array_to_string(list_sort(list_distinct(list(wikidata) FILTER (wikidata IS NOT NULL))), '|'), '') AS wikidata, coalesce(array_to_string(list_sort(list_distinct(list(tipo) FILTER (tipo IS NOT NULL))), '|'), '') AS tipo FROM siti_classificati GROUP BY 1""")
-def jn13_collect_by_host(spark: SparkSession, root: str) -> DataFrame:
-    return joins.collect_by_host(table(spark, root, SITES), "hostname", ["wikidata", "tipo"])
+@query("SELECT DISTINCT hostname, 'wikidata' AS \"column\", wikidata AS value FROM siti_classificati WHERE wikidata <> '' UNION SELECT DISTINCT hostname, 'tipo', tipo FROM siti_classificati WHERE tipo <> ''")
+def jn13_values_by_host(spark: SparkSession, root: str) -> DataFrame:
+    return joins.values_by_host(table(spark, root, SITES), "hostname", ["wikidata", "tipo"])
 
 
 @query("SELECT user_id, event_type, max(ts) AS ts, arg_max(value, struct_pack(a := ts, b := event_id)) AS value FROM events GROUP BY 1, 2")

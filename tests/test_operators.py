@@ -30,6 +30,9 @@ def test_percentiles(spark):
     df = spark.createDataFrame([("g", float(x)) for x in (1, 2, 10, 40)] + [("h", None)], "k string, v double")
     assert distributions.spread(df, F.col("v"), ["k"]).filter("k = 'g'").first()["p95"] == 35.5
     assert distributions.nearest_rank(df, ["k"], "v").first()["value"] == 40.0
+    many = spark.range(3000).select(F.when(F.col("id") < 2000, "a").when(F.col("id") < 2900, "b").alias("k"), F.round(F.exp(F.pmod(F.xxhash64("id"), F.lit(1000)) / 50), 3).alias("v"))
+    for call in (lambda m: distributions.spread(many, F.col("v"), ["k"], 6, m), lambda m: distributions.spread(many, F.col("v"), None, 6, m), lambda m: distributions.nearest_rank(many, ["k"], "v", 0.95, m)):
+        assert sorted(map(str, call(10**9).collect())) == sorted(map(str, call(0).collect()))
     assert distributions.rates(df, {"x": F.col("v") > 5}).first()["x"] == 40.0
 
 
