@@ -49,12 +49,15 @@ _CODE = {s: k for k, v in SPELLINGS.items() for s in (k, *v.split())}
 FIELD_NAMES = "title|meta|description|body|footer|header|main|h[1-6]|nav|legal|site_name|og"
 MARK_NAMES = "tld|status|conf|jsonld|wikidata|nav|host|lang|http|score|stage"
 BUCKETS, FEATURES = 1 << 17, 1 << 15
-SAMPLE_ROWS, EPOCHS = 2000, 8
+SAMPLE_ROWS, EPOCHS = 2000, 5
 MIN_WORDS, MIN_CONFIDENCE = 3, 0.9
-_MARKS = re.compile(
-    rf"(?:https?://|www\.)\S+|\b(?:{MARK_NAMES})[:=]\S+|\b(?:{MARK_NAMES})[:=]\s*$|\b(?:{FIELD_NAMES})\s?[:=](?!\S*\d\b)|\S*\w_\w\S*|\S+@\S+|\b[\w-]+(?:\.[\w-]+)*\.(?:example|com|org|net|eu|gov|it|fr|de|es|nl|pt|pl|se|gr|ie|uk)\b\S*",
-    re.I,
-)
+_MARKS = re.compile(rf"\b(?:(?:{MARK_NAMES})[:=](?:\S+|\s*$)|(?:{FIELD_NAMES})\s?[:=](?!\S*\d\b))", re.I)
+#: What else is no running text, each with a sign without which it needn't be looked for.
+_OTHER = (
+    ("_", re.compile(r"\S*\w_\w\S*")), ("@", re.compile(r"\S+@\S+")), ("://", re.compile(r"https?://\S+", re.I)), ("www.", re.compile(r"www\.\S+", re.I)),
+)
+_DOTTED = re.compile(r"\w\.[A-Za-z]{2}")
+_HOST = re.compile(r"\b[\w-]+(?:\.[\w-]+)*\.(?:example|com|org|net|eu|gov|it|fr|de|es|nl|pt|pl|se|gr|ie|uk)\b\S*", re.I)
 _TAIL = re.compile(r"(?<=\|)\s*([a-z0-9]{1,11})[:=]?\s*$")
 _NAMES = tuple("title meta description body footer header main h1 h2 h3 nav legal tld status conf jsonld wikidata".split())
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
@@ -66,6 +69,10 @@ def declared_code(lang: str | None) -> str | None:
     return _CODE.get(s) or _CODE.get(re.split(r"[-_ (]", s)[0])
 
 
+def _spaces(m: re.Match) -> str:
+    return " " * len(m[0])
+
+
 def running_words(text: str | None, cut_at: int | None = None) -> list[tuple[str, int, int]]:
     """(lower-cased word, start, end) of the running text, without field names, marks and hosts.
 
@@ -73,7 +80,12 @@ def running_words(text: str | None, cut_at: int | None = None) -> list[tuple[str
     """
     if not text:
         return []
-    bare = _MARKS.sub(lambda m: " " * len(m[0]), text)
+    bare = _MARKS.sub(_spaces, text)
+    for sign, pattern in _OTHER:
+        if sign in bare:
+            bare = pattern.sub(_spaces, bare)
+    if _DOTTED.search(bare):
+        bare = _HOST.sub(_spaces, bare)
     tail = _TAIL.search(bare)
     if tail and any(n.startswith(tail[1]) for n in _NAMES):
         bare = bare[: tail.start()]
@@ -191,6 +203,13 @@ def lexicon(texts: DataFrame) -> np.ndarray:
     return out.reshape(BUCKETS, len(LANGS))
 
 
+def _sum_by(index: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
+    """Rows of ``values`` summed by their index."""
+    k = values.shape[1]
+    cells = (index.reshape(-1, 1) * k + np.arange(k)).ravel()
+    return np.bincount(cells, values.ravel(), size * k).reshape(size, k)
+
+
 def blank_model(counts: np.ndarray) -> Crf:
     k = len(LANGS)
     share = counts.sum(0) + 1
@@ -235,8 +254,7 @@ def train(counts: np.ndarray, sample: list[tuple[str | None, str | None]], seed:
             own, where = np.unique(np.concatenate([w for w, _ in block]), return_inverse=True)
             flat = np.concatenate([feats[i] for i in own])
             seg = np.repeat(np.arange(len(own)), [len(feats[i]) for i in own])
-            emit = np.zeros((len(own), len(LANGS)))
-            np.add.at(emit, seg, model.weights[flat])
+            emit = _sum_by(seg, model.weights[flat], len(own))
             emit += model.lex * lexical[own] + model.bias
             ends = np.cumsum([len(w) for w, _ in block])[:-1]
             e, mask = _pad(np.split(emit[where], ends))
@@ -247,11 +265,9 @@ def train(counts: np.ndarray, sample: list[tuple[str | None, str | None]], seed:
             diff[np.arange(len(gold)), gold] += 1
             for _, k in block:
                 np.add.at(gold_pairs, (k[:-1], k[1:]), 1)
-            by_word = np.zeros_like(emit)
-            np.add.at(by_word, where, diff)
+            by_word = _sum_by(where, diff, len(own))
             rows, back = np.unique(flat, return_inverse=True)
-            sparse = np.zeros((len(rows), len(LANGS)))
-            np.add.at(sparse, back, by_word[seg])
+            sparse = _sum_by(back, by_word[seg], len(rows))
             g = sparse / len(block) - 1e-4 * model.weights[rows]
             grad2["weights"][rows] += g * g
             model.weights[rows] += rate * g / np.sqrt(grad2["weights"][rows])
