@@ -198,8 +198,8 @@ def lexicon(texts: DataFrame) -> np.ndarray:
     """Counts of hashed words by declared language over all rows of ``lang``, ``text``; at most ``BUCKETS`` x languages."""
     counted = texts.mapInPandas(_count, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n"))
     out = np.zeros(BUCKETS * len(LANGS))
-    for r in counted.toLocalIterator():
-        out[r["slot"]] = r["n"]
+    rows = counted.toArrow()
+    out[rows["slot"].to_numpy()] = rows["n"].to_numpy()
     return out.reshape(BUCKETS, len(LANGS))
 
 
