@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lodestrata.plans import details, observatory, problems
+from lodestrata.plans import analytics, details, problems
 
-QUERIES = {**observatory.QUERIES, **details.QUERIES, **problems.QUERIES}
-ORACLES = {**observatory.ORACLES, **details.ORACLES, **problems.ORACLES}
+QUERIES = {**analytics.QUERIES, **details.QUERIES, **problems.QUERIES}
+ORACLES = {**analytics.ORACLES, **details.ORACLES, **problems.ORACLES}

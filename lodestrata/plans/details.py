@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lodestrata.functions import network, pages, text, urls
 from lodestrata.lineage import cut, shared_dir
 from lodestrata.operators import distributions, joins, ranking, sets
-from lodestrata.plans import observatory as o
+from lodestrata.plans import analytics as o
 from lodestrata.schemas import RECORD_COLUMNS, SITE_RECORD
 from lodestrata.session import table
 from lodestrata.sources import config, files, sinks
