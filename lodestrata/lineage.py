@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
 _own: dict[str, str] = {}
+_written: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -38,4 +39,15 @@ def cut(df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
+    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> int:
+    """Deletes the tables written by ``cut`` so far; call it when their results have been stored. Returns their number."""
+    jvm = spark.sparkContext._jvm
+    n = len(_written)
+    while _written:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return n
