@@ -91,8 +91,10 @@ class Packer:
                 self.order[container] = 0
             place = self.order[container]
             self.order[container] = place + 1
-            if room > size or size == 0:
+            if room > size:
                 insort(self.room, (room - size, container))
+            else:
+                del self.order[container]
             yield item, piece, piece * self.capacity, size, container, place
         for _, container in self.room[: max(0, len(self.room) - OPEN)]:
             del self.order[container]

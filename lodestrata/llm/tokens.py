@@ -11,6 +11,7 @@ import base64
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -70,6 +71,12 @@ class Sizer:
         return first + int(self.sizes[at[1:]].sum()), vector
 
 
+@lru_cache(maxsize=2)
+def sizer_of(vocabulary: str) -> Sizer:
+    """One sizer per worker process and vocabulary; its table of words serves all tasks of the worker."""
+    return Sizer(vocabulary)
+
+
 def sized(df: DataFrame, id_col: str, text_col: str, keep: list[str], vocabulary: str = VOCABULARY) -> DataFrame:
     """``doc_id``, the columns ``keep``, ``n_tokens`` and the projections ``x0``.. of every row."""
     rows = df.select(df[id_col].cast("bigint").alias("doc_id"), *[df[c] for c in keep], df[text_col].alias("__text"))
@@ -77,7 +84,7 @@ def sized(df: DataFrame, id_col: str, text_col: str, keep: list[str], vocabulary
     shape = ", ".join([f"`{c}` {types[c]}" for c in ("doc_id", *keep)] + ["n_tokens bigint"] + [f"x{i} float" for i in range(DIMS)])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sizer = Sizer(vocabulary)
+        sizer = sizer_of(vocabulary)
         for batch in batches:
             got = [sizer.measure(t) for t in batch.pop("__text")]
             batch["n_tokens"] = np.array([n for n, _ in got], np.int64)
