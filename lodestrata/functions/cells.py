@@ -8,4 +8,4 @@ from pyspark.sql import functions as F
 
 def strip(value: Column | str) -> Column:
     """The text without white space of any script at its ends."""
-    return F.regexp_replace(value, r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")
+    return F.regexp_replace(value, r"^[\s\p{Z}]++|(?<![\s\p{Z}])[\s\p{Z}]++\z", "")

@@ -184,7 +184,7 @@ def normalize_url_value(value: Column) -> Column:
     scheme, port, path, query = _parts(full)
     host = host_of(full)
     label = r"[\p{L}\p{N}](?:[\p{L}\p{N}-]{0,61}[\p{L}\p{N}])?"
-    good = host.rlike(rf"^(?:{label}\.)+\p{{L}}{{2,}}\z") | is_ipv4(host) | host.contains(":")
+    good = host.rlike(rf"^(?:{label}\.){{1,126}}\p{{L}}{{2,}}\z") | is_ipv4(host) | host.contains(":")
     p = F.regexp_replace(F.regexp_replace(path, r"/{2,}", "/"), r"/+\z", "")
     shown = F.when(port.isin("", "80", "443"), host).otherwise(F.concat(host, F.lit(":"), port))
     made = F.concat(scheme, F.lit("://"), shown, p, F.when(query != "", F.concat(F.lit("?"), query)).otherwise(F.lit("")))

@@ -35,9 +35,9 @@ class Grammar:
     bare_slash: bool = False
 
 
-_HOST_LABEL = r"[\p{L}\p{N}_](?:[\p{L}\p{N}_-]*[\p{L}\p{N}_])?"
+_HOST_LABEL = r"[\p{L}\p{N}_](?:[\p{L}\p{N}_-]{0,61}[\p{L}\p{N}_])?"
 HOSTS = Grammar(
-    start=r"(?:https?://|(?!\d+\b)(?=[\p{L}\p{N}_.-]*\p{L})" + _HOST_LABEL + r"(?:\." + _HOST_LABEL + r")*\."
+    start=r"(?:https?://|(?!\d+\b)(?=[\p{N}_.-]*+\p{L})" + _HOST_LABEL + r"(?:\." + _HOST_LABEL + r"){0,126}\."
     r"(?!(?:html?|php|aspx?|jsp|pdf|xml|json|txt|csv|css|js|png|jpe?g|gif)\b)\p{L}[\p{L}\p{N}-]+(?=$|[\s;,|/:?#\"'\x02]))"
 )
 SCORES = Grammar(start=r"[^\s;,|/]", end=r":\s?[+-]?\d{1,9}", bare_slash=True)
@@ -54,17 +54,19 @@ def packed_values(cell: Column, grammar: Grammar) -> Column:
     delim = r"[\s;,|/]" if grammar.bare_slash else r"[\s;,|]"
     quoted = cell
     for q in ('"', "'"):
-        body = rf"(?:[^{q}\x02]|{q}{q})*?" + (end if end else "")
+        body = rf"[^{q}\x02]*+(?:{q}{q}[^{q}\x02]*+)*+"
+        ended = rf"(?<={end}\s{{0,9}})" if end else ""
         quoted = F.regexp_replace(
             quoted,
-            rf"(?i)(?:^|(?<=[\s;,|/\x02])){q}(?=\s*{start})({body}\s*){q}(?={delim}|/|$|\x02)",
+            rf"(?i)(?:^|(?<=[\s;,|/\x02])){q}(?=\s*+{start})({body}){ended}{q}(?={delim}|/|$|\x02)",
             _MARK + ("2" if q == '"' else "1") + "$1" + _MARK,
         )
     pieces = F.split(quoted, _MARK)
     before = rf"(?<={end})" if end else ""
+    # runs are matched possessively and from their start only: no backtracking, no recursion, whatever their length
     slash = "" if grammar.bare_slash else r"|(?<=\s)/(?=\s)"
-    between = rf"(?i){before}(?:{delim}{slash})+(?={start})"
-    edges = rf"^(?:{delim}|/(?=\s|$)){{1,}}|(?:{delim}|(?<=\s)/){{1,}}$"
+    between = rf"(?i){before}(?<!{delim})(?:{delim}{slash})++(?={start})"
+    edges = rf"^(?:{delim}|/(?=\s|\z))++|(?<!{delim})(?:{delim}|(?<=\s)/)++\z"
 
     def literal(piece: Column) -> Column:
         text = F.trim(F.substring(piece, 2, 1 << 30))
@@ -76,7 +78,7 @@ def packed_values(cell: Column, grammar: Grammar) -> Column:
         plain = F.split(F.regexp_replace(piece, edges, ""), between)
         return F.when(i % 2 == 1, F.array(literal(piece))).otherwise(plain)
 
-    values = F.transform(F.flatten(F.transform(pieces, fold)), lambda v: F.regexp_replace(v, r"^\s+|\s+$", ""))
+    values = F.transform(F.flatten(F.transform(pieces, fold)), lambda v: F.regexp_replace(v, r"^\s++|(?<!\s)\s++\z", ""))
     return F.filter(values, lambda v: (v != "") & ~v.rlike(r"^[\s;,|/\"']*$"))
 
 

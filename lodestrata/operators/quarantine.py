@@ -40,13 +40,13 @@ class ValueRule:
 
 
 def trimmed(value: Column) -> Column:
-    return F.regexp_replace(value, rf"^{_BLANKS}+|{_BLANKS}+$", "")
+    return F.regexp_replace(value, rf"^{_BLANKS}++|(?<!{_BLANKS}){_BLANKS}++\z", "")
 
 
 def valid_host(value: Column) -> Column:
     """Empty, or a dotted name of two or more labels with an optional scheme, final dot, port and path."""
     label = r"[\p{L}\p{N}](?:[\p{L}\p{N}-]{0,61}[\p{L}\p{N}])?"
-    shape = rf"^(?i:https?://)?({label}(?:\.{label})+)\.?(?::\d{{1,5}})?(?:[/?#].*)?$"
+    shape = rf"^(?i:https?://)?({label}(?:\.{label})++)\.?(?::\d{{1,5}})?(?:[/?#].*)?\z"
     name = F.regexp_extract(value, "(?s)" + shape, 1)
     return (value == "") | ((name != "") & (F.length(name) <= 253))
 

@@ -2,7 +2,6 @@
 
 import json
 import random
-import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -191,5 +190,10 @@ def test_union_table(spark):
         drift.consistent_table(fields, max_columns=1)
 
 
-def test_patterns_are_closed():
-    assert not re.search(r"\n", packed.HOSTS.start)
+def test_very_long_inputs(spark):
+    cells = ['"https://a.example/x?y=' + "z;" * 100_000 + '"|b.example', "'https://a.example/" + "''q" * 50_000 + "'|b.example", " " * 100_000 + "a.example ; b.example" + ";" * 100_000, "a.example" + ";" * 100_000 + "?" + ";" * 100_000 + "b.example", "a." * 50_000 + "example;b.example"]
+    assert [len(split(spark, c, packed.HOSTS)) for c in cells] == [2, 2, 2, 2, 2]
+    assert len(split(spark, ";".join(f"c{i}:1" for i in range(20_000)), packed.SCORES)) == 20_000
+    lines = {'a.example;;"' + '""x' * 100_000 + '"': None, ";" * 100_000: "column_count", '"' * 100_001: "quoting", ".".join(["a"] * 50_000) + ";;": "hostname", "a.example/" + "p" * 300_000 + ";;": None, " " * 100_000 + "a.example;;": None}
+    got, _ = reasons(spark, list(lines))
+    assert [got[i] for i in range(1, 7)] == list(lines.values())
