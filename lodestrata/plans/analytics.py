@@ -761,6 +761,14 @@ def gr1_level_search(spark: SparkSession, root: str) -> DataFrame:
     return graph.level_search(edges, seeds, 3).select("url", "level")
 
 
+@query()
+def gr1_whole_search(spark: SparkSession, root: str) -> DataFrame:
+    """The search over all links from all seeds; ``gr1_level_search`` is the sample of it that recursive SQL can follow."""
+    edges = table(spark, root, "lineitem").select(F.col("l_orderkey").alias("src"), F.col("l_partkey").alias("dst"), (F.col("l_partkey") % 7).alias("dst_host"), F.col("l_linenumber").alias("ord")).distinct()
+    seeds = table(spark, root, "part").filter("p_size = 1").select(F.col("p_partkey").alias("url"), F.col("p_partkey").alias("ord"))
+    return graph.level_search(edges, seeds, 3)
+
+
 @query()
 def gr1_capped_search_with_origin(spark: SparkSession, root: str) -> DataFrame:
     edges = table(spark, root, "lineitem").select(F.col("l_orderkey").alias("src"), F.col("l_partkey").alias("dst"), (F.col("l_partkey") % 7).alias("dst_host"), F.col("l_linenumber").alias("ord")).distinct()

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lodestrata.functions import html
 from lodestrata.operators import concentration, distributions, graph, joins, ranking, rollups, rules, scoring, sets
+from lodestrata.plans import analytics
 
 
 def test_concentration_invariants(spark):
@@ -118,6 +119,26 @@ def test_level_search(spark):
     assert tuple(graph.pagination_runs(pages, "t", "n", "d").first()) == ("t", 2, 2)
 
 
+def test_whole_search_against_brute_force(spark, tmp_path):
+    links = {(1 + i * 37 % 9000, 1 + i * i * 13 % 9000, i % 7) for i in range(12_000)}
+    sizes = [(k, 1 if k % 50 == 0 else 2) for k in range(1, 9001)]
+    spark.createDataFrame(sorted(links), "l_orderkey long, l_partkey long, l_linenumber int").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame(sizes, "p_partkey long, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    seen = {k: (0, k) for k, size in sizes if size == 1}
+    orders = {k: k for k in seen}
+    frontier = set(seen)
+    for level in (1, 2, 3):
+        found = {}
+        for src, dst, ord_ in links:
+            if src in frontier and dst not in seen:
+                found.setdefault(dst, []).append(((orders[src], ord_), seen[src][1], ord_))
+        seen |= {dst: (level, min(ways)[1]) for dst, ways in found.items()}
+        orders |= {dst: min(w[2] for w in ways) for dst, ways in found.items()}
+        frontier = set(found)
+    got = {r["url"]: r["level"] for r in analytics.gr1_whole_search(spark, str(tmp_path)).collect()}
+    assert got == {url: level for url, (level, _) in seen.items()} and max(got) > 2000 and max(got.values()) == 3
+
+
 PAGE = """<html lang="it"><head><title> Comune  di X </title><base href="https://x.example/d/"><meta name="description" content="desc"><meta property="og:site_name" content="Sito">
 <script type="application/ld+json">{"@type":["City","Place"],"name":"X","address":{"@type":"PostalAddress"}}</script><link href="/s.css"><script src="https://cdn.terzi.example/a.js"></script></head>
 <body><nav><a href="uffici">Uffici</a><a href="mailto:a@b">m</a></nav><h1>Titolo</h1><p>Testo<style>no</style></p><iframe src="//video.example/1"></iframe><img src="i.png"><footer>Note legali<a href="#x">y</a></footer>"""
