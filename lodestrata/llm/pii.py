@@ -2,8 +2,9 @@
 
 Five types are found: email, phone, id_number, address, name. Numbers and signs anchor the first four: a fast scan
 finds digits and at-signs, and only their surroundings are matched against the formats of ten languages. Names are
-found through words that the corpus itself shows to be given and family names: those that follow a title or label of
-a person. Their counts are taken over all documents.
+found in two ways: directly after a title or label of a person, whatever the words; and without one through words that
+the corpus itself shows to be given and family names: those that follow such labels, ``MIN_SEEN`` times at least in all
+documents.
 
 Surrogates: every detected entity gets a replacement that depends on a key and on the entity alone, so that the same
 person, number or address gets the same surrogate wherever it stands (coreference), however it is written (``ROSSI
@@ -37,7 +38,7 @@ from lodestrata.skew import salted_join
 TYPES = ("email", "phone", "id_number", "address", "name")
 #: Words kept as names at most, those seen most often; their number doesn't grow with the texts beyond it.
 MAX_NAME_WORDS = 1 << 17
-#: A word is a name from this many sightings after a title or label on.
+#: A word is a name where no label stands before it from this many sightings after a title or label on.
 MIN_SEEN = 2
 
 #: Labels and titles that a person's name follows.
@@ -48,7 +49,7 @@ dhr. mevr. mw. de_heer heer mevrouw Ondertekend_door adviseur met herr fru Herr
 _UP = "A-ZÀ-ÖØ-ÞĄĆĘŁŃŚŹŻŒΆΈΉΊΌΎΏΑ-Ω"
 _CAP = rf"[{_UP}][\w]+(?:['’][{_UP}]?\w+)?(?:-[{_UP}]\w+)?"
 _AFTER_LABEL = re.compile(rf"(?:[ \xa0])((?:[{_UP}]\. )?{_CAP})[ \xa0]({_CAP})(?:[ \xa0]({_CAP}))?")
-_AFTER_INITIAL = re.compile(rf"[ \xa0][{_UP}]\.[ \xa0]({_CAP})(?![ \xa0]{_CAP})")
+_AFTER_INITIAL = re.compile(rf"[ \xa0][{_UP}]\.[ \xa0]({_CAP})(?!\w|[-'’]\w|[ \xa0]{_CAP})")
 _INITIAL = re.compile(rf"(?:(?<=[^\w])|^)[{_UP}]\.[ \xa0]?(?:[{_UP}]\.[ \xa0]?)?$")
 _NEXT = re.compile(rf"[ \xa0\n]({_CAP})")
 _WORD_END = re.compile(r"\w*(?:['’]\w+)?(?:-\w+)?")
@@ -313,7 +314,27 @@ def find(text: str | None, names: Names) -> list[Finding]:
         if not any(s < f.end and f.start < e for s, e in spans):
             taken.append(f)
     taken.sort(key=lambda f: f.start)
-    return sorted([*taken, *names.find(text, taken)], key=lambda f: f.start)
+    known = list(names.find(text, taken))
+    return sorted([*taken, *_joined(known, labelled(text, names), taken)], key=lambda f: f.start)
+
+
+def _joined(known: list[Finding], direct: Iterable[Finding], taken: list[Finding]) -> Iterator[Finding]:
+    """Names by known words and names after labels; one that begins inside a name after a label is part of it."""
+    left, k, t = list(known), 0, 0
+    for f in direct:
+        while k < len(left) and left[k].end <= f.start:
+            yield left[k]
+            k += 1
+        while t < len(taken) and taken[t].end <= f.start:
+            t += 1
+        if t < len(taken) and taken[t].start < f.end or k < len(left) and left[k].start <= f.start:
+            continue
+        end = f.end
+        while k < len(left) and left[k].start < end:
+            end = max(end, left[k].end)
+            k += 1
+        yield Finding(f.start, end, "name")
+    yield from left[k:]
 
 
 _labels: ahocorasick.Automaton | None = None
@@ -330,24 +351,51 @@ def _label_automaton() -> ahocorasick.Automaton:
     return _labels
 
 
-def sightings(text: str) -> Iterator[tuple[str, str]]:
-    """(role, word) of the words after labels of persons; roles are given and family."""
+def _after_labels(text: str) -> Iterator[tuple[re.Match, bool]]:
+    """The name pattern after each label of a person, and whether it is an initial with a family name."""
     for end, size in _label_automaton().iter(text):
         a = end - size + 1
         if a and (text[a - 1].isalnum() or text[a - 1] == "-"):
             continue
         alone = _AFTER_INITIAL.match(text, end)
         if alone and alone[1] not in STARTERS:
-            for part in alone[1].lower().split("-"):
-                yield "family", part
-                yield "family", part
+            yield alone, True
             continue
         m = _AFTER_LABEL.match(text, end)
-        if not m:
+        if m and m[1] not in STARTERS and m[2] not in STARTERS and not INSTITUTION.match(text, m.end()):
+            yield m, False
+
+
+def labelled(text: str, names: Names) -> Iterator[Finding]:
+    """The names that stand directly after a label of a person, of words known or not.
+
+    Two capitalised words, or three unless just one of the first two is a known family name; an initial before them is a title.
+    """
+    done = -1
+    for m, alone in _after_labels(text):
+        start, stop = m.start() + 1, m.end(1)
+        if not alone:
+            start, stop = m.end(1) - len(m[1].split(" ")[-1]), m.end(2)
+            first = text[start : m.end(1)]
+            if first in STARTERS or INSTITUTION.match(text, stop):
+                continue
+            if m[3] and m[3] not in STARTERS and len(m[3]) > 2 and [names._known(first), names._known(m[2])].count("f") != 1:
+                stop = m.end(3)
+        if start < done or INSTITUTION.match(text, stop) or any(c.isdigit() or c == "_" for c in text[start:stop]):
             continue
-        x, y = m[1], m[2]
-        if x in STARTERS or y in STARTERS or INSTITUTION.match(text, m.end()):
+        done = stop
+        yield Finding(start, stop, "name")
+
+
+def sightings(text: str) -> Iterator[tuple[str, str]]:
+    """(role, word) of the words after labels of persons; roles are given and family."""
+    for m, alone in _after_labels(text):
+        if alone:
+            for part in m[1].lower().split("-"):
+                yield "family", part
+                yield "family", part
             continue
+        x, y = m[1], m[2]
         if x.isupper() and not y.isupper():
             x, y = y, x
         if "." not in x:

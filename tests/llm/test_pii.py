@@ -33,6 +33,26 @@ def test_learns_names_from_labels():
     assert not list(pii.sightings("p. La Scuola Ref. il comune"))
 
 
+@pytest.mark.parametrize(
+    ("text", "expected"),
+    [
+        ("Il Sig. Zoran Petkovic ha firmato", ["Zoran Petkovic"]), ("whois: PETKOVIC Zoran, x", ["PETKOVIC Zoran"]), ("Mme X. Petkovic (x", ["X. Petkovic"]), ("Ref. M. Zoran Petkovic.", ["Zoran Petkovic"]), ("Mr. Zoran Mihail Petkovic, x", ["Zoran Mihail Petkovic"]),
+        ("Sig. Zoran Anna Branani, x", ["Zoran Anna Branani"]), ("Sig. Zoran Branani Comune", ["Zoran Branani"]), ("bellen met Branani Branani Petkovic, x", ["Branani Branani Petkovic"]), ("de heer Zoran Petkovic en Anna Branani", ["Zoran Petkovic", "Anna Branani"]), ("Anna Branani e pan Zoran Petkovic", ["Anna Branani", "Zoran Petkovic"]),
+        ("contact Zoran Petkovic College", []), ("p. La Scuola", []), ("Ref. Team4 Rete5", []), ("Zoran Petkovic ha firmato", []),
+    ],
+)
+def test_unknown_names_after_labels(text, expected):
+    assert [s for s, _ in found(text)] == expected
+
+
+def test_a_name_seen_once_is_found_in_all_queries(spark):
+    df = spark.createDataFrame([(1, "Il Sig. Zoran Petkovic ha firmato."), (2, "nulla")], "doc_id long, text string")
+    assert [tuple(r) for r in pii.entities(df, "doc_id", "text").collect()] == [(1, 8, 22, "name", "Zoran Petkovic")]
+    assert pii.redact(df, "doc_id", "text").filter("doc_id = 1").first()["redacted"] == "Il Sig. [NAME] ha firmato."
+    new = pii.surrogates(df, "doc_id", "text", "k").filter("doc_id = 1").first()["text"]
+    assert re.fullmatch(r"Il Sig\. \w+ \w+ ha firmato\.", new) and "Zoran" not in new and "Petkovic" not in new
+
+
 def corpus(spark):
     filler = [(i, f"Ref. {g} {f}\nwhois: {f.upper()} {g}, x") for i, (g, f) in enumerate([(g, f) for g in ("Anna", "Marco") for f in ("Branani", "Ulmini")] * 2)]
     more = [
