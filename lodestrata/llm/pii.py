@@ -12,8 +12,10 @@ Anna`` and ``Anna Rossi`` are one). A surrogate keeps its type, its script, its
 and its format: capitals, separators, number of digits. Two entities never share one: the table of distinct entities
 is checked for equal surrogates and the later ones are drawn again until none are left.
 
-Shape of the job: two narrow passes over the texts, without shuffling them. The table of name words is hashed to
-``BUCKETS`` slots, the bound of what comes to the driver. Only surrogates shuffle, and only the entities, salted.
+Shape of the job: two narrow passes over the texts, without shuffling them. The ``MAX_NAME_WORDS`` name words seen most
+often are broadcast, the bound of what comes to the driver. Where a corpus has more, all others count as well: the
+capitalised words of the texts are joined to them, salted, and each text gets those that stand in it; only then are the
+texts written once and joined by row. Surrogates shuffle the entities, salted.
 
 Defined results: a null or empty text has no entities and comes out unchanged; a text of any length is read whole;
 where findings overlap the earlier and then the longer one counts, in the order email, phone, id_number, address, name.
@@ -36,7 +38,7 @@ from lodestrata.lineage import cut
 from lodestrata.skew import salted_join
 
 TYPES = ("email", "phone", "id_number", "address", "name")
-#: Words kept as names at most, those seen most often; their number doesn't grow with the texts beyond it.
+#: Name words broadcast at most, those seen most often; rarer ones reach the texts by a join.
 MAX_NAME_WORDS = 1 << 17
 #: A word is a name where no label stands before it from this many sightings after a title or label on.
 MIN_SEEN = 2
@@ -222,32 +224,50 @@ def _address(text: str, a: int, b: int) -> Finding | None:
     return Finding(a, after.end(), "address") if after else None
 
 
+def _forms(words: set[str]) -> ahocorasick.Automaton:
+    """Finds the spellings of words, each with its length."""
+    out = ahocorasick.Automaton()
+    for w in words:
+        for form in {w.title(), w.upper(), w[:1].upper() + w[1:]}:
+            out.add_word(form, len(form))
+    if len(out):
+        out.make_automaton()
+    return out
+
+
 class Names:
     """Finds persons' names by the words known as given and family names."""
 
     def __init__(self, given: set[str], family: set[str]) -> None:
         self.given, self.family = given, family
-        self.words = ahocorasick.Automaton()
-        for w in given | family:
-            for form in {w.title(), w.upper(), w[:1].upper() + w[1:]}:
-                self.words.add_word(form, (len(form), w))
-        if len(self.words):
-            self.words.make_automaton()
+        self.words = _forms(given | family)
+
+    def with_rare(self, given: set[str], family: set[str]) -> Names:
+        """These names and rarer words that stand in one text."""
+        return _WithRare(self, given, family) if given or family else self
+
+    def hits(self, text: str) -> Iterable[tuple[int, int]]:
+        """(end, size) of the forms of known words, by end."""
+        return self.words.iter(text) if len(self.words) else ()
+
+    def is_given(self, word: str) -> bool:
+        return word in self.given
+
+    def is_family(self, word: str) -> bool:
+        return word in self.family
 
     def _known(self, word: str) -> str | None:
         low = word.lower()
-        if low in self.given:
+        if self.is_given(low):
             return "g"
         parts = low.split("-")
-        if any(p in self.family for p in parts) or low in self.family:
+        if any(self.is_family(p) for p in parts) or self.is_family(low):
             return "f"
-        return "g" if len(parts) > 1 and parts[0] in self.given else None
+        return "g" if len(parts) > 1 and self.is_given(parts[0]) else None
 
     def find(self, text: str, taken: list[Finding]) -> Iterator[Finding]:
-        if not len(self.words):
-            return
         done, t = -1, 0
-        for end, (size, _) in self.words.iter(text):
+        for end, size in self.hits(text):
             a = end - size + 1
             if a < done or a and (text[a - 1].isalnum() or text[a - 1] in "_@./-'’"):
                 continue
@@ -304,6 +324,23 @@ class Names:
             yield Finding(start, stop, "name")
 
 
+class _WithRare(Names):
+    """The names of a base, not copied, and some more."""
+
+    def __init__(self, base: Names, given: set[str], family: set[str]) -> None:
+        super().__init__(given, family)
+        self.base = base
+
+    def hits(self, text: str) -> Iterable[tuple[int, int]]:
+        return sorted([*self.base.hits(text), *super().hits(text)])
+
+    def is_given(self, word: str) -> bool:
+        return word in self.given or word in self.base.given
+
+    def is_family(self, word: str) -> bool:
+        return word in self.family or word in self.base.family
+
+
 def find(text: str | None, names: Names) -> list[Finding]:
     """All personal data in a text, by position, without overlaps."""
     if not text:
@@ -413,29 +450,83 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield pd.DataFrame([(r, w, n) for (r, w), n in total.items()], columns=["role", "word", "n"])
 
 
-def learn_names(texts: DataFrame) -> tuple[set[str], set[str]]:
-    """Given and family names seen after labels of persons in all texts of a column ``text``."""
+def learn_names(texts: DataFrame) -> tuple[set[str], set[str], DataFrame | None]:
+    """Given and family names seen after labels of persons in all texts of a column ``text``.
+
+    The sets hold the ``MAX_NAME_WORDS`` words seen most often; the table holds all others (``word``, ``is_given``), and
+    is null if there are none.
+    """
     counted = texts.mapInPandas(_count, "role string, word string, n bigint").groupBy("word").agg(
         F.sum(F.when(F.col("role") == "given", F.col("n")).otherwise(0)).alias("given"),
         F.sum(F.when(F.col("role") == "family", F.col("n")).otherwise(0)).alias("family"),
     )
-    rows = counted.filter(F.col("given") + F.col("family") >= MIN_SEEN).orderBy(F.desc(F.col("given") + F.col("family")), "word").limit(MAX_NAME_WORDS).collect()
-    given = {r["word"] for r in rows if r["given"] > r["family"]}
-    return given, {r["word"] for r in rows if r["given"] <= r["family"]}
+    learned = counted.filter(F.col("given") + F.col("family") >= MIN_SEEN).select("word", (F.col("given") + F.col("family")).alias("n"), (F.col("given") > F.col("family")).alias("is_given"))
+    rows = learned.orderBy(F.desc("n"), "word").limit(MAX_NAME_WORDS + 1).collect()
+    rare = None
+    if len(rows) > MAX_NAME_WORDS:
+        last = rows[MAX_NAME_WORDS - 1]
+        rare = learned.filter((F.col("n") < last["n"]) | (F.col("n") == last["n"]) & (F.col("word") > last["word"])).select("word", "is_given")
+        rows = rows[:MAX_NAME_WORDS]
+    given = {r["word"] for r in rows if r["is_given"]}
+    return given, {r["word"] for r in rows if not r["is_given"]}, rare
+
+
+_TOKEN = re.compile(r"\w+(?:['’]\w+)?(?:-\w+)?")
+_PIECE = re.compile(r"\w+")
+
+
+def name_candidates(text: str | None) -> set[str]:
+    """Every word, in lower case, that could be a name in this text if it were known."""
+    out: set[str] = set()
+    for m in _TOKEN.finditer(text or ""):
+        if m[0][0].islower() or m[0][0].isdigit():
+            continue
+        low = m[0].lower()
+        out.update((low, *low.split("-"), *_PIECE.findall(low)))
+        if "-" in low:
+            out.update(low[:n] for n in range(2, low.index("-")))
+    return out
+
+
+def _with_names(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, object]:
+    """``doc_id``, ``text``, ``rare`` of every row, ``rare`` the rarer name words in the text, and the broadcast others."""
+    texts = df.select(df[id_col].cast("bigint").alias("doc_id"), df[text_col].alias("text"))
+    given, family, rare = learn_names(texts.select("text"))
+    shared = df.sparkSession.sparkContext.broadcast((given, family))
+    if rare is None:
+        return texts.withColumn("rare", F.lit(None).cast(_RARE)), shared
+    rows = cut(texts.withColumn("__row", F.monotonically_increasing_id()))
+
+    def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        common = shared.value[0] | shared.value[1]
+        for batch in batches:
+            pairs = [(r, w) for r, t in zip(batch["__row"], batch["text"], strict=True) for w in name_candidates(t) - common]
+            yield pd.DataFrame(pairs, columns=["__row", "word"])
 
+    there = salted_join(rows.select("__row", "text").mapInPandas(words, "__row bigint, word string"), rare, ["word"], "__row")
+    by_row = there.groupBy("__row").agg(F.collect_list(F.struct("word", "is_given")).alias("rare"))
+    return rows.join(by_row, "__row", "left").select("doc_id", "text", "rare"), shared
 
+
+def _names_of(common: Names, rare: Iterable | None) -> Names:
+    if rare is None:
+        return common
+    return common.with_rare({r["word"] for r in rare if r["is_given"]}, {r["word"] for r in rare if not r["is_given"]})
+
+
+_RARE = "array<struct<word:string,is_given:boolean>>"
+_LETTERS = re.compile(r"[^\W\d_]+")
 _FOUND = "doc_id bigint, start int, end int, kind string, surface string"
 
 
 def entities(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``doc_id``, ``start``, ``end``, ``kind``, ``surface`` of every item of personal data."""
-    texts = df.select(df[id_col].cast("bigint").alias("doc_id"), df[text_col].alias("text"))
-    shared = df.sparkSession.sparkContext.broadcast(learn_names(texts.select("text")))
+    texts, shared = _with_names(df, id_col, text_col)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = Names(*shared.value)
         for batch in batches:
-            rows = [(d, f.start, f.end, f.kind, t[f.start : f.end]) for d, t in zip(batch["doc_id"], batch["text"], strict=True) for f in find(t, names)]
+            rows = [(d, f.start, f.end, f.kind, t[f.start : f.end]) for d, t, r in zip(batch["doc_id"], batch["text"], batch["rare"], strict=True) for f in find(t, _names_of(names, r))]
             yield pd.DataFrame(rows, columns=["doc_id", "start", "end", "kind", "surface"])
 
     return texts.mapInPandas(run, _FOUND)
@@ -448,15 +539,14 @@ PLACEHOLDER = {k: f"[{k.upper()}]" for k in TYPES}
 
 def redact(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``doc_id``, ``redacted``, ``n_found``: every text with a typed placeholder for each item."""
-    texts = df.select(df[id_col].cast("bigint").alias("doc_id"), df[text_col].alias("text"))
-    shared = df.sparkSession.sparkContext.broadcast(learn_names(texts.select("text")))
+    texts, shared = _with_names(df, id_col, text_col)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = Names(*shared.value)
         for batch in batches:
             rows = []
-            for d, t in zip(batch["doc_id"], batch["text"], strict=True):
-                found = find(t, names)
+            for d, t, r in zip(batch["doc_id"], batch["text"], batch["rare"], strict=True):
+                found = find(t, _names_of(names, r))
                 rows.append((d, replaced(t, [(f.start, f.end, PLACEHOLDER[f.kind]) for f in found]), len(found)))
             yield pd.DataFrame(rows, columns=["doc_id", "redacted", "n_found"])
 
@@ -555,32 +645,31 @@ def surrogates(df: DataFrame, id_col: str, text_col: str, key: str) -> DataFrame
     entity keeps its own and the others draw again, until no two are equal; more than ``MAX_ROUNDS`` is an error. The
     surrogates are far more than any corpus has entities, so a few rounds are enough.
     """
-    texts = df.select(df[id_col].cast("bigint").alias("doc_id"), df[text_col].alias("text"))
-    given, family = learn_names(texts.select("text"))
-    shared = df.sparkSession.sparkContext.broadcast((given, family))
+    texts, shared = _with_names(df, id_col, text_col)
     secret = key.encode()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = Names(*shared.value)
         for batch in batches:
             rows = []
-            for d, t in zip(batch["doc_id"], batch["text"], strict=True):
-                for f in find(t, names):
+            for d, t, r in zip(batch["doc_id"], batch["text"], batch["rare"], strict=True):
+                here = _names_of(names, r)
+                for f in find(t, here):
                     s = t[f.start : f.end]
-                    rows.append((d, f.start, f.end, f.kind, s, entity_key(f.kind, s)))
-            yield pd.DataFrame(rows, columns=["doc_id", "start", "end", "kind", "surface", "entity"])
+                    known = sorted({w for w in _LETTERS.findall(s.lower()) if here.is_given(w)}) if f.kind == "name" else []
+                    rows.append((d, f.start, f.end, f.kind, s, entity_key(f.kind, s), " ".join(known)))
+            yield pd.DataFrame(rows, columns=["doc_id", "start", "end", "kind", "surface", "entity", "given"])
 
-    found = cut(texts.mapInPandas(run, _FOUND + ", entity string"))
-    entities_ = found.groupBy("kind", "entity").agg(F.min("surface").alias("surface"))
+    found = cut(texts.mapInPandas(run, _FOUND + ", entity string, given string"))
+    entities_ = found.groupBy("kind", "entity").agg(F.min("surface").alias("surface"), F.min("given").alias("given"))
 
     def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = frozenset(shared.value[0])
         for batch in batches:
-            drawn = [surrogate(k, s, secret, int(n), known) for k, s, n in zip(batch["kind"], batch["surface"], batch["round"], strict=True)]
+            drawn = [surrogate(k, s, secret, int(n), frozenset(g.split())) for k, s, n, g in zip(batch["kind"], batch["surface"], batch["round"], batch["given"], strict=True)]
             batch["drawn"] = [entity_key(k, x) for k, x in zip(batch["kind"], drawn, strict=True)]
-            yield batch[["kind", "entity", "surface", "round", "drawn"]]
+            yield batch[["kind", "entity", "surface", "given", "round", "drawn"]]
 
-    shape = "kind string, entity string, surface string, round int, drawn string"
+    shape = "kind string, entity string, surface string, given string, round int, drawn string"
     own = entities_.withColumn("round", F.lit(0))
     for _ in range(MAX_ROUNDS):
         drawn = cut(own.mapInPandas(draw, shape))
@@ -590,20 +679,19 @@ def surrogates(df: DataFrame, id_col: str, text_col: str, key: str) -> DataFrame
             break
         again = F.col("first").isNotNull() & (F.col("first") != F.col("entity"))
         other = F.col("round") + 1 + F.pmod(F.xxhash64("entity"), F.lit(1 << 20)).cast("int")
-        own = drawn.join(clash, ["kind", "drawn"], "left").select("kind", "entity", "surface", F.when(again, other).otherwise(F.col("round")).alias("round"))
+        own = drawn.join(clash, ["kind", "drawn"], "left").select("kind", "entity", "surface", "given", F.when(again, other).otherwise(F.col("round")).alias("round"))
     else:
         raise RuntimeError(f"surrogates still equal after {MAX_ROUNDS} rounds")
-    rounds = own.select("kind", "entity", "round")
+    rounds = own.select("kind", "entity", F.col("given").alias("known"), "round")
     mentions = salted_join(found, rounds, ["kind", "entity"], "doc_id")
-    parts = mentions.groupBy("doc_id").agg(F.collect_list(F.struct("start", "end", "kind", "surface", "round")).alias("parts"))
+    parts = mentions.groupBy("doc_id").agg(F.collect_list(F.struct("start", "end", "kind", "surface", "known", "round")).alias("parts"))
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = frozenset(shared.value[0])
         for batch in batches:
             out = []
             for t, ps in zip(batch["text"], batch["parts"], strict=True):
                 ps = [] if ps is None else ps
-                out.append(replaced(t, [(p["start"], p["end"], surrogate(p["kind"], p["surface"], secret, int(p["round"]), known)) for p in ps]))
+                out.append(replaced(t, [(p["start"], p["end"], surrogate(p["kind"], p["surface"], secret, int(p["round"]), frozenset(p["known"].split()))) for p in ps]))
             yield pd.DataFrame({"doc_id": batch["doc_id"], "text": out})
 
-    return texts.join(parts, "doc_id", "left").mapInPandas(write, "doc_id bigint, text string")
+    return texts.drop("rare").join(parts, "doc_id", "left").mapInPandas(write, "doc_id bigint, text string")

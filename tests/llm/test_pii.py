@@ -77,6 +77,21 @@ def test_redaction_and_surrogates(spark):
     assert "Branani" not in "".join(t or "" for t in one.values())
 
 
+@pytest.mark.parametrize("most", [1, 3])
+def test_rare_names_are_kept_beyond_the_broadcast(spark, monkeypatch, most):
+    more = [(100, "Anna-Maria Ulmini e Marco Branani-Rossi"), (107, "Marco Ulmini"), (107, "ha scritto BRANANI Anna"), (None, "Marco Branani, Annabella-Ulmini Marco"), (108, "Annabella-Branani Anna")]
+    df = corpus(spark).select("doc_id", "text").unionByName(spark.createDataFrame(more, "doc_id long, text string"))
+
+    def results():
+        texts = pii.surrogates(df.filter("doc_id is not null and doc_id <> 107"), "doc_id", "text", "k")
+        return [sorted(map(str, t.collect())) for t in (pii.entities(df, "doc_id", "text"), pii.redact(df, "doc_id", "text"), texts)]
+
+    whole = results()
+    monkeypatch.setattr(pii, "MAX_NAME_WORDS", most)
+    assert results() == whole and len(pii.learn_names(df.select("text"))[0] | pii.learn_names(df.select("text"))[1]) == most
+    assert sum("'name'" in r for r in whole[0]) > 20
+
+
 def test_equal_surrogates_are_drawn_again(spark, monkeypatch):
     monkeypatch.setitem(pii._SYLLABLES, "latin", ["ba"] * 15 + ["ze"])
     rows = [(i, f"scrivere a persona{i}@x.example") for i in range(40)] + [(99, "Scrivere a PERSONA1@X.EXAMPLE")]
