@@ -146,11 +146,12 @@ def outside_eea(country: Column) -> Column:
 
 
 def page_status(error: Column, status: Column) -> Column:
-    """One word for how a page fetch went."""
+    """One word for how a page fetch went; an error is a class known by name, or led by the layer that failed (``dns:``, ``tls:``)."""
     k = error_class(error, F.lit(""))
+    layer = F.lower(F.regexp_extract(error, r"(?i)^\s*(dns|tls):", 1))
     return (
         F.when(F.coalesce(error, F.lit("")) == "", F.when(status.isNull(), "no_answer").when(status < 400, "ok").when(status.isin(401, 403, 406, 429), "blocked").otherwise("http_error"))
-        .when(k == "timeout", "timeout").when(k == "dns_non_risolto", "dns_error").when(k == "tls_fallito", "tls_error").otherwise("http_error")
+        .when(k == "timeout", "timeout").when((k == "dns_non_risolto") | (layer == "dns"), "dns_error").when((k == "tls_fallito") | (layer == "tls"), "tls_error").otherwise("http_error")
     )
 
 

@@ -246,6 +246,18 @@ def mn8_best_status(spark: SparkSession, root: str) -> DataFrame:
     return rows.groupBy("hostname").agg(F.min_by("status", rank).alias("status"))
 
 
+_PAGE_STATUS_SQL = """CASE WHEN coalesce(http_errore_classificazione, '') <> '' THEN CASE WHEN http_errore_classificazione = 'timeout' THEN 'timeout' WHEN starts_with(http_errore_classificazione, 'dns:') THEN 'dns_error' WHEN starts_with(http_errore_classificazione, 'tls:') THEN 'tls_error' ELSE 'http_error' END
+WHEN http_status_classificazione IS NULL THEN 'no_answer' WHEN http_status_classificazione < 400 THEN 'ok' WHEN http_status_classificazione IN (401, 403, 406, 429) THEN 'blocked' ELSE 'http_error' END"""
+
+
+@query(f"SELECT hostname, arg_min(s, list_position(['ok', 'blocked', 'tls_error', 'timeout', 'dns_error', 'http_error', 'no_answer'], s)) AS status FROM (SELECT hostname, {_PAGE_STATUS_SQL} AS s FROM tipo_ente_possibili_non_pubblici) GROUP BY 1")
+def mn8_best_status_whole(spark: SparkSession, root: str) -> DataFrame:
+    """The best status of every host, errors and missing answers included; ``mn8_best_status`` has only hosts that answered or blocked."""
+    status = network.page_status(F.col("http_errore_classificazione"), F.col("http_status_classificazione"))
+    rank = F.array_position(F.array(*[F.lit(x) for x in network.STATUS_PRIORITY]), F.col("status"))
+    return table(spark, root, o.TYPES).select("hostname", status.alias("status")).groupBy("hostname").agg(F.min_by("status", rank).alias("status"))
+
+
 @query()
 def mn6_candidate_urls(spark: SparkSession, root: str) -> DataFrame:
     return _records(spark, root).select("rec_id", F.array_join(urls.candidate_urls(o._bare(F.col("hostname"))), " ").alias("candidates"))
@@ -257,6 +269,13 @@ def mn19_robots(spark: SparkSession, root: str) -> DataFrame:
     return table(spark, root, o.TYPES).filter((s >= 400) | s.isNull()).select("riga_id", network.robots_allows(s, F.lit("")).alias("allowed"))
 
 
+@query("SELECT riga_id, CASE WHEN coalesce(http_errore_classificazione, '') <> '' OR http_status_classificazione IS NULL OR http_status_classificazione BETWEEN 400 AND 499 THEN true WHEN http_status_classificazione >= 500 THEN false END AS allowed FROM tipo_ente_possibili_non_pubblici")
+def mn19_robots_whole(spark: SparkSession, root: str) -> DataFrame:
+    """Every row with its error; null where the answer's rules decide."""
+    allowed = network.robots_allows(F.col("http_status_classificazione"), F.col("http_errore_classificazione"))
+    return table(spark, root, o.TYPES).select("riga_id", allowed.alias("allowed"))
+
+
 @query("SELECT event_id FROM events WHERE ts::DATE = DATE '2024-01-15'")
 def mn16_same_day(spark: SparkSession, root: str) -> DataFrame:
     return table(spark, root, "events").filter(F.to_date("ts") == F.lit("2024-01-15").cast("date")).select("event_id")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lodestrata.functions import html
 from lodestrata.operators import concentration, distributions, graph, joins, ranking, rollups, rules, scoring, sets
-from lodestrata.plans import analytics
+from lodestrata.plans import analytics, details
 
 
 def test_concentration_invariants(spark):
@@ -139,6 +139,19 @@ def test_whole_search_against_brute_force(spark, tmp_path):
     assert got == {url: level for url, (level, _) in seen.items()} and max(got) > 2000 and max(got.values()) == 3
 
 
+def test_statuses_of_every_host(spark, tmp_path):
+    rows = [
+        ("a", 500, None), ("a", None, "tls:scaduto"), ("b", 404, None), ("c", None, None), ("d", None, "timeout"), ("d", None, "dns:nxdomain"), ("e", None, "dns:nxdomain"),
+        ("e", 404, ""), ("f", 200, None), ("f", None, "timeout"), ("g", 403, None), ("g", None, "tls:scaduto"), ("h", 503, "timeout"), ("i", None, "altro"),
+    ]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "riga_id long, hostname string, http_status_classificazione int, http_errore_classificazione string")
+    df.write.parquet(f"{tmp_path}/{analytics.TYPES}.parquet")
+    got = {r["hostname"]: r["status"] for r in details.mn8_best_status_whole(spark, str(tmp_path)).collect()}
+    assert got == {"a": "tls_error", "b": "http_error", "c": "no_answer", "d": "timeout", "e": "dns_error", "f": "ok", "g": "blocked", "h": "timeout", "i": "http_error"}
+    allowed = {r["riga_id"]: r["allowed"] for r in details.mn19_robots_whole(spark, str(tmp_path)).collect()}
+    assert allowed == {i: True for i in range(len(rows))} | {0: False, 8: None}
+
+
 PAGE = """<html lang="it"><head><title> Comune  di X </title><base href="https://x.example/d/"><meta name="description" content="desc"><meta property="og:site_name" content="Sito">
 <script type="application/ld+json">{"@type":["City","Place"],"name":"X","address":{"@type":"PostalAddress"}}</script><link href="/s.css"><script src="https://cdn.terzi.example/a.js"></script></head>
 <body><nav><a href="uffici">Uffici</a><a href="mailto:a@b">m</a></nav><h1>Titolo</h1><p>Testo<style>no</style></p><iframe src="//video.example/1"></iframe><img src="i.png"><footer>Note legali<a href="#x">y</a></footer>"""
