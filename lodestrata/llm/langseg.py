@@ -327,10 +327,11 @@ def fit(texts: DataFrame, sample_by: Column) -> Crf:
     return train(counts, [(r["lang"], r["text"]) for r in chosen])
 
 
-def identify(df: DataFrame, id_col: str, lang_col: str, text_col: str, cut_at: int | None = None) -> DataFrame:
+def identify(df: DataFrame, id_col: str, lang_col: str, text_col: str, cut_at: int | None = None, every_row: bool = False) -> DataFrame:
     """Per row with running text: its language, the confidence, the declared code, whether they agree, its stretches.
 
-    ``cut_at``: the length that the text column is cut at, if it is.
+    ``cut_at``: the length that the text column is cut at, if it is. ``every_row``: rows without running text come out
+    too, with no language, no agreement, confidence 0 and no stretches.
     """
     texts = df.select(df[id_col].cast("bigint").alias("row_id"), df[lang_col].alias("lang"), df[text_col].alias("text"))
     model = fit(texts, F.struct("row_id", "text"))
@@ -344,6 +345,8 @@ def identify(df: DataFrame, id_col: str, lang_col: str, text_col: str, cut_at: i
             rows = []
             for row_id, declared, ws, post in zip(batch["row_id"], batch["lang"], words, posts, strict=True):
                 if not ws:
+                    if every_row:
+                        rows.append((row_id, None, 0.0, declared_code(declared), None, 0, []))
                     continue
                 found = stretches(ws, post)
                 share = Counter()

@@ -11,12 +11,13 @@ from lodestrata.session import table
 
 
 def p1_languages(spark: SparkSession, root: str) -> DataFrame:
-    """Every row with running text: its language with a confidence, and its stretches."""
-    return langseg.identify(table(spark, root, "siti_classificati"), "riga_id", "lang", "evidenza", cut_at=400)
+    """Every row: its language with a confidence, and its stretches; without running text no language and confidence 0."""
+    return langseg.identify(table(spark, root, "siti_classificati"), "riga_id", "lang", "evidenza", cut_at=400, every_row=True)
 
 
 def p1_found(spark: SparkSession, root: str) -> DataFrame:
-    cases = p1_languages(spark, root).filter("n_langs > 1 or not agrees")
+    rows = langseg.identify(table(spark, root, "siti_classificati"), "riga_id", "lang", "evidenza", cut_at=400)
+    cases = rows.filter("n_langs > 1 or not agrees")
     return cases.select(F.col("row_id").alias("riga_id"), F.explode("stretches").alias("s")).select(
         "riga_id", F.col("s.position").alias("posizione"), F.col("s.lang").alias("lingua")
     )

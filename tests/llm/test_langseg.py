@@ -56,5 +56,12 @@ def test_languages(rows):
     assert all(0 < r["confidence"] <= 1 for r in rows.values())
 
 
+def test_every_row(spark):
+    df = spark.createDataFrame([(1, "it", TEXTS["it"]), (2, "de_CH", ""), (3, None, None), (4, "it", "status=403")] + [(10 + i, k, TEXTS[k]) for i, k in enumerate(list(TEXTS) * 20)], "riga_id long, lang string, evidenza string")
+    got = {r["row_id"]: r for r in langseg.identify(df, "riga_id", "lang", "evidenza", every_row=True).collect()}
+    assert len(got) == df.count() and got[1]["lang"] == "it"
+    assert [tuple(got[i])[1:] for i in (2, 3, 4)] == [(None, 0.0, c, None, 0, []) for c in ("de", None, "it")]
+
+
 def test_empty(spark):
     assert langseg.identify(spark.createDataFrame([], "riga_id long, lang string, evidenza string"), "riga_id", "lang", "evidenza").count() == 0
