@@ -294,12 +294,22 @@ def union_schema(fields: DataFrame) -> DataFrame:
 
 def consistent_table(fields: DataFrame, max_columns: int = 500) -> DataFrame:
     """One row per file, one column per concept and its tag beside it; more concepts than ``max_columns`` is an error,
-    as then the long form is the table to use. The list of concepts is all that comes to the driver."""
+    as then the long form is the table to use. The list of concepts is all that comes to the driver.
+
+    Where one file has several keys of a concept, value and tag are those of one key, the first by name that isn't null;
+    ``further_keys`` holds the others with their values and tags."""
     found = [r[0] for r in fields.filter("readable").select("concept").distinct().limit(max_columns + 1).collect()]
     if len(found) > max_columns:
         raise ValueError(f"more than {max_columns} concepts; use union_fields")
+    tag = F.coalesce("type", F.lit("null"))
+    key = F.struct(F.col("canonical").isNull().alias("missing"), "concept", "field", tag.alias("type"), F.coalesce("canonical", F.lit("")).alias("text"))
     cells = []
     for c in sorted(found):
-        own, name = F.col("concept") == c, c.replace(" ", "_")
-        cells += [F.max(F.when(own, F.col("canonical"))).alias(name), F.max(F.when(own, F.coalesce("type", F.lit("null")))).alias(f"{name}__type")]
-    return fields.groupBy("file_id", "series").agg(F.max("readable").alias("readable"), *cells)
+        name = c.replace(" ", "_")
+        first = F.min_by(F.struct("canonical", tag.alias("type")), F.when(F.col("concept") == c, key))
+        cells += [first["canonical"].alias(name), first["type"].alias(f"{name}__type")]
+    keys = F.collect_list(F.when(F.col("concept").isNotNull(), key))
+    wide = fields.groupBy("file_id", "series").agg(F.max("readable").alias("readable"), *cells, F.array_sort(keys).alias("further_keys"))
+    later = F.filter("further_keys", lambda x: F.exists("further_keys", lambda y: (y["concept"] == x["concept"]) & (y < x)))
+    shown = F.transform(later, lambda x: F.struct(x["concept"].alias("concept"), x["field"].alias("field"), x["type"].alias("type"), F.when(~x["missing"], x["text"]).alias("canonical")))
+    return wide.withColumn("further_keys", shown)

@@ -197,3 +197,13 @@ def test_very_long_inputs(spark):
     lines = {'a.example;;"' + '""x' * 100_000 + '"': None, ";" * 100_000: "column_count", '"' * 100_001: "quoting", ".".join(["a"] * 50_000) + ";;": "hostname", "a.example/" + "p" * 300_000 + ";;": None, " " * 100_000 + "a.example;;": None}
     got, _ = reasons(spark, list(lines))
     assert [got[i] for i in range(1, 7)] == list(lines.values())
+
+
+def test_several_keys_of_one_concept_in_a_file(spark):
+    payloads = ['{"resume": null, "is_resume": true, "n_rules": "x9", "n_regole": 12, "paese": "IT"}', '{"n_rules": 7}', "no object"]
+    df = spark.createDataFrame([(i, "s", p) for i, p in enumerate(payloads)], "file_id long, serie string, payload string")
+    got = {r["file_id"]: r.asDict() for r in drift.consistent_table(drift.union_fields(df, "file_id", "serie", "payload")).collect()}
+    resume, rules = (drift.concept(k).replace(" ", "_") for k in ("resume", "n_rules"))
+    assert (got[0][resume], got[0][f"{resume}__type"], got[0][rules], got[0][f"{rules}__type"]) == ("true", "boolean", "12", "integer")
+    assert {tuple(x)[1:] for x in got[0]["further_keys"]} == {("resume", "null", None), ("n_rules", "string", "x9")}
+    assert (got[1][rules], got[1][f"{rules}__type"], got[1]["further_keys"]) == ("7", "integer", []) and got[2]["further_keys"] == [] and not got[2]["readable"]
