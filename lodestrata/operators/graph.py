@@ -5,23 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodestrata.functions.urls import looks_like_trap, url_signature
 from lodestrata.lineage import cut
-from lodestrata.operators.ranking import fair_cap
+from lodestrata.operators.ranking import cap_per_group, fair_cap
 from lodestrata.skew import salted_join
 
 
-def level_search(edges: DataFrame, seeds: DataFrame, max_depth: int, level_cap: int | None = None, allowed: DataFrame | None = None) -> DataFrame:
+def level_search(edges: DataFrame, seeds: DataFrame, max_depth: int, level_cap: int | None = None, allowed: DataFrame | None = None, skip_traps: bool = False, signature_cap: int | None = None) -> DataFrame:
     """``url``, ``level``, ``seed`` of every page reached.
 
     ``edges``: src, dst, dst_host, ord; ``seeds``: url, ord. A page belongs to the seed that reaches it first (smallest
     order on the level where it is first seen). ``level_cap`` keeps that many new pages of each level, in turns over
-    hosts; ``allowed`` (one column url) is the perimeter. Each level is written once to the shared folder, so lineage
+    hosts; ``allowed`` (one column url) is the perimeter. ``skip_traps`` leaves out URLs that look like traps;
+    ``signature_cap`` keeps that many new pages of each URL signature over all levels, in their order. Each level is written once to the shared folder, so lineage
     doesn't grow with depth. Pages are aggregated by target, combining on the map side, before they are compared with
     those seen; pages with very many links are spread by salt.
     """
     first = seeds.groupBy("url").agg(F.min("ord").alias("ord")).withColumn("seed", F.col("url"))
     frontier = cut(first.select("url", F.lit(0).alias("level"), "seed", F.col("ord").cast("bigint").alias("ord")))
-    seen = frontier
+    seen, used = frontier, None
     for level in range(1, max_depth + 1):
         step = salted_join(edges, frontier.select(F.col("url").alias("src"), "seed", F.col("ord").alias("from")), ["src"], "dst")
         order = F.struct(F.col("from"), F.col("ord"))
@@ -29,6 +31,17 @@ def level_search(edges: DataFrame, seeds: DataFrame, max_depth: int, level_cap:
         found = found.join(seen.select(F.col("url").alias("dst")), "dst", "left_anti")
         if allowed is not None:
             found = found.join(allowed.select(F.col("url").alias("dst")).distinct(), "dst", "left_semi")
+        if skip_traps:
+            found = found.filter(~looks_like_trap(F.col("dst").cast("string")))
+        if signature_cap is not None:
+            found = found.withColumn("__sig", url_signature(F.col("dst").cast("string")))
+            ranked = cap_per_group(found, ["__sig"], [F.col("ord"), F.col("dst")], signature_cap, spread_by="dst")
+            if used is not None:
+                ranked = ranked.join(used, "__sig", "left").filter(F.col("__rank") + F.coalesce("__used", F.lit(0)) <= signature_cap).drop("__used")
+            found = cut(ranked.drop("__rank"))
+            now = found.groupBy("__sig").agg(F.count(F.lit(1)).alias("__used"))
+            used = cut(now if used is None else now.unionByName(used).groupBy("__sig").agg(F.sum("__used").alias("__used")))
+            found = found.drop("__sig")
         if level_cap is not None:
             found = fair_cap(found.withColumn("at", F.struct("ord", "dst")), "host", "at", level_cap).drop("turn", "at")
         frontier = cut(found.select(F.col("dst").alias("url"), F.lit(level).alias("level"), "seed", "ord"))

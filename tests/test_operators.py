@@ -119,6 +119,17 @@ def test_level_search(spark):
     assert tuple(graph.pagination_runs(pages, "t", "n", "d").first()) == ("t", 2, 2)
 
 
+def test_traps_and_signatures(spark):
+    u = "https://x.example/"
+    links = [("", "p/1"), ("", "p/2"), ("", "p/3"), ("", "aa/aa/aa"), ("", "q?id=1"), ("p/1", "p/4"), ("p/1", "q?id=2"), ("p/2", "q?id=3"), ("p/3", "r"), ("aa/aa/aa", "s")]
+    e = spark.createDataFrame([(u + x, u + y, "x.example", i) for i, (x, y) in enumerate(links)], "src string, dst string, dst_host string, ord int")
+    seeds = spark.createDataFrame([(u, 0)], "url string, ord int")
+    reached = lambda **k: {r["url"].removeprefix(u) for r in graph.level_search(e, seeds, 2, **k).collect()}
+    everything = {""} | {y for _, y in links}
+    assert reached() == everything and reached(skip_traps=True) == everything - {"aa/aa/aa", "s"}
+    assert reached(signature_cap=2) == everything - {"p/3", "p/4", "q?id=3", "r"}
+
+
 def test_whole_search_against_brute_force(spark, tmp_path):
     links = {(1 + i * 37 % 9000, 1 + i * i * 13 % 9000, i % 7) for i in range(12_000)}
     sizes = [(k, 1 if k % 50 == 0 else 2) for k in range(1, 9001)]
