@@ -254,7 +254,7 @@ def train(values: DataFrame) -> Model:
 
 
 def validated_margin(model: Model, values: list[str]) -> float:
-    """The margin with the fewest errors on clean values against the same values damaged in every usual way."""
+    """The margin with the fewest errors on clean values against the same values, each damaged in one usual way."""
     sound = [v for v in values if _clean(v)]
     gains = [(model.restore(v)[2], False) for v in sound if model.odd(v)]
     for k, v in enumerate(sound):
