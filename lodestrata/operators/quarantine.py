@@ -12,7 +12,9 @@ as many tasks. The distinct step combines on the map side.
 Defined results: a null line counts as an empty one; a file without header line takes ``default_header``; of several
 header lines of one file the one with the smallest id counts; columns of a header that the record doesn't have are
 checked for number only and then left out, record columns that a header doesn't have come out null; a line with
-several faults has the first in the order quoting, column_count, then the value rules in the order given.
+several faults has the first in the order quoting, column_count, then the value rules in the order given. An empty field
+goes through its rule like any other value, so whether it is valid is for the rule to say; a column that a file's header
+doesn't have is not tested.
 """
 
 from __future__ import annotations
@@ -52,8 +54,8 @@ def valid_host(value: Column) -> Column:
 
 
 def valid_entity_code(value: Column) -> Column:
-    """Empty, a UUID, or 1-6 letters, an underscore and 3-6 letters or digits."""
-    return (value == "") | value.rlike(
+    """A UUID, or 1-6 letters, an underscore and 3-6 letters or digits; an empty code is neither."""
+    return value.rlike(
         r"^(?:[0-9A-Fa-f]{8}-(?:[0-9A-Fa-f]{4}-){3}[0-9A-Fa-f]{12}|[A-Za-z]{1,6}_[A-Za-z0-9]{3,6})\z"
     )
 
@@ -120,7 +122,7 @@ def quarantine(
         lines = lines.withColumn(f"v{k}", trimmed(_value(rule.column)))
     lines = cut(lines)
     pairs = F.explode(F.array(*[F.struct(F.lit(r.column).alias("column"), F.col(f"v{k}").alias("value")) for k, r in enumerate(rules)]))
-    bad = invalid_values(lines.select(pairs.alias("p")).select("p.*").filter("value <> ''"), rules)
+    bad = invalid_values(lines.select(pairs.alias("p")).select("p.*").filter("value is not null"), rules)
     out = lines
     for k, rule in enumerate(rules):
         own = bad.filter(F.col("column") == rule.column).select(F.col("value").alias(f"v{k}"), F.col("reason").alias(f"r{k}"))

@@ -111,7 +111,7 @@ c AS (SELECT *, CASE {sound} END AS sound, CASE {cells} END AS cells FROM l),
 v AS (SELECT *, CASE WHEN sound AND len(cells) = len(names) THEN cells[list_position(names, 'hostname')] END AS h, CASE WHEN sound AND len(cells) = len(names) THEN cells[list_position(names, 'codice_ipa')] END AS k FROM c),
 t AS (SELECT *, {value.format("h")} AS hv, {value.format("k")} AS kv FROM v),
 m AS (SELECT raw_id, CASE WHEN NOT sound THEN 'quoting' WHEN len(cells) <> len(names) THEN 'column_count'
-  WHEN hv <> '' AND (regexp_extract(hv, '{host}', 1) = '' OR length(regexp_extract(hv, '{host}', 1)) > 253) THEN 'hostname' WHEN kv <> '' AND NOT regexp_matches(kv, '{code}') THEN 'codice_ipa' END AS motivo FROM t)
+  WHEN hv <> '' AND (regexp_extract(hv, '{host}', 1) = '' OR length(regexp_extract(hv, '{host}', 1)) > 253) THEN 'hostname' WHEN NOT regexp_matches(kv, '{code}') THEN 'codice_ipa' END AS motivo FROM t)
 SELECT raw_id, motivo FROM m WHERE motivo IS NOT NULL"""
 
 

@@ -87,9 +87,9 @@ def reasons(spark, lines, header=HEAD):
 
 def test_reasons(spark):
     lines = {
-        'a.example;c_ab12;"x;y"': None, 'a.example;c_ab12;"x ""q"" y"': None, ";;": None, 'https://a.example:8443/p?x=1#f;"";z': None, "a.example.;3473f5b9-0998-4fce-a347-552649fa12ed;": None,
+        'a.example;c_ab12;"x;y"': None, 'a.example;c_ab12;"x ""q"" y"': None, ";c_ab12;": None, ";;": "codice_ipa", "a.example;;": "codice_ipa", "a.example; \t ;": "codice_ipa", 'https://a.example:8443/p?x=1#f;"";z': "codice_ipa", " ;C_AB12;z": None, '"";c_ab12;': None, 'https://a.example:8443/p?x=1#f;"c_ab12";z': None, "a.example.;3473f5b9-0998-4fce-a347-552649fa12ed;": None,
         'a.example;;"open': "quoting", 'a.example;;Coll"ege': "quoting", 'a.example;; "x"': "quoting", 'a.example;;"x"y': "quoting",
-        "a.example;": "column_count", "": "column_count", None: "column_count", "a.example;;x;y": "column_count", 'a.example;;"two\nlines"': None,
+        "a.example;": "column_count", "": "column_count", None: "column_count", "a.example;;x;y": "column_count", 'a.example;c_ab12;"two\nlines"': None,
         "n/d;;": "hostname", "https://;;": "hostname", "www..a.example;;": "hostname", "http:/a.example;;": "hostname", "mailto:x@a.example;;": "hostname", "-a.example;;": "hostname",
         "x" * 64 + ".example;;": "hostname", "a_b.example;;": "hostname", ".".join(["abcdefgh"] * 30) + ";;": "hostname", " a.example ; c_ab12 ;": None,
         "a.example;c_ab;": "codice_ipa", "a.example;n/d;": "codice_ipa", "a.example;abcdefg_123;": "codice_ipa", "n/d;n/d;": "hostname",
@@ -100,14 +100,14 @@ def test_reasons(spark):
 
 def test_header_shapes(spark):
     rows = [
-        (1, "a", 1, '﻿"codice_ipa"\t"hostname"\t"altro"'), (2, "a", 2, '"c_ab12"\t"x.example"\t"y"'), (3, "b", 1, "hostname|codice_ipa"), (4, "b", 2, "|"),
-        (5, "c", 2, "x.example;c_ab12;n"), (6, "a", 1, "hostname"), (7, None, None, "x.example;;"),
+        (1, "a", 1, '﻿"codice_ipa"\t"hostname"\t"altro"'), (2, "a", 2, '"c_ab12"\t"x.example"\t"y"'), (3, "b", 1, "hostname|codice_ipa"), (4, "b", 2, "|c_ab12"),
+        (5, "c", 2, "x.example;c_ab12;n"), (6, "a", 1, "hostname"), (7, None, None, "x.example;c_ab12;"), (8, "d", 1, "hostname;nome_ente"), (9, "d", 2, "y.example;n"),
     ]
     df = spark.createDataFrame(rows, "raw_id long, source_file string, line_no int, raw_line string").withColumn("line", F.lit(1)).withColumn("id", F.lit("clash"))
     out = quarantine.quarantine(df, "raw_id", "source_file", "line_no", "raw_line", RECORD_RULES, HEAD)
     assert all(r["reason"] is None for r in out.collect())
     records = {r["raw_id"]: (r["hostname"], r["codice_ipa"], r["nome_ente"]) for r in quarantine.valid_records(out, ["hostname", "codice_ipa", "nome_ente"]).collect()}
-    assert records == {2: ("x.example", "c_ab12", None), 4: ("", "", None), 5: ("x.example", "c_ab12", "n"), 7: ("x.example", "", "")}
+    assert records == {2: ("x.example", "c_ab12", None), 4: ("", "c_ab12", None), 5: ("x.example", "c_ab12", "n"), 7: ("x.example", "c_ab12", ""), 9: ("y.example", None, "n")}
 
 
 def test_empty_tables(spark):
@@ -194,7 +194,7 @@ def test_very_long_inputs(spark):
     cells = ['"https://a.example/x?y=' + "z;" * 100_000 + '"|b.example', "'https://a.example/" + "''q" * 50_000 + "'|b.example", " " * 100_000 + "a.example ; b.example" + ";" * 100_000, "a.example" + ";" * 100_000 + "?" + ";" * 100_000 + "b.example", "a." * 50_000 + "example;b.example"]
     assert [len(split(spark, c, packed.HOSTS)) for c in cells] == [2, 2, 2, 2, 2]
     assert len(split(spark, ";".join(f"c{i}:1" for i in range(20_000)), packed.SCORES)) == 20_000
-    lines = {'a.example;;"' + '""x' * 100_000 + '"': None, ";" * 100_000: "column_count", '"' * 100_001: "quoting", ".".join(["a"] * 50_000) + ";;": "hostname", "a.example/" + "p" * 300_000 + ";;": None, " " * 100_000 + "a.example;;": None}
+    lines = {'a.example;c_ab12;"' + '""x' * 100_000 + '"': None, ";" * 100_000: "column_count", '"' * 100_001: "quoting", ".".join(["a"] * 50_000) + ";;": "hostname", "a.example/" + "p" * 300_000 + ";c_ab12;": None, " " * 100_000 + "a.example;c_ab12;": None}
     got, _ = reasons(spark, list(lines))
     assert [got[i] for i in range(1, 7)] == list(lines.values())
 
