@@ -1,7 +1,8 @@
 """Copies that differ only in formatting: canonical form, 128-bit hash, counts.
 
-A record's canonical form keeps the letters and digits of every field, lower-cased, drops empty fields and sorts
-the rest, so that case, white space, punctuation and the order of the fields play no part. Accents do.
+A record's canonical form composes its characters (a letter followed by its combining marks is the accented letter),
+keeps the letters and digits of every field, lower-cased, drops empty fields and sorts the rest, so that case, white
+space, punctuation, the spelling of accents and the order of the fields play no part. Accents do.
 
 Shape of the job: one pass computes a 128-bit hash and an independent 64-bit check per row; the counts are
 aggregated with map-side combining, so a group that holds a third of all rows reaches the reducers as one partial
@@ -11,12 +12,16 @@ than a thousand, are broadcast and their members never shuffled; all others go t
 no key is hot.
 
 Defined results: a null field counts as empty; a row of empty fields only is a record like any other and equals the
-other such rows; a row with a null id is counted but named in no pair; an empty table gives an empty result; other
-columns are neither compared nor touched.
+other such rows; a row with a null id is counted but named in no pair, and shown as its record's row only where all rows
+of the record lack an id; rows that share an id are rows like any others, but no pair names an id with itself; marks that
+no composed letter holds are dropped; an empty table gives an empty result; other columns are not compared.
 """
 
 from __future__ import annotations
 
+import sys
+import unicodedata
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,10 +32,31 @@ HOT_SHARE = 1 / 1000
 _SEP = "\u0001"
 
 
+def _composed_letters() -> dict[str, str]:
+    """Letters with marks as sequences -> composed letters, from the Unicode decompositions."""
+    out = {}
+    for cp in range(0xC0, sys.maxunicode + 1):
+        c = chr(cp)
+        apart = unicodedata.normalize("NFD", c)
+        if len(apart) > 1 and all(map(unicodedata.combining, apart[1:])) and unicodedata.normalize("NFC", apart) == c:
+            out[apart] = c
+    return out
+
+
+_COMPOSED = _composed_letters()
+
+
+def composed(text: Column) -> Column:
+    """The text with every letter and its marks as one composed letter where there is one; only texts with marks are touched."""
+    table = F.map_from_arrays(F.array(*map(F.lit, _COMPOSED)), F.array(*map(F.lit, _COMPOSED.values())))
+    whole = F.transform(F.regexp_extract_all(text, F.lit(r"(?s)(\P{M}\p{M}+|.)"), F.lit(1)), lambda x: F.coalesce(F.try_element_at(table, x), x))
+    return F.when(text.rlike(r"\p{M}"), F.array_join(whole, "")).otherwise(text)
+
+
 def canonical_text(fields: list[Column]) -> Column:
-    """Letters and digits of each field, lower-cased; empty ones dropped, the others sorted."""
+    """Letters and digits of each field, composed and lower-cased; empty ones dropped, the others sorted."""
     parts = [F.replace(F.coalesce(c.cast("string"), F.lit("")), F.lit(_SEP), F.lit("")) for c in fields]
-    kept = F.lower(F.regexp_replace(F.concat_ws(_SEP, *parts), r"[^\p{L}\p{N}\x01]+", ""))
+    kept = F.lower(F.regexp_replace(composed(F.concat_ws(_SEP, *parts)), r"[^\p{L}\p{N}\x01]+", ""))
     return F.array_join(F.sort_array(F.array_remove(F.split(kept, _SEP), "")), _SEP)
 
 
@@ -48,8 +74,11 @@ def copy_groups(prints: DataFrame) -> DataFrame:
 
 
 def hash_collisions(groups: DataFrame) -> DataFrame:
-    """Hashes that stand for more than one record, told apart by the check; none is expected."""
-    return groups.groupBy("hash").agg(F.count(F.lit(1)).alias("n_records")).filter("n_records > 1")
+    """One row: how many records, hashes, and hashes that stand for more than one record (told apart by the check)."""
+    per_hash = groups.groupBy("hash").agg(F.count(F.lit(1)).alias("k"))
+    return per_hash.agg(
+        F.coalesce(F.sum("k"), F.lit(0)).alias("n_records"), F.count(F.lit(1)).alias("n_hashes"), F.count_if(F.col("k") > 1).alias("n_collisions")
+    )
 
 
 def copy_pairs(df: DataFrame, id_col: str, fields: list[str]) -> DataFrame:
@@ -71,8 +100,14 @@ def copy_pairs(df: DataFrame, id_col: str, fields: list[str]) -> DataFrame:
 def collapse_copies(df: DataFrame, id_col: str, fields: list[str], count_col: str = "n_copies") -> DataFrame:
     """One row per record, as its row with the smallest id has it, and ``count_col``, its number of copies.
 
-    Records whose rows all lack an id are left out here, as none of their rows can be named.
+    Of rows with the same id the one whose fields come first is shown. A single aggregation with map-side combining: a
+    group that holds a third of all rows sends one row per map task. A column already named ``count_col`` is an error.
     """
-    groups = copy_groups(fingerprints(df, id_col, fields)).select(F.col("keep").alias("__keep"), F.col("n_copies").alias("__n"))
-    joined = df.join(groups, df[id_col] == groups["__keep"])
-    return joined.select(*[df[c] for c in df.columns], joined["__n"].alias(count_col))
+    if count_col in df.columns:
+        raise ValueError(f"there is a column {count_col} already")
+    text = canonical_text([df[f] for f in fields])
+    order = F.struct(F.col(id_col).isNull().alias("a"), F.col(id_col).alias("b"), *[F.col(f).alias(f"f{i}") for i, f in enumerate(fields)])
+    rows = df.select(F.struct(*df.columns).alias("row"), order.alias("order"), text.alias("text"))
+    hashed = rows.select("row", "order", F.unhex(F.md5("text")).alias("hash"), F.xxhash64("text").alias("check"))
+    once = hashed.groupBy("hash", "check").agg(F.min_by("row", "order").alias("row"), F.count(F.lit(1)).alias(count_col))
+    return once.select("row.*", count_col)

@@ -37,9 +37,9 @@ def p2_collapsed(spark: SparkSession, root: str) -> DataFrame:
 
 
 def p2_collisions(spark: SparkSession, root: str) -> DataFrame:
-    """Hashes that stand for different records."""
+    """How many different records and hashes there are, and how many hashes stand for several records."""
     prints = canonical.fingerprints(table(spark, root, "site_records"), "rec_id", COMPARED)
-    return canonical.hash_collisions(canonical.copy_groups(prints)).select(F.hex("hash").alias("hash"), "n_records")
+    return canonical.hash_collisions(canonical.copy_groups(prints))
 
 
 def p4_restored(spark: SparkSession, root: str) -> DataFrame:
@@ -88,7 +88,7 @@ def p9_surrogates(spark: SparkSession, root: str) -> DataFrame:
 
 
 _CANON = "array_to_string(list_sort(list_filter([{}], lambda x: x <> '')), chr(1))".format(
-    ", ".join(f"lower(regexp_replace(coalesce({c}, ''), '[^\\p{{L}}\\p{{N}}]', '', 'g'))" for c in COMPARED)
+    ", ".join(f"lower(regexp_replace(nfc_normalize(coalesce({c}, '')), '[^\\p{{L}}\\p{{N}}]', '', 'g'))" for c in COMPARED)
 )
 _GROUPS = f"""WITH t AS (SELECT *, {_CANON} AS canon FROM site_records),
 g AS (SELECT canon, min(rec_id) AS keep, count(*) AS n_copies FROM t GROUP BY canon)"""
@@ -97,5 +97,5 @@ QUERIES = {f.__name__: f for f in (p1_found, p1_languages, p2_found, p2_collapse
 ORACLES = {
     "p2_found": f"{_GROUPS} SELECT keep AS rec_id_a, rec_id AS rec_id_b FROM t JOIN g USING (canon) WHERE rec_id <> keep",
     "p2_collapsed": f"{_GROUPS} SELECT s.*, g.n_copies FROM site_records s JOIN g ON s.rec_id = g.keep",
-    "p2_collisions": f"{_GROUPS} SELECT '' AS hash, count(*) AS n_records FROM g GROUP BY canon HAVING count(*) > 1",
+    "p2_collisions": f"{_GROUPS} SELECT count(*) AS n_records, count(DISTINCT md5(canon)) AS n_hashes, count(*) - count(DISTINCT md5(canon)) AS n_collisions FROM g",
 }
