@@ -9,23 +9,24 @@ starts, and how one ends. A quote opens only at a value's start and closes only
 unquoted delimiter splits only between something that ends like a value and something that starts like one.
 
 Defined results: a null, empty or blank cell and a cell of delimiters only give no rows; empty values between
-delimiters are skipped and not counted; repeats stay; an unclosed quote is an ordinary character; the other columns
-are not read.
+delimiters are skipped and not counted; repeats stay; an unclosed quote is an ordinary character; the control characters
+2 and 3 count as blanks; the other columns are not read.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_MARK = "\u0002"
+_MARK, _CUT = "\u0002", "\u0003"
 
 
 @dataclass(frozen=True)
 class Grammar:
-    """``start``: pattern at which a value begins. ``end``: fixed-width-bounded pattern before which it has ended.
+    """``start``: pattern at which a value begins. ``end``: pattern with which it ends, without limit of length, or ''.
 
     ``bare_slash``: whether a slash without white space around it separates too.
     """
@@ -40,32 +41,38 @@ HOSTS = Grammar(
     start=r"(?:https?://|(?!\d+\b)(?=[\p{N}_.-]*+\p{L})" + _HOST_LABEL + r"(?:\." + _HOST_LABEL + r"){0,126}\."
     r"(?!(?:html?|php|aspx?|jsp|pdf|xml|json|txt|csv|css|js|png|jpe?g|gif)\b)\p{L}[\p{L}\p{N}-]+(?=$|[\s;,|/:?#\"'\x02]))"
 )
-SCORES = Grammar(start=r"[^\s;,|/]", end=r":\s?[+-]?\d{1,9}", bare_slash=True)
+#: Label and score, whole or with decimals after a point or comma; a bare number is no start, so a decimal comma doesn't split.
+SCORES = Grammar(start=r"(?!\d++(?:[\s;,|/\x02\"']|$))[^\s;,|/]", end=r":\s*+[+-]?\d++(?:[.,]\d++)?(?![^\s;,|/\x02\"'])", bare_slash=True)
 
 
 def kinds(*names: str) -> Grammar:
-    """Values of the form ``kind:text`` where the kinds are known."""
-    return Grammar(start=r"(?:" + "|".join(names) + r")\s?:", bare_slash=True)
+    """Values of the form ``kind:text``: of the kinds given, or without any of every kind written as one lower-case word.
+
+    With open kinds a word before a colon inside a text begins a value too."""
+    kind = "|".join(map(re.escape, names)) if names else r"(?-i:\p{Ll}[\p{Ll}\p{N}_]*+)(?!://)"
+    return Grammar(start=rf"(?:{kind})\s*+:", bare_slash=True)
 
 
 def packed_values(cell: Column, grammar: Grammar) -> Column:
     """The cell's values as an array of strings, in order."""
     start, end = grammar.start, grammar.end
     delim = r"[\s;,|/]" if grammar.bare_slash else r"[\s;,|]"
-    quoted = cell
+    quoted = F.replace(F.replace(cell, F.lit(_MARK), F.lit(" ")), F.lit(_CUT), F.lit(" "))
+    # loops are possessive: no backtracking and no recursion, whatever their length
     for q in ('"', "'"):
-        body = rf"[^{q}\x02]*+(?:{q}{q}[^{q}\x02]*+)*+"
-        ended = rf"(?<={end}\s{{0,9}})" if end else ""
+        if end:
+            closing = rf"{end}\s*+{q}(?!{q})"
+            body = rf"(?:(?!{closing})(?:[^{q}\x02]|{q}{q}))*+{end}"
+        else:
+            body = rf"[^{q}\x02]*+(?:{q}{q}[^{q}\x02]*+)*+"
         quoted = F.regexp_replace(
             quoted,
-            rf"(?i)(?:^|(?<=[\s;,|/\x02])){q}(?=\s*+{start})({body}){ended}{q}(?={delim}|/|$|\x02)",
+            rf"(?i)(?:^|(?<=[\s;,|/\x02])){q}(?=\s*+{start})({body})\s*+{q}(?={delim}|/|$|\x02)",
             _MARK + ("2" if q == '"' else "1") + "$1" + _MARK,
         )
     pieces = F.split(quoted, _MARK)
-    before = rf"(?<={end})" if end else ""
-    # runs are matched possessively and from their start only: no backtracking, no recursion, whatever their length
     slash = "" if grammar.bare_slash else r"|(?<=\s)/(?=\s)"
-    between = rf"(?i){before}(?<!{delim})(?:{delim}{slash})++(?={start})"
+    between = rf"(?i)({end})(?:{delim}{slash})++(?={start})" if end else rf"(?i)()(?<!{delim})(?:{delim}{slash})++(?={start})"
     edges = rf"^(?:{delim}|/(?=\s|\z))++|(?<!{delim})(?:{delim}|(?<=\s)/)++\z"
 
     def literal(piece: Column) -> Column:
@@ -75,7 +82,7 @@ def packed_values(cell: Column, grammar: Grammar) -> Column:
         )
 
     def fold(piece: Column, i: Column) -> Column:
-        plain = F.split(F.regexp_replace(piece, edges, ""), between)
+        plain = F.split(F.regexp_replace(F.regexp_replace(piece, edges, ""), between, "$1" + _CUT), _CUT)
         return F.when(i % 2 == 1, F.array(literal(piece))).otherwise(plain)
 
     values = F.transform(F.flatten(F.transform(pieces, fold)), lambda v: F.regexp_replace(v, r"^\s++|(?<!\s)\s++\z", ""))

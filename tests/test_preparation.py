@@ -42,6 +42,8 @@ def test_hosts(spark, cell, expected):
         ('"regione, provincia:1";comune:2', ["regione, provincia:1", "comune:2"]),
         ("regione:12 provincia:1 comune:1", ["regione:12", "provincia:1", "comune:1"]),
         ("sanita:8; ; regione:4;", ["sanita:8", "regione:4"]),
+        ("comune: 2.5; scuola: 1.5", ["comune: 2.5", "scuola: 1.5"]), ("comune:2,5, scuola:1,25;asl:3", ["comune:2,5", "scuola:1,25", "asl:3"]), ("comune:1,scuola:2", ["comune:1", "scuola:2"]),
+        ("a:12345678901234567890; b:-1", ["a:12345678901234567890", "b:-1"]), ("'comune:1" + " " * 50 + "';scuola:2", ["comune:1", "scuola:2"]), ("via 3, regione:2;x:1", ["via 3, regione:2", "x:1"]),
     ],
 )
 def test_scores(spark, cell, expected):
@@ -61,6 +63,11 @@ def test_signals(spark, cell, expected):
     assert split(spark, cell, packed.kinds(*SIGNAL_KINDS)) == expected
 
 
+def test_open_kinds(spark):
+    assert split(spark, "premio:oro; commerciale:a, b / altro_tipo:x", packed.kinds()) == ["premio:oro", "commerciale:a, b", "altro_tipo:x"]
+    assert split(spark, "premio:oro; commerciale:a", packed.kinds("commerciale")) == ["premio:oro", "commerciale:a"]
+
+
 def test_random_round_trip(spark):
     rng = random.Random(5)
     values = ["forma_societaria:s.r.l.", "commerciale:achat | vente", "commerciale:l'offre; -2%", "forma_societaria:a/s", 'commerciale:x "y", z']
@@ -194,6 +201,7 @@ def test_very_long_inputs(spark):
     cells = ['"https://a.example/x?y=' + "z;" * 100_000 + '"|b.example', "'https://a.example/" + "''q" * 50_000 + "'|b.example", " " * 100_000 + "a.example ; b.example" + ";" * 100_000, "a.example" + ";" * 100_000 + "?" + ";" * 100_000 + "b.example", "a." * 50_000 + "example;b.example"]
     assert [len(split(spark, c, packed.HOSTS)) for c in cells] == [2, 2, 2, 2, 2]
     assert len(split(spark, ";".join(f"c{i}:1" for i in range(20_000)), packed.SCORES)) == 20_000
+    assert split(spark, '"' + "x;" * 50_000 + 'y:1"|b:' + "9" * 50_000 + "|c:2", packed.SCORES) == ["x;" * 50_000 + "y:1", "b:" + "9" * 50_000, "c:2"]
     lines = {'a.example;c_ab12;"' + '""x' * 100_000 + '"': None, ";" * 100_000: "column_count", '"' * 100_001: "quoting", ".".join(["a"] * 50_000) + ";;": "hostname", "a.example/" + "p" * 300_000 + ";c_ab12;": None, " " * 100_000 + "a.example;c_ab12;": None}
     got, _ = reasons(spark, list(lines))
     assert [got[i] for i in range(1, 7)] == list(lines.values())
