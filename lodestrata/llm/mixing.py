@@ -7,8 +7,9 @@ hash, the bucket in which the budget is reached is the only one that is refined,
 text; then the texts are filtered. Nothing is sorted, and a smaller budget of a source draws a subset of a larger one.
 
 Shape of the job: tokens are counted once and written once, as four narrow columns. Each level is one aggregation
-with map-side combining; what comes to the driver is at most ``BUCKETS`` rows per source and mix. The table of
-thresholds has a row per mix and source, at most ``MAX_TARGETS``, and is broadcast.
+with map-side combining over the texts of the boundary buckets, found by a broadcast join with the table of open budgets;
+the running sums over a source's buckets are a window of at most ``BUCKETS`` rows. Histograms stay in Spark: what comes
+to the driver and is broadcast is one row per mix and source, at most ``MAX_TARGETS``.
 
 Defined results: texts of no source of a mix, null sources among them, are not drawn; nor are texts without tokens; a
 source of the mix without tokens reaches a share of zero and doesn't hold the others down; targets that are null, zero
@@ -17,9 +18,7 @@ or less, and caps below one, are left out; the shares reached differ from the ta
 
 from __future__ import annotations
 
-from collections import defaultdict
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestrata.lineage import cut
@@ -48,50 +47,55 @@ def budgets(sizes: dict[str, int], targets: list[tuple[int, str, float, int]]) -
     return {(mix, source): total[mix] * share if sizes.get(source, 0) > 0 else 0.0 for mix, source, share, cap in targets if mix in total}
 
 
+_OPEN = "mix_id int, source string, whole int, left double, prefix bigint"
+
+
+def _boundaries(hist: DataFrame, need: DataFrame) -> list:
+    """For each open budget the bucket in which it is reached: its number, its texts, its tokens and what is left to draw
+    from it; nulls where the budget takes the whole range. ``hist``: source, prefix, b, n (tokens), k (texts)."""
+    w = Window.partitionBy("source", "prefix").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    placed = hist.withColumn("before", F.coalesce(F.sum("n").over(w), F.lit(0)))
+    reached = (F.col("left") >= F.col("before")) & (F.col("left") < F.col("before") + F.col("n"))
+    hit = placed.join(F.broadcast(need), ["source", "prefix"]).filter(reached)
+    return hit.select("mix_id", "source", "whole", "b", "k", "n", (F.col("left") - F.col("before")).alias("left")).collect()
+
+
 def thresholds(docs: DataFrame, targets: list[tuple[int, str, float, int]]) -> list[tuple[int, str, int, int]]:
     """(mix, source, whole repeats, bound): texts whose hash is below the bound are drawn once more."""
-    wanted = sorted({s for _, s, _, _ in targets})
-    rows = docs.filter(F.col("source").isin(wanted)).groupBy("source", _bucket(0).alias("b")).agg(F.sum("n_tokens").alias("n")).collect()
-    hist: dict[tuple[str, int, int], dict[int, int]] = defaultdict(dict)
-    for r in rows:
-        hist[r["source"], 0, 0][r["b"]] = r["n"]
-    sizes = {s: sum(hist[s, 0, 0].values()) for s in wanted}
-    need = {}
+    spark = docs.sparkSession
+    if not targets:
+        return []
+    wanted = spark.createDataFrame([(s,) for s in sorted({s for _, s, _, _ in targets})], "source string")
+    sums = [F.sum("n_tokens").alias("n"), F.count(F.lit(1)).alias("k")]
+    hist = cut(docs.join(F.broadcast(wanted), "source").groupBy("source", F.lit(0).cast("bigint").alias("prefix"), _bucket(0).alias("b")).agg(*sums))
+    sizes = {r["source"]: r["n"] for r in hist.groupBy("source").agg(F.sum("n").alias("n")).collect()}
     out: dict[tuple[int, str], tuple[int, int]] = {}
+    need = []
     for (mix, source), budget in budgets(sizes, targets).items():
-        whole = int(budget // sizes[source] + 1e-9) if sizes[source] else 0
-        need[mix, source] = (whole, budget - whole * sizes[source], 0)
+        whole = int(budget // sizes[source] + 1e-9) if sizes.get(source) else 0
+        if sizes.get(source):
+            need.append((mix, source, whole, budget - whole * sizes[source], 0))
+        else:
+            out[mix, source] = (0, 0)
     for level in range(LEVELS):
-        onward = {}
-        for (mix, source), (whole, left, prefix) in need.items():
-            own = hist[source, level, prefix]
-            for b in sorted(own):
-                if own[b] > left:
-                    onward[mix, source] = (whole, left, b)
-                    break
-                left -= own[b]
+        if not need:
+            break
+        shift = BUCKET_BITS * (LEVELS - 1 - level)
+        if level:
+            edges = spark.createDataFrame(sorted({(s, p) for _, s, _, _, p in need}), "source string, prefix bigint")
+            inside = docs.withColumn("prefix", _bucket(level - 1)).join(F.broadcast(edges), ["source", "prefix"])
+            hist = cut(inside.groupBy("source", "prefix", _bucket(level).alias("b")).agg(*sums))
+        found = {(r["mix_id"], r["source"]): r for r in _boundaries(hist, spark.createDataFrame(need, _OPEN))}
+        onward = []
+        for mix, source, whole, left, prefix in need:
+            r = found.get((mix, source))
+            if r is None:
+                out[mix, source] = (whole, prefix + 1 << BUCKET_BITS * (LEVELS - level))
+            elif r["k"] == 1 or level == LEVELS - 1:
+                out[mix, source] = (whole, (r["b"] + (r["left"] * 2 >= r["n"])) << shift)
             else:
-                out[mix, source] = (whole, (prefix + 1) << BUCKET_BITS * (LEVELS - level) if own else 0)
+                onward.append((mix, source, whole, r["left"], r["b"]))
         need = onward
-        if level == LEVELS - 1 or not need:
-            break
-        edges = sorted({(source, prefix) for (_, source), (_, _, prefix) in need.items()})
-        at = F.lit(False)
-        for source, prefix in edges:
-            at = at | ((F.col("source") == source) & (_bucket(level) == prefix))
-        rows = docs.filter(at).groupBy("source", _bucket(level).alias("p"), _bucket(level + 1).alias("b")).agg(F.sum("n_tokens").alias("n"), F.count(F.lit(1)).alias("k")).collect()
-        single = defaultdict(int)
-        for r in rows:
-            hist[r["source"], level + 1, r["p"]][r["b"]] = r["n"]
-            single[r["source"], r["p"]] += r["k"]
-        for key, (whole, left, prefix) in list(need.items()):
-            if single[key[1], prefix] == 1:
-                size = next(iter(hist[key[1], level + 1, prefix].values()))
-                shift = BUCKET_BITS * (LEVELS - 1 - level)
-                out[key] = (whole, (prefix + (left * 2 >= size)) << shift)
-                del need[key]
-    for key, (whole, _, prefix) in need.items():
-        out[key] = (whole, prefix)
     return [(mix, source, whole, bound) for (mix, source), (whole, bound) in sorted(out.items())]
 
 
@@ -106,7 +110,7 @@ def targets_of(table: DataFrame) -> list[tuple[int, str, float, int]]:
 
 def mix(docs: DataFrame, id_col: str, text_col: str, source_col: str, targets: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """``mix_id``, ``doc_id``, ``source``, ``n_repeats``, ``n_tokens`` of every text drawn."""
-    own = sized(docs, id_col, text_col, [source_col], vocabulary).filter("n_tokens > 0")
+    own = sized(docs, id_col, text_col, [source_col], vocabulary, project=False).filter("n_tokens > 0")
     measured = cut(own.select("doc_id", F.col(source_col).alias("source"), "n_tokens", draw_hash(F.col("doc_id")).alias("h")))
     bounds = thresholds(measured, targets_of(targets))
     spark = docs.sparkSession

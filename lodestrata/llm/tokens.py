@@ -26,11 +26,13 @@ _IRREGULAR = re.compile(r"\s (?:\s|\Z)")
 
 
 class Sizer:
-    """Counts tokens of texts and projects their words to ``DIMS`` dimensions."""
+    """Counts tokens of texts and, if ``project``, projects their words to ``DIMS`` dimensions."""
 
-    def __init__(self, vocabulary: str = VOCABULARY) -> None:
+    def __init__(self, vocabulary: str = VOCABULARY, project: bool = True) -> None:
         import tiktoken
 
+        self.project = project
+
         with open(vocabulary, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.encoding = tiktoken.Encoding("public", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
@@ -48,6 +50,8 @@ class Sizer:
             self.vectors = np.concatenate([self.vectors, np.zeros_like(self.vectors)])
         self.ids[word] = n
         self.sizes[n] = len(self.encoding.encode_ordinary(" " + word))
+        if not self.project:
+            return n
         digest = hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=4 * DIMS).digest()
         self.vectors[n] = np.frombuffer(digest, np.uint32) / 2**31 - 1
         return n
@@ -64,7 +68,7 @@ class Sizer:
             at = [ids[w] for w in words]
         except KeyError:
             at = [ids[w] if w in ids else self._id(w) for w in words]
-        vector = self.vectors[at].mean(0)
+        vector = self.vectors[at].mean(0) if self.project else self.vectors[0]
         if _IRREGULAR.search(text):
             return len(self.encoding.encode_ordinary(text)), vector
         first = len(self.encoding.encode_ordinary(words[0])) if words[0] else 0
@@ -72,25 +76,26 @@ class Sizer:
 
 
 @lru_cache(maxsize=2)
-def sizer_of(vocabulary: str) -> Sizer:
+def sizer_of(vocabulary: str, project: bool = True) -> Sizer:
     """One sizer per worker process and vocabulary; its table of words serves all tasks of the worker."""
-    return Sizer(vocabulary)
+    return Sizer(vocabulary, project)
 
 
-def sized(df: DataFrame, id_col: str, text_col: str, keep: list[str], vocabulary: str = VOCABULARY) -> DataFrame:
-    """``doc_id``, the columns ``keep``, ``n_tokens`` and the projections ``x0``.. of every row."""
+def sized(df: DataFrame, id_col: str, text_col: str, keep: list[str], vocabulary: str = VOCABULARY, project: bool = True) -> DataFrame:
+    """``doc_id``, the columns ``keep``, ``n_tokens`` and, if ``project``, the projections ``x0``.. of every row."""
     rows = df.select(df[id_col].cast("bigint").alias("doc_id"), *[df[c] for c in keep], df[text_col].alias("__text"))
     types = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
-    shape = ", ".join([f"`{c}` {types[c]}" for c in ("doc_id", *keep)] + ["n_tokens bigint"] + [f"x{i} float" for i in range(DIMS)])
+    shape = ", ".join([f"`{c}` {types[c]}" for c in ("doc_id", *keep)] + ["n_tokens bigint"] + [f"x{i} float" for i in range(DIMS if project else 0)])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sizer = sizer_of(vocabulary)
+        sizer = sizer_of(vocabulary, project)
         for batch in batches:
             got = [sizer.measure(t) for t in batch.pop("__text")]
             batch["n_tokens"] = np.array([n for n, _ in got], np.int64)
-            vectors = np.array([v for _, v in got], np.float32).reshape(len(got), DIMS)
-            for i in range(DIMS):
-                batch[f"x{i}"] = vectors[:, i]
+            if project:
+                vectors = np.array([v for _, v in got], np.float32).reshape(len(got), DIMS)
+                for i in range(DIMS):
+                    batch[f"x{i}"] = vectors[:, i]
             yield batch
 
     return rows.mapInPandas(run, shape)
