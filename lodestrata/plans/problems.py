@@ -10,22 +10,34 @@ from lodestrata.schemas import RECORD_COLUMNS
 from lodestrata.session import table
 
 
+_MANIFEST = ("dark_stack_manifest", "file_id", "serie", "run_ts", "payload")
+#: Members that state the value of a count or path written as an object.
+_VALUE_MEMBERS = ("totale", "path")
+
+
+def _schemas(spark: SparkSession, root: str) -> DataFrame:
+    name, *columns = _MANIFEST
+    return drift.file_schemas(table(spark, root, name), *columns)
+
+
 def _changes(spark: SparkSession, root: str) -> DataFrame:
-    return drift.field_changes(table(spark, root, "dark_stack_manifest"), "file_id", "serie", "run_ts", "payload")
+    schemas = _schemas(spark, root)
+    return drift.field_changes(schemas, drift.learn_names(schemas))
 
 
 def p3_found(spark: SparkSession, root: str) -> DataFrame:
-    return _changes(spark, root).select("file_id", F.col("field").alias("campo"), F.col("change").alias("cambio"))
+    return _changes(spark, root).filter("level = 1").select("file_id", F.col("field").alias("campo"), F.col("change").alias("cambio"))
 
 
 def p3_changes(spark: SparkSession, root: str) -> DataFrame:
-    """Every change with its series and the types before and after."""
+    """Every change, of nested members too, with its series and the types before and after."""
     return _changes(spark, root)
 
 
 def p3_fields(spark: SparkSession, root: str) -> DataFrame:
     """All files in one long table of typed branches."""
-    return drift.union_fields(table(spark, root, "dark_stack_manifest"), "file_id", "serie", "payload")
+    name, *columns = _MANIFEST
+    return drift.union_fields(table(spark, root, name), *columns, drift.learn_names(_schemas(spark, root)), _VALUE_MEMBERS)
 
 
 def p3_schema(spark: SparkSession, root: str) -> DataFrame:
@@ -33,8 +45,13 @@ def p3_schema(spark: SparkSession, root: str) -> DataFrame:
     return drift.union_schema(p3_fields(spark, root))
 
 
+def p3_alternatives(spark: SparkSession, root: str) -> DataFrame:
+    """Every alternative that appears after a path's first, with the file in which it does."""
+    return drift.appearing_alternatives(p3_fields(spark, root))
+
+
 def p3_table(spark: SparkSession, root: str) -> DataFrame:
-    """All files in one table of one column per concept, each with its tag."""
+    """All files in one table of one column per field, each with its tag."""
     return drift.consistent_table(p3_fields(spark, root))
 
 
@@ -88,7 +105,7 @@ def p6_records(spark: SparkSession, root: str) -> DataFrame:
 
 
 QUERIES = {
-    f.__name__: f for f in (p3_found, p3_changes, p3_fields, p3_schema, p3_table, p5_found, p5_values, p6_found, p6_records)
+    f.__name__: f for f in (p3_found, p3_changes, p3_fields, p3_schema, p3_alternatives, p3_table, p5_found, p5_values, p6_found, p6_records)
 }
 
 

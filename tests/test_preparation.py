@@ -121,34 +121,53 @@ def test_empty_tables(spark):
     lines = spark.createDataFrame([], "raw_id long, source_file string, line_no int, raw_line string")
     assert quarantine.quarantine(lines, "raw_id", "source_file", "line_no", "raw_line", RECORD_RULES, HEAD).count() == 0
     files = spark.createDataFrame([], "file_id long, serie string, run_ts timestamp, payload string")
-    assert drift.field_changes(files, "file_id", "serie", "run_ts", "payload").count() == 0
-    assert drift.union_fields(files, "file_id", "serie", "payload").count() == 0
+    schemas = drift.file_schemas(files, "file_id", "serie", "run_ts", "payload")
+    assert drift.learn_names(schemas) == {} and drift.field_changes(schemas, {}).count() == 0
+    fields = drift.union_fields(files, "file_id", "serie", "run_ts", "payload", {})
+    assert fields.count() == 0 and drift.consistent_table(fields).count() == 0 and drift.appearing_alternatives(fields).count() == 0
 
 
-def sequential(files):
+def sequential(files, names):
     """Field changes by one pass over sorted files."""
     out, prev, last = [], None, {}
     for series, _, fid, payload in sorted(files, key=lambda f: f[:3]):
         d = drift.read_object(payload)
         if d is None:
             continue
-        now = drift._facts(d)
+        now = drift.schema_of(d)
         if prev is None or prev[0] != series:
             last = {k: t for k, (t, _) in now.items()}
         else:
-            changes, onward = drift.compare(prev[1], now)
-            out += [(fid, k, c) for k, c in changes]
+            changes, onward = drift.compare(prev[1], now, names)
+            out += [(fid, k.replace(drift.SEP, "."), c) for k, c in changes]
             fresh = {}
             for k, (t, _) in now.items():
                 before = last[onward[k]] if k in onward else None
                 if t and before and t != before:
-                    out.append((fid, k, "type_changed"))
+                    out.append((fid, k.replace(drift.SEP, "."), "type_changed"))
                 fresh[k] = t or before
             last = fresh
         prev = (series, now)
     return sorted(out)
 
 
+def pairs_of(files):
+    """Pairs of names that change places, by one pass over sorted files."""
+    found, prev, last = drift._Handovers(), None, {}
+    for series, _, _, payload in sorted(files, key=lambda f: f[:3]):
+        d = drift.read_object(payload)
+        if d is None:
+            continue
+        now = drift._prints(drift.schema_of(d))
+        if prev is not None and prev[0] == series:
+            found.step(last, set(prev[1]), now)
+        else:
+            last = {}
+        last = {k: v or last.get(k, []) for k, v in now.items()}
+        prev = (series, now)
+    return found
+
+
 @pytest.mark.parametrize("partitions", [1, 3, 9])
 def test_drift_in_segments(spark, partitions):
     rng = random.Random(partitions)
@@ -167,36 +186,90 @@ def test_drift_in_segments(spark, partitions):
                 if c in used:
                     if rng.random() < 0.15:
                         used[c] = rng.randrange(len(names[c]))
-                    d[names[c][used[c]]] = rng.choice([1, 1, 1, "x", None, 2.5, True, [1], {"a": 1}])
-            files.append((s, f"2026-01-{1 + i // 3:02d} 00:00:00", len(files), rng.choice(["", "﻿ "]) + json.dumps(d) if rng.random() > 0.05 else rng.choice(["[1]", "{", None])))
+                    d[names[c][used[c]]] = rng.choice([1, 1, 1, "x", None, 2.5, True, [1], [{"q": 1}, {"q": "z"}], {"a": 1}, {"a": "x", "b": 1}, {"a": None}])
+            files.append((s, f"2026-01-{1 + i // 3:02d} 00:00:00", len(files), rng.choice(["", "\ufeff "]) + json.dumps(d) if rng.random() > 0.05 else rng.choice(["[1]", "{", None])))
     df = spark.createDataFrame(files, "serie string, ts string, file_id long, payload string").withColumn("run_ts", F.to_timestamp("ts")).withColumn("series", F.lit("clash"))
-    got = drift.field_changes(df, "file_id", "serie", "run_ts", "payload", partitions).select("file_id", "field", "change").collect()
-    assert sorted(map(tuple, got)) == sequential(files)
+    schemas = drift.file_schemas(df, "file_id", "serie", "run_ts", "payload")
+    fields = {n: ns[0] for ns in names for n in ns}
+    got = drift.field_changes(schemas, fields, partitions).select("file_id", "field", "change").collect()
+    assert sorted(map(tuple, got)) == sequential(files, fields) and any("." in r["field"] for r in got)
+    found, learned = pairs_of(files), drift.learn_names(schemas, partitions)
+    scores = {p: drift.name_likeness(*p) + (found.agreed[p] / found.compared[p] if found.compared[p] else 0) for p in found.pairs}
+    good = {p: x for p, x in scores.items() if x >= drift.LEAST}
+    sets_ = [set(d) for *_, p in files if (d := drift.read_object(p))]
+    both = {(a, b): sum(a in x and b in x for x in sets_) for a in fields for b in fields if a < b}
+    assert learned == drift.joined_names([(*p, x) for p, x in good.items()], {n: sum(n in x for x in sets_) for n in fields}, both)
+
+
+def test_names_of_one_field_are_learned(spark):
+    """Renames without a common word, with another type, and at the time of an unrelated change; fields that stand together stay apart."""
+    rng, files = random.Random(3), []
+    spellings = {"misure": ["misure", "measurements"], "righe": ["n_righe", "nRows", "rows_n"], "percorso": ["out_path", "file_uscita"], "regole": ["n_regole", "n_rules"], "regole_c": ["n_cookie_regole"], "limite": ["limite_s"], "note": ["note"]}
+    for s in range(40):
+        used, present = {k: rng.randrange(len(v)) for k, v in spellings.items()}, {k for k in spellings if rng.random() < 0.9}
+        for i in range(12):
+            for k, v in spellings.items():
+                if rng.random() < 0.1:
+                    used[k] = rng.randrange(len(v))
+                if rng.random() < 0.08:
+                    present ^= {k}
+            n = 1000 + 10 * i
+            values = {"misure": {"cookie": i % 2 == 0, "terze_parti": True}, "righe": rng.choice([n, str(n), float(n), f"{n // 1000}'{n % 1000:03d}", {"totale": n}, None]), "percorso": rng.choice([f"data/{i}/scarti.csv", f"data\\{i}\\scarti.csv", [f"data/{i}/scarti.csv"]]), "regole": 31, "regole_c": 34, "limite": 10.0, "note": "rete lenta"}
+            files.append((f"s{s}", i, len(files), json.dumps({spellings[k][used[k]]: values[k] for k in sorted(present)})))
+    df = spark.createDataFrame(files, "serie string, t int, file_id long, payload string").withColumn("run_ts", F.timestamp_seconds("t"))
+    learned = drift.learn_names(drift.file_schemas(df, "file_id", "serie", "run_ts", "payload"))
+    groups = {frozenset(n for n, f in learned.items() if f == x) for x in learned.values()}
+    assert groups == {frozenset(v) for v in spellings.values() if len(v) > 1}
+
+
+@pytest.mark.parametrize(
+    ("a", "b", "alike"),
+    [
+        ("n_hostname_normalizzati", "nHostnameNormalizzati", 1.0), ("N-HOSTNAME-NORMALIZZATI", "hostname_normalizzati_n", 1.0), ("pythonVersion", "python_version", 1.0), ("misurazioni", "timeout", 0.0), ("x", "x", 1.0), ("", "y", 0.0),
+    ],
+)
+def test_name_likeness(a, b, alike):
+    assert drift.name_likeness(a, b) == alike
 
 
 @pytest.mark.parametrize(
-    ("a", "b", "same"),
+    ("value", "text"),
     [
-        ("n_hostname_normalizzati", "nHostnameNormalizzati", True), ("N-HOSTNAME-NORMALIZZATI", "hostname_normalizzati_n", True), ("scartate_hostname_invalido_path", "file_scartate_hostname_invalido", True),
-        ("misurazioni", "measurements", True), ("n_regole", "n_cookie_regole", False), ("rules_file", "n_rules", False), ("n_hostname_scartati_invalidi", "scartate_hostname_invalido_path", False), ("resume", "is_resume", True),
+        (1904.0, "1904"), ("1'904", "1904"), ("1 904", "1904"), ("1.904", "1.904"), ("12.500", "12.500"), ("1.904.000", "1904000"), (2.5, "2.5"), (True, "true"), (None, None), (["a"], "a"),
+        ({"x": 1}, '{"x": 1}'), ({"path": "a\\b"}, "a/b"), (float("nan"), "nan"), ([], "[]"),
     ],
 )
-def test_concepts(a, b, same):
-    assert (drift.concept(a) == drift.concept(b)) is same
+def test_canonical_values(value, text):
+    assert drift.canonical_value(value, ("path",)) == text
+
+
+def union(spark, rows, names):
+    df = spark.createDataFrame(rows, "file_id long, serie string, payload string").withColumn("run_ts", F.timestamp_seconds("file_id"))
+    return drift.union_fields(df, "file_id", "serie", "run_ts", "payload", names, ("path",))
 
 
 def test_union_table(spark):
-    rows = [(1, "A", '{"n_regole": 31, "resume": true}'), (2, "A", '{"regole_n": "1\'904", "resume": null}'), (3, "A", "oops"), (4, "A", '{"n_rules": 31.0, "x": {"path": "a\\\\b"}}')]
-    fields = drift.union_fields(spark.createDataFrame(rows, "file_id long, serie string, payload string"), "file_id", "serie", "payload")
+    rows = [(1, "A", '{"n_regole": 31, "resume": true}'), (2, "A", '{"regole_n": "1.904", "resume": null}'), (3, "A", "oops"), (4, "A", '{"n_rules": 31.0, "x": {"path": "a\\\\b"}, "readable": "1.904"}')]
+    fields = union(spark, rows, dict.fromkeys(("n_regole", "n_rules", "regole_n"), "n_regole"))
     wide = {r["file_id"]: r.asDict() for r in drift.consistent_table(fields).collect()}
-    assert [wide[i]["n_rule"] for i in (1, 2, 3, 4)] == ["31", "1904", None, "31"]
-    assert [wide[i]["n_rule__type"] for i in (1, 2, 4)] == ["integer", "string", "number"]
-    assert wide[4]["x"] == "a/b" and wide[3]["readable"] is False and wide[2]["resume__type"] == "null"
-    assert {r["type"] for r in drift.union_schema(fields).filter("concept = 'n rule'").collect()} == {"integer", "string", "number"}
+    assert [wide[i]["n_regole"] for i in (1, 2, 3, 4)] == ["31", "1904", None, "31"]
+    assert [wide[i]["n_regole__type"] for i in (1, 2, 4)] == ["integer", "string", "number"]
+    assert wide[4]["x"] == "a/b" and wide[3]["readable"] is False and wide[2]["resume__type"] == "null" and wide[4]["readable_"] == "1.904"
+    assert {r["type"] for r in drift.union_schema(fields).filter("concept = 'n_regole'").collect()} == {"integer", "string", "number"}
     with pytest.raises(ValueError, match="more than"):
         drift.consistent_table(fields, max_columns=1)
 
 
+def test_alternatives_of_nested_paths(spark):
+    rows = [(1, "A", '{"cfg": {"x": 1, "l": [1, "a", null]}}'), (2, "A", '{"cfg": {"x": "one", "l": []}}'), (3, "A", '{"cfg": 5}'), (4, "B", '{"cfg": {"x": "two"}}')]
+    fields = union(spark, rows, {})
+    got = {tuple(r) for r in drift.appearing_alternatives(fields).collect()}
+    assert got == {("A", "cfg", "integer", 3, "object", 1), ("A", "cfg.x", "string", 2, "integer", 1), ("A", "cfg.l.[]", "string", 1, "integer", 1)}
+    df = spark.createDataFrame(rows, "file_id long, serie string, payload string").withColumn("run_ts", F.timestamp_seconds("file_id"))
+    changes = drift.field_changes(drift.file_schemas(df, "file_id", "serie", "run_ts", "payload"), {}).select("file_id", "field", "level", "change", "before", "after").collect()
+    assert {tuple(r) for r in changes} == {(2, "cfg.x", 2, "type_changed", "integer", "string"), (2, "cfg.l.[]", 3, "removed", None, None), (3, "cfg", 1, "type_changed", "object", "integer")}
+
+
 def test_very_long_inputs(spark):
     cells = ['"https://a.example/x?y=' + "z;" * 100_000 + '"|b.example', "'https://a.example/" + "''q" * 50_000 + "'|b.example", " " * 100_000 + "a.example ; b.example" + ";" * 100_000, "a.example" + ";" * 100_000 + "?" + ";" * 100_000 + "b.example", "a." * 50_000 + "example;b.example"]
     assert [len(split(spark, c, packed.HOSTS)) for c in cells] == [2, 2, 2, 2, 2]
@@ -207,11 +280,10 @@ def test_very_long_inputs(spark):
     assert [got[i] for i in range(1, 7)] == list(lines.values())
 
 
-def test_several_keys_of_one_concept_in_a_file(spark):
+def test_several_keys_of_one_field_in_a_file(spark):
     payloads = ['{"resume": null, "is_resume": true, "n_rules": "x9", "n_regole": 12, "paese": "IT"}', '{"n_rules": 7}', "no object"]
-    df = spark.createDataFrame([(i, "s", p) for i, p in enumerate(payloads)], "file_id long, serie string, payload string")
-    got = {r["file_id"]: r.asDict() for r in drift.consistent_table(drift.union_fields(df, "file_id", "serie", "payload")).collect()}
-    resume, rules = (drift.concept(k).replace(" ", "_") for k in ("resume", "n_rules"))
-    assert (got[0][resume], got[0][f"{resume}__type"], got[0][rules], got[0][f"{rules}__type"]) == ("true", "boolean", "12", "integer")
+    fields = union(spark, [(i, "s", p) for i, p in enumerate(payloads)], {"resume": "resume", "is_resume": "resume", "n_rules": "rules", "n_regole": "rules"})
+    got = {r["file_id"]: r.asDict() for r in drift.consistent_table(fields).collect()}
+    assert (got[0]["resume"], got[0]["resume__type"], got[0]["rules"], got[0]["rules__type"]) == ("true", "boolean", "12", "integer")
     assert {tuple(x)[1:] for x in got[0]["further_keys"]} == {("resume", "null", None), ("n_rules", "string", "x9")}
-    assert (got[1][rules], got[1][f"{rules}__type"], got[1]["further_keys"]) == ("7", "integer", []) and got[2]["further_keys"] == [] and not got[2]["readable"]
+    assert (got[1]["rules"], got[1]["rules__type"], got[1]["further_keys"]) == ("7", "integer", []) and got[2]["further_keys"] == [] and not got[2]["readable"]
