@@ -6,18 +6,24 @@ found in two ways: directly after a title or label of a person, whatever the wor
 the corpus itself shows to be given and family names: those that follow such labels, ``MIN_SEEN`` times at least in all
 documents.
 
-Surrogates: every detected entity gets a replacement that depends on a key and on the entity alone, so that the same
-person, number or address gets the same surrogate wherever it stands (coreference), however it is written (``ROSSI
-Anna`` and ``Anna Rossi`` are one). A surrogate keeps its type, its script, its gender where the given name tells it,
-and its format: capitals, separators, number of digits. Two entities never share one: the table of distinct entities
-is checked for equal surrogates and the later ones are drawn again until none are left.
+Surrogates: an item is made of units (the words of a name or street, a number, the local part and the domain of an
+address), and every unit gets a keyed replacement that depends on the key and the unit alone. So the same person, number
+or address gets the same surrogate wherever it stands and however it is written (coreference): ``ROSSI Anna``, ``Anna
+Rossi``, ``Rossi`` and ``A. Rossi`` go together, as a name begins with the keyed image of its first letter; ``+39 02..``
+and ``003902..`` are one number, its digits drawn for the number and not for the spelling. A surrogate keeps its type,
+its script, the gender that titles before the given name show in the corpus, and its format: capitals, separators, number
+of digits, country code, top-level domain. No two units share a surrogate and none equals a unit that is real: the table
+of distinct units is checked for both and those that fail are drawn again until none are left; the spellings written are
+checked once more, by entity.
 
 Shape of the job: two narrow passes over the texts, without shuffling them. The ``MAX_NAME_WORDS`` name words seen most
 often are broadcast, the bound of what comes to the driver. Where a corpus has more, all others count as well: the
 capitalised words of the texts are joined to them, salted, and each text gets those that stand in it; only then are the
-texts written once and joined by row. Surrogates shuffle the entities, salted.
+texts written once and joined by row. The items found are written once; surrogates are made for their distinct spellings
+and joined back, salted. Only ``surrogates`` joins the texts, by id and hash.
 
-Defined results: a null or empty text has no entities and comes out unchanged; a text of any length is read whole;
+Defined results: a null or empty text has no entities and comes out unchanged; a text of any length is read whole, and
+nothing is looked for in a window of fixed size; rows may repeat or lack an id;
 where findings overlap the earlier and then the longer one counts, in the order email, phone, id_number, address, name.
 """
 
@@ -25,9 +31,11 @@ from __future__ import annotations
 
 import hmac
 import re
+import unicodedata
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import ahocorasick
 import pandas as pd
@@ -53,8 +61,12 @@ _CAP = rf"[{_UP}][\w]+(?:['’][{_UP}]?\w+)?(?:-[{_UP}]\w+)?"
 _AFTER_LABEL = re.compile(rf"(?:[ \xa0])((?:[{_UP}]\. )?{_CAP})[ \xa0]({_CAP})(?:[ \xa0]({_CAP}))?")
 _AFTER_INITIAL = re.compile(rf"[ \xa0][{_UP}]\.[ \xa0]({_CAP})(?!\w|[-'’]\w|[ \xa0]{_CAP})")
 _INITIAL = re.compile(rf"(?:(?<=[^\w])|^)[{_UP}]\.[ \xa0]?(?:[{_UP}]\.[ \xa0]?)?$")
+_CAP_BEFORE = re.compile(rf"(?:^|(?<=[^\w@./'’-]))({_CAP})[ \xa0]$")
 _NEXT = re.compile(rf"[ \xa0\n]({_CAP})")
 _WORD_END = re.compile(r"\w*(?:['’]\w+)?(?:-\w+)?")
+#: Those of them that tell a woman and a man.
+WOMEN = frozenset("Sig.ra sig.ra signora dott.ssa Dott.ssa prof.ssa Mme Mlle conseillère Frau Beraterin Mrs Mrs. Ms Ms. Miss Dña. D.ª doña Sra. técnica Sra Sr.ª técnica_ pani Pani panią mevr. mw. mevrouw fru Fru κα κυρία κυρίας".split())
+MEN = frozenset("Sig. sig. signor signore M. conseiller Herr Herrn Berater Mr Mr. D. don Sr. técnico Sr técnico_ pan Pan panem panu dhr. de_heer heer herr κ. κος κύριος κυρίου".split())
 #: Capitalised words that begin sentences; never part of a name.
 STARTERS = frozenset(
     "La Le Les Il Lo Gli L Un Una Une Der Die Das Ein Eine Den Dem The A An El Los Las O Os As De Het Een En I Den Det Η Ο Το Οι Τα Στο Στη Για Per Pour Para Für For Voor Dla På Con Mit With Med Από Con Nel Nella Dal Alla Au Aux Du Des Del Al Do Da Na No Em Im Am Beim Zum Zur In On At".split()
@@ -66,7 +78,7 @@ INSTITUTION = re.compile(
 _QUOTES = "«„“”‘’‚\"'‹›»"
 
 _SIGN = re.compile(r"@|\[at\]|\[AT\]|\(at\)|\(AT\)| AT |&#64;|＠")
-_LOCAL = re.compile(r"[\w.+-]*\w(?:(?: ?\[dot\] ?| ?\(dot\) ?| DOT )[\w.+-]*\w)*[ \xa0]?$")
+_DOT_SIGNS = tuple(f"{a}{sign}{b}" for sign in ("[dot]", "(dot)") for a in (" ", "") for b in (" ", "")) + (" DOT ",)
 _DOMAIN = re.compile(r"[ \xa0]?[A-Za-z0-9](?:[\w-]*\w)?(?:(?:\.| ?\[dot\] ?| ?\(dot\) ?| DOT | dot )[A-Za-z0-9](?:[\w-]*\w)?)+", 0)
 
 _DIGITS = re.compile(r"\d+")
@@ -123,15 +135,37 @@ class Finding:
     kind: str
 
 
+def _word_char(c: str) -> bool:
+    return c.isalnum() or c == "_"
+
+
+def _run_start(text: str, end: int) -> int | None:
+    """Where the run of word characters and ``.+-`` that ends at ``end`` with a word character begins, or None."""
+    if not end or not _word_char(text[end - 1]):
+        return None
+    at = end
+    while at and (_word_char(text[at - 1]) or text[at - 1] in ".+-"):
+        at -= 1
+    return at
+
+
+def _local_start(text: str, end: int) -> int | None:
+    """Where the local part of an address whose sign begins at ``end`` begins, or None."""
+    start = _run_start(text, end - 1 if end and text[end - 1] in " \xa0" else end)
+    while start:
+        sign = next((s for s in _DOT_SIGNS if text.endswith(s, 0, start)), None)
+        before = _run_start(text, start - len(sign)) if sign else None
+        if before is None:
+            break
+        start = before
+    return start
+
+
 def _emails(text: str) -> Iterator[Finding]:
     for m in _SIGN.finditer(text):
-        left = text[max(0, m.start() - 80) : m.start()]
-        local = _LOCAL.search(left)
-        if not local or not local[0].strip():
-            continue
         domain = _DOMAIN.match(text, m.end())
-        if domain:
-            start = m.start() - len(local[0])
+        start = _local_start(text, m.start()) if domain else None
+        if start is not None:
             yield Finding(start, domain.end(), "email")
 
 
@@ -191,7 +225,12 @@ def _numbers(text: str) -> Iterator[Finding]:
 def _address(text: str, a: int, b: int) -> Finding | None:
     """The address whose house number is text[a:b]."""
     if text[a - 1 : a] in (" ", "\xa0"):
-        left = text[max(0, a - 90) : a - 1].replace("\xa0", " ")
+        size = 90
+        while True:
+            left = text[max(0, a - size) : a - 1].replace("\xa0", " ")
+            if size >= a or "\n" in left or left.count(" ") > 9:
+                break
+            size *= 4
         words = left[left.rfind("\n") + 1 :].split(" ")
         at = a - 1
         if words[-1].lower() in NUMBER_SIGNS:
@@ -238,11 +277,15 @@ def _forms(words: set[str]) -> ahocorasick.Automaton:
 class Names:
     """Finds persons' names by the words known as given and family names."""
 
-    def __init__(self, given: set[str], family: set[str]) -> None:
-        self.given, self.family = given, family
-        self.words = _forms(given | family)
+    def __init__(self, given: dict[str, str] | set[str], family: set[str]) -> None:
+        """``given``: words, as keys with ``f`` or ``m`` where titles tell the gender."""
+        self.given, self.family = given if isinstance(given, dict) else dict.fromkeys(given, ""), family
+        self.words = _forms(self.given.keys() | family)
+
+    def gender(self, word: str) -> str:
+        return self.given.get(word, "")
 
-    def with_rare(self, given: set[str], family: set[str]) -> Names:
+    def with_rare(self, given: dict[str, str], family: set[str]) -> Names:
         """These names and rarer words that stand in one text."""
         return _WithRare(self, given, family) if given or family else self
 
@@ -288,7 +331,10 @@ class Names:
                 titled = len(parts) > 2 and parts[0].strip() in ("D", "M")
                 start, kinds = a - len(initial[0]) + (len(parts[0]) + 1 + (parts[1][:1] in " \xa0") if titled else 0), ["i", kind]
             elif kind == "g":
-                word = re.search(rf"(?:^|(?<=[^\w@./'’-]))({_CAP})[ \xa0]$", left)
+                size = 40
+                while (word := _CAP_BEFORE.search(left)) and not word.start() and size < a:
+                    size *= 4
+                    left = text[max(0, a - size) : a]
                 if word and word[1].isupper() and len(word[1]) > 2 and not first.isupper() and word[1] not in STARTERS and self._known(word[1]) != "g":
                     start, kinds = a - len(word[0]), ["f", kind]
             while len(kinds) < 4:
@@ -327,10 +373,13 @@ class Names:
 class _WithRare(Names):
     """The names of a base, not copied, and some more."""
 
-    def __init__(self, base: Names, given: set[str], family: set[str]) -> None:
+    def __init__(self, base: Names, given: dict[str, str], family: set[str]) -> None:
         super().__init__(given, family)
         self.base = base
 
+    def gender(self, word: str) -> str:
+        return self.given.get(word) or self.base.gender(word)
+
     def hits(self, text: str) -> Iterable[tuple[int, int]]:
         return sorted([*self.base.hits(text), *super().hits(text)])
 
@@ -382,25 +431,25 @@ def _label_automaton() -> ahocorasick.Automaton:
     if _labels is None:
         _labels = ahocorasick.Automaton()
         for label in PERSON_LABELS:
-            label = label.replace("_", " ").strip() + " "
-            _labels.add_word(label, len(label))
+            shown = label.replace("_", " ").strip() + " "
+            _labels.add_word(shown, (len(shown), "f" if label in WOMEN else "m" if label in MEN else ""))
         _labels.make_automaton()
     return _labels
 
 
-def _after_labels(text: str) -> Iterator[tuple[re.Match, bool]]:
-    """The name pattern after each label of a person, and whether it is an initial with a family name."""
-    for end, size in _label_automaton().iter(text):
+def _after_labels(text: str) -> Iterator[tuple[re.Match, bool, str]]:
+    """The name pattern after each label of a person, whether it is an initial with a family name, and the label's gender."""
+    for end, (size, gender) in _label_automaton().iter(text):
         a = end - size + 1
         if a and (text[a - 1].isalnum() or text[a - 1] == "-"):
             continue
         alone = _AFTER_INITIAL.match(text, end)
         if alone and alone[1] not in STARTERS:
-            yield alone, True
+            yield alone, True, gender
             continue
         m = _AFTER_LABEL.match(text, end)
         if m and m[1] not in STARTERS and m[2] not in STARTERS and not INSTITUTION.match(text, m.end()):
-            yield m, False
+            yield m, False, gender
 
 
 def labelled(text: str, names: Names) -> Iterator[Finding]:
@@ -409,7 +458,7 @@ def labelled(text: str, names: Names) -> Iterator[Finding]:
     Two capitalised words, or three unless just one of the first two is a known family name; an initial before them is a title.
     """
     done = -1
-    for m, alone in _after_labels(text):
+    for m, alone, _ in _after_labels(text):
         start, stop = m.start() + 1, m.end(1)
         if not alone:
             start, stop = m.end(1) - len(m[1].split(" ")[-1]), m.end(2)
@@ -425,8 +474,9 @@ def labelled(text: str, names: Names) -> Iterator[Finding]:
 
 
 def sightings(text: str) -> Iterator[tuple[str, str]]:
-    """(role, word) of the words after labels of persons; roles are given and family."""
-    for m, alone in _after_labels(text):
+    """(role, word) of the words after labels of persons; roles are given, family, and f or m for a given name after a
+    title that tells the gender."""
+    for m, alone, gender in _after_labels(text):
         if alone:
             for part in m[1].lower().split("-"):
                 yield "family", part
@@ -437,6 +487,8 @@ def sightings(text: str) -> Iterator[tuple[str, str]]:
             x, y = y, x
         if "." not in x:
             yield "given", x.lower()
+            if gender:
+                yield gender, x.lower()
         for part in y.lower().split("-"):
             yield "family", part
 
@@ -450,25 +502,23 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield pd.DataFrame([(r, w, n) for (r, w), n in total.items()], columns=["role", "word", "n"])
 
 
-def learn_names(texts: DataFrame) -> tuple[set[str], set[str], DataFrame | None]:
-    """Given and family names seen after labels of persons in all texts of a column ``text``.
+def learn_names(texts: DataFrame) -> tuple[dict[str, str], set[str], DataFrame | None]:
+    """Given names with their gender and family names, seen after labels of persons in all texts of a column ``text``.
 
-    The sets hold the ``MAX_NAME_WORDS`` words seen most often; the table holds all others (``word``, ``is_given``), and
-    is null if there are none.
+    The first two hold the ``MAX_NAME_WORDS`` words seen most often; the table holds all others (``word``, ``is_given``,
+    ``gender``), and is null if there are none.
     """
-    counted = texts.mapInPandas(_count, "role string, word string, n bigint").groupBy("word").agg(
-        F.sum(F.when(F.col("role") == "given", F.col("n")).otherwise(0)).alias("given"),
-        F.sum(F.when(F.col("role") == "family", F.col("n")).otherwise(0)).alias("family"),
-    )
-    learned = counted.filter(F.col("given") + F.col("family") >= MIN_SEEN).select("word", (F.col("given") + F.col("family")).alias("n"), (F.col("given") > F.col("family")).alias("is_given"))
+    sums = [F.sum(F.when(F.col("role") == r, F.col("n")).otherwise(0)).alias(r) for r in ("given", "family", "f", "m")]
+    counted = texts.mapInPandas(_count, "role string, word string, n bigint").groupBy("word").agg(*sums)
+    gender = F.when(F.col("f") > F.col("m"), "f").when(F.col("m") > F.col("f"), "m").otherwise("")
+    learned = counted.filter(F.col("given") + F.col("family") >= MIN_SEEN).select("word", (F.col("given") + F.col("family")).alias("n"), (F.col("given") > F.col("family")).alias("is_given"), gender.alias("gender"))
     rows = learned.orderBy(F.desc("n"), "word").limit(MAX_NAME_WORDS + 1).collect()
     rare = None
     if len(rows) > MAX_NAME_WORDS:
         last = rows[MAX_NAME_WORDS - 1]
-        rare = learned.filter((F.col("n") < last["n"]) | (F.col("n") == last["n"]) & (F.col("word") > last["word"])).select("word", "is_given")
+        rare = learned.filter((F.col("n") < last["n"]) | (F.col("n") == last["n"]) & (F.col("word") > last["word"])).select("word", "is_given", "gender")
         rows = rows[:MAX_NAME_WORDS]
-    given = {r["word"] for r in rows if r["is_given"]}
-    return given, {r["word"] for r in rows if not r["is_given"]}, rare
+    return {r["word"]: r["gender"] for r in rows if r["is_given"]}, {r["word"] for r in rows if not r["is_given"]}, rare
 
 
 _TOKEN = re.compile(r"\w+(?:['’]\w+)?(?:-\w+)?")
@@ -498,23 +548,23 @@ def _with_names(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, o
     rows = cut(texts.withColumn("__row", F.monotonically_increasing_id()))
 
     def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        common = shared.value[0] | shared.value[1]
+        common = shared.value[0].keys() | shared.value[1]
         for batch in batches:
             pairs = [(r, w) for r, t in zip(batch["__row"], batch["text"], strict=True) for w in name_candidates(t) - common]
             yield pd.DataFrame(pairs, columns=["__row", "word"])
 
     there = salted_join(rows.select("__row", "text").mapInPandas(words, "__row bigint, word string"), rare, ["word"], "__row")
-    by_row = there.groupBy("__row").agg(F.collect_list(F.struct("word", "is_given")).alias("rare"))
+    by_row = there.groupBy("__row").agg(F.collect_list(F.struct("word", "is_given", "gender")).alias("rare"))
     return rows.join(by_row, "__row", "left").select("doc_id", "text", "rare"), shared
 
 
 def _names_of(common: Names, rare: Iterable | None) -> Names:
     if rare is None:
         return common
-    return common.with_rare({r["word"] for r in rare if r["is_given"]}, {r["word"] for r in rare if not r["is_given"]})
+    return common.with_rare({r["word"]: r["gender"] for r in rare if r["is_given"]}, {r["word"] for r in rare if not r["is_given"]})
 
 
-_RARE = "array<struct<word:string,is_given:boolean>>"
+_RARE = "array<struct<word:string,is_given:boolean,gender:string>>"
 _LETTERS = re.compile(r"[^\W\d_]+")
 _FOUND = "doc_id bigint, start int, end int, kind string, surface string"
 
@@ -532,7 +582,6 @@ def entities(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return texts.mapInPandas(run, _FOUND)
 
 
-MAX_ROUNDS = 12
 #: What stands in a redacted text.
 PLACEHOLDER = {k: f"[{k.upper()}]" for k in TYPES}
 
@@ -564,15 +613,30 @@ def replaced(text: str | None, parts: list[tuple[int, int, str]]) -> str | None:
     return "".join(out) + text[at:]
 
 
-#: Invented given names by gender and script that surrogates draw from.
-SURROGATE_GIVEN = {
-    ("f", "latin"): "Alba Bianca Clara Delia Emma Flora Greta Helena Irina Julia Karla Leona Mira Nadia Olga Paula Rosa Silva Tessa Vera".split(),
-    ("m", "latin"): "Albin Boris Carl Denis Emil Felix Gustav Hugo Ivan Julius Karel Leon Milan Norbert Oskar Pavel Robin Simon Tomas Viktor".split(),
-    ("f", "greek"): "Αθηνά Βασιλική Γεωργία Δήμητρα Ειρήνη Ζωή Θάλεια Ιωάννα Κατερίνα Λυδία".split(),
-    ("m", "greek"): "Αλέξης Βασίλης Δημήτρης Ηλίας Θανάσης Ιάσων Λουκάς Μάριος Ορέστης Στέφανος".split(),
-}
-_SYLLABLES = {"latin": "ba de fi go lu ma ne pi ro su ta ve zi ka mo ri".split(), "greek": "βα δε φι γο λου μα νε πι ρο σου τα βε ζι κα μο ρι".split()}
-_GREEK = re.compile("[\u0370-\u03ff]")
+# -- surrogates
+
+#: Rounds of drawing before giving up; made words grow with the round.
+MAX_ROUNDS = 24
+_CONSONANTS, _VOWELS = {"latin": "bdfgklmnprstvz", "greek": "βγδζκλμνπρστφ"}, {"latin": "aeiou", "greek": "αειου"}
+_ALPHABET = {"latin": "abcdefghijklmnopqrstuvwxyz", "greek": "αβγδεζηθικλμνξοπρστυφχψω"}
+_GENDERED = {("f", "latin"): "a", ("m", "latin"): "o", ("f", "greek"): "α", ("m", "greek"): "ος"}
+_GREEK = re.compile("[Ͱ-Ͽἀ-῿]")
+_DOT = re.compile(r"( ?\[dot\] ?| ?\(dot\) ?| dot |\.)", re.I)
+#: Words of streets after the name, and labels under which domains are registered.
+_STREET_WORDS = frozenset("street st road rd avenue ave lane ln square sq terrace ter tce drive dr court ct close place way row crescent cres quay parade walk mews gardens grove bis quater".split())
+_REGISTRY_LABELS = frozenset("co com gov org edu ac gob gouv net".split())
+#: Country codes of one digit and of two; all others have three.
+_ONE_DIGIT, _TWO_DIGITS = ("1", "7"), frozenset("20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
+
+
+def _phone(surface: str) -> tuple[str, list[int]]:
+    """A number's digits, after a plus if it is international, and where in the spelling they stand."""
+    optional = surface.find("(0)")
+    at = [i for i, c in enumerate(surface) if c.isdigit() and i != optional + 1] if optional >= 0 else [i for i, c in enumerate(surface) if c.isdigit()]
+    digits = "".join(surface[i] for i in at)
+    if surface.lstrip("( ")[:1] == "+":
+        return "+" + digits, at
+    return ("+" + digits[2:], at[2:]) if digits.startswith("00") else (digits, at)
 
 
 def entity_key(kind: str, surface: str) -> str:
@@ -580,118 +644,237 @@ def entity_key(kind: str, surface: str) -> str:
     low = surface.lower()
     if kind == "email":
         low = re.sub(r" ?(?:\[at\]|\(at\)|&#64;|＠| at ) ?| ?@ ?", "@", low)
-        return re.sub(r" ?\[dot\] ?| ?\(dot\) ?| dot ", ".", low).strip()
-    if kind in ("phone", "id_number"):
-        bare = re.sub(r"\(0\)|[^0-9a-z]", "", low)
-        return bare.lstrip("0") if kind == "phone" else bare
+        return re.sub(r" ?\[dot\] ?| ?\(dot\) ?| dot ", ".", low.replace("\xa0", " ")).strip()
+    if kind == "phone":
+        return _phone(surface)[0]
+    if kind == "id_number":
+        return "".join(c for c in low if c.isalnum())
     words = re.findall(r"[^\W_]+", low)
     return " ".join(sorted(words) if kind == "name" else words)
 
 
+def _street_names(surface: str) -> list[str]:
+    """The words of an address that name its street; kinds of streets, small words and numbers are left out."""
+    words = [w for w in _LETTERS.findall(surface) if len(w) > 1]
+    dotted = {m[1].lower() for m in re.finditer(r"([^\W\d_]+)\.", surface)}
+    plain = [w for w in words if w.lower() not in STREET_TYPES and f"{w.lower()}." not in STREET_TYPES | NUMBER_SIGNS and w.lower() not in _STREET_WORDS and w.lower() not in NUMBER_SIGNS and w.lower() not in STREET_ENDINGS and w.lower() not in dotted]
+    named = [w for w in plain if w[0].isupper() and len(w) > 3]
+    return named or sorted(plain or words, key=len)[-1:]
+
+
+def units(kind: str, surface: str, given: dict[str, str]) -> list[tuple[str, str, str]]:
+    """(unit's kind, unit, hint) of an item: what gets a surrogate of its own. ``given`` holds the words of a name that are
+    given names, with their gender."""
+    if kind == "email":
+        local, _, domain = entity_key(kind, surface).rpartition("@")
+        return [("local", local, ""), ("domain", domain, "")]
+    if kind in ("phone", "id_number"):
+        return [(kind, entity_key(kind, surface), "")]
+    if kind == "address":
+        return [("street", w.lower(), "") for w in _street_names(surface)]
+    return [("word", w, f"g{given[w]}" if w in given else "") for w in map(str.lower, _LETTERS.findall(surface)) if len(w) > 1]
+
+
 def _stream(key: bytes, text: str) -> Iterator[int]:
-    block, n = b"", 0
+    n = 0
     while True:
-        block = hmac.digest(key, f"{n}|{text}".encode("utf-8", "surrogatepass"), "sha256")
+        yield from hmac.digest(key, f"{n}|{text}".encode("utf-8", "surrogatepass"), "sha256")
         n += 1
-        yield from block
 
 
-def surrogate(kind: str, surface: str, key: bytes, round_: int = 0, given: frozenset[str] = frozenset()) -> str:
-    """The replacement of an entity in the spelling of this mention; depends on the key, the entity and the round only."""
-    r = _stream(key, f"{kind}|{round_}|{entity_key(kind, surface)}")
-    if kind in ("phone", "id_number"):
-        keep = min(4, len(surface) // 3) if kind == "phone" and surface[:1] in "+0(" else 0
-        digits = iter(lambda: next(r) % 10, None)
-        letters = iter(lambda: chr(65 + next(r) % 26), None)
-        return "".join(
-            c if i < keep or not c.isalnum() else str(next(digits)) if c.isdigit() else next(letters) if c.isupper() else next(letters).lower() for i, c in enumerate(surface)
-        )
+def _base(c: str) -> str:
+    return unicodedata.normalize("NFKD", c)[0].lower().replace("ł", "l").replace("ø", "o")
+
+
+@lru_cache(maxsize=16)
+def _letters(key: bytes) -> dict[str, str]:
+    """The keyed image of every letter, of the same script and kind."""
+    out = {}
+    for script, alphabet in _ALPHABET.items():
+        vowels = "".join(c for c in alphabet if c in ("aeiouy" if script == "latin" else "αεηιουω"))
+        for part in (vowels, "".join(c for c in alphabet if c not in vowels)):
+            rank = {c: hmac.digest(key, f"letter|{c}".encode(), "sha256") for c in part}
+            out |= dict(zip(part, sorted(part, key=rank.__getitem__), strict=True))
+    return out
+
+
+def _made(r: Iterator[int], script: str, first: str, syllables: int) -> str:
+    """An invented word that begins with ``first``, or with any letter if that is empty."""
+    consonants, vowels = _CONSONANTS[script], _VOWELS[script]
+    out = first
+    if first and first not in vowels:
+        out += vowels[next(r) % len(vowels)]
+    for _ in range(syllables):
+        out += consonants[next(r) % len(consonants)] + vowels[next(r) % len(vowels)]
+    return out
+
+
+def draw(kind: str, unit: str, hint: str, key: bytes, round_: int = 0) -> str:
+    """The surrogate of a unit in its normal form; depends on the key, the unit and the round only."""
+    r = _stream(key, f"{kind}|{round_}|{unit}")
+    more = round_ // 2
+    if kind == "phone":
+        head = unit[: 1 + (1 if unit[1:2] in _ONE_DIGIT else 2 if unit[1:3] in _TWO_DIGITS else 3)] if unit[0] == "+" else unit[: len(unit) - len(unit.lstrip("0"))]
+        return head + "".join(str(1 + next(r) % 9) if i == 0 else str(next(r) % 10) for i in range(len(unit) - len(head)))
+    if kind == "id_number":
+        return "".join(str(next(r) % 10) if c.isdigit() else chr(97 + next(r) % 26) for c in unit)
+    script = "greek" if _GREEK.search(unit) else "latin"
+    if kind in ("local", "domain"):
+        labels = unit.split(".")
+        kept = len(labels) - 1 if kind == "domain" else len(labels)
+        made = lambda m: "".join(str(next(r) % 10) for _ in m[0]) if m[0].isdigit() else _made(r, "latin", "", max(2, (len(m[0]) + 1) // 2) + more)
+        return ".".join(w if i >= kept or kind == "domain" and i and w in _REGISTRY_LABELS else re.sub(r"\d+|[^\W\d_]+", made, w) for i, w in enumerate(labels))
+    if kind == "street":
+        end = next((e for e in STREET_ENDINGS if unit.endswith(e) and len(unit) > len(e)), "")
+        return _made(r, script, "", 3 + more) + end
+    word = _made(r, script, _letters(key).get(_base(unit[0]), ""), 2 + more)
+    end = _GENDERED.get((hint[1:2], script), "") if hint[:1] == "g" else ""
+    return word[:-1] + end if end else word + _CONSONANTS[script][next(r) % len(_CONSONANTS[script])] * (hint[:1] != "g" and script == "latin")
+
+
+def _cased(old: str, new: str) -> str:
+    return new.upper() if old.isupper() and len(old) > 1 else new[:1].upper() + new[1:] if old[:1].isupper() else new
+
+
+def _rejoin(old: str, new: str) -> str:
+    """``new``, labels set off by points, in the spelling of ``old``: its points, blanks and capitals."""
+    parts, labels = _DOT.split(old), new.split(".")
+    if len(labels) * 2 - 1 != len(parts):
+        return new
+    for i, label in enumerate(labels):
+        was = parts[2 * i]
+        core = was.strip(" \xa0")
+        parts[2 * i] = was.replace(core, label.upper() if core.isupper() and core != core.lower() else label, 1) if core else was
+    return "".join(parts)
+
+
+def written(kind: str, surface: str, drawn: dict[tuple[str, str], str], key: bytes) -> str:
+    """The surrogate of an item in the spelling of its surface, from the surrogates of its units."""
     if kind == "email":
-        cut_at = _SIGN.search(surface)
-        local = surface[: cut_at.start()] if cut_at else surface
-        name = "".join(_SYLLABLES["latin"][next(r) % 16] for _ in range(6))
-        return (name.upper() if local.isupper() else name) + (" " if local.endswith(" ") else "") + surface[len(local) :]
-    script = "greek" if _GREEK.search(surface) else "latin"
-    made = lambda: "".join(_SYLLABLES[script][next(r) % 16] for _ in range(5)).capitalize()
+        sign = _SIGN.search(surface)
+        local, _, domain = entity_key(kind, surface).rpartition("@")
+        return _rejoin(surface[: sign.start()], drawn["local", local]) + sign[0] + _rejoin(surface[sign.end() :], drawn["domain", domain])
+    if kind == "phone":
+        unit, at = _phone(surface)
+        out = list(surface)
+        for i, c in zip(at, drawn["phone", unit].lstrip("+"), strict=True):
+            out[i] = c
+        return "".join(out)
+    if kind == "id_number":
+        new = iter(drawn["id_number", entity_key(kind, surface)])
+        return "".join((n.upper() if c.isupper() else n) if c.isalnum() and (n := next(new)) else c for c in surface)
     if kind == "address":
-        words = re.split(r"([^\w.]+)", surface)
-        new = []
-        for w in words:
-            if w[:1].isdigit():
-                w = "".join(str(next(r) % 9 + 1) if c.isdigit() else c for c in w)
-            elif w[:1].isupper() and len(w) > 3 and w.lower() not in STREET_TYPES and not re.fullmatch(r"Street|Road|Lane|Square|Terrace|Avenue|Drive|Court", w):
-                end = next((e for e in STREET_ENDINGS if w.lower().endswith(e)), "")
-                w = made() + end
-            new.append(w)
-        return "".join(new)
-    by_word = {}
-    for w in sorted(re.findall(r"[^\W\d_]+", surface.lower())):
-        gender = "f" if w.endswith(("a", "e", "ή", "ία", "α", "η", "ção")) else "m"
-        pool = SURROGATE_GIVEN[gender, script]
-        by_word[w] = pool[next(r) % len(pool)] if w in given else made()
-    return re.sub(r"[^\W\d_]+", lambda m: _cased(m[0], by_word[m[0].lower()]), surface)
+        names = {w.lower() for w in _street_names(surface)}
+        text = _LETTERS.sub(lambda m: _cased(m[0], drawn["street", m[0].lower()]) if m[0].lower() in names else m[0], surface)
+        streets = " ".join(sorted(names))
+        return re.sub(r"\d+", lambda m: _moved(m[0], streets, key), text)
+    return _LETTERS.sub(lambda m: _cased(m[0], drawn["word", m[0].lower()]) if len(m[0]) > 1 else _letters(key).get(_base(m[0]), _base(m[0])).upper(), surface)
 
 
-def _cased(old: str, new: str) -> str:
-    if len(old) == 1:
-        return new[0].upper()
-    return new.upper() if old.isupper() else new
+def _moved(digits: str, street: str, key: bytes) -> str:
+    """A house number of as many digits; different numbers of one street stay different."""
+    low = 10 ** (len(digits) - 1) if digits[0] != "0" else 0
+    span = 10 ** len(digits) - low
+    shift = int.from_bytes(hmac.digest(key, f"house|{street}|{len(digits)}".encode("utf-8", "surrogatepass"), "sha256")[:16], "big")
+    return str(low + (int(digits) - low + 1 + shift % (span - 1)) % span).zfill(len(digits))
 
 
-def surrogates(df: DataFrame, id_col: str, text_col: str, key: str) -> DataFrame:
-    """``doc_id``, ``text`` of every row, each item replaced by its surrogate.
+_UNITS = "kind string, surface string, entity string, unit_kind string, unit string, hint string"
 
-    Distinct entities whose surrogates are equal are told apart by rounds: of each group of equal surrogates the first
-    entity keeps its own and the others draw again, until no two are equal; more than ``MAX_ROUNDS`` is an error. The
-    surrogates are far more than any corpus has entities, so a few rounds are enough.
-    """
-    texts, shared = _with_names(df, id_col, text_col)
+
+def _drawn_units(own: DataFrame, secret: bytes) -> DataFrame:
+    """``unit_kind``, ``unit``, ``drawn`` of distinct units: no two alike within a kind, and none that is itself a unit."""
+
+    def draws(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            batch["drawn"] = [draw(k, u, h, secret, int(n)) for k, u, h, n in zip(batch["unit_kind"], batch["unit"], batch["hint"], batch["round"], strict=True)]
+            yield batch
+
+    shape = "unit_kind string, unit string, hint string, round int, drawn string"
+    now = own.withColumn("round", F.lit(0))
+    for _ in range(MAX_ROUNDS):
+        drawn = cut(now.mapInPandas(draws, shape))
+        real = drawn.select("unit_kind", F.col("unit").alias("drawn"), F.lit(None).cast("string").alias("unit"))
+        both = drawn.select("unit_kind", "drawn", "unit").unionByName(real)
+        # a surrogate that is a real unit has no rightful owner; else the first unit keeps it
+        clash = both.groupBy("unit_kind", "drawn").agg(F.min("unit").alias("first"), F.count("unit").alias("n"), F.count_if(F.col("unit").isNull()).alias("n_real"))
+        bad = clash.filter("n > 0 and n + n_real > 1").select("unit_kind", "drawn", F.when(F.col("n_real") == 0, F.col("first")).alias("first"), F.lit(True).alias("taken"))
+        if bad.isEmpty():
+            return drawn.select("unit_kind", "unit", "drawn")
+        again = F.coalesce(F.col("taken"), F.lit(False)) & ~F.col("first").eqNullSafe(F.col("unit"))
+        now = drawn.join(bad, ["unit_kind", "drawn"], "left").select("unit_kind", "unit", "hint", F.when(again, F.col("round") + 1).otherwise(F.col("round")).alias("round"))
+    raise RuntimeError(f"surrogates still equal after {MAX_ROUNDS} rounds")
+
+
+def _replacements(texts: DataFrame, shared: object, key: str) -> DataFrame:
     secret = key.encode()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = Names(*shared.value)
         for batch in batches:
             rows = []
-            for d, t, r in zip(batch["doc_id"], batch["text"], batch["rare"], strict=True):
+            for d, h, t, r in zip(batch["doc_id"], batch["hash"], batch["text"], batch["rare"], strict=True):
                 here = _names_of(names, r)
                 for f in find(t, here):
                     s = t[f.start : f.end]
-                    known = sorted({w for w in _LETTERS.findall(s.lower()) if here.is_given(w)}) if f.kind == "name" else []
-                    rows.append((d, f.start, f.end, f.kind, s, entity_key(f.kind, s), " ".join(known)))
-            yield pd.DataFrame(rows, columns=["doc_id", "start", "end", "kind", "surface", "entity", "given"])
+                    given = sorted(f"{w}:{here.gender(w)}" for w in set(_LETTERS.findall(s.lower())) if here.is_given(w)) if f.kind == "name" else []
+                    rows.append((d, h, f.start, f.end, f.kind, s, " ".join(given)))
+            out = pd.DataFrame(rows, columns=["doc_id", "hash", "start", "end", "kind", "surface", "given"])
+            out["doc_id"] = out["doc_id"].astype("Int64")
+            yield out
 
-    found = cut(texts.mapInPandas(run, _FOUND + ", entity string, given string"))
-    entities_ = found.groupBy("kind", "entity").agg(F.min("surface").alias("surface"), F.min("given").alias("given"))
+    found = cut(texts.withColumn("hash", F.xxhash64("text")).mapInPandas(run, "doc_id bigint, hash bigint, start int, end int, kind string, surface string, given string"))
+    surfaces = found.groupBy("kind", "surface").agg(F.max("given").alias("given"))
 
-    def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def apart(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            drawn = [surrogate(k, s, secret, int(n), frozenset(g.split())) for k, s, n, g in zip(batch["kind"], batch["surface"], batch["round"], batch["given"], strict=True)]
-            batch["drawn"] = [entity_key(k, x) for k, x in zip(batch["kind"], drawn, strict=True)]
-            yield batch[["kind", "entity", "surface", "given", "round", "drawn"]]
+            rows = []
+            for k, s, g in zip(batch["kind"], batch["surface"], batch["given"], strict=True):
+                given = dict(x.split(":") for x in g.split())
+                rows += [(k, s, entity_key(k, s), *u) for u in units(k, s, given) or [("", "", "")]]
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in _UNITS.split(", ")])
 
-    shape = "kind string, entity string, surface string, given string, round int, drawn string"
-    own = entities_.withColumn("round", F.lit(0))
-    for _ in range(MAX_ROUNDS):
-        drawn = cut(own.mapInPandas(draw, shape))
-        clash = drawn.groupBy("kind", "drawn").agg(F.min("entity").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-        own = drawn.drop("drawn")
-        if clash.isEmpty():
-            break
-        again = F.col("first").isNotNull() & (F.col("first") != F.col("entity"))
-        other = F.col("round") + 1 + F.pmod(F.xxhash64("entity"), F.lit(1 << 20)).cast("int")
-        own = drawn.join(clash, ["kind", "drawn"], "left").select("kind", "entity", "surface", "given", F.when(again, other).otherwise(F.col("round")).alias("round"))
-    else:
-        raise RuntimeError(f"surrogates still equal after {MAX_ROUNDS} rounds")
-    rounds = own.select("kind", "entity", F.col("given").alias("known"), "round")
-    mentions = salted_join(found, rounds, ["kind", "entity"], "doc_id")
-    parts = mentions.groupBy("doc_id").agg(F.collect_list(F.struct("start", "end", "kind", "surface", "known", "round")).alias("parts"))
+    parts = cut(surfaces.mapInPandas(apart, _UNITS))
+    drawn = _drawn_units(parts.filter("unit_kind <> ''").groupBy("unit_kind", "unit").agg(F.max("hint").alias("hint")), secret)
+    filled = salted_join(parts, drawn, ["unit_kind", "unit"], "surface", "left")
+    by_surface = filled.groupBy("kind", "surface", "entity").agg(F.collect_list(F.struct("unit_kind", "unit", "drawn")).alias("units"))
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            new = [written(k, s, {(u["unit_kind"], u["unit"]): u["drawn"] for u in us}, secret) for k, s, us in zip(batch["kind"], batch["surface"], batch["units"], strict=True)]
+            yield pd.DataFrame({"kind": batch["kind"], "surface": batch["surface"], "entity": batch["entity"], "surrogate": new, "new_entity": [entity_key(k, n) for k, n in zip(batch["kind"], new, strict=True)]})
+
+    table = cut(by_surface.mapInPandas(write, "kind string, surface string, entity string, surrogate string, new_entity string"))
+    real = table.select("kind", F.col("entity").alias("new_entity"), F.lit(None).cast("string").alias("entity"))
+    seen = table.select("kind", "new_entity", "entity").distinct().unionByName(real.distinct())
+    wrong = seen.groupBy("kind", "new_entity").agg(F.count("entity").alias("n"), F.count_if(F.col("entity").isNull()).alias("n_real")).filter("n > 1 or n > 0 and n_real > 0")
+    if not wrong.isEmpty():
+        raise RuntimeError(f"two entities with one surrogate, or one that is real: {wrong.first()}")
+    return salted_join(found.drop("given"), table.select("kind", "surface", "entity", "surrogate"), ["kind", "surface"], "start")
+
+
+def replacements(df: DataFrame, id_col: str, text_col: str, key: str) -> DataFrame:
+    """``doc_id``, ``start``, ``end``, ``kind``, ``surface``, ``entity``, ``surrogate`` of every item of personal data.
+
+    Distinct units whose surrogates are equal, or equal to a real unit, are told apart by rounds: of each group of equal
+    surrogates the first unit keeps its own and the others draw again, until no two are equal; more than ``MAX_ROUNDS`` is
+    an error, and so are two entities whose spellings as written are one. An item that has no unit (an initial alone) is
+    written with the images of its letters.
+    """
+    return _replacements(*_with_names(df, id_col, text_col), key).drop("hash")
+
+
+def surrogates(df: DataFrame, id_col: str, text_col: str, key: str) -> DataFrame:
+    """``doc_id``, ``text`` of every row, each item replaced by its surrogate, as ``replacements`` gives it."""
+    texts, shared = _with_names(df, id_col, text_col)
+    found = _replacements(texts, shared, key)
+    parts = found.groupBy(F.col("doc_id").alias("d"), F.col("hash").alias("h")).agg(F.collect_set(F.struct("start", "end", "surrogate")).alias("parts"))
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = []
-            for t, ps in zip(batch["text"], batch["parts"], strict=True):
-                ps = [] if ps is None else ps
-                out.append(replaced(t, [(p["start"], p["end"], surrogate(p["kind"], p["surface"], secret, int(p["round"]), frozenset(p["known"].split()))) for p in ps]))
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "text": out})
+            out = [t if ps is None else replaced(t, [(p["start"], p["end"], p["surrogate"]) for p in ps]) for t, ps in zip(batch["text"], batch["parts"], strict=True)]
+            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "text": out})
 
-    return texts.drop("rare").join(parts, "doc_id", "left").mapInPandas(write, "doc_id bigint, text string")
+    rows = texts.select("doc_id", "text", F.xxhash64("text").alias("hash"))
+    same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("hash") == F.col("h"))
+    return rows.join(parts, same, "left").select("doc_id", "text", "parts").mapInPandas(write, "doc_id bigint, text string")

@@ -72,9 +72,14 @@ def p8_shares(spark: SparkSession, root: str) -> DataFrame:
     return mixing.share_report(p8_mixed(spark, root), table(spark, root, "mix_targets"))
 
 
+def p9_replacements(spark: SparkSession, root: str) -> DataFrame:
+    """Every item with its entity and its surrogate."""
+    return pii.replacements(table(spark, root, "documents"), "doc_id", "text", key="lodestrata")
+
+
 def p9_found(spark: SparkSession, root: str) -> DataFrame:
-    found = pii.entities(table(spark, root, "documents"), "doc_id", "text")
-    return found.select("doc_id", F.col("start").alias("inizio"), F.col("kind").alias("tipo"))
+    """The items for which surrogates are made."""
+    return p9_replacements(spark, root).select("doc_id", F.col("start").alias("inizio"), F.col("kind").alias("tipo"))
 
 
 def p9_redacted(spark: SparkSession, root: str) -> DataFrame:
@@ -93,7 +98,7 @@ _CANON = "array_to_string(list_sort(list_filter([{}], lambda x: x <> '')), chr(1
 _GROUPS = f"""WITH t AS (SELECT *, {_CANON} AS canon FROM site_records),
 g AS (SELECT canon, min(rec_id) AS keep, count(*) AS n_copies FROM t GROUP BY canon)"""
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_languages, p2_found, p2_collapsed, p2_collisions, p4_found, p4_restored, p7_packed, p7_fill, p8_mixed, p8_shares, p9_found, p9_redacted, p9_surrogates)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_languages, p2_found, p2_collapsed, p2_collisions, p4_found, p4_restored, p7_packed, p7_fill, p8_mixed, p8_shares, p9_found, p9_replacements, p9_redacted, p9_surrogates)}
 ORACLES = {
     "p2_found": f"{_GROUPS} SELECT keep AS rec_id_a, rec_id AS rec_id_b FROM t JOIN g USING (canon) WHERE rec_id <> keep",
     "p2_collapsed": f"{_GROUPS} SELECT s.*, g.n_copies FROM site_records s JOIN g ON s.rec_id = g.keep",
