@@ -10,13 +10,26 @@ from lodestrata.schemas import RECORD_COLUMNS
 from lodestrata.session import table
 
 
+#: What stands in ``evidenza`` besides running text, whose column is cut at so many characters.
+EVIDENCE_NOISE = langseg.Noise(
+    marks=tuple("tld status conf jsonld wikidata nav host lang http score stage".split()),
+    tlds=(*langseg.HOST_TLDS, "example"),
+    cut_names=tuple("title meta description body footer header main h1 h2 h3 nav legal tld status conf jsonld wikidata".split()),
+)
+EVIDENCE_CUT = 400
+
+
+def _identified(spark: SparkSession, root: str, every_row: bool) -> DataFrame:
+    return langseg.identify(table(spark, root, "siti_classificati"), "riga_id", "lang", "evidenza", EVIDENCE_CUT, every_row, EVIDENCE_NOISE)
+
+
 def p1_languages(spark: SparkSession, root: str) -> DataFrame:
     """Every row: its language with a confidence, and its stretches; without running text no language and confidence 0."""
-    return langseg.identify(table(spark, root, "siti_classificati"), "riga_id", "lang", "evidenza", cut_at=400, every_row=True)
+    return _identified(spark, root, True)
 
 
 def p1_found(spark: SparkSession, root: str) -> DataFrame:
-    rows = langseg.identify(table(spark, root, "siti_classificati"), "riga_id", "lang", "evidenza", cut_at=400)
+    rows = _identified(spark, root, False)
     cases = rows.filter("n_langs > 1 or not agrees")
     return cases.select(F.col("row_id").alias("riga_id"), F.explode("stretches").alias("s")).select(
         "riga_id", F.col("s.position").alias("posizione"), F.col("s.lang").alias("lingua")
