@@ -1,17 +1,24 @@
 """Text that was decoded with the wrong character set: finding and restoring it.
 
-A smoothed character trigram model is trained on the clean values of the table itself. For a value that the model
-finds odd, every encode-decode chain is tried (and chains of chains, for text damaged more than once), and the
-likeliest text is taken if it beats the value as it stands by a margin. The margin is validated on clean values and
-on values damaged on purpose. What no chain restores still counts as damaged where it holds characters that only
-decoding errors leave (replacement characters, C1 controls).
+A smoothed character trigram model is trained on the clean values of the table itself. For a value with characters
+outside ASCII every encode-decode chain is scored: up to ``MAX_DEPTH`` readings as UTF-8 from any of the character sets,
+each of any result of the ones before, and after each of these, or without, one reading from one single-byte set to
+another. The likeliest text is taken if it beats the value as it stands by a margin. The margin is validated on all clean
+values, as they are and damaged on purpose by a chain that the value's hash chooses out of all. What no chain restores
+still counts as damaged where it holds characters that only decoding errors leave (replacement characters, C1 controls).
+
+Nothing is cut by a beam. Left out is only what can't win: a chain changes no trigram without a character outside ASCII
+and no trigram is likelier than certain, so a value whose other trigrams cost less than the cheapest chain and the margin
+is sound; chains that map a value's characters alike are scored once; a result with a symbol, a control character or two
+scripts in one word is no reading.
 
 A chain reads: the text's characters are bytes of ``wrong``, meant as ``right``. For ``right`` = UTF-8 only whole
 multi-byte sequences are decoded, wherever they stand, so partly damaged text is restored in part.
 
 Shape of the job: values are judged once per *distinct* value. The model is a table of hashed n-gram counts of at most
 ``BUCKETS`` entries in all, whatever the size of the data; only that comes to the driver and goes to the executors.
-Verdicts of damaged values are joined back to the rows by value, salted.
+The margin comes from a histogram of gains of fixed size. Verdicts of damaged values are joined back to the rows by
+value, salted.
 
 Defined results: null, empty and plain-ASCII values are never damaged; invisible characters, odd spaces, capitals,
 genuine accents and other scripts are no damage; an empty table gives an empty result.
@@ -22,7 +29,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 from math import log
 
@@ -35,11 +42,11 @@ from lodestrata.skew import salted_join
 
 #: Buckets of hashed n-grams; the bound of what is collected and broadcast.
 BUCKETS = 1 << 20
-#: Clean values that the margin is validated on, at most.
-VALIDATION_ROWS = 400
 #: Log-likelihood that a chain must make up for: one that decodes UTF-8, and one from single-byte to single-byte set.
 UTF8_COST, SINGLE_COST = 2.0, 4.0
-MIN_MARGIN, MAX_DEPTH, BEAM = 0.5, 4, 3
+MIN_MARGIN, MAX_DEPTH = 0.5, 4
+#: Margins that are tried: so many, so far apart.
+MARGIN_STEPS, MARGIN_STEP = 15, 0.5
 #: Character sets that text is mistaken for, and single-byte ones it may have been in.
 WRONG = ("cp1252", "cp1250", "cp1253", "iso8859_7", "iso8859_2", "mac_roman", "cp437", "cp850", "cp852", "cp737", "cp1251")
 RIGHT = ("cp1252", "cp1250", "cp1253", "iso8859_7", "iso8859_2", "mac_roman", "cp850", "cp1251")
@@ -51,6 +58,7 @@ _SYMBOL = re.compile("[\xa1-\xa9\xac-\xb9\xbc-\xbf\xd7\xf7\u0131\u02b0-\u036f\u0
 #: A letter a with grave accent whose second byte, a no-break space, has become a space.
 _LOST_NBSP = re.compile("Ã (?= |$)")
 _WORD = re.compile(r"[^\W\d_]+")
+_NOT_ASCII = re.compile("[^\x00-\x7f]")
 _MIXED = re.compile("[A-Za-z\xc0-\u024f][\u0370-\u052f]|[\u0370-\u052f][A-Za-z\xc0-\u024f]|[\u0370-\u03ff][\u0400-\u052f]|[\u0400-\u052f][\u0370-\u03ff]")
 
 
@@ -69,24 +77,28 @@ def _bytes_of(charset: str) -> dict[str, int]:
 
 class _Chains:
     def __init__(self) -> None:
-        self.utf8, self.single = [], []
+        self.utf8, self.single, self.shown = [], [], {}
+        self._viable: dict[frozenset[str], list[tuple[str, dict[int, str]]]] = {}
         for wrong in WRONG:
             byte = _bytes_of(wrong)
             pick = lambda lo, hi, byte=byte: "[" + "".join(re.escape(c) for c, b in byte.items() if lo <= b <= hi) + "]"
             tail = pick(0x80, 0xBF)
             sequence = re.compile(f"{pick(0xC2, 0xDF)}{tail}|{pick(0xE0, 0xEF)}{tail}{{2}}|{pick(0xF0, 0xF4)}{tail}{{3}}")
             self.utf8.append((wrong, sequence, byte))
+            self.shown[wrong] = {b: c for c, b in reversed(byte.items())}
             for right in RIGHT:
                 if right != wrong:
-                    table = {}
+                    good, bad = {}, set()
                     for c, b in byte.items():
                         try:
                             new = bytes([b]).decode(right)
                         except UnicodeDecodeError:
                             continue
-                        if new != c:
-                            table[ord(c)] = new
-                    self.single.append((f"{wrong}>{right}", table))
+                        if _SYMBOL.search(new) or _LEFT_OVER.search(new):
+                            bad.add(c)
+                        elif new != c:
+                            good[c] = new
+                    self.single.append((f"{wrong}>{right}", good, frozenset(bad)))
 
     def sequences(self, text: str) -> bool:
         """Whether some part of the text decodes as UTF-8 to something plausible."""
@@ -115,16 +127,48 @@ class _Chains:
             if new != text:
                 yield f"{wrong}>utf_8", new
 
+    def viable(self, chars: frozenset[str]) -> list[tuple[str, dict[int, str]]]:
+        """(chain, table) of the single-byte chains that read these characters as plausible ones, one of each result."""
+        got = self._viable.get(chars)
+        if got is None:
+            got, seen = [], set()
+            odd = {c for c in chars if _SYMBOL.search(c) or _LEFT_OVER.search(c)}
+            for name, good, bad in self.single:
+                if chars & bad or odd - good.keys():
+                    continue
+                own = {ord(c): good[c] for c in chars if c in good}
+                result = frozenset(own.items())
+                if own and result not in seen:
+                    seen.add(result)
+                    got.append((name, own))
+            if len(self._viable) > 100_000:
+                self._viable.clear()
+            self._viable[chars] = got
+        return got
+
     def single_steps(self, text: str) -> Iterator[tuple[str, str]]:
         """(chain, text after it) for every single-byte chain that changes the text into something plausible."""
-        for name, table in self.single:
+        for name, table in self.viable(frozenset(c for c in text if not c.isascii())):
             new = text.translate(table)
-            if new != text and not (_SYMBOL.search(new) or _LEFT_OVER.search(new) or _MIXED.search(new)):
+            if not _MIXED.search(new):
                 yield name, new
 
+    def hurt(self, text: str, choice: int) -> str:
+        """The text damaged by one of all chains: read as another set's bytes, of UTF-8 or of a single-byte set."""
+        wrong, choice = WRONG[choice % len(WRONG)], choice // len(WRONG)
+        raw = None
+        if choice % 2:
+            for k in range(len(RIGHT)):
+                try:
+                    raw = text.encode(RIGHT[(choice // 2 + k) % len(RIGHT)])
+                    break
+                except UnicodeEncodeError:
+                    continue
+        raw = text.encode("utf-8", "surrogatepass") if raw is None else raw
+        shown = self.shown[wrong]
+        return "".join(chr(b) if b < 0x80 else shown.get(b, chr(b)) for b in raw)
+
 
-#: log-likelihood under which a character is odd where it stands.
-ODD = -5.0
 _chains: _Chains | None = None
 
 
@@ -162,52 +206,60 @@ class Model:
             self._memo[g] = got
         return got
 
-    def score(self, text: str) -> float:
+    def cost(self, text: str) -> float:
+        """What the text's trigrams with a character outside ASCII cost, and capitals of these inside words."""
         t = f"\x03\x03{text.lower()}\x03".replace("\u200b", "")
-        inner = sum(x.islower() and y.isupper() for x, y in zip(text, text[1:], strict=False) if not y.isascii())
-        return sum(self.gram(t[i : i + 3]) for i in range(len(t) - 2)) - 3.0 * inner
-
-    def odd(self, text: str) -> bool:
-        """Whether a character outside ASCII is unlikely where it stands."""
-        if text.isascii():
-            return False
-        t = f"\x03\x03{text.lower()}\x03".replace("\u200b", "").replace("\xa0", " ")
-        return any(not t[i].isascii() and self.gram(t[i - 2 : i + 1]) < ODD for i in range(2, len(t)))
+        total, done = 0.0, 0
+        for m in _NOT_ASCII.finditer(t):
+            at = m.start()
+            for i in range(max(at, done), min(at + 3, len(t))):
+                total -= self.gram(t[i - 2 : i + 1])
+            done = at + 3
+        for m in _NOT_ASCII.finditer(text):
+            at = m.start()
+            if at and m[0].isupper() and text[at - 1].islower() or at + 1 < len(text) and m[0].islower() and text[at + 1].isupper() and text[at + 1].isascii():
+                total += 3.0
+        return total
 
     def restore(self, text: str) -> tuple[str, str, float]:
         """The likeliest text, the chains that lead to it, and what it wins by; the text itself where none wins.
 
-        UTF-8 chains first, as often as they help; then, where the result is still odd, one single-byte chain.
-        """
-        base = self.score(text)
-        best, beam, seen = (text, "", 0.0), [(text, "", 0.0)], {text}
-        for depth in range(1, MAX_DEPTH + 2):
-            last = depth > MAX_DEPTH or not beam
-            if last and not self.odd(best[0]):
-                break
-            found = []
-            for now, path, _gain in {best, (text, "", 0.0)} if last else beam:
-                for name, new in chains().single_steps(now) if last else chains().utf8_steps(now):
+        Trigrams of ASCII characters are the same before and after, so only the others are counted."""
+        best = (text, "", 0.0)
+        if text.isascii():
+            return best
+        base = self.cost(text)
+        if base < UTF8_COST or base < SINGLE_COST and not (_LOST_NBSP.search(text) or chains().sequences(text)):
+            return best
+        seen, level = {text}, [(text, "", 0.0)]
+        for depth in range(MAX_DEPTH + 1):
+            onward = []
+            for now, path, paid in level:
+                for name, new in chains().single_steps(now):
+                    if new not in seen:
+                        seen.add(new)
+                        gain = base - self.cost(new) - paid - SINGLE_COST
+                        if gain > best[2]:
+                            best = (new, f"{path} {name}".strip(), gain)
+                for name, new in chains().utf8_steps(now) if depth < MAX_DEPTH else ():
                     if new not in seen:
                         seen.add(new)
-                        cost = UTF8_COST * (path.count("utf_8") + (not last)) + SINGLE_COST * last
-                        found.append((new, f"{path} {name}".strip(), self.score(new) - base - cost))
-            beam = sorted(found, key=lambda x: -x[2])[:BEAM]
-            if beam and beam[0][2] > best[2]:
-                best = beam[0]
-            if last:
-                break
+                        onward.append((new, f"{path} {name}".strip(), paid + UTF8_COST))
+                        gain = base - self.cost(new) - paid - UTF8_COST
+                        if gain > best[2]:
+                            best = (new, onward[-1][1], gain)
+            level = onward
         return best
 
     def judge(self, text: str) -> tuple[str | None, str, float] | None:
         """None for sound text, else (restored text or None, chains, gain)."""
-        left = bool(_LEFT_OVER.search(text))
-        if not left and not self.odd(text):
-            return None
-        new, path, gain = self.restore(text)
-        if gain >= self.margin:
-            return (None if _LEFT_OVER.search(new) else new), path, gain
-        return (None, "", 0.0) if left else None
+        return judged(text, *self.restore(text), self.margin)
+
+
+def judged(text: str, new: str, path: str, gain: float, margin: float) -> tuple[str | None, str, float] | None:
+    if gain >= margin:
+        return (None if _LEFT_OVER.search(new) else new), path, gain
+    return (None, "", 0.0) if _LEFT_OVER.search(text) else None
 
 
 def _grams(texts: Iterable[str]) -> Counter:
@@ -243,51 +295,69 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def train(values: DataFrame) -> Model:
-    """The model of a column ``value`` of distinct values, over all of them."""
+    """The model of a column ``value`` of distinct values, over all of them; its margin is still to be validated."""
     counted = values.mapInPandas(_count, "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n"))
     rows = counted.toArrow()
     counts = dict(zip(rows["bucket"].to_pylist(), rows["n"].to_pylist(), strict=True))
-    model = Model(counts, counts.pop(-1, 0))
-    sample = values.filter(r"value rlike '[^\\x00-\\x7F]'").orderBy(F.xxhash64("value")).limit(VALIDATION_ROWS)
-    model.margin = validated_margin(model, [r["value"] for r in sample.collect()])
-    return model
-
-
-def validated_margin(model: Model, values: list[str]) -> float:
-    """The margin with the fewest errors on clean values against the same values, each damaged in one usual way."""
-    sound = [v for v in values if _clean(v)]
-    gains = [(model.restore(v)[2], False) for v in sound if model.odd(v)]
-    for k, v in enumerate(sound):
-        wrong = WRONG[k % 8]
-        try:
-            hurt = v.encode().decode(wrong) if k % 3 else v.encode("cp1252").decode(wrong)
-        except UnicodeError:
-            continue
-        if hurt != v:
-            gains.append((model.restore(hurt)[2] if model.odd(hurt) else 0.0, True))
-    steps = [MIN_MARGIN + 0.5 * i for i in range(15)]
-    return min(steps, key=lambda m: (sum((g >= m) != bad for g, bad in gains), m))
+    return Model(counts, counts.pop(-1, 0))
 
 
-def damaged_values(values: DataFrame, model: Model) -> DataFrame:
-    """``value``, ``restored`` (null where it can't be), ``chain``, ``gain`` of the damaged ones among ``values``."""
-    shared = values.sparkSession.sparkContext.broadcast((model.counts, model.total, model.margin))
+def damaged_by_hash(value: str) -> str:
+    """A clean value damaged by the chain that its hash chooses; itself where that changes nothing."""
+    return chains().hurt(value, zlib.crc32(value.encode("utf-8", "surrogatepass")))
+
+
+_JUDGED = "value string, restored string, chain string, gain double, damaged boolean, step int, n bigint"
 
-    def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = Model(*shared.value)
+
+def _judge(shared: object) -> Callable:
+    """Rows of values that may be damaged, with ``n`` null, and the histogram of gains of clean values, with ``n``."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own, total = Model(*shared.value), Counter()
+        step = lambda gain: max(-1, min(MARGIN_STEPS - 1, int((gain - MIN_MARGIN) // MARGIN_STEP)))
+        columns = [c.split()[0] for c in _JUDGED.split(", ")]
         for batch in batches:
-            rows = [(v, *got) for v in batch["value"] if (got := own.judge(v))]
-            yield pd.DataFrame(rows, columns=["value", "restored", "chain", "gain"])
+            rows = []
+            for value in batch["value"]:
+                found = own.restore(value)
+                if found[2] >= MIN_MARGIN or _LEFT_OVER.search(value):
+                    rows.append((value, *found, None, None, None))
+                if _clean(value):
+                    total[False, step(found[2])] += 1
+                    hurt = damaged_by_hash(value)
+                    if hurt != value:
+                        total[True, step(own.restore(hurt)[2])] += 1
+            if rows:
+                yield pd.DataFrame(rows, columns=columns).astype({"damaged": "boolean", "step": "Int32", "n": "Int64"})
+        yield pd.DataFrame([(None, None, None, None, d, s, n) for (d, s), n in total.items()], columns=columns).astype({"damaged": "boolean", "step": "Int32", "n": "Int64"})
+
+    return run
+
 
-    odd = values.filter(r"value rlike '[^\\x00-\\x7F]'")
-    return odd.mapInPandas(judge, "value string, restored string, chain string, gain double")
+def damaged_values(values: DataFrame, model: Model) -> DataFrame:
+    """``value``, ``restored`` (null where it can't be), ``chain``, ``gain`` of the damaged ones among ``values``, by the
+    margin with the fewest errors on all clean values as they are and damaged."""
+    shared = values.sparkSession.sparkContext.broadcast((model.counts, model.total))
+    found = cut(values.filter(r"value rlike '[^\\x00-\\x7F]'").mapInPandas(_judge(shared), _JUDGED))
+    steps = found.filter("n is not null").groupBy("damaged", "step").agg(F.sum("n").alias("n")).collect()
+    errors = lambda k: sum(r["n"] for r in steps if (r["step"] >= k) != r["damaged"])
+    model.margin = MIN_MARGIN + MARGIN_STEP * min(range(MARGIN_STEPS), key=lambda k: (errors(k), k))
+    won = F.col("gain") >= F.lit(model.margin)
+    left = lambda c: F.col(c).rlike("[\\x{80}-\\x{84}\\x{86}-\\x{9f}\\x{fffd}]")
+    return found.filter(F.col("n").isNull() & (won | left("value"))).select(
+        "value", F.when(won & ~left("restored"), F.col("restored")).alias("restored"), F.when(won, F.col("chain")).otherwise(F.lit("")).alias("chain"), F.when(won, F.col("gain")).otherwise(F.lit(0.0)).alias("gain")
+    )
 
 
 def repair(df: DataFrame, id_col: str, fields: list[str]) -> DataFrame:
     """``row_id``, ``field``, ``value``, ``restored``, ``chain``, ``gain``: every damaged field of every row."""
     pairs = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), df[f].alias("value")) for f in fields]))
     cells = df.select(df[id_col].alias("row_id"), pairs.alias("p")).select("row_id", "p.*")
-    values = cut(cells.filter("value <> ''").select("value").distinct())
+    # distinct values are few bytes and much work: as many parts as there are tasks, where the planner would make one; by
+    # the value itself it would take the shuffle of the distinct step for it
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.sparkSession.sparkContext.defaultParallelism)
+    values = cut(cells.filter("value <> ''").select("value").distinct().repartition(parts, F.xxhash64("value")))
     bad = damaged_values(values, train(values))
     return salted_join(cells.filter(r"value rlike '[^\\x00-\\x7F]'"), bad, ["value"], "row_id").select(
         "row_id", "field", "value", "restored", "chain", "gain"

@@ -45,5 +45,26 @@ def test_round_trip_of_every_charset(charset):
         assert model.judge(hurt)[0] == text
 
 
+def test_every_chain_can_damage_and_restore_counts_whole_texts():
+    c = mojibake.chains()
+    hurt = {c.hurt("Città di Valsorbì", k) for k in range(2 * len(mojibake.WRONG) * len(mojibake.RIGHT))}
+    assert len(hurt) > 30 and "CittÃ\xa0 di ValsorbÃ¬" in hurt
+    model = mojibake.Model({}, 0)
+    for g, n in mojibake._grams(CLEAN * 20).items():
+        model.counts[mojibake._bucket(g)] = model.counts.get(mojibake._bucket(g), 0) + n
+        model.total += n if len(g) == 1 else 0
+
+    def score(text):
+        t = f"\x03\x03{text.lower()}\x03".replace("\u200b", "")
+        inner = sum(x.islower() and y.isupper() for x, y in zip(text, text[1:], strict=False) if not y.isascii() or not x.isascii())
+        return sum(model.gram(t[i : i + 3]) for i in range(len(t) - 2)) - 3.0 * inner
+
+    for text in hurt | {x.upper() for x in CLEAN} | {"aÀ", "éB", ""}:
+        for _, new in c.single_steps(text):
+            assert abs((score(new) - score(text)) - (model.cost(text) - model.cost(new))) < 1e-9
+    best = model.restore("CittÃ\xa0 di ValsorbÃ¬")
+    assert best[0] == "Città di Valsorbì" and best[2] > 5 and model.restore("Città di Valsorbì")[2] <= mojibake.MIN_MARGIN
+
+
 def test_empty(spark):
     assert mojibake.repair(spark.createDataFrame([], "rec_id long, nome_ente string, comune string"), "rec_id", FIELDS).count() == 0
