@@ -753,27 +753,52 @@ def sc15_transit_dependency(spark: SparkSession, root: str) -> DataFrame:
     return scoring.transit_dependency(rows, "l_orderkey", "l_suppkey", "own", "share")
 
 
-@query("""WITH RECURSIVE e AS (SELECT DISTINCT l_orderkey AS src, l_partkey AS dst FROM lineitem WHERE l_partkey <= 2000 AND l_orderkey <= 2000),
-s AS (SELECT 1::BIGINT AS url, 0 AS level UNION SELECT dst, level + 1 FROM s JOIN e ON url = src WHERE level < 3) SELECT url, min(level)::INT AS level FROM s GROUP BY 1""")
-def gr1_level_search(spark: SparkSession, root: str) -> DataFrame:
-    edges = table(spark, root, "lineitem").filter("l_partkey <= 2000 and l_orderkey <= 2000").select(F.col("l_orderkey").alias("src"), F.col("l_partkey").alias("dst"), (F.col("l_partkey") % 7).alias("dst_host"), F.col("l_linenumber").alias("ord")).distinct()
-    seeds = spark.createDataFrame([(1, 0)], "url bigint, ord int")
-    return graph.level_search(edges, seeds, 3).select("url", "level")
+def _search_sql(depth: int, cap: int | None = None) -> str:
+    """The search unrolled level by level, each level's queue numbered as a whole."""
+    out = """e AS (SELECT DISTINCT l_orderkey AS src, l_partkey AS dst, l_partkey % 7 AS host, l_linenumber AS ord FROM lineitem),
+l0 AS (SELECT p_partkey AS url, p_partkey AS seed, row_number() OVER (ORDER BY p_partkey) AS place FROM part WHERE p_size = 1), seen0 AS (SELECT url FROM l0), d0 AS (SELECT NULL::BIGINT AS url, NULL::BIGINT AS seed WHERE false)"""
+    for n in range(1, depth + 1):
+        m = n - 1
+        out += f""",
+w{n} AS (SELECT dst AS url, arg_min(seed, struct_pack(a := place, b := ord)) AS seed, min(struct_pack(a := place, b := ord, c := dst)) AS k, any_value(host) AS host FROM e JOIN l{m} ON src = url WHERE dst NOT IN (SELECT url FROM seen{m}) GROUP BY dst),
+f{n} AS (SELECT w{n}.url, coalesce(d{m}.seed, w{n}.seed) AS seed, k, host FROM w{n} LEFT JOIN d{m} ON w{n}.url = d{m}.url),
+t{n} AS (SELECT *, row_number() OVER (PARTITION BY host ORDER BY k) AS turn, min(k) OVER (PARTITION BY host) AS first, count(*) OVER () AS n FROM f{n}),
+o{n} AS (SELECT *, CASE WHEN n > {cap or "n"} THEN row_number() OVER (ORDER BY turn, first) ELSE row_number() OVER (ORDER BY k) END AS place FROM t{n}),
+l{n} AS (SELECT url, seed, place FROM o{n} WHERE place <= {cap or "n"}), seen{n} AS (SELECT url FROM seen{m} UNION ALL SELECT url FROM l{n}),
+d{n} AS (SELECT url, seed FROM o{n} WHERE place > {cap or "n"} UNION SELECT url, seed FROM d{m})"""
+    return f"WITH {out} " + " UNION ALL ".join(f"SELECT url, {n} AS level, seed FROM l{n}" for n in range(depth + 1))
+
+
+def _links(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    edges = table(spark, root, "lineitem").select(F.col("l_orderkey").alias("src"), F.col("l_partkey").alias("dst"), (F.col("l_partkey") % 7).alias("dst_host"), F.col("l_linenumber").alias("ord")).distinct()
+    return edges, table(spark, root, "part").filter("p_size = 1").select(F.col("p_partkey").alias("url"), F.col("p_partkey").alias("ord"))
 
 
-@query()
-def gr1_whole_search(spark: SparkSession, root: str) -> DataFrame:
-    """The search over all links from all seeds; ``gr1_level_search`` is the sample of it that recursive SQL can follow."""
-    edges = table(spark, root, "lineitem").select(F.col("l_orderkey").alias("src"), F.col("l_partkey").alias("dst"), (F.col("l_partkey") % 7).alias("dst_host"), F.col("l_linenumber").alias("ord")).distinct()
-    seeds = table(spark, root, "part").filter("p_size = 1").select(F.col("p_partkey").alias("url"), F.col("p_partkey").alias("ord"))
-    return graph.level_search(edges, seeds, 3)
+@query(_search_sql(3))
+def gr1_level_search(spark: SparkSession, root: str) -> DataFrame:
+    """The search over all links from all seeds, with the seed that each page comes from."""
+    return graph.level_search(*_links(spark, root), 3)
 
 
-@query()
+@query(_search_sql(3, 100))
 def gr1_capped_search_with_origin(spark: SparkSession, root: str) -> DataFrame:
-    edges = table(spark, root, "lineitem").select(F.col("l_orderkey").alias("src"), F.col("l_partkey").alias("dst"), (F.col("l_partkey") % 7).alias("dst_host"), F.col("l_linenumber").alias("ord")).distinct()
-    seeds = table(spark, root, "part").filter("p_size = 1").select(F.col("p_partkey").alias("url"), F.col("p_partkey").alias("ord"))
-    return graph.level_search(edges, seeds, 2, level_cap=100)
+    return graph.level_search(*_links(spark, root), 3, level_cap=100)
+
+
+@query("""WITH RECURSIVE s AS (SELECT l_orderkey AS t, l_linenumber AS n, min(l_returnflag) AS g, max(CASE WHEN l_quantity > 25 THEN 1 ELSE 0 END) AS new FROM lineitem WHERE l_linenumber BETWEEN 1 AND 6 GROUP BY 1, 2),
+r AS (SELECT DISTINCT t, 0::BIGINT AS n, 0::BIGINT AS idle, NULL::VARCHAR AS g, 0::BIGINT AS pages, 0::BIGINT AS last, 0::BIGINT AS useful FROM s
+UNION ALL SELECT r.t, r.n + 1, CASE WHEN s.new > 0 AND s.g IS DISTINCT FROM r.g THEN 0 ELSE r.idle + 1 END, coalesce(s.g, r.g), r.pages + CASE WHEN s.t IS NULL THEN 0 ELSE 1 END, CASE WHEN s.t IS NULL THEN r.last ELSE r.n + 1 END, r.useful + CASE WHEN s.new > 0 AND s.g IS DISTINCT FROM r.g THEN 1 ELSE 0 END
+FROM r LEFT JOIN s ON s.t = r.t AND s.n = r.n + 1 WHERE r.n < 6 AND r.idle < 2)
+SELECT t AS l_orderkey, max(pages) AS pages, max(last) AS last, max(useful) AS useful FROM r GROUP BY 1 HAVING max(pages) > 0""")
+def gr4_pagination_runs(spark: SparkSession, root: str) -> DataFrame:
+    pages_ = table(spark, root, "lineitem").withColumn("new", (F.col("l_quantity") > 25).cast("int"))
+    return graph.pagination_runs(pages_, "l_orderkey", "l_linenumber", "l_returnflag", "new", max_pages=6)
+
+
+@query(f"""SELECT rec_id, h <> '' AND (h = 'sportello-condiviso.example' OR ends_with(h, '.sportello-condiviso.example') OR string_split(h, '.')[-1] = 'example') AND NOT (h = 'www.sportello-condiviso.example' OR ends_with(h, '.www.sportello-condiviso.example')) AS inside FROM (SELECT rec_id, rtrim({_BARE_SQL.format('hostname')}, '.') AS h FROM site_records)""")
+def fl12_perimeter(spark: SparkSession, root: str) -> DataFrame:
+    inside = graph.in_perimeter(F.rtrim(_bare(F.col("hostname")), F.lit(".")), ["sportello-condiviso.example"], ["example"], ["www.sportello-condiviso.example"])
+    return table(spark, root, RECORDS).select("rec_id", inside.alias("inside"))
 
 
 # -- functions

@@ -115,8 +115,59 @@ def test_level_search(spark):
     allowed = spark.createDataFrame([("a",)], "url string")
     assert {r["url"] for r in graph.level_search(e, seeds, 3, allowed=allowed).collect()} == {"s", "t", "a"}
     assert {r["url"] for r in graph.level_search(e, seeds, 1, level_cap=1).collect()} == {"s", "t", "a"}
-    pages = spark.createDataFrame([("t", 1, "x"), ("t", 2, "y"), ("t", 3, "y"), ("t", 4, "z")], "t string, n int, d string")
-    assert tuple(graph.pagination_runs(pages, "t", "n", "d").first()) == ("t", 2, 2)
+    order = [("a", "p", 5), ("b", "q", 1), ("p", "x", 0), ("q", "x", 0), ("q", None, 1)]
+    two = graph.level_search(spark.createDataFrame([(x, y, y, o) for x, y, o in order], "src string, dst string, dst_host string, ord int"), spark.createDataFrame([("a", 0), ("b", 1), ("a", 9)], "url string, ord int"), 2)
+    assert {tuple(r) for r in two.collect()} == {("a", 0, "a"), ("b", 0, "b"), ("p", 1, "a"), ("q", 1, "b"), ("x", 2, "a")}
+    inside = spark.createDataFrame([("a.b.it", True), ("b.it", True), ("x.gov", True), ("no.b.it", False), ("c.it", False), (None, False), ("", False)], "h string, e boolean")
+    assert inside.filter(graph.in_perimeter(F.col("h"), ["b.it"], ["gov"], ["no.b.it"]) != F.col("e")).isEmpty()
+
+
+def queue_search(links, seeds, depth, cap=None, sig=None, cap_sig=None):
+    """The search with a queue; links are (src, dst, host, ord)."""
+    out = {}
+    for u in seeds:
+        out.setdefault(u, (0, u))
+    queue, origin, counts = list(out), {u: u for u in out}, {}
+    for level in range(1, depth + 1):
+        upcoming = {}
+        for page in queue:
+            for _, dst, host, _ in sorted((x for x in links if x[0] == page), key=lambda x: (x[3], x[1])):
+                if dst in out or dst in upcoming:
+                    continue
+                origin.setdefault(dst, origin[page])
+                if cap_sig and counts.get(sig(dst), 0) >= cap_sig:
+                    continue
+                counts[sig(dst) if sig else dst] = counts.get(sig(dst) if sig else dst, 0) + 1
+                upcoming[dst] = host
+        queue = list(upcoming)
+        if cap and len(queue) > cap:
+            hosts = {}
+            for u in queue:
+                hosts.setdefault(upcoming[u], []).append(u)
+            queue = [us[i] for i in range(len(queue)) for us in hosts.values() if i < len(us)][:cap]
+        out |= {u: (level, origin[u]) for u in queue}
+    return out
+
+
+@pytest.mark.parametrize(("cap", "sig"), [(None, None), (7, None), (None, 3), (5, 2)])
+def test_search_against_a_queue(spark, cap, sig):
+    import random
+
+    rng = random.Random(sum(map(ord, f"{cap}{sig}")))
+    url = lambda n: f"https://h{n % 5}.it/{'abc'[n % 3]}/{n}"
+    links = sorted({(url(rng.randrange(120)), url(rng.randrange(120)), None, i) for i in range(330)}, key=lambda x: x[3])
+    links = [(s, d, d.split("/")[2], o) for s, d, _, o in links]
+    seeds = [url(n) for n in (3, 50, 7)]
+    e = spark.createDataFrame(links, "src string, dst string, dst_host string, ord int")
+    got = graph.level_search(e, spark.createDataFrame(list(zip(seeds, range(3))), "url string, ord int"), 4, level_cap=cap, signature_cap=sig)
+    template = lambda u: u.rsplit("/", 1)[0]
+    assert {r["url"]: (r["level"], r["seed"]) for r in got.collect()} == queue_search(links, seeds, 4, cap, template, sig)
+
+
+def test_pagination(spark):
+    rows = [("t", 1, "x", 2), ("t", 2, "y", 1), ("t", 3, "y", 1), ("t", 4, "z", 1), ("t", 5, "w", 0), ("t", 6, "v", 0), ("t", 7, "u", 9), ("g", 1, "a", 1), ("g", 4, "b", 1), ("e", 1, "a", 0), ("e", 2, "b", None), ("e", 3, "c", 5), ("l", 2, "a", 1), ("l", 2, "a", 1), (None, 1, "a", 1)]
+    got = graph.pagination_runs(spark.createDataFrame(rows, "t string, n int, d string, k int"), "t", "n", "d", "k")
+    assert {tuple(r) for r in got.collect()} == {("t", 6, 6, 3), ("g", 1, 1, 1), ("e", 2, 2, 0), ("l", 1, 2, 1)}
 
 
 def test_traps_and_signatures(spark):
@@ -130,26 +181,6 @@ def test_traps_and_signatures(spark):
     assert reached(signature_cap=2) == everything - {"p/3", "p/4", "q?id=3", "r"}
 
 
-def test_whole_search_against_brute_force(spark, tmp_path):
-    links = {(1 + i * 37 % 9000, 1 + i * i * 13 % 9000, i % 7) for i in range(12_000)}
-    sizes = [(k, 1 if k % 50 == 0 else 2) for k in range(1, 9001)]
-    spark.createDataFrame(sorted(links), "l_orderkey long, l_partkey long, l_linenumber int").write.parquet(f"{tmp_path}/lineitem.parquet")
-    spark.createDataFrame(sizes, "p_partkey long, p_size int").write.parquet(f"{tmp_path}/part.parquet")
-    seen = {k: (0, k) for k, size in sizes if size == 1}
-    orders = {k: k for k in seen}
-    frontier = set(seen)
-    for level in (1, 2, 3):
-        found = {}
-        for src, dst, ord_ in links:
-            if src in frontier and dst not in seen:
-                found.setdefault(dst, []).append(((orders[src], ord_), seen[src][1], ord_))
-        seen |= {dst: (level, min(ways)[1]) for dst, ways in found.items()}
-        orders |= {dst: min(w[2] for w in ways) for dst, ways in found.items()}
-        frontier = set(found)
-    got = {r["url"]: r["level"] for r in analytics.gr1_whole_search(spark, str(tmp_path)).collect()}
-    assert got == {url: level for url, (level, _) in seen.items()} and max(got) > 2000 and max(got.values()) == 3
-
-
 def test_statuses_of_every_host(spark, tmp_path):
     rows = [
         ("a", 500, None), ("a", None, "tls:scaduto"), ("b", 404, None), ("c", None, None), ("d", None, "timeout"), ("d", None, "dns:nxdomain"), ("e", None, "dns:nxdomain"),
