@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 from urllib.parse import urljoin
 
@@ -171,6 +171,123 @@ def page_evidence(df: DataFrame, id_col: str, url_col: str, html_col: str, body_
     return src.mapInPandas(run, _EVIDENCE)
 
 
+class _Node:
+    __slots__ = ("attrs", "children", "parent", "parts", "tag")
+
+    def __init__(self, tag: str, attrs: dict, parent: _Node | None) -> None:
+        self.tag, self.attrs, self.parent, self.children, self.parts = tag, attrs, parent, [], []
+
+
+class _Tree(HTMLParser):
+    """A page as a tree of elements; ``parts`` holds texts and children in order."""
+
+    def __init__(self) -> None:
+        super().__init__(convert_charrefs=True)
+        self.root = self.at = _Node("", {}, None)
+
+    def handle_starttag(self, tag: str, attrs: list) -> None:
+        node = _Node(tag, {k: v or "" for k, v in attrs}, self.at)
+        self.at.children.append(node)
+        self.at.parts.append(node)
+        if tag not in _VOID:
+            self.at = node
+
+    def handle_endtag(self, tag: str) -> None:
+        node = self.at
+        while node is not self.root and node.tag != tag:
+            node = node.parent
+        if node is not self.root:
+            self.at = node.parent
+
+    def handle_data(self, data: str) -> None:
+        self.at.parts.append(data)
+
+
+def _text_of(node: _Node) -> str:
+    out, todo = [], [node]
+    while todo:
+        x = todo.pop()
+        if isinstance(x, str):
+            out.append(x)
+        else:
+            todo += reversed(x.parts)
+    return _squeeze("".join(out))
+
+
+def _below(node: _Node) -> Iterator[_Node]:
+    todo = list(reversed(node.children))
+    while todo:
+        x = todo.pop()
+        yield x
+        todo += reversed(x.children)
+
+
+_STEP = re.compile(r"([A-Za-z][\w-]*|\*)?((?:[.#][\w-]+|\[[\w-]+(?:=['\"]?[^'\"\]]*['\"]?)?\])*)")
+_TEST = re.compile(r"([.#])([\w-]+)|\[([\w-]+)(?:=['\"]?([^'\"\]]*)['\"]?)?\]")
+
+
+def _selector(text: str) -> tuple[list[Callable[[_Node], bool]], str | None]:
+    """(tests of the steps from the outside in, attribute to take or None) of a selector: tags, classes, ids and attributes
+    in descendant steps, with ``::attr(name)`` or ``::text`` at its end."""
+    path, _, end = text.partition("::")
+    attr = re.fullmatch(r"attr\(([\w-]+)\)", end.strip()) if end else None
+    if end and not attr and end.strip() != "text":
+        raise ValueError(f"selector not understood: {text}")
+    tests = []
+    for step in path.split():
+        m = _STEP.fullmatch(step)
+        if not m or not step:
+            raise ValueError(f"selector not understood: {text}")
+        tag = (m[1] or "*").lower()
+        parts = [(k, v, a, w) for k, v, a, w in _TEST.findall(m[2] or "")]
+
+        def fits(node: _Node, tag: str = tag, parts: list = parts) -> bool:
+            return (tag in ("*", node.tag)) and all(
+                (v in node.attrs.get("class", "").split() if k == "." else node.attrs.get("id") == v) if k else a in node.attrs and (not w or node.attrs[a] == w) for k, v, a, w in parts
+            )
+
+        tests.append(fits)
+    return tests, attr[1] if attr else None
+
+
+def _select(node: _Node, tests: list[Callable[[_Node], bool]]) -> Iterator[_Node]:
+    """Elements below ``node`` that the last step fits, with ancestors below ``node`` for the others, in document order."""
+    for x in _below(node):
+        if not tests[-1](x):
+            continue
+        left, up = len(tests) - 1, x.parent
+        while left and up is not node and up is not None:
+            left -= tests[left - 1](up)
+            up = up.parent
+        if not left:
+            yield x
+
+
+def select_fields(df: DataFrame, id_col: str, html_col: str, item: str, fields: dict[str, str]) -> DataFrame:
+    """``page_id``, ``position`` and a column per field: one row per element that the selector ``item`` fits, in order.
+
+    Each field is the text, or with ``::attr(name)`` an attribute, of the first element inside the item that its selector
+    fits; of the item itself for a bare ``::attr(name)``; '' where there is none.
+    """
+    items, _ = _selector(item)
+    parsed = {n: _selector(s) if not s.startswith("::") else ([], _selector(f"*{s}")[1]) for n, s in fields.items()}
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = []
+            for i, text in zip(b["page_id"], b["html"], strict=True):
+                tree = _Tree()
+                tree.feed(text or "")
+                tree.close()
+                for n, node in enumerate(_select(tree.root, items)):
+                    found = [(next(_select(node, tests), None) if tests else node, attr) for tests, attr in parsed.values()]
+                    rows.append((i, n, *["" if x is None else x.attrs.get(attr, "") if attr else _text_of(x) for x, attr in found]))
+            yield pd.DataFrame(rows, columns=["page_id", "position", *fields])
+
+    shape = "page_id bigint, position int, " + ", ".join(f"`{f}` string" for f in fields)
+    return df.select(df[id_col].cast("bigint").alias("page_id"), df[html_col].alias("html")).mapInPandas(run, shape)
+
+
 def select_items(df: DataFrame, id_col: str, html_col: str, item_tag: str, item_class: str | None = None) -> DataFrame:
     """``page_id``, ``position``, ``text``, ``href``: one row per element of a tag (and class) with its text and first link."""
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestrata.functions.urls import is_ipv4
@@ -27,6 +30,7 @@ ERROR_CLASSES = [
     ("handshake", "tls_fallito"), ("certificateerror", "tls_fallito"), ("ipdefinederror", "ip_non_pubblico"), ("asnregistryerror", "registro_asn_sconosciuto"),
     ("httplookuperror", "lookup_http_fallito"), ("403", "bloccato_http"), ("406", "bloccato_http"), ("503", "bloccato_http"), ("forbidden", "bloccato_http"),
 ]
+#: Classes of errors after which a new try is worthwhile, and protocols that are weak.
 RETRYABLE = ("rate_limited", "timeout", "connessione_rifiutata", "lookup_http_fallito")
 WEAK_PROTOCOLS = ("SSLv2", "SSLv3", "TLSv1", "TLSv1.1", "TLS 1.0", "TLS 1.1")
 #: Countries of the European Economic Area.
@@ -51,7 +55,7 @@ def dmarc_policy(txt: Column) -> Column:
 
 def mail_hosts(mx: Column) -> Column:
     """Hosts of MX answers such as ``10 mail.example.``, null MX left out, by preference."""
-    parsed = F.transform(mx, lambda m: F.struct(F.regexp_extract(m, r"^(\d+)", 1).cast("int").alias("n"), F.rtrim(F.lower(F.regexp_extract(m, r"^\d+\s+(\S*)\z", 1)), F.lit(".")).alias("h")))
+    parsed = F.transform(mx, lambda m: F.struct(F.regexp_extract(m, r"^(\d+)", 1).try_cast("int").alias("n"), F.rtrim(F.lower(F.regexp_extract(m, r"^\d+\s+(\S*)\z", 1)), F.lit(".")).alias("h")))
     return F.transform(F.filter(F.array_sort(parsed), lambda p: p["h"] != ""), lambda p: p["h"])
 
 
@@ -158,6 +162,47 @@ def page_status(error: Column, status: Column) -> Column:
 STATUS_PRIORITY = ("ok", "blocked", "tls_error", "timeout", "dns_error", "http_error", "no_answer")
 
 
-def robots_allows(status: Column, error: Column) -> Column:
-    """Fetch allowed by the robots answer alone: none or 4xx yes, 5xx no, network error yes; 2xx is for the rules (null)."""
-    return F.when(F.coalesce(error, F.lit("")) != "", F.lit(True)).when(status.between(400, 499), F.lit(True)).when(status >= 500, F.lit(False)).when(status.isNull(), F.lit(True))
+_ROBOTS = "row_id bigint, allowed boolean, delay double, note string"
+
+
+def robots_decisions(df: DataFrame, id_col: str, url_col: str, status_col: str, error_col: str, text_col: str, agent: str, max_delay: float = 60.0) -> DataFrame:
+    """``row_id``, ``allowed``, ``delay``, ``note`` of every URL, by its site's captured robots answer: no answer, an error of
+    the network and anything but 2xx and 5xx allow, 5xx forbids, 2xx goes by the rules for ``agent``, whose delay is kept
+    within 0 and ``max_delay``; rules that can't be read, and URLs that aren't http(s), allow."""
+    from functools import lru_cache
+    from urllib.parse import urlsplit
+    from urllib.robotparser import RobotFileParser
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        @lru_cache(maxsize=10_000)
+        def rules(text: str) -> RobotFileParser:
+            parser = RobotFileParser()
+            parser.parse(text.splitlines())
+            return parser
+
+        def decide(url: str | None, status: float, error: str | None, text: str | None) -> tuple[bool, float, str]:
+            try:
+                parts = urlsplit(url or "")
+            except ValueError:
+                return True, 0.0, ""
+            if parts.scheme not in ("http", "https") or not parts.netloc:
+                return True, 0.0, ""
+            if error or pd.isna(status):
+                return True, 0.0, "unreachable"
+            if 500 <= status < 600:
+                return False, 0.0, "server error"
+            if not 200 <= status < 300:
+                return True, 0.0, "none"
+            try:
+                parser = rules(text or "")
+                allowed, delay = parser.can_fetch(agent, url), float(parser.crawl_delay(agent) or 0.0)
+            except ValueError:
+                return True, 0.0, ""
+            return allowed, min(max(delay, 0.0), max_delay), "" if allowed else "forbidden"
+
+        for b in batches:
+            rows = [(i, *decide(u, s, e, t)) for i, u, s, e, t in zip(b["row_id"], b["url"], b["status"], b["error"], b["text"], strict=True)]
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in _ROBOTS.split(", ")])
+
+    src = df.select(df[id_col].cast("bigint").alias("row_id"), df[url_col].alias("url"), df[status_col].cast("double").alias("status"), df[error_col].alias("error"), df[text_col].alias("text"))
+    return src.mapInPandas(run, _ROBOTS)

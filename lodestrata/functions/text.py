@@ -36,7 +36,12 @@ def cell_text(value: Column) -> Column:
     """A spreadsheet number as text: whole numbers without decimals; null for NaN."""
     d = value.cast("double")
     whole = d == F.floor(d)
-    return F.when(d.isNull() | F.isnan(d), F.lit(None)).when(whole & (F.abs(d) < 1e15), d.cast("bigint").cast("string")).otherwise(d.cast("string"))
+    plain = F.regexp_replace(d.cast("decimal(38,9)").cast("string"), r"(?<=\.\d{1,9})0+\z", "")
+    near = (F.abs(d) >= 1e-3) & (F.abs(d) < 1e7)
+    return (
+        F.when(d.isNull() | F.isnan(d), F.lit(None)).when(whole & (F.abs(d) < 1e15), d.cast("bigint").cast("string"))
+        .when(near | (F.abs(d) >= 1e15), d.cast("string")).otherwise(plain)
+    )
 
 
 def list_text(values: Column) -> Column:
@@ -107,3 +112,8 @@ def plain_contact(text: Column) -> Column:
 def lookup(value: Column, table: dict[str, str], default: str) -> Column:
     pairs = F.create_map(*[F.lit(x) for kv in table.items() for x in kv])
     return F.coalesce(F.try_element_at(pairs, value), F.lit(default))
+
+
+def same_text(a: Column, b: Column) -> Column:
+    """Whether two texts are equal apart from case, accents, punctuation and white space; null equals the empty text."""
+    return fold(a) == fold(b)

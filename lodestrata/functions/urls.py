@@ -21,11 +21,22 @@ TRACKING_PREFIX = ("utm_", "mtm_", "pk_", "hsa_", "vero_")
 PUBLIC_SUFFIXES = ("co.uk", "gov.uk", "org.uk", "ac.uk", "gov.it", "edu.it", "gouv.fr", "asso.fr", "gob.es", "com.es", "org.es", "gov.pt", "com.pt", "gov.pl", "com.pl", "org.pl", "edu.pl", "gov.gr", "com.gr", "gov.ie", "com.ro", "gov.ro", "co.at", "gv.at", "or.at")
 #: Domains that are infrastructure under any page, by suffix, and root labels that are so under any TLD.
 INFRASTRUCTURE = (
-    "adobe.com microsoft.com office.com apple.com mozilla.org oracle.com zoom.us github.com gitlab.com w3.org wordpress.org wordpress.com joomla.org drupal.org typo3.org "
-    "creativecommons.org schema.org whatsapp.com telegram.org cloudflare.com cloudfront.net akamaized.net fastly.net googleapis.com gstatic.com googletagmanager.com "
-    "google-analytics.com doubleclick.net recaptcha.net addthis.com addtoany.com disqus.com gravatar.com fontawesome.com jsdelivr.net unpkg.com bootstrapcdn.com jquery.com "
-    "hotjar.com vimeo.com issuu.com flickr.com bing.com yahoo.com openstreetmap.org facebook.com instagram.com twitter.com x.com linkedin.com youtube.com tiktok.com "
-    "pinterest.com reddit.com xing.com threads.net bsky.app twitch.tv medium.com wikipedia.org wikimedia.org wikidata.org archive.org bit.ly t.co goo.gl tinyurl.com youtu.be t.me wa.me"
+    # software
+    "adobe.com acrobat.com microsoft.com office.com live.com microsoftonline.com apple.com mozilla.org mozilla.com oracle.com java.com zoom.us skype.com dropbox.com slack.com atlassian.net "
+    "github.com gitlab.com sourceforge.net "
+    # standards and site software
+    "w3.org wordpress.org wordpress.com wp.com joomla.org drupal.org typo3.org creativecommons.org schema.org whatwg.org opensource.org "
+    # stores and messages
+    "whatsapp.com telegram.org telegram.me signal.org play.google.com apps.apple.com itunes.apple.com "
+    # delivery and widgets
+    "cloudflare.com cloudfront.net akamaihd.net akamaized.net fastly.net googleapis.com gstatic.com googleusercontent.com googletagmanager.com google-analytics.com doubleclick.net recaptcha.net "
+    "addthis.com sharethis.com addtoany.com disqus.com gravatar.com fontawesome.com jsdelivr.net unpkg.com bootstrapcdn.com jquery.com hotjar.com matomo.cloud statcounter.com "
+    "vimeo.com soundcloud.com spotify.com issuu.com scribd.com slideshare.net flickr.com giphy.com imgur.com bing.com yahoo.com duckduckgo.com openstreetmap.org maps.app.goo.gl "
+    # social
+    "facebook.com fb.com instagram.com twitter.com x.com linkedin.com youtube.com tiktok.com pinterest.com reddit.com tumblr.com xing.com snapchat.com threads.net mastodon.social bsky.app "
+    "bsky.social twitch.tv medium.com wikipedia.org wikimedia.org wikidata.org archive.org "
+    # short links
+    "bit.ly t.co goo.gl tinyurl.com ow.ly is.gd buff.ly lnkd.in cutt.ly rebrand.ly rb.gy shorturl.at t.ly s.id tiny.cc youtu.be fb.me wa.me t.me amzn.to linktr.ee lnk.bio smarturl.it"
 ).split()
 INFRASTRUCTURE_LABELS = "google facebook youtube twitter instagram linkedin microsoft apple whatsapp tiktok cloudflare amazonaws".split()
 #: File endings that are no pages.
@@ -279,9 +290,9 @@ def redact_secrets(text: Column) -> Column:
 
 
 def site_variants(host: Column) -> Column:
-    """The ways an official site may be written: http(s), with and without www, with and without slash."""
+    """The ways an official site may be written: http(s), with and without www, with and without slash; none for no host."""
     bare = F.regexp_replace(_nz(host), r"^www\.", "")
-    hosts = F.array(bare, F.concat(F.lit("www."), bare))
+    hosts = F.when(bare == "", F.array().cast("array<string>")).otherwise(F.array(bare, F.concat(F.lit("www."), bare)))
     return F.flatten(F.transform(hosts, lambda h: F.array(*[F.concat(F.lit(f"{s}://"), h, F.lit(e)) for s in ("https", "http") for e in ("", "/")])))
 
 
@@ -292,3 +303,15 @@ def candidate_urls(host: Column, limit: int = 4) -> Column:
     hosts = F.array(_nz(host), other)
     every = F.concat(F.transform(hosts, lambda h: F.concat(F.lit("https://"), h, F.lit("/"))), F.transform(hosts, lambda h: F.concat(F.lit("http://"), h, F.lit("/"))))
     return F.slice(F.array_distinct(every), 1, limit)
+
+
+def plausible_site(host: Column, blocked: list[str]) -> Column:
+    """Whether a host can be an entity's own site: given, and on or below no domain of the block list."""
+    return (_nz(host) != "") & ~(in_domain_list(host, blocked) if blocked else F.lit(False))
+
+
+def first_and_rest(values: Column, observed: Column | None = None) -> Column:
+    """``first`` of a list of hosts, and the ``rest`` after those already observed, each once, in order."""
+    others = F.slice(values, 2, F.greatest(F.size(values), F.lit(1)))
+    rest = F.array_distinct(F.concat(observed, others)) if observed is not None else others
+    return F.struct(F.try_element_at(values, F.lit(1)).alias("first"), rest.alias("rest"))

@@ -28,26 +28,40 @@ def shared_dir(spark: SparkSession) -> str:
     return "file://" + _own[app]
 
 
+def folder(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, which ``release`` deletes with all that begins with it."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
+
+
 def cut(df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: later stages restart from there.
 
     Used where several branches need one expensive result; an executor lost afterwards costs no recomputation.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/lodestrata-{uuid.uuid4().hex}"
+    path = folder(spark, "lodestrata")
     writer = df.write.option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> int:
-    """Deletes the tables written by ``cut`` so far; call it when their results have been stored. Returns their number."""
+def release(spark: SparkSession, since: int = 0) -> int:
+    """Deletes what was written to the shared folder so far, or since ``mark`` gave that number; call it when the results
+    that read it have been stored. Returns the number of paths."""
     jvm = spark.sparkContext._jvm
-    n = len(_written)
-    while _written:
-        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    n = len(_written) - since
+    while len(_written) > since:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop() + "*")
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        for found in fs.globStatus(path) or []:
+            fs.delete(found.getPath(), True)
     return n
+
+
+def mark() -> int:
+    """Where ``release`` is to stop: what is written before stays."""
+    return len(_written)

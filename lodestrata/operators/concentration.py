@@ -9,7 +9,7 @@ group has an index of 0.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestrata.functions.bands import coverage_band, hhi_band, percent
@@ -89,4 +89,5 @@ def presence_summary(df: DataFrame, cell: Column) -> DataFrame:
 def shares(df: DataFrame, key: str) -> DataFrame:
     """Per key its count and percentage of all rows."""
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    return counts.select(key, "n", percent(F.col("n"), F.sum("n").over(Window.partitionBy())).alias("pct"))
+    total = counts.agg(F.sum("n").alias("__total"))
+    return counts.join(F.broadcast(total)).select(key, "n", percent(F.col("n"), F.col("__total")).alias("pct"))

@@ -96,6 +96,19 @@ def canonical_value(value: object, members: tuple[str, ...] = ()) -> str | None:
     return str(value) if isinstance(value, int) else json.dumps(value, sort_keys=True, ensure_ascii=False)
 
 
+@lru_cache(maxsize=100_000)
+def _scalar_texts(kind: type, value: object) -> tuple[str, ...]:
+    if kind is bool or kind is str and value.strip().lower() in ("true", "false"):
+        return ("?",)
+    text = canonical_value(value)
+    if _EITHER.fullmatch(text):
+        return (f"={re.sub('[.,]', '', text)}", f"={text.replace(',', '.')}")
+    if re.fullmatch(r"[+-]?\d+(?:\.\d+)?(?:e[+-]?\d+)?", text):
+        return (f"={text}",)
+    shape = re.sub(r"\d+", "#", text.lower())
+    return (shape if len(shape) <= PRINTS else f"{len(shape)}:{zlib.crc32(shape.encode('utf-8', 'surrogatepass'))}",)
+
+
 def _texts(value: object) -> Iterator[str]:
     """What a value is recognised by: ``=`` and a number, ``?`` for a flag, the shape of a text, names of members."""
     if isinstance(value, dict):
@@ -108,35 +121,29 @@ def _texts(value: object) -> Iterator[str]:
             yield from _texts(".".join(map(str, value)))
         for x in value:
             yield from _texts(x)
-    elif isinstance(value, bool) or isinstance(value, str) and value.strip().lower() in ("true", "false"):
-        yield "?"
     elif value is not None:
-        text = canonical_value(value)
-        if _EITHER.fullmatch(text):
-            yield from (f"={re.sub('[.,]', '', text)}", f"={text.replace(',', '.')}")
-        elif re.fullmatch(r"[+-]?\d+(?:\.\d+)?(?:e[+-]?\d+)?", text):
-            yield f"={text}"
-        else:
-            shape = re.sub(r"\d+", "#", text.lower())
-            yield shape if len(shape) <= PRINTS else f"{len(shape)}:{zlib.crc32(shape.encode('utf-8', 'surrogatepass'))}"
+        yield from _scalar_texts(type(value), value)
 
 
 def _print(value: object) -> list[str]:
     texts = set(_texts(value))
-    return sorted(texts, key=lambda t: (zlib.crc32(t.encode("utf-8", "surrogatepass")), t))[:PRINTS]
+    return list(texts) if len(texts) < 2 else sorted(texts, key=lambda t: (zlib.crc32(t.encode("utf-8", "surrogatepass")), t))[:PRINTS]
+
 
+def prints_of(fields: dict) -> dict[str, list[str]]:
+    """Key -> print of its value."""
+    return {k.replace(SEP, " "): _print(v) for k, v in fields.items()}
 
-def schema_of(fields: dict) -> dict[str, list]:
-    """Path -> [alternative, print] of every member; elements of one array share a path and join their alternatives."""
-    out: dict[str, list] = {}
+
+def schema_of(fields: dict) -> dict[str, str | None]:
+    """Path -> alternative of every member; elements of one array share a path and join their alternatives."""
+    out: dict[str, str | None] = {}
 
     def walk(path: str, value: object) -> None:
         t = json_type(value)
-        if path in out and path.endswith(ELEMENT) or path in out and f"{SEP}{ELEMENT}{SEP}" in path:
-            t = "|".join(sorted({x for x in (out[path][0] or "").split("|") + [t or ""] if x})) or None
-            out[path][0] = t
-        else:
-            out[path] = [t, _print(value) if SEP not in path else []]
+        if path in out and (path.endswith(ELEMENT) or f"{SEP}{ELEMENT}{SEP}" in path):
+            t = "|".join(sorted({x for x in (out[path] or "").split("|") + [t or ""] if x})) or None
+        out[path] = t
         if isinstance(value, dict):
             for k, v in value.items():
                 walk(f"{path}{SEP}{k}", v)
@@ -182,7 +189,7 @@ def agreement(a: list[str], b: list[str]) -> float:
     return best
 
 
-Schema = dict[str, list]
+Schema = dict[str, str | None]
 
 
 def _levels(schema: Schema) -> dict[str, dict[str, str]]:
@@ -198,6 +205,8 @@ def compare(before: Schema, after: Schema, names: dict[str, str]) -> tuple[list[
     """Changes (path, change) between two schemas, and old path by new path of the fields that go on.
 
     ``names`` maps names to the field they stand for; a name that it lacks stands for itself."""
+    if before.keys() == after.keys():
+        return [], dict(zip(after, after, strict=True))
     old_levels, new_levels = _levels(before), _levels(after)
     changes, onward, todo = [], {}, [("", "")]
     while todo:
@@ -214,7 +223,7 @@ def compare(before: Schema, after: Schema, names: dict[str, str]) -> tuple[list[
                 changes.append((path, "renamed"))
                 left.discard(source)
             onward[path] = old[source]
-            if before[old[source]][0] == after[path][0] and after[path][0] in ("object", "array"):
+            if before[old[source]] == after[path] and after[path] in ("object", "array"):
                 todo.append((old[source], path))
         changes += [(old[k], "removed") for k in sorted(left)]
     return changes, onward
@@ -225,23 +234,25 @@ def _schemas(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         objects = [read_object(p) for p in batch.pop("payload")]
         batch["readable"] = [o is not None for o in objects]
         batch["schema"] = [None if o is None else json.dumps(schema_of(o)) for o in objects]
+        batch["prints"] = [None if o is None else json.dumps(prints_of(o)) for o in objects]
         yield batch
 
 
 def file_schemas(df: DataFrame, id_col: str, series_col: str, time_col: str, payload_col: str) -> DataFrame:
-    """``series``, ``at``, ``file_id``, ``readable``, ``schema``: every file's alternatives by path, as JSON; written once."""
+    """``series``, ``at``, ``file_id``, ``readable``, ``schema``, ``prints``: every file's alternatives by path and prints by key,
+    as JSON; written once."""
     files = df.select(
         F.coalesce(df[series_col].cast("string"), F.lit("")).alias("series"), df[time_col].alias("at"), df[id_col].alias("file_id"), df[payload_col].alias("payload")
     )
     types = {f.name: f.dataType.simpleString() for f in files.schema.fields}
-    return cut(files.mapInPandas(_schemas, f"series string, at {types['at']}, file_id {types['file_id']}, readable boolean, schema string"))
+    return cut(files.mapInPandas(_schemas, f"series string, at {types['at']}, file_id {types['file_id']}, readable boolean, schema string, prints string"))
 
 
-def _ranged(schemas: DataFrame, partitions: int | None) -> DataFrame:
+def _ranged(schemas: DataFrame, partitions: int | None, column: str) -> DataFrame:
     key = ["series", "at", "file_id"]
-    good = schemas.filter("readable")
+    good = schemas.filter("readable").select(*key, column)
     ranged = good.repartitionByRange(partitions, *key) if partitions else good.repartitionByRange(*key)
-    return ranged.sortWithinPartitions(*key).select("series", "file_id", "schema")
+    return ranged.sortWithinPartitions(*key).select("series", "file_id", column)
 
 
 # -- which names are one field
@@ -268,10 +279,6 @@ class _Handovers:
         return [(a, b, n, self.compared[a, b], self.agreed[a, b], name_likeness(a, b)) for (a, b), n in self.pairs.items()]
 
 
-def _prints(schema: Schema) -> dict[str, list[str]]:
-    return {k: v[1] for k, v in schema.items() if SEP not in k}
-
-
 _PAIRS = "a string, b string, n bigint, compared bigint, agreed double, likeness double"
 _HAND = "kind string, series string, part bigint, state string, " + _PAIRS
 
@@ -286,8 +293,8 @@ def _handovers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     columns = [c.split()[0] for c in _HAND.split(", ")]
     for batch in batches:
         out = []
-        for s, schema in zip(batch["series"], batch["schema"], strict=True):
-            now = _prints(json.loads(schema))
+        for s, prints in zip(batch["series"], batch["prints"], strict=True):
+            now = json.loads(prints)
             if s == series:
                 found.step(last, before, now)
             else:
@@ -337,7 +344,7 @@ def joined_names(pairs: list[tuple[str, str, float]], files: dict[str, int], bot
 
 def learn_names(schemas: DataFrame, partitions: int | None = None) -> dict[str, str]:
     """Name -> field, of the names that stand for a field with several names; counted over all files of ``file_schemas``."""
-    scanned = cut(_ranged(schemas, partitions).mapInPandas(_handovers, _HAND))
+    scanned = cut(_ranged(schemas, partitions, "prints").mapInPandas(_handovers, _HAND))
     at_cuts = _several(scanned.filter("kind <> 'pair'").select("kind", "series", "part", "state")).groupBy("series").applyInPandas(_handovers_at_cuts, _PAIRS)
     counted = scanned.filter("kind = 'pair'").select("a", "b", "n", "compared", "agreed", "likeness").unionByName(at_cuts)
     total = counted.groupBy("a", "b").agg(F.sum("compared").alias("c"), F.sum("agreed").alias("g"), F.max("likeness").alias("likeness"))
@@ -352,13 +359,13 @@ def learn_names(schemas: DataFrame, partitions: int | None = None) -> dict[str,
     def side_by_side(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         together: Counter = Counter()
         for batch in batches:
-            for schema in batch["schema"]:
-                own = sorted(k for k in json.loads(schema) if k in wanted.value)
+            for prints in batch["prints"]:
+                own = sorted(k for k in json.loads(prints) if k in wanted.value)
                 together.update((k, k) for k in own)
                 together.update(combinations(own, 2))
         yield pd.DataFrame([(*p, n) for p, n in together.items()], columns=["a", "b", "n"])
 
-    rows = schemas.filter("readable").select("schema").mapInPandas(side_by_side, "a string, b string, n bigint").groupBy("a", "b").agg(F.sum("n").alias("n")).collect()
+    rows = schemas.filter("readable").select("prints").mapInPandas(side_by_side, "a string, b string, n bigint").groupBy("a", "b").agg(F.sum("n").alias("n")).collect()
     both = {(r["a"], r["b"]): r["n"] for r in rows}
     return joined_names([tuple(r) for r in good], {a: n for (a, b), n in both.items() if a == b}, both)
 
@@ -388,13 +395,13 @@ def _scan(names: dict[str, str]) -> Callable:
                     if series is not None:
                         out.append((series, part, "end", order, None, None, None, None, json.dumps([facts, state])))
                     series, order = s, file_id
-                    state = {k: [t, k] for k, (t, _) in now.items()}
+                    state = {k: [t, k] for k, t in now.items()}
                     out.append((s, part, "head", file_id, None, None, None, None, json.dumps(now)))
                 else:
                     changes, onward = compare(facts, now, names)
                     out += [(s, part, "change", file_id, k, c, None, None, None) for k, c in changes]
                     fresh = {}
-                    for k, (t, _) in now.items():
+                    for k, t in now.items():
                         if k not in onward:
                             fresh[k] = [t, None]
                             continue
@@ -437,13 +444,13 @@ def _chain(names: dict[str, str]) -> Callable:
             else:
                 changes, onward = compare(facts, now, names)
                 out += [(head["file_id"], head["series"], k, c, None, None) for k, c in changes]
-                for k, (t, _) in now.items():
+                for k, t in now.items():
                     types[k] = state[onward[k]] if k in onward else None
                     if t is not None and types[k] is not None and t != types[k]:
                         out.append((head["file_id"], head["series"], k, "type_changed", types[k], t))
             for x in segment[segment["kind"] == "pending"].itertuples():
                 last = types.get(x.change)
-                if last is not None and now[x.change][0] is None and last != x.after:
+                if last is not None and now[x.change] is None and last != x.after:
                     out.append((x.file_id, x.series, x.field, "type_changed", last, x.after))
             facts, own = json.loads(segment[segment["kind"] == "end"].iloc[0]["state"])
             state = {k: t if t is not None else types.get(root) if root is not None else None for k, (t, root) in own.items()}
@@ -463,7 +470,7 @@ def field_changes(schemas: DataFrame, names: dict[str, str], partitions: int | N
     ``change`` is added, removed, renamed or type_changed; ``before`` and ``after`` are the types of a changed type;
     ``level`` is 1 for a key of the file's object and more for members, whose ``field`` is their path with points.
     """
-    scanned = cut(_ranged(schemas, partitions).mapInPandas(_scan(names), _SCAN))
+    scanned = cut(_ranged(schemas, partitions, "schema").mapInPandas(_scan(names), _SCAN))
     inside = scanned.filter("kind = 'change'").select("file_id", "series", "field", "change", "before", "after")
     linked = _several(scanned.filter("kind <> 'change'")).groupBy("series").applyInPandas(_chain(names), _CHANGES)
     return inside.unionByName(linked).select("file_id", "series", _shown(F.col("field")).alias("field"), F.size(F.split("field", SEP)).alias("level"), "change", "before", "after")

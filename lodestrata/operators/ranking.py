@@ -52,6 +52,32 @@ def dense_numbers(df: DataFrame, order: list[str], name: str = "number") -> Data
     return parts.join(F.broadcast(starts), "__part").withColumn(name, F.col("__start") + F.col("__at")).drop("__part", "__at", "__start")
 
 
+def numbers_per_group(df: DataFrame, group: list[str], order: list[Column], name: str) -> DataFrame:
+    """Rows numbered from 1 within their group, in an order that is total; no group is sorted in one task.
+
+    The rows are range-partitioned by group and order, counted per partition and group, and each partition starts where the
+    ones before it end; those counts, at most one per partition and group that crosses it, are all that meets."""
+    from lodestrata.lineage import cut
+
+    keys = [F.col(g).alias(f"__g{i}") for i, g in enumerate(group)] + [c.alias(f"__o{i}") for i, c in enumerate(order)]
+    names = [f"__g{i}" for i in range(len(group))] + [f"__o{i}" for i in range(len(order))]
+    at = df.select("*", *keys).repartitionByRange(*names).sortWithinPartitions(*names).withColumn("__part", F.spark_partition_id())
+    parts = cut(at.withColumn("__n", F.row_number().over(Window.partitionBy("__part", *names[: len(group)]).orderBy(*names[len(group) :]))))
+    sizes = parts.groupBy("__part", *names[: len(group)]).agg(F.count(F.lit(1)).alias("__size"))
+    before = F.sum("__size").over(Window.partitionBy(*names[: len(group)]).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = sizes.select("__part", *[F.col(n).alias(f"{n}s") for n in names[: len(group)]], F.coalesce(before, F.lit(0)).alias("__start")).filter("__start > 0").withColumnRenamed("__part", "__parts")
+    same = F.col("__part") == F.col("__parts")
+    for n in names[: len(group)]:
+        same = same & F.col(n).eqNullSafe(F.col(f"{n}s"))
+    return parts.join(starts, same, "left").withColumn(name, F.coalesce("__start", F.lit(0)) + F.col("__n")).select(*df.columns, name)
+
+
+def quota_left(log: DataFrame, time: str, as_of: Column, quota: int) -> DataFrame:
+    """One row: calls ``used`` on the day of ``as_of``, calls ``left`` of the quota; a new day starts with all of it."""
+    used = F.count_if(F.coalesce(F.to_date(time) == F.to_date(as_of), F.lit(False)))
+    return log.agg(used.alias("used")).select("used", F.greatest(F.lit(0), F.lit(quota) - F.col("used")).cast("bigint").alias("left"))
+
+
 def best_candidate(df: DataFrame, key: str, value: str, score: str, rank: str, least: float) -> DataFrame:
     """Per key the candidate with the best score at or above ``least``; of equal ones the one ranked first."""
     return df.filter(F.col(score) >= least).groupBy(key).agg(F.max_by(value, F.struct(F.col(score), -F.col(rank))).alias(value), F.max(score).alias(score))

@@ -40,9 +40,10 @@ def cookies_by_host(df: DataFrame, host: str, name: str, klass: Column) -> DataF
     )
 
 
-def software_by_host(df: DataFrame, host: str, found: str) -> DataFrame:
-    """Per host: software, versions and licences found, and whether all of it is known to be open source (null without any)."""
-    one = df.select(host, F.explode(found).alias("s")).select(host, "s.*").groupBy(host, "software").agg(F.max("version").alias("version"), F.min("licence").alias("licence"), F.bool_and(F.coalesce("open_source", F.lit(False))).alias("open"))
+def software_by_host(df: DataFrame, host: str) -> DataFrame:
+    """Per host, from rows as ``rules.software_found`` gives them: software, versions and licences found, and whether all of
+    it is known to be open source. The lists are as long as the rules have entries."""
+    one = df.groupBy(host, "software").agg(F.max("version").alias("version"), F.min("licence").alias("licence"), F.bool_and(F.coalesce("open_source", F.lit(False))).alias("open"))
     return one.groupBy(host).agg(
         F.array_join(F.array_sort(F.collect_list("software")), ";").alias("software"), F.array_join(F.array_sort(F.collect_set("licence")), ";").alias("licences"),
         F.array_join(F.array_sort(F.collect_list(F.when(F.col("version") != "", F.concat("software", F.lit(" "), "version")))), ";").alias("versions"), F.bool_and("open").alias("all_open"),
@@ -65,7 +66,7 @@ def resilience_by_host(ns: DataFrame, endpoints: DataFrame) -> DataFrame:
     p95 = nearest_rank(endpoints, ["hostname"], "latency_ms").select("hostname", F.col("value").alias("p95_ms"))
     both = own.join(ends, "hostname", "full").join(p95, "hostname", "left")
     parts = F.array_compact(F.array("ns_ratio", "http_ratio"))
-    return both.withColumn("score", F.when(F.size(parts) > 0, F.round(F.aggregate(parts, F.lit(0.0), lambda a, x: a + x) / F.size(parts), 4)))
+    return both.withColumn("score", F.when(F.size(parts) > 0, F.round(F.round(F.aggregate(parts, F.lit(0.0), lambda a, x: a + x) / F.size(parts), 9), 4)))
 
 
 def domain_meta(df: DataFrame, domain: str, country: str, page: str, kind: str, url: str) -> DataFrame:
@@ -76,6 +77,22 @@ def domain_meta(df: DataFrame, domain: str, country: str, page: str, kind: str,
     )
 
 
+def third_parties_long(df: DataFrame, host: str, domain: str, category: str, parent: str, country: str) -> DataFrame:
+    """One row per host and third party with its category, parent, country and whether that is outside the EEA: the form for
+    hosts with any number of them; ``third_party_by_host`` joins them to the lists of the export's format."""
+    one = df.groupBy(host, domain).agg(F.min(category).alias("category"), F.min(parent).alias("parent"), F.min(F.nullif(strip(country), F.lit(""))).alias("country"))
+    return one.withColumn("outside", F.coalesce(outside_eea(F.col("country")), F.lit(False)))
+
+
+def crawl_counts(df: DataFrame, by: str, scope: str, outcome: str) -> DataFrame:
+    """Per group, and over all as ``TOTALE``: rows by scope and by outcome, one row each: ``by``, ``kind``, ``key``, ``n``."""
+    filled = lambda c: F.coalesce(c, F.lit("")).alias(c)
+    one = df.groupBy(by, filled(scope), filled(outcome)).agg(F.count(F.lit(1)).alias("n"))
+    own = one.unionByName(one.withColumn(by, F.lit("TOTALE"))).filter(F.col(by).isNotNull())
+    each = lambda kind, c: own.groupBy(by, F.lit(kind).alias("kind"), F.col(c).alias("key")).agg(F.sum("n").alias("n"))
+    return each("scope", scope).unionByName(each("outcome", outcome))
+
+
 def crawl_stats(df: DataFrame, by: str, scope: str, outcome: str) -> DataFrame:
     """Per group and over all: rows by scope and by outcome, as maps."""
     filled = lambda c: F.coalesce(c, F.lit("")).alias(c)
@@ -86,6 +103,12 @@ def crawl_stats(df: DataFrame, by: str, scope: str, outcome: str) -> DataFrame:
     return s.join(o, by)
 
 
+def summary_by(df: DataFrame, by: list[str], distinct: dict[str, str] | None = None, last: dict[str, str] | None = None) -> DataFrame:
+    """Per group: rows ``n``, distinct values and greatest values of the columns named; null keys are a group."""
+    counts = [F.count_distinct(c).alias(n) for n, c in (distinct or {}).items()] + [F.max(c).alias(n) for n, c in (last or {}).items()]
+    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), *counts)
+
+
 def progress(df: DataFrame, seed: str, level: str, host: str) -> DataFrame:
     """Per seed and level: pages and distinct hosts."""
     return df.groupBy(seed, level).agg(F.count(F.lit(1)).alias("pages"), F.count_distinct(host).alias("hosts"))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestrata.operators.ranking import cap_per_group
+from lodestrata.skew import salted_join
 
 
 def points_with_reasons(tests: list[tuple[Column, int, str]], sep: str = "; ") -> tuple[Column, Column]:
@@ -59,10 +60,17 @@ def noisy_or(votes: DataFrame, by: list[str], value: str, conf: str, order: str)
     value voted for first."""
     c = F.greatest(F.lit(0.0), F.least(F.lit(0.99), F.col(conf)))
     per = votes.groupBy(*by, value).agg((1 - F.exp(F.sum(F.log(1 - c)))).alias("c"), F.min(order).alias("o"))
-    top = F.slice(F.reverse(F.array_sort(F.collect_list(F.struct(F.round("c", 9).alias("c"), (-F.col("o")).alias("o"), F.col(value).alias("v"))))), 1, 2)
-    best = per.groupBy(*by).agg(top.alias("t")).withColumn("a", F.col("t")[0]["c"]).withColumn("b", F.coalesce(F.try_element_at("t", F.lit(2))["c"], F.lit(0.0)))
+    score = F.struct(F.round("c", 9).alias("c"), (-F.col("o")).alias("o"), F.col(value).alias("v"))
+    first = per.select(*by, score.alias("s")).groupBy(*by).agg(F.max("s").alias("first"))
+    scores = per.select(*[F.col(b).alias(f"__{i}") for i, b in enumerate(by)], score.alias("s"))
+    same = F.lit(True)
+    for i, b in enumerate(by):
+        same = same & F.col(b).eqNullSafe(F.col(f"__{i}"))
+    both = scores.join(first, same)
+    second = F.max(F.when(F.col("s") != F.col("first"), F.col("s")["c"]))
+    best = both.groupBy(*by).agg(F.first("first").alias("t"), second.alias("b")).withColumn("a", F.col("t")["c"]).withColumn("b", F.coalesce("b", F.lit(0.0)))
     return best.select(
-        *by, F.col("t")[0]["v"].alias(value), F.round(F.greatest(F.lit(0.0), F.col("a") - 0.5 * F.col("b")), 3).alias("conf"), ((F.col("b") >= 0.5 * F.col("a")) & (F.col("b") >= 0.4)).alias("conflict")
+        *by, F.col("t")["v"].alias(value), F.round(F.greatest(F.lit(0.0), F.col("a") - 0.5 * F.col("b")), 3).alias("conf"), ((F.col("b") >= 0.5 * F.col("a")) & (F.col("b") >= 0.4)).alias("conflict")
     )
 
 
@@ -81,7 +89,7 @@ def verdicts(votes: DataFrame, host: str = "host") -> DataFrame:
         F.when(infra, F.col("conf_natura")).otherwise(F.coalesce("conf_tipo", F.lit(0.0))).alias("conf_tipo"), "conflict",
     )
     stages = votes.groupBy(host, "stage").agg(F.min("ord").alias("o")).groupBy(host).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o", "stage"))), lambda x: x["stage"]), "+").alias("stages"))
-    winners = votes.join(won.select(host, "field", "value"), [host, "field", "value"]).filter("evidence <> ''")
+    winners = salted_join(votes, won.select(host, "field", "value"), [host, "field", "value"], ["ord", "stage"]).filter("evidence <> ''")
     best = cap_per_group(winners.select(host, "conf", "ord", F.concat_ws(":", "stage", "evidence").alias("e")), [host], [F.desc("conf"), F.asc("ord"), F.asc("e")], 4, spread_by="ord")
     proof = best.groupBy(host).agg(F.transform(F.array_sort(F.collect_list(F.struct("__rank", "e"))), lambda x: x["e"]).alias("p"))
     return wide.join(stages, host).join(proof.select(host, F.array_join("p", " || ").alias("evidence")), host, "left")
@@ -160,6 +168,17 @@ def gated_pattern(base: list[str], extra: list[str], country: Column, page_lang:
     return F.when(on, F.size(distinct_matches(stems_pattern(base + extra), text))).otherwise(F.size(distinct_matches(stems_pattern(base), text)))
 
 
+def cascade(rows: DataFrame, key: str, stages: list[Callable[[DataFrame], DataFrame]]) -> DataFrame:
+    """``key``, ``stage`` from 1: which stage settled each row. Every stage gets the rows that none before it settled and
+    returns those of its own; a row that no stage settles has stage null. Keys are distinct."""
+    open_, done = rows, None
+    for n, stage in enumerate(stages, 1):
+        own = stage(open_).select(key).distinct().withColumn("stage", F.lit(n))
+        done = own if done is None else done.unionByName(own)
+        open_ = open_.join(own.select(key), key, "left_anti")
+    return rows.select(key).join(done, key, "left")
+
+
 def answer_votes(nature: Column, kind: Column, confidence: Column) -> Column:
     """Votes of a given answer: uncertain nature counts half, type ``altro`` six tenths, infrastructure has no type."""
     v = lambda f, val, c: F.struct(F.lit(f).alias("field"), val.alias("value"), c.alias("conf"))

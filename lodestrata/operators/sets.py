@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestrata.operators.concentration import first_per_key
+from lodestrata.skew import salted_join
 
 
 def dedupe_keep_blank(df: DataFrame, key: Column, order: list[str]) -> DataFrame:
@@ -16,8 +17,10 @@ def dedupe_keep_blank(df: DataFrame, key: Column, order: list[str]) -> DataFrame
 
 
 def new_rows(df: DataFrame, done: DataFrame, key: str) -> DataFrame:
-    """Rows whose key isn't done yet."""
-    return df.join(done.select(key).distinct(), key, "left_anti")
+    """Rows whose key isn't done yet; rows without a key aren't."""
+    from lodestrata.operators.joins import _spread
+
+    return salted_join(df, done.select(key).distinct(), [key], _spread(df, key), "left_anti")
 
 
 def changed_values(old: DataFrame, new: DataFrame, key: str, value: str) -> DataFrame:
@@ -53,3 +56,20 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
     return out
+
+
+def ordered_distinct(df: DataFrame, by: list[str], value: str, order: list[str]) -> DataFrame:
+    """``by``.., ``value``, ``position`` from 1: each group's distinct values in the order of their first row; null is none.
+
+    Positions are counted over a group's distinct values, in slices that different tasks sort."""
+    from lodestrata.operators.ranking import numbers_per_group
+
+    first = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.min(F.struct(*order)).alias("__first"))
+    return numbers_per_group(first, by, [F.col("__first"), F.col(value)], "position").select(*by, value, "position")
+
+
+def side_by_side(a: DataFrame, b: DataFrame, index: str) -> DataFrame:
+    """The columns of two frames on one row number; rows that one of them lacks are null there. Names that both have get
+    ``_2`` in the second."""
+    names = {c: f"{c}_2" for c in b.columns if c != index and c in a.columns}
+    return a.join(b.withColumnsRenamed(names), index, "full")

@@ -31,9 +31,10 @@ def query(sql: str | None = None) -> Callable:
 def _stripping(sql: str) -> str:
     """The SQL with each ``trim(x)`` taking off white space of any script, as ``strip`` does."""
     while m := re.search(r"(?<![\w.])trim\(", sql):
-        depth, end = 1, m.end()
+        depth, end, quoted = 1, m.end(), False
         while depth:
-            depth += {"(": 1, ")": -1}.get(sql[end], 0)
+            quoted ^= sql[end] == "'"
+            depth += 0 if quoted else {"(": 1, ")": -1}.get(sql[end], 0)
             end += 1
         sql = f"{sql[: m.start()]}regexp_replace({sql[m.end() : end - 1]}, '^[\\s\\p{{Z}}]+|[\\s\\p{{Z}}]+$', '', 'g'){sql[end:]}"
     return sql
@@ -41,6 +42,7 @@ def _stripping(sql: str) -> str:
 
 RECORDS, TYPES, SITES = "site_records", "tipo_ente_possibili_non_pubblici", "siti_classificati"
 _HOST_SQL = "rtrim(lower(regexp_extract(trim(coalesce({0}, '')), '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)), '.')"
+_FOLD_SQL = "regexp_replace(regexp_replace(regexp_replace(lower(strip_accents(coalesce({0}, ''))), '[^\\p{{L}}\\p{{N}}_\\s]', ' ', 'g'), '[\\s\\p{{Z}}]+', ' ', 'g'), '^ | $', '', 'g')"
 _BARE_SQL = "trim(lower(regexp_replace(regexp_replace(trim(coalesce({0}, '')), '^[A-Za-z][A-Za-z0-9+.-]*://', ''), '(?s)[/?#:].*$', '')))"
 
 
@@ -48,6 +50,44 @@ def _bare(c: Column) -> Column:
     return strip(F.lower(F.regexp_replace(F.regexp_replace(strip(F.coalesce(c, F.lit(""))), r"^[A-Za-z][A-Za-z0-9+.-]*://", ""), r"(?s)[/?#:].*\z", "")))
 
 
+# -- SQL of rule tables
+
+
+def _quoted(text: str | None) -> str:
+    return "NULL" if text is None else "'" + text.replace("'", "''") + "'"
+
+
+def _vendor_sql(url: str, what: str) -> str:
+    """The category, vendor or parent of a URL by the first rule in it."""
+    value = {"category": lambda r: r.category, "vendor": lambda r: r.vendor, "parent": lambda r: r.parent or r.vendor}[what]
+    other = "'altro_terzo_parte'" if what == "category" else f"lower(regexp_extract({url}, '://([^/?#:]*)', 1))"
+    return "CASE " + " ".join(f"WHEN contains(lower({url}), {_quoted(r.pattern)}) THEN {_quoted(value(r))}" for r in rules.VENDORS) + f" ELSE {other} END"
+
+
+def _cookie_sql(name: str) -> str:
+    tests = [(f"lower({name}) = {_quoted(p)}" if len(p) <= 4 else f"contains(lower({name}), {_quoted(p)})", c) for p, c, _ in rules.COOKIES]
+    return "CASE " + " ".join(f"WHEN {t} THEN '{c}'" for t, c in tests) + " ELSE 'sconosciuto' END"
+
+
+#: The software marks and one for what the test texts name.
+_MARKS = [*rules.SOFTWARE, rules.Software("software", "html", "software", "altro", "n/d", None, r"software[^0-9]{0,20}([0-9]+\.[0-9]+\.[0-9]+)"), rules.Software("versione", "html", "software", "altro", "n/d", None, "versione ([0-9.]+)"), rules.Software("cookie", "html", "cookies", "altro", "aperta", True)]
+
+
+def _software_sql(keep: str) -> str:
+    """One row per text and software in it, from ``documents``."""
+    names: dict[str, list] = {}
+    for r in _MARKS:
+        if r.source == "html":
+            names.setdefault(r.name, []).append(r)
+    parts = []
+    for name, marks in names.items():
+        on = lambda r: f"contains(t, {_quoted(r.pattern)})"
+        version = ", ".join(f"CASE WHEN {on(r)} THEN nullif(regexp_extract(o, {_quoted('(?i)' + r.version)}, 1), '') END" for r in marks if r.version)
+        first = lambda f: "CASE " + " ".join(f"WHEN {on(r)} THEN {f(r)}" for r in marks) + " END"  # noqa: E731, B023
+        parts.append(f"SELECT {keep}, {_quoted(name)} AS software, {first(lambda r: _quoted(r.licence))} AS licence, {first(lambda r: 'NULL' if r.open_source is None else str(r.open_source).lower())}::BOOLEAN AS open, coalesce({version + ', ' if version else ''}'') AS version FROM d WHERE {' OR '.join(map(on, marks))}")
+    return "d AS (SELECT *, replace(coalesce(text, ''), chr(39), chr(34)) AS o, lower(replace(coalesce(text, ''), chr(39), chr(34))) AS t FROM documents), f AS (" + " UNION ALL ".join(parts) + ")"
+
+
 # -- concentration and its relatives
 
 
@@ -146,13 +186,10 @@ def ag11_presence_concentration(spark: SparkSession, root: str) -> DataFrame:
     return concentration.presence_summary(table(spark, root, SITES), text.split_list(F.col("stadi"), "+"))
 
 
-@query("""WITH s AS (SELECT lower(coalesce(text, '')) AS t FROM documents), f AS (SELECT unnest(list_filter([CASE WHEN contains(t, 'wp-content') THEN 'WordPress' END, CASE WHEN contains(t, 'joomla') THEN 'Joomla' END,
-CASE WHEN contains(t, 'drupal') THEN 'Drupal' END, CASE WHEN contains(t, 'typo3') THEN 'TYPO3' END, CASE WHEN contains(t, 'liferay') THEN 'Liferay' END, CASE WHEN contains(t, 'sharepoint') THEN 'SharePoint' END,
-CASE WHEN contains(t, 'nginx') THEN 'nginx' END, CASE WHEN contains(t, 'apache') THEN 'Apache' END, CASE WHEN contains(t, 'microsoft-iis') THEN 'IIS' END, CASE WHEN contains(t, 'software') THEN 'software' END], lambda x: x IS NOT NULL)) AS software FROM s)
-SELECT software, count(*) AS n FROM f GROUP BY 1""")
+@query(f"WITH {_software_sql('doc_id')} SELECT software, count(*) AS n FROM f GROUP BY 1")
 def ag12_software(spark: SparkSession, root: str) -> DataFrame:
-    found = rules.software_found(F.col("text"))
-    return table(spark, root, "documents").select(F.explode(found).alias("s")).groupBy(F.col("s.software").alias("software")).agg(F.count(F.lit(1)).alias("n"))
+    found = rules.software_found(table(spark, root, "documents"), ["doc_id"], "text", rules=_MARKS)
+    return found.groupBy("software").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("SELECT count(value) AS n, round(avg(value), 4)::DOUBLE AS mean, round(median(value), 4)::DOUBLE AS median, round(quantile_cont(value, 0.95), 4)::DOUBLE AS p95, round(max(value), 4)::DOUBLE AS max FROM events")
@@ -160,14 +197,20 @@ def ag13_score_summary(spark: SparkSession, root: str) -> DataFrame:
     return distributions.spread(table(spark, root, "events"), F.col("value"), digits=4)
 
 
-@query("""WITH d AS (SELECT c_mktsegment, CASE WHEN avg(c_acctbal) > 4500 THEN least(1.0, avg(c_acctbal) / 10000) END AS a, least(1.0, count(*) / 1000.0::DOUBLE) AS b FROM customer GROUP BY 1),
-i AS (SELECT c_mktsegment, a, b, (CASE WHEN a IS NULL THEN 0 ELSE 0.35 END + 0.2)::DOUBLE AS w, (coalesce(a, 0) * 0.35 + b * 0.2)::DOUBLE AS s FROM d)
+_DIMS = {"hosting": 0.35, "mail": 0.20, "dns": 0.15, "terze_parti": 0.30}
+
+
+@query("""WITH d AS (SELECT c_mktsegment, CASE WHEN avg(c_acctbal) > 4500 THEN least(1.0, avg(c_acctbal) / 10000) END AS hosting, least(1.0, count(*) / 1000.0::DOUBLE) AS mail, CASE WHEN min(c_custkey) > 3 THEN 0.5::DOUBLE END AS dns, count(DISTINCT c_nationkey) / 100.0::DOUBLE AS terze_parti FROM customer GROUP BY 1),
+i AS (SELECT *, (CASE WHEN hosting IS NULL THEN 0 ELSE 0.35 END + 0.2 + CASE WHEN dns IS NULL THEN 0 ELSE 0.15 END + 0.3)::DOUBLE AS w, (coalesce(hosting, 0) * 0.35 + mail * 0.2 + coalesce(dns, 0) * 0.15 + terze_parti * 0.3)::DOUBLE AS s FROM d)
 SELECT c_mktsegment, round(100 * s / w, 1)::DOUBLE AS index, CASE WHEN 100 * s / w < 25 THEN 'basso' WHEN 100 * s / w < 50 THEN 'moderato' WHEN 100 * s / w < 75 THEN 'alto' ELSE 'molto alto' END AS band,
-round(w, 2)::DOUBLE AS weight, CASE WHEN a IS NULL THEN 'b' ELSE 'a,b' END AS used FROM i""")
+round(w, 2)::DOUBLE AS weight, concat_ws(',', CASE WHEN hosting IS NOT NULL THEN 'hosting' END, 'mail', CASE WHEN dns IS NOT NULL THEN 'dns' END, 'terze_parti') AS used FROM i""")
 def ag14_weighted_index(spark: SparkSession, root: str) -> DataFrame:
     mean = F.avg("c_acctbal")
-    dims = table(spark, root, "customer").groupBy("c_mktsegment").agg(F.when(mean > 4500, F.least(F.lit(1.0), mean / 10000)).alias("a"), F.least(F.lit(1.0), F.count(F.lit(1)) / 1000).alias("b"))
-    return distributions.dependency_index(dims, {"a": 0.35, "b": 0.2}).drop("a", "b")
+    dims = table(spark, root, "customer").groupBy("c_mktsegment").agg(
+        F.when(mean > 4500, F.least(F.lit(1.0), mean / 10000)).alias("hosting"), F.least(F.lit(1.0), F.count(F.lit(1)) / 1000).alias("mail"),
+        F.when(F.min("c_custkey") > 3, F.lit(0.5)).alias("dns"), (F.count_distinct("c_nationkey") / 100).alias("terze_parti"),
+    )
+    return distributions.dependency_index(dims, _DIMS).drop(*_DIMS)
 
 
 @query("""SELECT tipo_ente_rilevato, count(tempo_download_pagina_ms) AS n, round(avg(tempo_download_pagina_ms), 3)::DOUBLE AS mean, round(median(tempo_download_pagina_ms), 3)::DOUBLE AS median,
@@ -241,19 +284,17 @@ def ag25_first_seen(spark: SparkSession, root: str) -> DataFrame:
     return rollups.first_seen(table(spark, root, "events"), "user_id", "ts", "event_id", ["event_type", "value"], "event_type")
 
 
-@query(f"""WITH r AS (SELECT doc_id, country_code, lower(regexp_extract(u, '://([^/?#:]*)', 1)) AS d FROM (SELECT doc_id, country_code, unnest(regexp_extract_all(text, 'src="([^"]+)"', 1)) AS u FROM documents)),
-o AS (SELECT doc_id, d, min(nullif(trim(country_code), '')) AS y FROM r GROUP BY 1, 2), x AS (SELECT *, CASE WHEN upper(trim(y)) NOT IN ({_EEA_SQL}) THEN d || '(' || y || ')' END AS o FROM o)
-SELECT doc_id, count(*) AS n_third, 'sdk' AS categories, array_to_string(list_sort(list(d)), ';') AS domains, 'terzi' AS parents, count(o) AS n_outside, coalesce(array_to_string(list_sort(list(o) FILTER (o IS NOT NULL)), ';'), '') AS outside,
+@query(f"""WITH r AS (SELECT doc_id, country_code, u, lower(regexp_extract(u, '://([^/?#:]*)', 1)) AS d FROM (SELECT doc_id, country_code, unnest(regexp_extract_all(text, 'src="([^"]+)"', 1)) AS u FROM documents)),
+o AS (SELECT doc_id, d, min({_vendor_sql('u', 'category')}) AS c, min({_vendor_sql('u', 'parent')}) AS p, min(nullif(trim(country_code), '')) AS y FROM r GROUP BY 1, 2), x AS (SELECT *, CASE WHEN upper(trim(y)) NOT IN ({_EEA_SQL}) THEN d || '(' || y || ')' END AS o FROM o)
+SELECT doc_id, count(*) AS n_third, array_to_string(list_sort(list_distinct(list(c))), ';') AS categories, array_to_string(list_sort(list(d)), ';') AS domains, array_to_string(list_sort(list_distinct(list(p))), ';') AS parents, count(o) AS n_outside, coalesce(array_to_string(list_sort(list(o) FILTER (o IS NOT NULL)), ';'), '') AS outside,
 count(*) FILTER (y IS NULL) AS n_unknown FROM x GROUP BY 1""")
 def ag26_third_parties_by_page(spark: SparkSession, root: str) -> DataFrame:
     refs = table(spark, root, "documents").select("doc_id", "country_code", F.explode(F.regexp_extract_all("text", F.lit('src="([^"]+)"'), F.lit(1))).alias("u"))
-    rows = refs.select("doc_id", "country_code", urls.host_of(F.col("u")).alias("domain"), F.lit("sdk").alias("category"), F.lit("terzi").alias("parent"))
+    rows = refs.select("doc_id", "country_code", urls.host_of(F.col("u")).alias("domain"), rules.third_party(F.col("u")).alias("t")).select("*", "t.category", "t.parent")
     return rollups.third_party_by_host(rows, "doc_id", "domain", "category", "parent", "country_code")
 
 
-@query("""WITH c AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(text, 'cookie (\\S+)', 1)) AS name FROM documents),
-k AS (SELECT doc_id, name, CASE WHEN lower(name) = '_ga' OR lower(name) = '_gid' OR lower(name) = '_fbp' OR lower(name) = '_px' OR contains(lower(name), '_pk_id') THEN 'profilazione'
- WHEN contains(lower(name), 'phpsessid') OR contains(lower(name), 'jsessionid') OR contains(lower(name), 'asp.net_sessionid') OR lower(name) = 'csrf' OR contains(lower(name), 'cookieconsent') OR lower(name) = 'lang' THEN 'tecnico' ELSE 'sconosciuto' END AS k FROM c)
+@query(f"""WITH c AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(text, 'cookie (\\S+)', 1)) AS name FROM documents), k AS (SELECT doc_id, name, {_cookie_sql('name')} AS k FROM c)
 SELECT doc_id, count(*) AS n_cookies, count(*) FILTER (k = 'tecnico') AS n_technical, count(*) FILTER (k = 'profilazione') AS n_profiling, count(*) FILTER (k = 'sconosciuto') AS n_unknown,
 coalesce(array_to_string(list_sort(list(name) FILTER (k = 'profilazione')), ';'), '') AS profiling FROM k GROUP BY 1""")
 def ag27_cookies_by_page(spark: SparkSession, root: str) -> DataFrame:
@@ -261,10 +302,10 @@ def ag27_cookies_by_page(spark: SparkSession, root: str) -> DataFrame:
     return rollups.cookies_by_host(rows, "doc_id", "name", rules.cookie_class(F.col("name")))
 
 
-@query()
+@query(f"""WITH {_software_sql('hostname')}, o AS (SELECT hostname, software, max(version) AS version, min(licence) AS licence, bool_and(coalesce(open, false)) AS open FROM f GROUP BY 1, 2)
+SELECT hostname, array_to_string(list_sort(list(software)), ';') AS software, array_to_string(list_sort(list_distinct(list(licence))), ';') AS licences, coalesce(array_to_string(list_sort(list(software || ' ' || version) FILTER (version <> '')), ';'), '') AS versions, bool_and(open) AS all_open FROM o GROUP BY 1""")
 def ag28_software_by_host(spark: SparkSession, root: str) -> DataFrame:
-    rows = table(spark, root, "documents").select("hostname", rules.software_found(F.col("text")).alias("found"))
-    return rollups.software_by_host(rows, "hostname", "found")
+    return rollups.software_by_host(rules.software_found(table(spark, root, "documents"), ["hostname"], "text", rules=_MARKS), "hostname")
 
 
 @query("""WITH r AS (SELECT user_id, value, row_number() OVER (PARTITION BY user_id ORDER BY value) - 1 AS i, count(*) OVER (PARTITION BY user_id) AS n FROM events WHERE value IS NOT NULL)
@@ -273,7 +314,12 @@ def ag29_nearest_rank(spark: SparkSession, root: str) -> DataFrame:
     return distributions.nearest_rank(table(spark, root, "events"), ["user_id"], "value").select("user_id", "value", "n")
 
 
-@query()
+@query("""WITH n AS (SELECT 'h' || user_id AS hostname, event_id AS ord, event_type <> 'error' AS ok, event_type AS mx, value AS v FROM events),
+o AS (SELECT hostname, count(*) AS n_ns, count(*) FILTER (ok) AS n_reachable, arg_min(mx, CASE WHEN ok THEN ord END) AS first_mx, round(count(*) FILTER (ok) / count(*)::DOUBLE, 4) AS ns_ratio, count(DISTINCT CASE WHEN ok THEN mx END) > 1 AS mx_differ FROM n GROUP BY 1),
+e AS (SELECT hostname, count(*) AS n_endpoints, count(*) FILTER (v > 10) AS tcp_ok, count(*) FILTER (v > 20) AS tls_ok, count(*) FILTER (v > 30) AS http_ok, round(median(v), 1)::DOUBLE AS median_ms, round(count(*) FILTER (v > 30) / count(*)::DOUBLE, 4) AS http_ratio FROM n GROUP BY 1),
+r AS (SELECT hostname, v, row_number() OVER (PARTITION BY hostname ORDER BY v) - 1 AS i, count(*) OVER (PARTITION BY hostname) AS n FROM n WHERE v IS NOT NULL),
+p AS (SELECT hostname, v AS p95_ms FROM r WHERE i = CASE WHEN abs(0.95 * (n - 1) - floor(0.95 * (n - 1)) - 0.5) < 1e-9 THEN 2 * round(0.95 * (n - 1) / 2) ELSE round(0.95 * (n - 1)) END)
+SELECT o.hostname, n_ns, n_reachable, ns_ratio, mx_differ, n_endpoints, tcp_ok, tls_ok, http_ok, median_ms, http_ratio, p95_ms, round(((round(ns_ratio * 10000)::BIGINT + round(http_ratio * 10000)::BIGINT + 1) // 2) / 10000.0::DOUBLE, 4)::DOUBLE AS score FROM o JOIN e ON o.hostname = e.hostname LEFT JOIN p ON o.hostname = p.hostname""")
 def ag29_resilience(spark: SparkSession, root: str) -> DataFrame:
     rows = table(spark, root, "events")
     host = F.concat(F.lit("h"), F.col("user_id"))
@@ -293,13 +339,13 @@ def ag30_matrix_with_total(spark: SparkSession, root: str) -> DataFrame:
 
 @query("SELECT country_code, count(*) AS n, count(DISTINCT hostname) AS n_hosts, max(retrieved_at) AS last FROM site_records GROUP BY 1")
 def ag31_country_summary(spark: SparkSession, root: str) -> DataFrame:
-    return table(spark, root, RECORDS).groupBy("country_code").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("hostname").alias("n_hosts"), F.max("retrieved_at").alias("last"))
+    return rollups.summary_by(table(spark, root, RECORDS), ["country_code"], distinct={"n_hosts": "hostname"}, last={"last": "retrieved_at"})
 
 
-@query()
+@query("""WITH r AS (SELECT country_code, coalesce(tipo_link, '') AS scope, coalesce(source_name, '') AS outcome FROM site_records), b AS (SELECT * FROM r UNION ALL SELECT 'TOTALE', scope, outcome FROM r)
+SELECT country_code, 'scope' AS kind, scope AS key, count(*) AS n FROM b WHERE country_code IS NOT NULL GROUP BY 1, 3 UNION ALL SELECT country_code, 'outcome', outcome, count(*) FROM b WHERE country_code IS NOT NULL GROUP BY 1, 3""")
 def ag32_crawl_stats(spark: SparkSession, root: str) -> DataFrame:
-    out = rollups.crawl_stats(table(spark, root, RECORDS), "country_code", "tipo_link", "source_name")
-    return out.select("country_code", F.to_json("by_scope").alias("by_scope"), F.to_json("by_outcome").alias("by_outcome"))
+    return rollups.crawl_counts(table(spark, root, RECORDS), "country_code", "tipo_link", "source_name")
 
 
 @query("""SELECT dominio_radice, count(DISTINCT concat_ws(': ', country_code, found_on)) AS n_pages, coalesce(array_to_string(list_sort(list_distinct(list(tipo_link) FILTER (tipo_link IS NOT NULL))), ','), '') AS kinds,
@@ -329,12 +375,12 @@ def ag36_registry(spark: SparkSession, root: str) -> DataFrame:
 
 @query("SELECT source_seed, country_code, count(*) AS n FROM site_records GROUP BY 1, 2")
 def ag37_pages_per_seed_level(spark: SparkSession, root: str) -> DataFrame:
-    return table(spark, root, RECORDS).groupBy("source_seed", "country_code").agg(F.count(F.lit(1)).alias("n"))
+    return rollups.summary_by(table(spark, root, RECORDS), ["source_seed", "country_code"])
 
 
 @query("SELECT natura, tipo, count(*) AS n FROM siti_classificati GROUP BY 1, 2")
 def ag38_nature_type_counts(spark: SparkSession, root: str) -> DataFrame:
-    return table(spark, root, SITES).groupBy("natura", "tipo").agg(F.count(F.lit(1)).alias("n"))
+    return rollups.summary_by(table(spark, root, SITES), ["natura", "tipo"])
 
 
 @query("""WITH s AS (SELECT regione, count(*) AS tries, count(*) FILTER (http_status_classificazione < 400) AS ok FROM tipo_ente_possibili_non_pubblici GROUP BY 1)
@@ -417,11 +463,18 @@ _KEYWORDS = {"comune": ["comune", "commune", "gemeinde"], "scuola": ["scuola", "
 _POINTS = ", ".join("({})::BIGINT AS {}".format(" + ".join(f"CASE WHEN contains(h, '{w}') THEN 3 WHEN contains(b, '{w}') THEN 1 ELSE 0 END" for w in ws), c) for c, ws in _KEYWORDS.items())
 
 
-@query(f"""WITH t AS (SELECT doc_id, lower(substring(coalesce(text, ''), 1, 80)) AS h, lower(coalesce(text, '')) AS b FROM documents), s AS (SELECT doc_id, {_POINTS} FROM t)
-SELECT doc_id, CASE WHEN greatest(comune, scuola, polizia) = 0 THEN NULL WHEN comune >= scuola AND comune >= polizia THEN 'comune' WHEN scuola >= polizia THEN 'scuola' ELSE 'polizia' END AS category FROM s""")
+_HEAD_BODY = "t AS (SELECT riga_id, lower(coalesce(nome_ente, '') || ' ' || coalesce(ente_rilevato, '')) AS h, lower(coalesce(evidenza, '')) AS b FROM siti_classificati)"
+
+
+def _keyword_points(spark: SparkSession, root: str) -> DataFrame:
+    head = F.concat_ws(" ", F.coalesce("nome_ente", F.lit("")), F.coalesce("ente_rilevato", F.lit("")))
+    return rules.keyword_scores(table(spark, root, SITES), ["riga_id"], head, F.col("evidenza"), _KEYWORDS)
+
+
+@query(f"""WITH {_HEAD_BODY}, s AS (SELECT riga_id, {_POINTS} FROM t)
+SELECT riga_id, CASE WHEN greatest(comune, scuola, polizia) = 0 THEN NULL WHEN comune >= scuola AND comune >= polizia THEN 'comune' WHEN scuola >= polizia THEN 'scuola' ELSE 'polizia' END AS category FROM s""")
 def tk12_top_category(spark: SparkSession, root: str) -> DataFrame:
-    scores = rules.keyword_scores(F.substring("text", 1, 80), F.col("text"), _KEYWORDS)
-    return table(spark, root, "documents").select("doc_id", scores.alias("s")).select("doc_id", rules.top_category(F.col("s"), list(_KEYWORDS)).alias("category"))
+    return _keyword_points(spark, root).select("riga_id", rules.top_category(list(_KEYWORDS)).alias("category"))
 
 
 @query("SELECT rec_id, dominio_radice FROM (SELECT *, row_number() OVER (PARTITION BY dominio_radice ORDER BY rec_id) AS rn FROM site_records) WHERE rn <= 3")
@@ -504,12 +557,14 @@ def jn3_membership_status(spark: SparkSession, root: str) -> DataFrame:
 
 @query("SELECT o_orderkey, c_mktsegment FROM orders LEFT JOIN customer ON o_custkey = c_custkey")
 def jn4_measurements_with_sector(spark: SparkSession, root: str) -> DataFrame:
-    return table(spark, root, "orders").join(table(spark, root, "customer"), F.col("o_custkey") == F.col("c_custkey"), "left").select("o_orderkey", "c_mktsegment")
+    dim = table(spark, root, "customer").withColumnRenamed("c_custkey", "o_custkey")
+    return joins.lookup_dimension(table(spark, root, "orders"), dim, "o_custkey", ["c_mktsegment"], None).select("o_orderkey", "c_mktsegment")
 
 
 @query("SELECT l_orderkey, l_linenumber, p_type FROM lineitem JOIN part ON l_partkey = p_partkey")
 def jn5_measurements_with_type(spark: SparkSession, root: str) -> DataFrame:
-    return table(spark, root, "lineitem").join(table(spark, root, "part"), F.col("l_partkey") == F.col("p_partkey")).select("l_orderkey", "l_linenumber", "p_type")
+    dim = table(spark, root, "part").withColumnRenamed("p_partkey", "l_partkey")
+    return joins.lookup_dimension(table(spark, root, "lineitem"), dim, "l_partkey", ["p_type"], None, "inner").select("l_orderkey", "l_linenumber", "p_type")
 
 
 @query("""WITH s AS (SELECT codice_ipa, min(sector) AS sector FROM site_records WHERE codice_ipa <> '' GROUP BY 1), j AS (SELECT tipo_ente_rilevato, sector FROM tipo_ente_possibili_non_pubblici JOIN s USING (codice_ipa) WHERE sector IN ('comune', 'scuola', 'universita', 'sanita'))
@@ -553,11 +608,12 @@ def jn11_verdict_or_default(spark: SparkSession, root: str) -> DataFrame:
     return out.select("rec_id", F.coalesce("verdict", F.lit("non_controllato")).alias("verdict"))
 
 
-@query(f"SELECT rec_id, 'sportello-condiviso.example' AS domain FROM site_records WHERE rtrim({_BARE_SQL.format('hostname')}, '.') = 'sportello-condiviso.example' OR ends_with(rtrim({_BARE_SQL.format('hostname')}, '.'), '.sportello-condiviso.example')")
+@query(f"""WITH h AS (SELECT rec_id, rtrim({_BARE_SQL.format('hostname')}, '.') AS h FROM site_records), d AS (SELECT DISTINCT dominio_radice AS domain FROM site_records WHERE dominio_radice <> '' AND regexp_matches(dominio_radice, '^[a-z0-9-]+(\\.[a-z0-9-]+)*$'))
+SELECT rec_id, domain FROM h JOIN d ON h = domain OR ends_with(h, '.' || domain) OR (h <> '' AND ends_with(domain, '.' || h))""")
 def jn12_suffix_match(spark: SparkSession, root: str) -> DataFrame:
-    listed = spark.createDataFrame([("sportello-condiviso.example",), ("altro.example",)], "domain string")
-    hosts = table(spark, root, RECORDS).select("rec_id", _bare(F.col("hostname")).alias("host"))
-    return rules.match_domains(hosts, "host", listed, "domain").select("rec_id", "domain")
+    rows = table(spark, root, RECORDS)
+    listed = rows.select(F.col("dominio_radice").alias("domain")).filter("domain <> '' and domain rlike '^[a-z0-9-]+(\\\\.[a-z0-9-]+)*$'").distinct()
+    return rules.match_either_way(rows.select("rec_id", _bare(F.col("hostname")).alias("host")), "host", listed, "domain", "rec_id").select("rec_id", "domain")
 
 
 @query("SELECT DISTINCT hostname, 'wikidata' AS \"column\", wikidata AS value FROM siti_classificati WHERE wikidata <> '' UNION SELECT DISTINCT hostname, 'tipo', tipo FROM siti_classificati WHERE tipo <> ''")
@@ -579,9 +635,10 @@ def fl4_resume_anti_join(spark: SparkSession, root: str) -> DataFrame:
 # -- filters
 
 
-@query("SELECT rec_id FROM site_records WHERE sector IN ('comune', 'scuola') AND lower(regione) = 'regione it-5'")
+@query(f"SELECT rec_id FROM site_records WHERE sector IN ('comune', 'scuola') AND {_FOLD_SQL.format('regione')} = {_FOLD_SQL.format("'Regione  IT-5!'")}")
 def fl1_category_and_region(spark: SparkSession, root: str) -> DataFrame:
-    return table(spark, root, RECORDS).filter(F.col("sector").isin("comune", "scuola") & (F.lower("regione") == "regione it-5")).select("rec_id")
+    wanted = text.same_text(F.col("regione"), F.lit("Regione  IT-5!"))
+    return table(spark, root, RECORDS).filter(F.col("sector").isin("comune", "scuola") & wanted).select("rec_id")
 
 
 _CLEAN_SQL = "regexp_matches(rtrim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(trim(coalesce(hostname, ''))), '^[a-z][a-z0-9+.-]*://', ''), '(?s)[/?#].*$', ''), '^[^@]*@', ''), ':\\d+$', ''), '.'), '^[^\\s./]+(?:\\.[^\\s./]+)+$')"
@@ -616,11 +673,10 @@ def fl11_needs_review(spark: SparkSession, root: str) -> DataFrame:
 # -- rules
 
 
-@query("""SELECT doc_id, u AS url, CASE WHEN contains(lower(u), 'terzi-') THEN 'sdk_generico' ELSE 'altro_terzo_parte' END AS category, CASE WHEN contains(lower(u), 'terzi-') THEN 'terzi' ELSE lower(regexp_extract(u, '://([^/?#:]*)', 1)) END AS vendor
-FROM (SELECT doc_id, unnest(regexp_extract_all(text, 'src="([^"]+)"', 1)) AS u FROM documents)""")
+@query(f"""SELECT doc_id, u AS url, {_vendor_sql('u', 'category')} AS category, {_vendor_sql('u', 'vendor')} AS vendor, {_vendor_sql('u', 'parent')} AS parent FROM (SELECT doc_id, unnest(regexp_extract_all(text, 'src="([^"]+)"', 1)) AS u FROM documents)""")
 def rule1_third_party(spark: SparkSession, root: str) -> DataFrame:
     rows = table(spark, root, "documents").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit('src="([^"]+)"'), F.lit(1))).alias("url"))
-    return rows.select("doc_id", "url", rules.third_party(F.col("url")).alias("t")).select("doc_id", "url", "t.category", "t.vendor")
+    return rows.select("doc_id", "url", rules.third_party(F.col("url")).alias("t")).select("doc_id", "url", "t.category", "t.vendor", "t.parent")
 
 
 @query("""SELECT l_orderkey, coalesce(arg_min(f, p) FILTER (f <> 'N'), 'N') AS l_returnflag FROM (SELECT l_orderkey, l_linenumber * 10000000 + l_partkey AS p, l_returnflag AS f FROM lineitem) GROUP BY 1""")
@@ -628,24 +684,20 @@ def rule2_best_class(spark: SparkSession, root: str) -> DataFrame:
     return rules.best_class(table(spark, root, "lineitem").withColumn("p", F.col("l_linenumber") * 10_000_000 + F.col("l_partkey")), ["l_orderkey"], "p", "l_returnflag", generic="N")
 
 
-@query("""SELECT name, CASE WHEN lower(name) IN ('_ga', '_gid', '_fbp', '_px') OR contains(lower(name), '_pk_id') THEN 'profilazione' ELSE 'sconosciuto' END AS klass, count(*) AS n
-FROM (SELECT unnest(regexp_extract_all(text, 'cookie (\\S+)', 1)) AS name FROM documents) GROUP BY 1, 2""")
+@query(f"SELECT name, {_cookie_sql('name')} AS klass, count(*) AS n FROM (SELECT unnest(regexp_extract_all(text, 'cookie (\\S+)', 1)) AS name FROM documents) GROUP BY 1, 2")
 def rule3_cookie_class(spark: SparkSession, root: str) -> DataFrame:
     rows = table(spark, root, "documents").select(F.explode(F.regexp_extract_all("text", F.lit(r"cookie (\S+)"), F.lit(1))).alias("name"))
     return rows.groupBy("name", rules.cookie_class(F.col("name")).alias("klass")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query()
+@query(f"WITH {_software_sql('doc_id')} SELECT doc_id, software, version, licence, open AS open_source FROM f")
 def rule4_software_versions(spark: SparkSession, root: str) -> DataFrame:
-    found = table(spark, root, "documents").select("doc_id", F.explode(rules.software_found(F.col("text"))).alias("s"))
-    return found.select("doc_id", "s.software", "s.version", "s.licence")
+    return rules.software_found(table(spark, root, "documents"), ["doc_id"], "text", rules=_MARKS).select("doc_id", "software", "version", "licence", "open_source")
 
 
-@query(f"WITH t AS (SELECT doc_id, lower(substring(coalesce(text, ''), 1, 80)) AS h, lower(coalesce(text, '')) AS b FROM documents) SELECT doc_id, {_POINTS} FROM t")
+@query(f"WITH {_HEAD_BODY} SELECT riga_id, {_POINTS} FROM t")
 def rule5_keyword_scores(spark: SparkSession, root: str) -> DataFrame:
-    scores = rules.keyword_scores(F.substring("text", 1, 80), F.col("text"), _KEYWORDS)
-    rows = table(spark, root, "documents").select("doc_id", scores.alias("s"))
-    return rows.select("doc_id", *[F.coalesce(F.try_element_at("s", F.lit(c)), F.lit(0)).cast("bigint").alias(c) for c in _KEYWORDS])
+    return _keyword_points(spark, root)
 
 
 @query("""SELECT doc_id, array_to_string(list_filter([CASE WHEN regexp_matches(lower(text), '(^|[^\\p{L}\\p{N}])spa($|[^\\p{L}\\p{N}])') THEN 'forma_societaria:spa' END, CASE WHEN regexp_matches(lower(text), '(^|[^\\p{L}\\p{N}])as($|[^\\p{L}\\p{N}])') THEN 'forma_societaria:as' END,
@@ -675,7 +727,15 @@ def sc1_entity_risk(spark: SparkSession, root: str) -> DataFrame:
     return rows.select("l_orderkey", "l_linenumber", points.cast("bigint").alias("risk"), reasons.alias("reasons"))
 
 
-@query()
+_SUSPICION_SQL = [(f"list_contains(string_split(kinds, ','), '{k}')", p, f"reference:{k}") for k, p in scoring.REFERENCE_POINTS.items()] + [
+    ("NOT coalesce(https_only, false)", 1, "not https"), ("regexp_matches(d, '^(?:(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])(?:\\.|$)){4}$') OR contains(d, ':')", 2, "ip literal"), ("regexp_matches(d, '(^|\\.)xn--')", 2, "punycode"),
+    ("string_split(d, '.')[-1] IN ({})".format(", ".join(f"'{t}'" for t in scoring.ODD_TLDS)), 2, "odd tld"), ("regexp_matches(d, '{}')".format("|".join(scoring.ODD_WORDS)), 2, "odd word"), ("n_pages = 1", 2, "single page"),
+]
+
+
+@query(f"""WITH m AS (SELECT dominio_radice, lower(coalesce(dominio_radice, '')) AS d, count(DISTINCT concat_ws(': ', country_code, found_on)) AS n_pages, coalesce(array_to_string(list_sort(list_distinct(list(tipo_link) FILTER (tipo_link IS NOT NULL))), ','), '') AS kinds,
+bool_and(starts_with(lower(hostname), 'https://')) AS https_only FROM site_records GROUP BY 1)
+SELECT dominio_radice, ({" + ".join(f"CASE WHEN {t} THEN {p} ELSE 0 END" for t, p, _ in _SUSPICION_SQL)})::BIGINT AS points, concat_ws('; ', {", ".join(f"CASE WHEN {t} THEN '{r}' END" for t, _, r in _SUSPICION_SQL)}) AS reasons FROM m""")
 def sc2_domain_suspicion(spark: SparkSession, root: str) -> DataFrame:
     meta = rollups.domain_meta(table(spark, root, RECORDS), "dominio_radice", "country_code", "found_on", "tipo_link", "hostname")
     points, reasons = scoring.domain_suspicion(F.col("dominio_radice"), F.split("kinds", ","), F.col("n_pages"), F.col("https_only"))
@@ -688,10 +748,14 @@ def sc6_host_votes(spark: SparkSession, root: str) -> DataFrame:
     return rows.select("riga_id", "v.field", "v.value", "v.conf", "v.evidence")
 
 
-@query()
+_STEMS = ["comune di", "mairie", "gemeinde", "scuola", "école!"]
+_HITS_SQL = "least(len(list_distinct(regexp_extract_all({0}, '\\b(?:comune\\s+di|gemeinde|mairie|scuola|ecole\\b)'))), 3)"
+
+
+@query(f"SELECT riga_id, (3.0 * {_HITS_SQL.format(_FOLD_SQL.format('nome_ente'))} + 1.0 * {_HITS_SQL.format(_FOLD_SQL.format('evidenza'))})::DOUBLE AS score FROM siti_classificati")
 def sc7_weighted_score(spark: SparkSession, root: str) -> DataFrame:
     fields = {"title": F.col("nome_ente"), "body": F.col("evidenza")}
-    return table(spark, root, SITES).select("riga_id", scoring.weighted_score(fields, ["comune di", "mairie", "gemeinde", "scuola", "école!"]).alias("score"))
+    return table(spark, root, SITES).select("riga_id", scoring.weighted_score(fields, _STEMS).alias("score"))
 
 
 @query()
@@ -724,14 +788,10 @@ def sc11_verdicts(spark: SparkSession, root: str) -> DataFrame:
     return scoring.verdicts(_votes(spark, root))
 
 
-@query("""SELECT riga_id, CASE WHEN stadi = '0' THEN 1 WHEN coalesce(wikidata, '') <> '' THEN 2 ELSE 3 END::BIGINT AS stage FROM siti_classificati""")
+@query("""SELECT riga_id, CASE WHEN stadi = '0' THEN 1 WHEN coalesce(wikidata, '') <> '' THEN 2 WHEN evidenza <> '' THEN 3 END::INT AS stage FROM siti_classificati""")
 def sc12_cascade(spark: SparkSession, root: str) -> DataFrame:
-    rows = table(spark, root, SITES).select("riga_id", "stadi", "wikidata")
-    first = rows.filter("stadi = '0'").select("riga_id", F.lit(1).alias("stage"))
-    open_ = rows.join(first, "riga_id", "left_anti")
-    second = open_.filter("coalesce(wikidata, '') <> ''").select("riga_id", F.lit(2).alias("stage"))
-    third = open_.join(second, "riga_id", "left_anti").select("riga_id", F.lit(3).alias("stage"))
-    return first.unionByName(second).unionByName(third).select("riga_id", F.col("stage").cast("bigint").alias("stage"))
+    rows = table(spark, root, SITES).select("riga_id", "stadi", "wikidata", "evidenza")
+    return scoring.cascade(rows, "riga_id", [lambda r: r.filter("stadi = '0'"), lambda r: r.filter("coalesce(wikidata, '') <> ''"), lambda r: r.filter("evidenza <> ''")])
 
 
 @query("SELECT riga_id, coalesce(nullif(trim(nome_ente), ''), nullif(trim(ente_rilevato), ''), nullif(trim(host_classificato), ''), '') AS name FROM siti_classificati")
@@ -855,7 +915,7 @@ def fn14_clean_hostname(spark: SparkSession, root: str) -> DataFrame:
     return table(spark, root, RECORDS).select("rec_id", urls.clean_hostname(F.col("hostname")).alias("host"))
 
 
-@query()
+@query(f"SELECT rec_id, {_FOLD_SQL.format('nome_ente')} AS folded FROM site_records")
 def fn16_fold(spark: SparkSession, root: str) -> DataFrame:
     return table(spark, root, RECORDS).select("rec_id", text.fold(F.col("nome_ente")).alias("folded"))
 
@@ -882,19 +942,24 @@ def fn24_pagination_template(spark: SparkSession, root: str) -> DataFrame:
 
 @query()
 def fn25_visible_text_length(spark: SparkSession, root: str) -> DataFrame:
-    return table(spark, root, "documents").select("doc_id", pages.visible_text_length(F.col("text")).alias("n"))
+    return pages.page_states(table(spark, root, "documents"), "doc_id", "text").select("page_id", "n_text")
 
 
 @query()
 def fn26_page_states(spark: SparkSession, root: str) -> DataFrame:
-    t = F.col("text")
-    return table(spark, root, "documents").select("doc_id", pages.challenge(t).alias("challenge"), pages.looks_js_rendered(t, F.lit(0)).alias("shell"), pages.parked(t).alias("parked"), pages.default_page(t).alias("default_page"))
+    return pages.page_states(table(spark, root, "documents"), "doc_id", "text")
+
 
+_MARKS_SQL = " OR ".join(f"contains(lower(coalesce(page, '')), '{m}')" for m in pages.CHALLENGE_MARKS)
 
-@query("""SELECT riga_id, http_status_classificazione IN (403, 406, 429, 503) AND coalesce(http_status_classificazione IN (403, 406, 429, 503), false) AS blocked FROM tipo_ente_possibili_non_pubblici WHERE http_status_classificazione IS NOT NULL""")
+
+@query(f"""WITH p AS (SELECT hostname, max(text) AS page FROM documents WHERE hostname IS NOT NULL GROUP BY 1)
+SELECT riga_id, coalesce(http_status_classificazione IN (403, 406, 429, 503), false) AND (length(coalesce(page, '')) < 2000 OR {_MARKS_SQL}) AS blocked FROM tipo_ente_possibili_non_pubblici t LEFT JOIN p ON t.hostname = p.hostname""")
 def fn27_probably_blocked(spark: SparkSession, root: str) -> DataFrame:
-    rows = table(spark, root, TYPES).filter("http_status_classificazione is not null")
-    return rows.select("riga_id", pages.probably_blocked(F.col("http_status_classificazione"), F.lit("")).alias("blocked"))
+    """Every row with the page captured of its host, if any."""
+    page = table(spark, root, "documents").filter("hostname is not null").groupBy("hostname").agg(F.max("text").alias("page"))
+    rows = joins.fan_out(table(spark, root, TYPES).select("riga_id", "hostname", "http_status_classificazione"), page, "hostname")
+    return rows.select("riga_id", pages.probably_blocked(F.col("http_status_classificazione"), F.col("page")).alias("blocked"))
 
 
 @query("SELECT l_orderkey, l_linenumber, CAST(floor((epoch(l_shipdate) - epoch(TIMESTAMP '1997-01-01')) / 86400) AS BIGINT) AS days FROM lineitem")
@@ -961,36 +1026,25 @@ def ht5_page_evidence(spark: SparkSession, root: str) -> DataFrame:
     return html.page_evidence(rows, "doc_id", "url", "text").select("page_id", "lang", "title", "text_len")
 
 
-@query("""SELECT riga_id, substring(array_to_string(list_filter([CASE WHEN trim(coalesce(nome_ente, '')) <> '' THEN 'name: ' || nome_ente END, CASE WHEN trim(coalesce(evidenza, '')) <> '' THEN 'evidence: ' || evidenza END], lambda x: x IS NOT NULL), chr(10)), 1, 200) AS packet FROM siti_classificati""")
+@query("""SELECT riga_id, substring(array_to_string(list_filter([CASE WHEN trim(coalesce(nome_ente, '')) <> '' THEN 'name: ' || nome_ente END, CASE WHEN trim(coalesce(evidenza, '')) <> '' THEN 'evidence: ' || evidenza END], lambda x: x IS NOT NULL), chr(10)), 1, 2200) AS packet FROM siti_classificati""")
 def ht8_evidence_text(spark: SparkSession, root: str) -> DataFrame:
-    return table(spark, root, SITES).select("riga_id", pages.evidence_text({"name": F.col("nome_ente"), "evidence": F.col("evidenza")}, 200).alias("packet"))
-
-
-@query("SELECT event_type, date_trunc('day', ts)::DATE AS day, count(*) AS n FROM events WHERE ts IS NOT NULL GROUP BY 1, 2")
-def ss6_daily_counts(spark: SparkSession, root: str) -> DataFrame:
-    return table(spark, root, "events").filter("ts is not null").groupBy("event_type", F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    return table(spark, root, SITES).select("riga_id", pages.evidence_text({"name": F.col("nome_ente"), "evidence": F.col("evidenza")}).alias("packet"))
 
 
 @query("SELECT rec_id, list_extract(l, 1) AS first_host, array_to_string(l[2:], '|') AS others FROM (SELECT rec_id, list_filter(string_split(coalesce(host_osservati, ''), '|'), lambda x: x <> '') AS l FROM site_records) WHERE len(l) > 0")
 def mn3_first_host_and_rest(spark: SparkSession, root: str) -> DataFrame:
     hosts = text.split_list(F.col("host_osservati"), "|")
-    rows = table(spark, root, RECORDS).select("rec_id", hosts.alias("l")).filter("size(l) > 0")
-    return rows.select("rec_id", F.element_at("l", 1).alias("first_host"), F.array_join(F.slice("l", 2, 1 << 20), "|").alias("others"))
+    rows = table(spark, root, RECORDS).select("rec_id", urls.first_and_rest(hosts).alias("h")).filter("h.first is not null")
+    return rows.select("rec_id", F.col("h.first").alias("first_host"), F.array_join("h.rest", "|").alias("others"))
 
 
 @query("""WITH c AS (SELECT nome_ente, min(hostname) AS found FROM site_records WHERE hostname <> '' GROUP BY 1) SELECT rec_id, coalesce(nullif(hostname, ''), found, '') AS host FROM site_records r LEFT JOIN c ON r.nome_ente = c.nome_ente""")
 def mn4_fill_blank_hosts(spark: SparkSession, root: str) -> DataFrame:
     rows = table(spark, root, RECORDS).select("rec_id", "nome_ente", "hostname")
     found = rows.filter("hostname <> ''").groupBy("nome_ente").agg(F.min("hostname").alias("found"))
-    out = salted_join(rows, found, ["nome_ente"], "rec_id", "left")
-    return out.select("rec_id", F.coalesce(F.nullif("hostname", F.lit("")), "found", F.lit("")).alias("host"))
-
+    return joins.fill_from_cache(rows, "nome_ente", "hostname", found, "found").select("rec_id", F.col("hostname").alias("host"))
 
-@query("SELECT riga_id, CASE homepage_status WHEN '200' THEN 'ok' ELSE coalesce(homepage_status, '') END AS status FROM siti_classificati")
-def mn7_homepage_status(spark: SparkSession, root: str) -> DataFrame:
-    return table(spark, root, SITES).select("riga_id", F.when(F.col("homepage_status") == "200", "ok").otherwise(F.coalesce("homepage_status", F.lit(""))).alias("status"))
 
-
-@query()
+@query(f"SELECT rec_id, unnest(CASE WHEN b = '' THEN [] ELSE ['https://' || b, 'https://' || b || '/', 'http://' || b, 'http://' || b || '/', 'https://www.' || b, 'https://www.' || b || '/', 'http://www.' || b, 'http://www.' || b || '/'] END) AS variant FROM (SELECT rec_id, regexp_replace({_BARE_SQL.format('hostname')}, '^www\\.', '') AS b FROM site_records)")
 def mn9_site_variants(spark: SparkSession, root: str) -> DataFrame:
-    return table(spark, root, RECORDS).select("rec_id", F.explode(urls.site_variants(_bare(F.col("hostname")))).alias("variant")).filter("variant not like '%:///%'")
+    return table(spark, root, RECORDS).select("rec_id", F.explode(urls.site_variants(_bare(F.col("hostname")))).alias("variant"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lodestrata.plans import analytics, details, problems
+from lodestrata.plans import analytics, details, exchange, problems
 
-QUERIES = {**analytics.QUERIES, **details.QUERIES, **problems.QUERIES}
-ORACLES = {**analytics.ORACLES, **details.ORACLES, **problems.ORACLES}
+QUERIES = {**analytics.QUERIES, **details.QUERIES, **exchange.QUERIES, **problems.QUERIES}
+ORACLES = {**analytics.ORACLES, **details.ORACLES, **exchange.ORACLES, **problems.ORACLES}

@@ -35,6 +35,50 @@ def upsert_batches(stream: DataFrame, apply: callable, checkpoint: str) -> Strea
     return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def replace_batch(target: str) -> callable:
+    """An ``apply`` that writes each batch to a folder of its own by the batch's id, so that a batch which comes again
+    after a failure replaces itself."""
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+
+    return apply
+
+
+def host_cooldown(stream: DataFrame, host: str, seq: str, result: str, after_errors: int = 3, after_dead: int = 8, retries: int = 3, pause: int = 50, forgive_after: int = 20) -> DataFrame:
+    """The state of each host after each attempt: ``host``, ``seq``, ``outcome``, ``errors`` in a row, ``retries`` used, and the
+    number until which it is paused.
+
+    ``result`` is ok, error or dead (a link that is gone). From ``after_errors`` errors in a row on (``after_dead`` for dead
+    links) the host is paused for ``pause`` numbers, ``retries`` times; then attempts are given up. ``forgive_after``
+    successes in a row give one retry back. One small state per host; within a batch attempts go by ``seq``, and batches
+    are expected in its order.
+    """
+
+    def step(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        errors, streak, used, until = state.get if state.exists else (0, 0, 0, 0)
+        rows = pd.concat(list(batches)).sort_values(seq)
+        out = []
+        for n, how in zip(rows[seq], rows[result], strict=True):
+            if how == "ok":
+                errors, streak = 0, streak + 1
+                if streak >= forgive_after and used:
+                    used, streak = used - 1, 0
+                outcome = "ok"
+            else:
+                errors, streak = errors + 1, 0
+                if errors >= (after_dead if how == "dead" else after_errors) and used < retries:
+                    used, until, outcome = used + 1, int(n) + pause, "paused"
+                else:
+                    outcome = "dead" if how == "dead" else "given_up"
+            out.append((k[0], int(n), outcome, errors, used, until))
+        state.update((errors, streak, used, until))
+        yield pd.DataFrame(out, columns=["host", "seq", "outcome", "errors", "retries", "until"])
+
+    rows = stream.select(F.col(host).cast("string").alias(host), F.col(seq).cast("bigint").alias(seq), F.col(result).alias(result)).filter(F.col(host).isNotNull())
+    return rows.groupBy(host).applyInPandasWithState(step, "host string, seq bigint, outcome string, errors int, retries int, until bigint", "errors int, streak int, used int, until bigint", "append", GroupStateTimeout.NoTimeout)
+
+
 def daily_counts(stream: DataFrame, time: str, late: str = "1 day") -> DataFrame:
     """Rows per day of event time, with a watermark."""
     return stream.withWatermark(time, late).groupBy(F.window(time, "1 day")).agg(F.count(F.lit(1)).alias("n")).select(F.to_date("window.start").alias("day"), "n")
@@ -58,7 +102,7 @@ def latest_with_ttl(stream: DataFrame, key: str, time: str, value: str, ttl: str
             for v, t in zip(b[value], b[time], strict=True):
                 if pd.isna(t):
                     continue
-                ms = int(t.timestamp() * 1000)
+                ms = pd.Timestamp(t).value // 1_000_000
                 if best is None or ms >= best[1]:
                     best = (v, ms)
         if best is None:

@@ -106,10 +106,15 @@ def test_network(spark):
 
 
 def test_pages(spark):
-    assert value(spark, pages.challenge(F.lit("<title>Just a moment...</title>"))) == "title"
-    assert value(spark, pages.looks_js_rendered(F.lit('<div id="root"></div>'), F.lit(0)))
-    assert value(spark, pages.parked(F.lit("Dieses Domain steht zum Verkauf"))) and value(spark, pages.default_page(F.lit("Welcome to nginx")))
-    assert value(spark, pages.visible_text_length(F.lit("<p>a <script>x</script> b</p>"))) == 3
+    state = lambda h: dict(zip(("title", "n_text", "n_links", "challenge", "shell", "parked", "default"), pages.state_of(h), strict=True))
+    assert state("<title>Just a moment...</title>")["challenge"] == "title" and state("<p>captcha</p>")["challenge"] == "captcha" and state("x" * 7000 + "captcha")["challenge"] is None
+    assert state("<p>Request unsuccessful. Incapsula incident</p>")["challenge"] == "mark" and state(None)["challenge"] is None
+    assert state('<div id="root"></div>')["shell"] and state("<noscript>Please enable JavaScript</noscript>")["shell"] and state("<script>window.__NUXT__={}</script>")["shell"]
+    assert not state('<div id="root">' + "word " * 60 + "</div>")["shell"] and not state('<div id="root"></div>' + "<a href='x'>y</a>" * 10)["shell"]
+    assert state("Dieses Domain steht zum Verkauf")["parked"] and state("see dan.com/buy now")["parked"] and state("Welcome to nginx")["default"]
+    assert not state("coming soon " + "word " * 400)["default"] and state("<p>a <script>x</script> b</p>")["n_text"] == 3 and state("<b>a</b><i>b</i>&amp;")["n_text"] == 5
+    df = spark.createDataFrame([(1, None), (2, ""), (3, "<p>" * 5000 + "x" * 200_000)], "i int, h string")
+    assert [(r["page_id"], r["n_text"]) for r in pages.page_states(df, "i", "h").orderBy("page_id").collect()] == [(1, 0), (2, 0), (3, 200_000)]
     assert value(spark, pages.probably_blocked(F.lit(403), F.lit("x"))) and not value(spark, pages.probably_blocked(F.lit(200), F.lit("x")))
     assert value(spark, pages.sitemap_urls(F.lit("<loc> a </loc><loc>b</loc>"))) == ["a", "b"]
 
@@ -118,10 +123,22 @@ def test_bands_and_rules(spark):
     assert [value(spark, bands.hhi_band(F.lit(x))) for x in (1499.9, 1500.0, 2500.0)] == ["non concentrato", "moderatamente concentrato", "altamente concentrato"]
     assert value(spark, rules.third_party(F.lit("https://cdn.x.example/a.js")))["vendor"] == "cdn.x.example"
     assert value(spark, rules.third_party(F.lit("https://www.google-analytics.com/a.js")))["parent"] == "Google"
-    assert [value(spark, rules.cookie_class(F.lit(c))) for c in ("_ga", "_gat", "PHPSESSID")] == ["profilazione", "sconosciuto", "tecnico"]
-    scores = rules.keyword_scores(F.lit("Comune"), F.lit("comune scuola"), {"comune": ["comune"], "scuola": ["scuola"], "x": ["zz"]})
-    assert value(spark, scores) == {"comune": 3, "scuola": 1}
-    assert value(spark, rules.top_category(F.create_map(F.lit("b"), F.lit(2), F.lit("a"), F.lit(2)), ["b", "a"])) == "b"
+    assert [value(spark, rules.cookie_class(F.lit(c))) for c in ("_ga", "_ga_x", "xfr", "PHPSESSID")] == ["profilazione", "sconosciuto", "sconosciuto", "tecnico"]
+    one = spark.createDataFrame([(1, "Comune", "comune scuola"), (2, None, None), (3, "", "b a")], "i int, h string, b string")
+    scores = rules.keyword_scores(one, ["i"], F.col("h"), F.col("b"), {"comune": ["comune"], "scuola": ["scuola"], "x": ["zz"]})
+    assert [tuple(r) for r in scores.orderBy("i").collect()] == [(1, 3, 1, 0), (2, 0, 0, 0), (3, 0, 0, 0)]
+    assert [r[0] for r in scores.orderBy("i").select(rules.top_category(["x", "comune", "scuola"])).collect()] == ["comune", None, None]
+    ties = spark.createDataFrame([(2, 2)], "b int, a int")
+    assert ties.select(rules.top_category(["b", "a"])).first()[0] == "b"
+    pages_ = spark.createDataFrame([(1, "<meta name='generator' content='WordPress 6.1'> wp-includes", "nginx/1.2", None), (2, None, "Apache", "PHP/8.1 ASP.NET"), (3, "", None, None)], "i int, h string, s string, p string")
+    found = rules.software_found(pages_, ["i"], "h", "s", "p")
+    assert {(r["i"], r["software"], r["version"]) for r in found.collect()} == {(1, "WordPress", ""), (1, "nginx", "1.2"), (2, "Apache HTTP Server", ""), (2, "PHP", "8.1"), (2, "ASP.NET", "")}
+    both = spark.createDataFrame([(1, "wp-content <meta content='WordPress 6.1'>")], "i int, h string")
+    assert [r["version"] for r in rules.software_found(both, ["i"], "h").collect()] == ["6.1"]
+    assert rules.vendors_of([{"pattern": "X.y", "categoria": "c", "vendor": "v"}])[0] == rules.Vendor("x.y", "c", "v") and rules.software_of([{"pattern": "P", "fonte": "html", "software": "s", "categoria": "c", "licenza": "l"}])[0].open_source is None
+    hosts = spark.createDataFrame([(1, "a.b.it"), (2, "b.it."), (3, "it"), (4, ""), (5, None)], "i int, h string")
+    listed = spark.createDataFrame([("b.it",), ("C.a.b.it",)], "d string")
+    assert {(r["i"], r["d"]) for r in rules.match_either_way(hosts, "h", listed, "d", "i").collect()} == {(1, "b.it"), (2, "b.it"), (1, "C.a.b.it"), (2, "C.a.b.it"), (3, "b.it"), (3, "C.a.b.it")}
     assert value(spark, rules.longest_keyword(F.lit("primary school district"), {"school": "s", "school district": "d"})) == "d"
 
 

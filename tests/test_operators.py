@@ -5,7 +5,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from lodestrata.functions import html
+from lodestrata.functions import html, network
 from lodestrata.operators import concentration, distributions, graph, joins, ranking, rollups, rules, scoring, sets
 from lodestrata.plans import analytics, details
 
@@ -188,10 +188,17 @@ def test_statuses_of_every_host(spark, tmp_path):
     ]
     df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "riga_id long, hostname string, http_status_classificazione int, http_errore_classificazione string")
     df.write.parquet(f"{tmp_path}/{analytics.TYPES}.parquet")
-    got = {r["hostname"]: r["status"] for r in details.mn8_best_status_whole(spark, str(tmp_path)).collect()}
+    got = {r["hostname"]: r["status"] for r in details.mn8_best_status(spark, str(tmp_path)).collect()}
     assert got == {"a": "tls_error", "b": "http_error", "c": "no_answer", "d": "timeout", "e": "dns_error", "f": "ok", "g": "blocked", "h": "timeout", "i": "http_error"}
-    allowed = {r["riga_id"]: r["allowed"] for r in details.mn19_robots_whole(spark, str(tmp_path)).collect()}
-    assert allowed == {i: True for i in range(len(rows))} | {0: False, 8: None}
+    assert details.mn7_homepage_status(spark, str(tmp_path)).count() == len(rows)
+
+
+def test_robots(spark):
+    rules_ = "User-agent: bot\nDisallow: /no\nCrawl-delay: 99\n\nUser-agent: *\nDisallow: /"
+    rows = [("https://a.it/x", 200, None, rules_), ("https://a.it/no/1", 200, "", rules_), ("https://a.it/x", 503, None, rules_), ("https://a.it/x", 404, None, rules_), ("https://a.it/x", None, None, None), ("https://a.it/x", 200, "timeout", rules_), ("mailto:x", 200, None, rules_), (None, 200, None, None), ("https://a.it/x", 301, None, rules_), ("https://a.it/x", 200, None, "\x00<html>")]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "id int, url string, s int, e string, t string")
+    got = [tuple(r)[1:3] for r in network.robots_decisions(df, "id", "url", "s", "e", "t", "bot", 30.0).orderBy("row_id").collect()]
+    assert got == [(True, 30.0), (False, 30.0), (False, 0.0), (True, 0.0), (True, 0.0), (True, 0.0), (True, 0.0), (True, 0.0), (True, 0.0), (True, 0.0)]
 
 
 PAGE = """<html lang="it"><head><title> Comune  di X </title><base href="https://x.example/d/"><meta name="description" content="desc"><meta property="og:site_name" content="Sito">

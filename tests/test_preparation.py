@@ -136,12 +136,12 @@ def sequential(files, names):
             continue
         now = drift.schema_of(d)
         if prev is None or prev[0] != series:
-            last = {k: t for k, (t, _) in now.items()}
+            last = dict(now)
         else:
             changes, onward = drift.compare(prev[1], now, names)
             out += [(fid, k.replace(drift.SEP, "."), c) for k, c in changes]
             fresh = {}
-            for k, (t, _) in now.items():
+            for k, t in now.items():
                 before = last[onward[k]] if k in onward else None
                 if t and before and t != before:
                     out.append((fid, k.replace(drift.SEP, "."), "type_changed"))
@@ -158,7 +158,7 @@ def pairs_of(files):
         d = drift.read_object(payload)
         if d is None:
             continue
-        now = drift._prints(drift.schema_of(d))
+        now = drift.prints_of(d)
         if prev is not None and prev[0] == series:
             found.step(last, set(prev[1]), now)
         else:
