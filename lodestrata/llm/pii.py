@@ -253,7 +253,7 @@ def _address(text: str, a: int, b: int) -> Finding | None:
                 if bare.lower() in STREET_TYPES:
                     start = at + len(word) - len(bare) if named else None
                     break
-                if not word or word[0] in "(«\"[<" or any(c.isdigit() for c in word) or word[-1] in ",;:)!?" or word[-1] == "." and len(word) > 3:
+                if not word or word[0] in "(«\"[<" or _DIGITS.search(word) or word[-1] in ",;:)!?" or word[-1] == "." and len(word) > 3:
                     break
                 named = named or word[:1].isupper() or word[:2].lower() in ("l'", "d'", "l’", "d’") and word[2:3].isupper()
         if start is not None:
