@@ -32,54 +32,61 @@ def top_items(df: DataFrame, items: Column, k: int, name: str = "item") -> DataF
 
 #: Groups of up to so many rows are ranked by the built-in aggregates, whose memory grows with a group's distinct values.
 IN_MEMORY_ROWS = 5_000_000
-_SLOTS = 1024
+#: Slots that a range is cut into, and the distinct values up to which a range is ranked in one window.
+_SLOTS, _FEW = 32, 1_000_000
 
 
 def _largest_group(rows: DataFrame, by: list[str]) -> int:
     return rows.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
 
 
-def order_statistics(rows: DataFrame, by: list[str], ranks: dict[str, Column], levels: int = 3) -> DataFrame:
+def order_statistics(rows: DataFrame, by: list[str], ranks: dict[str, Column], few: int = _FEW) -> DataFrame:
     """Values at given 0-based ranks of the column ``v`` per group, exactly, however large a group is.
 
     ``ranks`` are expressions of the group's size ``n``. Equal values are counted together first, so no value is hot. A
-    group's range is cut into slots, rows are counted per slot, and only the slots that hold a wanted rank are cut again;
-    what is left after ``levels`` cuts is ranked by value. No task ever holds a group: slots are few, and the joins to
-    the group's few rows are salted by value.
+    group's range is cut at quantiles of its distinct values, so that every slot has about as many of them whatever their
+    distribution; rows are counted per slot, and only the slots that hold a wanted rank are cut again, until none has more
+    than ``few`` distinct values; these are ranked by value. No task ever holds a group: slots are few, and the joins to the
+    group's few rows are salted by value.
     """
     from lodestrata.lineage import cut
 
     names = [f"k{i}" for i in range(len(by))]
     once = rows.select(*[F.col(c).alias(n) for c, n in zip(by, names, strict=True)], "v").groupBy(*names, "v").agg(F.count(F.lit(1)).alias("m"))
     keyed = cut(once.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(16)).cast("int")))
-    groups = keyed.groupBy(*names).agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("m").alias("n"))
+    groups = keyed.groupBy(*names).agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("m").alias("n"), F.count(F.lit(1)).alias("k"))
     wanted = F.explode(F.array(*[F.struct(F.lit(k).alias("name"), r.cast("bigint").alias("rank")) for k, r in ranks.items()]))
-    ranges = cut(groups.withColumn("w", wanted).select(*names, "w.name", "lo", "hi", "w.rank"))
-    slot = F.when(F.col("hi") > F.col("lo"), F.least(F.lit(_SLOTS - 1), F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * _SLOTS))).otherwise(F.lit(0))
+    ranges = cut(groups.withColumn("w", wanted).select(*names, "w.name", "lo", "hi", "k", "w.rank"))
     salts = F.explode(F.sequence(F.lit(0), F.lit(15))).alias("rsalt")
+    span = [*names, "lo", "hi"]
 
-    def within(r: DataFrame) -> DataFrame:
-        few = r.select(*[F.col(n).alias(f"r{n}") for n in names], "lo", "hi", salts).distinct()
+    def within(r: DataFrame, *more: str) -> DataFrame:
+        few_ = r.select(*[F.col(n).alias(f"r{n}") for n in names], "lo", "hi", *more).distinct().select("*", salts)
         same = F.col("salt") == F.col("rsalt")
         for n in names:
             same = same & F.col(n).eqNullSafe(F.col(f"r{n}"))
-        return keyed.join(few, same & F.col("v").between(F.col("lo"), F.col("hi"))).select(*names, "lo", "hi", "v", "m")
+        return keyed.join(few_, same & F.col("v").between(F.col("lo"), F.col("hi"))).select(*names, "lo", "hi", "v", "m", *more)
 
-    span = [*names, "lo", "hi"]
-    for level in range(levels):
-        last = level == levels - 1
-        cell = "v" if last else "slot"
-        inside = within(ranges) if last else within(ranges).withColumn("slot", slot)
-        counts = inside.groupBy(*span, cell).agg(F.sum("m").alias("c"), F.min("v").alias("a"), F.max("v").alias("b"))
+    def narrowed(r: DataFrame, cell: str) -> DataFrame:
+        inside = within(r) if cell == "v" else within(r, "cuts").withColumn("slot", F.size(F.filter("cuts", lambda c: c < F.col("v"))))
+        counts = inside.groupBy(*span, cell).agg(F.sum("m").alias("c"), F.min("v").alias("a"), F.max("v").alias("b"), F.count(F.lit(1)).alias("k"))
         w = Window.partitionBy(*span).orderBy(cell).rowsBetween(Window.unboundedPreceding, -1)
         counts = counts.withColumn("before", F.coalesce(F.sum("c").over(w), F.lit(0)))
         on = (F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("c"))
         for n in span:
             on = on & F.col(n).eqNullSafe(F.col(f"q_{n}"))
-        asked = ranges.select(*[F.col(n).alias(f"q_{n}") for n in span], "name", "rank")
-        hit = counts.join(asked, on).select(*names, "name", F.col("a").alias("lo"), F.col("b").alias("hi"), (F.col("rank") - F.col("before")).alias("rank"))
-        ranges = hit if last else cut(hit)
-    return ranges.select(*[F.col(n).alias(c) for c, n in zip(by, names, strict=True)], "name", F.col("lo").alias("value"))
+        asked = r.select(*[F.col(n).alias(f"q_{n}") for n in span], "name", "rank")
+        return counts.join(asked, on).select(*names, "name", F.col("a").alias("lo"), F.col("b").alias("hi"), "k", (F.col("rank") - F.col("before")).alias("rank"))
+
+    grid = [(i + 1) / _SLOTS for i in range(_SLOTS - 1)]
+    while (ranges.agg(F.max("k")).first()[0] or 0) > few:
+        cuts = within(ranges).groupBy(*span).agg(F.array_distinct(F.percentile_approx("v", grid, 10_000)).alias("cuts"))
+        same = F.lit(True)
+        for n in span:
+            same = same & F.col(n).eqNullSafe(F.col(f"c_{n}"))
+        with_cuts = ranges.join(cuts.select(*[F.col(n).alias(f"c_{n}") for n in span], "cuts"), same).select(*ranges.columns, "cuts")
+        ranges = cut(narrowed(with_cuts, "slot"))
+    return narrowed(ranges, "v").select(*[F.col(n).alias(c) for c, n in zip(by, names, strict=True)], "name", F.col("lo").alias("value"))
 
 
 def spread(df: DataFrame, value: Column, by: list[str] | None = None, digits: int = 1, in_memory: int = IN_MEMORY_ROWS) -> DataFrame:

@@ -35,6 +35,10 @@ def test_percentiles(spark):
     for call in (lambda m: distributions.spread(many, F.col("v"), ["k"], 6, m), lambda m: distributions.spread(many, F.col("v"), None, 6, m), lambda m: distributions.nearest_rank(many, ["k"], "v", 0.95, m)):
         assert sorted(map(str, call(10**9).collect())) == sorted(map(str, call(0).collect()))
     assert distributions.rates(df, {"x": F.col("v") > 5}).first()["x"] == 40.0
+    wide = spark.range(4000).select((F.col("id") % 2).alias("k"), F.when(F.col("id") < 1500, F.lit(7.0)).otherwise(F.exp((F.pmod(F.xxhash64("id"), F.lit(2000)) - 1000) / 3.0)).alias("v"))
+    asked = {f"r{q}": F.floor((F.col("n") - 1) * q / 100) for q in (0, 3, 50, 97, 100)}
+    tables = [sorted(map(str, distributions.order_statistics(wide, ["k"], asked, few).collect())) for few in (10**6, 40, 1)]
+    assert tables[0] == tables[1] == tables[2] and len(tables[0]) == 10
 
 
 @pytest.mark.parametrize("cap", [1, 12])
