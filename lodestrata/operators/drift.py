@@ -132,7 +132,8 @@ def _print(value: object) -> list[str]:
 
 def prints_of(fields: dict) -> dict[str, list[str]]:
     """Key -> print of its value."""
-    return {k.replace(SEP, " "): _print(v) for k, v in fields.items()}
+    plain = lambda v: [] if v is None else list(_scalar_texts(type(v), v))
+    return {k.replace(SEP, " "): _print(v) if isinstance(v, (dict, list)) else plain(v) for k, v in fields.items()}
 
 
 def schema_of(fields: dict) -> dict[str, str | None]:
@@ -342,6 +343,16 @@ def joined_names(pairs: list[tuple[str, str, float]], files: dict[str, int], bot
     return {x: min(xs, key=lambda y: (-files.get(y, 0), y)) for x, xs in member.items() if len(xs) > 1}
 
 
+def _count_pairs(sets_: Counter, together: Counter) -> None:
+    """Adds the pairs of each set of names, and each name with itself, and empties the sets."""
+    for own, n in sets_.items():
+        for a in own:
+            together[a, a] += n
+        for pair in combinations(own, 2):
+            together[pair] += n
+    sets_.clear()
+
+
 def learn_names(schemas: DataFrame, partitions: int | None = None) -> dict[str, str]:
     """Name -> field, of the names that stand for a field with several names; counted over all files of ``file_schemas``."""
     scanned = cut(_ranged(schemas, partitions, "prints").mapInPandas(_handovers, _HAND))
@@ -357,12 +368,15 @@ def learn_names(schemas: DataFrame, partitions: int | None = None) -> dict[str,
     wanted = schemas.sparkSession.sparkContext.broadcast(frozenset(x for r in good for x in (r["a"], r["b"])))
 
     def side_by_side(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sets_: Counter = Counter()
         together: Counter = Counter()
         for batch in batches:
             for prints in batch["prints"]:
-                own = sorted(k for k in json.loads(prints) if k in wanted.value)
-                together.update((k, k) for k in own)
-                together.update(combinations(own, 2))
+                own = tuple(sorted(k for k in json.loads(prints) if k in wanted.value))
+                sets_[own] += 1
+            if len(sets_) > 10_000:
+                _count_pairs(sets_, together)
+        _count_pairs(sets_, together)
         yield pd.DataFrame([(*p, n) for p, n in together.items()], columns=["a", "b", "n"])
 
     rows = schemas.filter("readable").select("prints").mapInPandas(side_by_side, "a string, b string, n bigint").groupBy("a", "b").agg(F.sum("n").alias("n")).collect()
