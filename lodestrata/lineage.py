@@ -29,7 +29,9 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def folder(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder, which ``release`` deletes with all that begins with it."""
+    """A new path in the shared folder, which ``release``, and the end of the driver, delete with all that begins with it."""
+    if not _written:
+        atexit.register(_release_at_exit, spark)
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     _written.append(path)
     return path
@@ -62,6 +64,15 @@ def release(spark: SparkSession, since: int = 0) -> int:
     return n
 
 
+def _release_at_exit(spark: SparkSession) -> None:
+    """Leaves nothing in the shared folder when the driver ends, if its session still runs."""
+    try:
+        if _written and not spark.sparkContext._jsc.sc().isStopped():
+            release(spark)
+    except Exception:  # noqa: BLE001, S110 - the session is gone, and with it the way to the files
+        pass
+
+
 def mark() -> int:
     """Where ``release`` is to stop: what is written before stays."""
     return len(_written)

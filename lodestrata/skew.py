@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 SALTS = 16
 #: A side whose files, or whose plan's estimate, are at most so many bytes is broadcast as it is.
-SMALL_BYTES = 4 << 20
+SMALL_BYTES = 1 << 20
 
 
 def planned_bytes(df: DataFrame) -> int:

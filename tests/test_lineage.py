@@ -2,7 +2,7 @@ import os
 
 import pytest
 
-from lodestrata import lineage
+from lodestrata import lineage, skew
 from lodestrata.skew import salted_join
 
 
@@ -25,9 +25,25 @@ def test_named_folder_is_used(spark, monkeypatch):
     assert lineage.shared_dir(Session) == "file:///shared/x"
 
 
-@pytest.mark.parametrize("how", ["inner", "left"])
-def test_salted_join_is_a_join(spark, how):
+def test_release_takes_what_lies_beside(spark):
+    before = lineage.mark()
+    path = lineage.folder(spark, "x")
+    spark.range(3).write.parquet(f"{path}-out")
+    spark.range(3).write.parquet(path)
+    kept = lineage.cut(spark.range(2))
+    file = kept.inputFiles()[0].removeprefix("file://")
+    assert os.path.exists(file) and lineage.release(spark, lineage.mark() - 1) == 1 and not os.path.exists(file)
+    assert lineage.release(spark, before) == 1 and not os.path.exists(path.removeprefix("file://")) and not os.path.exists(f"{path}-out".removeprefix("file://"))
+
+
+@pytest.mark.parametrize("small_bytes", [1 << 20, -1])
+@pytest.mark.parametrize("how", ["inner", "left", "left_anti"])
+def test_salted_join_is_a_join(spark, monkeypatch, how, small_bytes):
+    monkeypatch.setattr(skew, "SMALL_BYTES", small_bytes)
     big = spark.createDataFrame([(i, "hot" if i % 3 else None) for i in range(200)] + [(900, "x"), (901, "y")], "id int, k string")
-    small = spark.createDataFrame([("hot", 1), ("x", 2)], "k string, v int")
+    small = lineage.cut(spark.createDataFrame([("hot", 1), ("x", 2)], "k string, v int"))
     got = salted_join(big, small, ["k"], "id", how)
-    assert sorted(map(str, got.select("id", "k", "v").collect())) == sorted(map(str, big.join(small, "k", how).select("id", "k", "v").collect()))
+    columns = ["id", "k"] + ["v"] * (how != "left_anti")
+    assert sorted(map(str, got.select(*columns).collect())) == sorted(map(str, big.join(small, "k", how).select(*columns).collect()))
+    plan = got._jdf.queryExecution().toString()
+    assert ("__salt" in plan) == (small_bytes < 0)
