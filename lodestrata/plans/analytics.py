@@ -46,6 +46,40 @@ _FOLD_SQL = "regexp_replace(regexp_replace(regexp_replace(lower(strip_accents(co
 _BARE_SQL = "trim(lower(regexp_replace(regexp_replace(trim(coalesce({0}, '')), '^[A-Za-z][A-Za-z0-9+.-]*://', ''), '(?s)[/?#:].*$', '')))"
 
 
+_SUFFIXES_SQL = "list_transform(range(1, len(string_split({0}, '.')) + 1), lambda i: array_to_string(string_split({0}, '.')[i:], '.'))"
+_TRIM_SQL = "regexp_replace({0}, '^[\\s\\p{{Z}}]+|[\\s\\p{{Z}}]+$', '', 'g')"
+
+
+def _infrastructure_sql(host: str) -> str:
+    h = f"rtrim(lower({host}), '.')"
+    labels = ", ".join(f"'{x}'" for x in urls.INFRASTRUCTURE_LABELS)
+    root = f"CASE WHEN len(string_split({h}, '.')) >= 2 THEN string_split({h}, '.')[-2] ELSE string_split({h}, '.')[1] END"
+    return f"({host} <> '' AND (list_has_any({_SUFFIXES_SQL.format(h)}, [{', '.join(repr(d) for d in dict.fromkeys(urls.INFRASTRUCTURE))}]) OR {root} IN ({labels})))"
+
+
+def _site_sql(source: str, value: str, key: str) -> str:
+    """CTEs that end in ``sites``: ``key``, ``value`` and its normal form ``url``, '' where it is no site."""
+    nulls = ", ".join(f"'{t}'" for t in urls.NULL_TOKENS)
+    auth = "^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?"
+    label = "[\\p{L}\\p{N}](?:[\\p{L}\\p{N}-]{0,61}[\\p{L}\\p{N}])?"
+    octet = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+    return f"""v0 AS (SELECT {key}, {value} AS value FROM {source}),
+v1 AS (SELECT *, regexp_replace({_TRIM_SQL.format("coalesce(value, '')")}, '^[<>"'' ]+|[<>"'' ]+$', '', 'g') AS s FROM v0),
+v2 AS (SELECT *, lower({_TRIM_SQL.format('s')}) IN ({nulls}) OR regexp_matches(lower(s), '^(?:mailto|tel|javascript):') OR regexp_matches(s, '(?i)^[^@\\s/]+@[^@\\s/]+\\.[a-z]{{2,}}$') AS none, CASE WHEN contains(s, '://') THEN s WHEN starts_with(s, '//') THEN 'https:' || s ELSE 'https://' || s END AS f FROM v1),
+v3 AS (SELECT *, {_TRIM_SQL.format('f')} AS u FROM v2),
+v4 AS (SELECT *, lower(regexp_extract(u, '^([A-Za-z][A-Za-z0-9+.-]*)://', 1)) AS scheme, regexp_extract(u, '{auth}(?:\\[[^\\]/?#]*\\]|[^/?#:]*):([0-9]+)', 1) AS port, regexp_extract(u, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1) AS path, regexp_extract(u, '^[^?#]*\\?([^#]*)', 1) AS query, rtrim(lower(regexp_extract(u, '{auth}(\\[[^\\]/?#]*\\]|[^/?#:]*)', 1)), '.') AS bare FROM v3),
+v5 AS (SELECT *, CASE WHEN starts_with(bare, '[') THEN regexp_extract(bare, '^\\[([0-9a-f:.]+)\\]$', 1) WHEN contains(bare, '[') THEN '' ELSE bare END AS host FROM v4),
+sites AS (SELECT {key}, value, CASE WHEN none OR scheme NOT IN ('http', 'https') OR NOT (regexp_matches(host, '^(?:{label}\\.)+\\p{{L}}{{2,}}$') OR regexp_matches(host, '^{octet}(?:\\.{octet}){{3}}$') OR contains(host, ':')) THEN ''
+ELSE scheme || '://' || CASE WHEN port IN ('', '80', '443') THEN host ELSE host || ':' || port END || regexp_replace(regexp_replace(path, '/{{2,}}', '/', 'g'), '/+$', '') || CASE WHEN query <> '' THEN '?' || query ELSE '' END END AS url FROM v5)"""
+
+
+_PIECES_SQL = f"""p0 AS (SELECT rec_id, host_osservati AS cell, {_TRIM_SQL.format("coalesce(host_osservati, '')")} AS s FROM site_records),
+p1 AS (SELECT rec_id, cell, regexp_split_to_array(regexp_replace(s, '(?i)\\s+(?:e|et|und|y|and|en|och|og|ja)\\s+(https?://|www\\.)', chr(10) || '\\1', 'g'), '[;\\n\\r\\t|]+|,\\s+|\\s{{2,}}') AS l FROM p0 WHERE lower(s) NOT IN ({", ".join(f"'{t}'" for t in urls.NULL_TOKENS)})),
+p2 AS (SELECT rec_id, list_filter(list_transform(l, lambda x: regexp_replace({_TRIM_SQL.format('x')}, '^[<>"'' ]+|[<>"'' ]+$', '', 'g')), lambda x: x <> '') AS l FROM p1),
+p3 AS (SELECT rec_id, flatten(list_transform(l, lambda x: CASE WHEN contains(x, ' ') AND len(list_filter(regexp_split_to_array(x, '\\s+'), lambda y: y <> '')) > 1 AND len(list_filter(regexp_split_to_array(x, '\\s+'), lambda y: y <> '' AND NOT contains(y, '.'))) = 0 THEN list_filter(regexp_split_to_array(x, '\\s+'), lambda y: y <> '') ELSE [x] END)) AS l FROM p2),
+pieces AS (SELECT rec_id, (i - 1)::INT AS pos, l[i] AS value FROM (SELECT rec_id, l, unnest(range(1, len(l) + 1)) AS i FROM p3))"""
+
+
 def _bare(c: Column) -> Column:
     return strip(F.lower(F.regexp_replace(F.regexp_replace(strip(F.coalesce(c, F.lit(""))), r"^[A-Za-z][A-Za-z0-9+.-]*://", ""), r"(?s)[/?#:].*\z", "")))
 
@@ -742,7 +776,11 @@ def sc2_domain_suspicion(spark: SparkSession, root: str) -> DataFrame:
     return meta.select("dominio_radice", points.cast("bigint").alias("points"), reasons.alias("reasons"))
 
 
-@query()
+@query(f"""WITH t AS (SELECT riga_id, {_BARE_SQL.format('hostname')} AS h FROM siti_classificati), i AS (SELECT *, {_infrastructure_sql('h')} AS infra, list_filter(list_transform(regexp_split_to_array(h, '[.\\-_]'), lambda p: replace({_FOLD_SQL.format('p')}, ' ', '')), lambda p: p <> '' AND p <> 'www' AND NOT ({" OR ".join(f"starts_with(p, '{x}')" for x in scoring.TOKEN_EXCLUDED)})) AS parts FROM t),
+k AS (SELECT riga_id, parts, unnest([{", ".join(f"{{'kind': '{k}', 'rx': '^(?:" + "|".join(x[:-1] + '$' if x[-1] == '!' else x for x in ws) + f")', 'public': {str(k in scoring.PUBLIC_BY_NATURE).lower()}}}" for k, ws in scoring.HOST_TOKENS.items())}]) AS r FROM i WHERE NOT infra),
+hit AS (SELECT riga_id, r.kind AS kind, r.public AS public, list_filter(parts, lambda p: regexp_matches(p, r.rx))[1] AS token FROM k)
+SELECT riga_id, 'natura' AS field, 'infrastruttura' AS value, 0.95::DOUBLE AS conf, 'dominio infrastrutturale noto' AS evidence FROM i WHERE infra UNION ALL SELECT riga_id, 'natura', 'pubblico', 0.9, 'suffisso' FROM i WHERE NOT infra AND regexp_matches(h, '{scoring.GOV_HOST}')
+UNION ALL SELECT riga_id, 'tipo', kind, 0.6, 'token host ' || token FROM hit WHERE token IS NOT NULL UNION ALL SELECT riga_id, 'natura', 'pubblico', 0.5, 'token host ' || token FROM hit WHERE token IS NOT NULL AND public""")
 def sc6_host_votes(spark: SparkSession, root: str) -> DataFrame:
     rows = table(spark, root, SITES).select("riga_id", F.explode(scoring.host_votes(_bare(F.col("hostname")))).alias("v"))
     return rows.select("riga_id", "v.field", "v.value", "v.conf", "v.evidence")
@@ -758,9 +796,14 @@ def sc7_weighted_score(spark: SparkSession, root: str) -> DataFrame:
     return table(spark, root, SITES).select("riga_id", scoring.weighted_score(fields, _STEMS).alias("score"))
 
 
-@query()
+_KINDS = {"comune": ["comune", "commune", "gemeinde", "ayuntamiento"], "scuola": ["scuola", "ecole", "schule", "colegio"], "sanita": ["azienda sanitaria", "hopital", "gesundheitsamt"]}
+_KIND_SQL = ", ".join("{{'s': 3.0 * {0} + 1.0 * {1}, 'k': '{2}'}}".format(*[f"least(len(list_distinct(regexp_extract_all({c}, '\\b(?:{'|'.join(sorted((w.replace(' ', '[ ]') for w in ws), key=lambda w: (-len(w), w)))})'))), 3)" for c in ("t", "b")], k) for k, ws in _KINDS.items())
+
+
+@query(f"""WITH f AS (SELECT riga_id, {_FOLD_SQL.format('nome_ente')} AS t, {_FOLD_SQL.format('evidenza')} AS b FROM siti_classificati), r AS (SELECT riga_id, list_reverse_sort(list_filter([{_KIND_SQL}], lambda x: x.s > 0)) AS l FROM f)
+SELECT riga_id, 'tipo' AS field, l[1].k AS value, round(0.95 * (1 - exp(-l[1].s / 4.0)) * (0.5 + 0.5 * (l[1].s - coalesce(l[2].s, 0)) / l[1].s), 3)::DOUBLE AS conf FROM r WHERE l[1].s >= 3""")
 def sc8_lexicon_votes(spark: SparkSession, root: str) -> DataFrame:
-    kinds = {"comune": ["comune", "commune", "gemeinde", "ayuntamiento"], "scuola": ["scuola", "ecole", "schule", "colegio"], "sanita": ["azienda sanitaria", "hopital", "gesundheitsamt"]}
+    kinds = _KINDS
     fields = {"title": F.col("nome_ente"), "body": F.col("evidenza")}
     scores = F.map_from_entries(F.filter(F.array(*[F.struct(F.lit(k).alias("k"), scoring.weighted_score(fields, ws).alias("v")) for k, ws in kinds.items()]), lambda e: e["v"] > 0))
     return table(spark, root, SITES).select("riga_id", scores.alias("s")).select("riga_id", scoring.lexicon_vote(F.col("s")).alias("v")).filter("v is not null").select("riga_id", "v.field", "v.value", "v.conf")
@@ -879,12 +922,12 @@ def fn12_root_domain(spark: SparkSession, root: str) -> DataFrame:
     return table(spark, root, RECORDS).select("rec_id", urls.root_domain(_bare(F.col("hostname"))).alias("root"))
 
 
-@query()
+@query(f"WITH {_PIECES_SQL} SELECT rec_id, pos, value FROM pieces")
 def fn3_split_url_values(spark: SparkSession, root: str) -> DataFrame:
     return table(spark, root, RECORDS).select("rec_id", F.posexplode(urls.split_url_values(F.col("host_osservati"))).alias("pos", "value"))
 
 
-@query()
+@query(f"""WITH {_PIECES_SQL}, {_site_sql('pieces', 'value', 'rec_id, pos')}, d AS (SELECT rec_id, url, min(pos) AS o FROM sites WHERE url <> '' GROUP BY 1, 2) SELECT rec_id, (row_number() OVER (PARTITION BY rec_id ORDER BY o) - 1)::INT AS pos, url FROM d""")
 def fn5_normalize_url_values(spark: SparkSession, root: str) -> DataFrame:
     return table(spark, root, RECORDS).select("rec_id", F.posexplode(urls.normalize_url_values(F.col("host_osservati"))).alias("pos", "url"))
 
@@ -900,12 +943,13 @@ def fn9_url_signature(spark: SparkSession, root: str) -> DataFrame:
     return table(spark, root, RECORDS).select("rec_id", urls.url_signature(F.col("found_on")).alias("signature"))
 
 
-@query()
+@query("""WITH p AS (SELECT rec_id, coalesce(found_on, '') AS u, list_filter(string_split(regexp_extract(coalesce(found_on, ''), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/'), lambda x: x <> '') AS l FROM site_records)
+SELECT rec_id, length(u) > 2000 OR len(l) > 14 OR len(list_filter(list_distinct(l), lambda x: (len(list_filter(l, lambda y: y = x)) >= 3 AND length(x) > 1) OR len(list_filter(l, lambda y: y = x)) >= 4)) > 0 AS trap FROM p""")
 def fn10_traps(spark: SparkSession, root: str) -> DataFrame:
     return table(spark, root, RECORDS).select("rec_id", urls.looks_like_trap(F.col("found_on")).alias("trap"))
 
 
-@query()
+@query(f"""WITH {_site_sql(RECORDS, 'hostname', 'rec_id')} SELECT rec_id, CASE WHEN url = '' THEN lower(trim(coalesce(value, ''))) ELSE regexp_replace(regexp_replace(lower(url), '^https?://(?:www\\.)?', ''), '[?].*$', '') END AS key FROM sites""")
 def fn11_dedupe_key(spark: SparkSession, root: str) -> DataFrame:
     return table(spark, root, RECORDS).select("rec_id", urls.dedupe_key(F.col("hostname")).alias("key"))
 
@@ -925,7 +969,7 @@ def fn18_primary_lang(spark: SparkSession, root: str) -> DataFrame:
     return table(spark, root, SITES).select("riga_id", text.primary_lang(F.col("lang")).alias("lang"))
 
 
-@query()
+@query(f"SELECT rec_id, {_infrastructure_sql('h')} AS infrastructure FROM (SELECT rec_id, {_BARE_SQL.format('hostname')} AS h FROM site_records)")
 def fn19_infrastructure(spark: SparkSession, root: str) -> DataFrame:
     return table(spark, root, RECORDS).select("rec_id", urls.is_infrastructure(_bare(F.col("hostname"))).alias("infrastructure"))
 
@@ -992,7 +1036,8 @@ def fn44_squash(spark: SparkSession, root: str) -> DataFrame:
     return table(spark, root, "events").select("event_id", F.round(text.squash(F.col("value")), 9).alias("squashed"))
 
 
-@query()
+@query(f"""WITH t AS (SELECT rec_id, lower(coalesce(hostname, '')) AS h, list_distinct(list_filter(string_split({_FOLD_SQL.format('nome_ente')}, ' '), lambda w: length(w) >= 4 AND w NOT IN ({", ".join(f"'{w}'" for w in text.GENERIC_WORDS)}))) AS l FROM site_records)
+SELECT rec_id, CASE WHEN len(l) = 0 THEN 1.0 ELSE len(list_filter(l, lambda w: contains(h, w))) / len(l)::DOUBLE END::DOUBLE AS score FROM t""")
 def fn45_name_match(spark: SparkSession, root: str) -> DataFrame:
     return table(spark, root, RECORDS).select("rec_id", text.name_match(F.col("nome_ente"), F.coalesce("hostname", F.lit(""))).alias("score"))
 

@@ -215,7 +215,7 @@ def fn2_cell_text(spark: SparkSession, root: str) -> DataFrame:
     return table(spark, root, "lineitem").select("l_orderkey", "l_linenumber", text.cell_text(F.col("l_quantity")).alias("quantity"), text.cell_text(F.col("l_extendedprice")).alias("price"))
 
 
-@query()
+@query(f"WITH {o._site_sql(o.RECORDS, 'hostname', 'rec_id')} SELECT rec_id, url FROM sites")
 def fn4_normalize_url_value(spark: SparkSession, root: str) -> DataFrame:
     return _records(spark, root).select("rec_id", urls.normalize_url_value(F.col("hostname")).alias("url"))
 
@@ -231,7 +231,7 @@ def fn15_registry_url(spark: SparkSession, root: str) -> DataFrame:
     return _records(spark, root).select("rec_id", urls.registry_url(o._bare(F.col("hostname"))).alias("url"))
 
 
-@query()
+@query(f"SELECT rec_id, array_to_string(list_transform(list_sort(list_transform(list_distinct(l), lambda x: {{'i': list_position(l, x), 'x': x}})), lambda y: y.x), ',') AS stems FROM (SELECT rec_id, regexp_extract_all({o._FOLD_SQL.format('nome_ente')}, '\\b(?:comune\\s+di|gemeinde|mairie|ecole\\b)') AS l FROM site_records)")
 def fn17_stem_matches(spark: SparkSession, root: str) -> DataFrame:
     found = text.distinct_matches(text.stems_pattern(["comune di", "mairie", "gemeinde", "ecole!"]), text.fold(F.col("nome_ente")))
     return _records(spark, root).select("rec_id", F.array_join(found, ",").alias("stems"))
