@@ -826,7 +826,12 @@ def _votes(spark: SparkSession, root: str) -> DataFrame:
     return one("natura", "natura", "confidenza_natura").unionByName(one("tipo", "tipo", "confidenza_tipo")).filter("host <> '' and value <> '' and conf is not null")
 
 
-@query()
+@query("""WITH v AS (SELECT * FROM (SELECT hostname AS host, 'natura' AS field, natura AS value, try_cast(confidenza_natura AS DOUBLE) AS conf, wikidata AS evidence, riga_id AS ord FROM siti_classificati UNION ALL SELECT hostname, 'tipo', tipo, try_cast(confidenza_tipo AS DOUBLE), wikidata, riga_id FROM siti_classificati) WHERE host <> '' AND value <> '' AND conf IS NOT NULL),
+p AS (SELECT host, field, value, round(1 - exp(sum(ln(1 - greatest(0.0, least(0.99, conf))))), 9) AS c, min(ord) AS o FROM v GROUP BY 1, 2, 3), r AS (SELECT *, row_number() OVER (PARTITION BY host, field ORDER BY c DESC, o, value DESC) AS rn FROM p),
+w AS (SELECT host, field, max(value) FILTER (rn = 1) AS value, max(c) FILTER (rn = 1) AS a, coalesce(max(c) FILTER (rn = 2), 0) AS b FROM r GROUP BY 1, 2), x AS (SELECT host, field, value, round(greatest(0.0, a - 0.5 * b), 3)::DOUBLE AS conf, b >= 0.5 * a AND b >= 0.4 AS conflict FROM w),
+y AS (SELECT host, max(value) FILTER (field = 'natura') AS n, max(conf) FILTER (field = 'natura') AS cn, max(value) FILTER (field = 'tipo') AS t, max(conf) FILTER (field = 'tipo') AS ct, bool_or(conflict) AS conflict FROM x GROUP BY 1),
+e AS (SELECT v.host, 'stadio3:' || evidence AS e, row_number() OVER (PARTITION BY v.host ORDER BY v.conf DESC, ord, 'stadio3:' || evidence) AS k FROM v JOIN x ON v.host = x.host AND v.field = x.field AND v.value = x.value WHERE evidence <> ''), f AS (SELECT host, string_agg(e, ' || ' ORDER BY k) AS evidence FROM e WHERE k <= 4 GROUP BY 1)
+SELECT y.host, coalesce(n, 'non_classificabile') AS natura, coalesce(cn, 0.0) AS conf_natura, CASE WHEN n = 'infrastruttura' THEN 'non_applicabile' ELSE coalesce(t, 'sconosciuto') END AS tipo, CASE WHEN n = 'infrastruttura' THEN cn ELSE coalesce(ct, 0.0) END AS conf_tipo, conflict, 'stadio3' AS stages, evidence FROM y LEFT JOIN f ON y.host = f.host""")
 def sc11_verdicts(spark: SparkSession, root: str) -> DataFrame:
     return scoring.verdicts(_votes(spark, root))
 
@@ -932,7 +937,14 @@ def fn5_normalize_url_values(spark: SparkSession, root: str) -> DataFrame:
     return table(spark, root, RECORDS).select("rec_id", F.posexplode(urls.normalize_url_values(F.col("host_osservati"))).alias("pos", "url"))
 
 
-@query()
+_TRACKED_SQL = "lower(x.k) IN ({}) OR regexp_matches(lower(x.k), '^(?:{})')".format(", ".join(f"'{t}'" for t in urls.TRACKING), "|".join(urls.TRACKING_PREFIX))
+
+
+@query(f"""WITH a AS (SELECT rec_id, found_on, {_TRIM_SQL.format("coalesce(found_on, '')")} AS u FROM site_records),
+b AS (SELECT *, lower(regexp_extract(u, '^([A-Za-z][A-Za-z0-9+.-]*)://', 1)) AS scheme, regexp_extract(u, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?[^/?#:]*:([0-9]+)', 1) AS port, regexp_extract(u, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1) AS path, regexp_extract(u, '^[^?#]*\\?([^#]*)', 1) AS query, {_HOST_SQL.format('found_on')} AS host FROM a),
+c AS (SELECT *, regexp_replace(regexp_replace(path, ';[^/]*', '', 'g'), '/{{2,}}', '/', 'g') AS p, list_filter(list_transform(list_filter(string_split(query, '&'), lambda x: x <> ''), lambda x: {{'k': url_decode(replace(split_part(x, '=', 1), '+', ' ')), 'v': url_decode(replace(regexp_extract(x, '^[^=]*=(.*)$', 1), '+', ' '))}}), lambda x: NOT ({_TRACKED_SQL})) AS pairs FROM b),
+d AS (SELECT *, CASE WHEN length(p) > 1 AND regexp_replace(p, '/+$', '') <> '' THEN regexp_replace(p, '/+$', '') ELSE '/' END AS shown, array_to_string(list_transform(list_sort(pairs), lambda x: replace(url_encode(x.k), '%20', '+') || '=' || replace(url_encode(x.v), '%20', '+')), '&') AS q FROM c)
+SELECT rec_id, CASE WHEN scheme IN ('http', 'https') AND host <> '' THEN scheme || '://' || host || CASE WHEN port = '' OR (scheme = 'http' AND port = '80') OR (scheme = 'https' AND port = '443') THEN '' ELSE ':' || port END || shown || CASE WHEN q <> '' THEN '?' || q ELSE '' END ELSE found_on END AS url FROM d""")
 def fn6_canonical_url(spark: SparkSession, root: str) -> DataFrame:
     return table(spark, root, RECORDS).select("rec_id", urls.canonical_url(F.col("found_on")).alias("url"))
 
@@ -1052,13 +1064,17 @@ def fn47_expired(spark: SparkSession, root: str) -> DataFrame:
     return table(spark, root, "events").select("event_id", network.expired(F.col("ts"), F.lit("2024-01-20").cast("timestamp"), 7).alias("expired"))
 
 
-@query()
+_REFS_SQL = """r AS (SELECT doc_id AS page_id, hostname, (i - 1)::INT AS ord, 'script' AS kind, l[i] AS ref FROM (SELECT doc_id, hostname, l, unnest(range(1, len(l) + 1)) AS i FROM (SELECT doc_id, hostname, regexp_extract_all(text, '<script src="([^"]+)"', 1) AS l FROM documents)))"""
+
+
+@query(f"WITH {_REFS_SQL} SELECT page_id, ord, kind, ref FROM r")
 def ht1_links_and_resources(spark: SparkSession, root: str) -> DataFrame:
     rows = table(spark, root, "documents").withColumn("url", F.concat(F.lit("https://"), "hostname", F.lit("/")))
     return html.page_refs(rows, "doc_id", "url", "text")
 
 
-@query()
+@query(f"""WITH {_REFS_SQL}, h AS (SELECT *, lower(regexp_extract(ref, '://([^/?#:]*)', 1)) AS host, lower(trim(coalesce(hostname, ''))) AS own FROM r)
+SELECT page_id, host, lower(ref) AS url, 0 AS rank, min(ord) AS ord FROM h WHERE array_to_string(string_split(host, '.')[-2:], '.') <> array_to_string(string_split(own, '.')[-2:], '.') GROUP BY 1, 2, 3""")
 def ht3_third_party_resources(spark: SparkSession, root: str) -> DataFrame:
     rows = table(spark, root, "documents").withColumn("url", F.concat(F.lit("https://"), "hostname", F.lit("/")))
     own = rows.select(F.col("doc_id").alias("page_id"), F.col("hostname").alias("own"))

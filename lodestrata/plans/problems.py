@@ -109,8 +109,8 @@ QUERIES = {
 }
 
 
-def _quarantine_sql() -> str:
-    """The reasons of rejected lines in SQL: one pattern per delimiter, as SQL patterns can't come from a column."""
+def _quarantine_sql(records: bool = False) -> str:
+    """The reasons of rejected lines in SQL, or the valid records: one pattern per delimiter, as SQL patterns can't come from a column."""
     shown = {";": ";", ",": ",", "\t": "\\t", "|": "\\|"}
     quoted = '"(?:[^"]|"")*"'
     sound = " ".join(f"WHEN delim = '{d}' THEN regexp_matches(line, '^(?:{quoted}|[^\"{e}]*)(?:{e}(?:{quoted}|[^\"{e}]*))*$')" for d, e in shown.items())
@@ -121,15 +121,18 @@ def _quarantine_sql() -> str:
     host = rf"^(?i:https?://)?({label}(?:\.{label})+)\.?(?::\d{{1,5}})?(?:[/?#](?s:.*))?$"
     code = "^(?:[0-9A-Fa-f]{8}-(?:[0-9A-Fa-f]{4}-){3}[0-9A-Fa-f]{12}|[A-Za-z]{1,6}_[A-Za-z0-9]{3,6})$"
     value = "regexp_replace(CASE WHEN starts_with({0}, '\"') THEN replace(substring({0}, 2, length({0}) - 2), '\"\"', '\"') ELSE {0} END, '^[\\s\\p{{Z}}\\x{{feff}}]+|[\\s\\p{{Z}}\\x{{feff}}]+$', '', 'g')"
+    field = "CASE WHEN starts_with({0}, '\"') THEN replace(substring({0}, 2, length({0}) - 2), '\"\"', '\"') ELSE {0} END"
+    cells_ = ", ".join(f"{field.format(f'cells[list_position(names, {c!r})]')} AS {c}" for c in RECORD_COLUMNS)
+    end = f"SELECT raw_id, source_file, {cells_} FROM m WHERE motivo IS NULL" if records else "SELECT raw_id, motivo FROM m WHERE motivo IS NOT NULL"
     return f"""WITH h AS (SELECT source_file, arg_min(raw_line, raw_id) AS header FROM raw_site_lines WHERE line_no = 1 GROUP BY 1), d AS (SELECT *, CASE {first} END AS delim FROM h),
 n AS (SELECT source_file, delim, [regexp_replace(x, '^[\\s\\x{{feff}}"]+|[\\s"]+$', '', 'g') for x in string_split(header, delim)] AS names FROM d),
-l AS (SELECT raw_id, coalesce(raw_line, '') AS line, delim, names FROM raw_site_lines r JOIN n ON r.source_file = n.source_file WHERE line_no <> 1),
+l AS (SELECT raw_id, r.source_file, coalesce(raw_line, '') AS line, delim, names FROM raw_site_lines r JOIN n ON r.source_file = n.source_file WHERE line_no <> 1),
 c AS (SELECT *, CASE {sound} END AS sound, CASE {cells} END AS cells FROM l),
 v AS (SELECT *, CASE WHEN sound AND len(cells) = len(names) THEN cells[list_position(names, 'hostname')] END AS h, CASE WHEN sound AND len(cells) = len(names) THEN cells[list_position(names, 'codice_ipa')] END AS k FROM c),
 t AS (SELECT *, {value.format("h")} AS hv, {value.format("k")} AS kv FROM v),
-m AS (SELECT raw_id, CASE WHEN NOT sound THEN 'quoting' WHEN len(cells) <> len(names) THEN 'column_count'
+m AS (SELECT raw_id, source_file, cells, names, CASE WHEN NOT sound THEN 'quoting' WHEN len(cells) <> len(names) THEN 'column_count'
   WHEN hv <> '' AND (regexp_extract(hv, '{host}', 1) = '' OR length(regexp_extract(hv, '{host}', 1)) > 253) THEN 'hostname' WHEN NOT regexp_matches(kv, '{code}') THEN 'codice_ipa' END AS motivo FROM t)
-SELECT raw_id, motivo FROM m WHERE motivo IS NOT NULL"""
+{end}"""
 
 
-ORACLES: dict[str, str] = {"p6_found": _quarantine_sql()}
+ORACLES: dict[str, str] = {"p6_found": _quarantine_sql(), "p6_records": _quarantine_sql(records=True)}
