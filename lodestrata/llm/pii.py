@@ -20,7 +20,7 @@ Shape of the job: two narrow passes over the texts, without shuffling them. The
 often are broadcast, the bound of what comes to the driver. Where a corpus has more, all others count as well: the
 capitalised words of the texts are joined to them, salted, and each text gets those that stand in it; only then are the
 texts written once and joined by row. The items found are written once; surrogates are made for their distinct spellings
-and joined back, salted. Only ``surrogates`` joins the texts, by id and hash.
+and joined back, hot ones by a broadcast. Only ``surrogates`` joins the texts, by id and hash.
 
 Defined results: a null or empty text has no entities and comes out unchanged; a text of any length is read whole, and
 nothing is looked for in a window of fixed size; rows may repeat or lack an id;
@@ -779,18 +779,27 @@ def _moved(digits: str, street: str, key: bytes) -> str:
     return str(low + (int(digits) - low + 1 + shift % (span - 1)) % span).zfill(len(digits))
 
 
-_UNITS = "kind string, surface string, entity string, unit_kind string, unit string, hint string"
+_UNITS = "kind string, surface string, n bigint, entity string, unit_kind string, unit string, hint string"
+#: A key is hot above this share of all rows; so fewer than its inverse can be hot.
+HOT_SHARE = 1 / 1000
+
+
+def _by_weight(big: DataFrame, small: DataFrame, on: list[str], total: int) -> DataFrame:
+    """``big`` joined to the distinct keys of ``small``, whose column ``n`` is the number of their rows in ``big``: hot keys,
+    fewer than a thousand, are broadcast and their rows never shuffled; for the others no key is hot."""
+    hot = F.col("n") > F.lit(max(1.0, total * HOT_SHARE))
+    return big.join(F.broadcast(small.filter(hot)), on).unionByName(big.join(small.filter(~hot), on)).drop("n")
 
 
 def _drawn_units(own: DataFrame, secret: bytes) -> DataFrame:
-    """``unit_kind``, ``unit``, ``drawn`` of distinct units: no two alike within a kind, and none that is itself a unit."""
+    """``unit_kind``, ``unit``, ``n``, ``drawn`` of distinct units: no two alike within a kind, and none that is itself a unit."""
 
     def draws(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             batch["drawn"] = [draw(k, u, h, secret, int(n)) for k, u, h, n in zip(batch["unit_kind"], batch["unit"], batch["hint"], batch["round"], strict=True)]
             yield batch
 
-    shape = "unit_kind string, unit string, hint string, round int, drawn string"
+    shape = "unit_kind string, unit string, hint string, n bigint, round int, drawn string"
     now = own.withColumn("round", F.lit(0))
     for _ in range(MAX_ROUNDS):
         drawn = cut(now.mapInPandas(draws, shape))
@@ -800,9 +809,9 @@ def _drawn_units(own: DataFrame, secret: bytes) -> DataFrame:
         clash = both.groupBy("unit_kind", "drawn").agg(F.min("unit").alias("first"), F.count("unit").alias("n"), F.count_if(F.col("unit").isNull()).alias("n_real"))
         bad = clash.filter("n > 0 and n + n_real > 1").select("unit_kind", "drawn", F.when(F.col("n_real") == 0, F.col("first")).alias("first"), F.lit(True).alias("taken"))
         if bad.isEmpty():
-            return drawn.select("unit_kind", "unit", "drawn")
+            return drawn.select("unit_kind", "unit", "n", "drawn")
         again = F.coalesce(F.col("taken"), F.lit(False)) & ~F.col("first").eqNullSafe(F.col("unit"))
-        now = drawn.join(bad, ["unit_kind", "drawn"], "left").select("unit_kind", "unit", "hint", F.when(again, F.col("round") + 1).otherwise(F.col("round")).alias("round"))
+        now = drawn.join(bad, ["unit_kind", "drawn"], "left").select("unit_kind", "unit", "hint", "n", F.when(again, F.col("round") + 1).otherwise(F.col("round")).alias("round"))
     raise RuntimeError(f"surrogates still equal after {MAX_ROUNDS} rounds")
 
 
@@ -824,33 +833,35 @@ def _replacements(texts: DataFrame, shared: object, key: str) -> DataFrame:
             yield out
 
     found = cut(texts.withColumn("hash", F.xxhash64("text")).mapInPandas(run, "doc_id bigint, hash bigint, start int, end int, kind string, surface string, given string"))
-    surfaces = found.groupBy("kind", "surface").agg(F.max("given").alias("given"))
+    surfaces = found.groupBy("kind", "surface").agg(F.max("given").alias("given"), F.count(F.lit(1)).alias("n"))
 
     def apart(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for k, s, g in zip(batch["kind"], batch["surface"], batch["given"], strict=True):
+            for k, s, g, n in zip(batch["kind"], batch["surface"], batch["given"], batch["n"], strict=True):
                 given = dict(x.split(":") for x in g.split())
-                rows += [(k, s, entity_key(k, s), *u) for u in units(k, s, given) or [("", "", "")]]
+                rows += [(k, s, n, entity_key(k, s), *u) for u in units(k, s, given) or [("", "", "")]]
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in _UNITS.split(", ")])
 
     parts = cut(surfaces.mapInPandas(apart, _UNITS))
-    drawn = _drawn_units(parts.filter("unit_kind <> ''").groupBy("unit_kind", "unit").agg(F.max("hint").alias("hint")), secret)
-    filled = salted_join(parts, drawn, ["unit_kind", "unit"], "surface", "left")
-    by_surface = filled.groupBy("kind", "surface", "entity").agg(F.collect_list(F.struct("unit_kind", "unit", "drawn")).alias("units"))
+    named = parts.filter("unit_kind <> ''")
+    drawn = _drawn_units(named.groupBy("unit_kind", "unit").agg(F.max("hint").alias("hint"), F.count(F.lit(1)).alias("n")), secret)
+    filled = _by_weight(named.withColumnRenamed("n", "seen"), drawn, ["unit_kind", "unit"], named.count())
+    every = filled.unionByName(parts.filter("unit_kind = ''").withColumnRenamed("n", "seen").withColumn("drawn", F.lit(None).cast("string")))
+    by_surface = every.groupBy("kind", "surface", "entity").agg(F.max("seen").alias("n"), F.collect_list(F.struct("unit_kind", "unit", "drawn")).alias("units"))
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             new = [written(k, s, {(u["unit_kind"], u["unit"]): u["drawn"] for u in us}, secret) for k, s, us in zip(batch["kind"], batch["surface"], batch["units"], strict=True)]
-            yield pd.DataFrame({"kind": batch["kind"], "surface": batch["surface"], "entity": batch["entity"], "surrogate": new, "new_entity": [entity_key(k, n) for k, n in zip(batch["kind"], new, strict=True)]})
+            yield pd.DataFrame({"kind": batch["kind"], "surface": batch["surface"], "n": batch["n"], "entity": batch["entity"], "surrogate": new, "new_entity": [entity_key(k, n) for k, n in zip(batch["kind"], new, strict=True)]})
 
-    table = cut(by_surface.mapInPandas(write, "kind string, surface string, entity string, surrogate string, new_entity string"))
+    table = cut(by_surface.mapInPandas(write, "kind string, surface string, n bigint, entity string, surrogate string, new_entity string"))
     real = table.select("kind", F.col("entity").alias("new_entity"), F.lit(None).cast("string").alias("entity"))
     seen = table.select("kind", "new_entity", "entity").distinct().unionByName(real.distinct())
     wrong = seen.groupBy("kind", "new_entity").agg(F.count("entity").alias("n"), F.count_if(F.col("entity").isNull()).alias("n_real")).filter("n > 1 or n > 0 and n_real > 0")
     if not wrong.isEmpty():
         raise RuntimeError(f"two entities with one surrogate, or one that is real: {wrong.first()}")
-    return salted_join(found.drop("given"), table.select("kind", "surface", "entity", "surrogate"), ["kind", "surface"], "start")
+    return _by_weight(found.drop("given"), table.select("kind", "surface", "n", "entity", "surrogate"), ["kind", "surface"], found.count())
 
 
 def replacements(df: DataFrame, id_col: str, text_col: str, key: str) -> DataFrame:
