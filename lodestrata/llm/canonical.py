@@ -50,22 +50,32 @@ def composed(text: Column) -> Column:
     """The text with every letter and its marks as one composed letter where there is one; only texts with marks are touched."""
     table = F.map_from_arrays(F.array(*map(F.lit, _COMPOSED)), F.array(*map(F.lit, _COMPOSED.values())))
     whole = F.transform(F.regexp_extract_all(text, F.lit(r"(?s)(\P{M}\p{M}+|.)"), F.lit(1)), lambda x: F.coalesce(F.try_element_at(table, x), x))
-    return F.when(text.rlike(r"\p{M}"), F.array_join(whole, "")).otherwise(text)
+    marked = (F.octet_length(text) > F.length(text)) & text.rlike(r"\p{M}")
+    return F.when(marked, F.array_join(whole, "")).otherwise(text)
 
 
 def canonical_text(fields: list[Column]) -> Column:
     """Letters and digits of each field, composed and lower-cased; empty ones dropped, the others sorted."""
-    parts = [F.replace(F.coalesce(c.cast("string"), F.lit("")), F.lit(_SEP), F.lit("")) for c in fields]
-    kept = F.lower(F.regexp_replace(composed(F.concat_ws(_SEP, *parts)), r"[^\p{L}\p{N}\x01]+", ""))
+    return _cleaned(composed(_joined(fields)))
+
+
+def _joined(fields: list[Column]) -> Column:
+    return F.concat_ws(_SEP, *[F.replace(F.coalesce(c.cast("string"), F.lit("")), F.lit(_SEP), F.lit("")) for c in fields])
+
+
+def _cleaned(text: Column) -> Column:
+    kept = F.lower(F.regexp_replace(text, r"[^\p{L}\p{N}\x01]+", ""))
     return F.array_join(F.sort_array(F.array_remove(F.split(kept, _SEP), "")), _SEP)
 
 
+def _with_text(df: DataFrame, fields: list[str], name: str) -> DataFrame:
+    """``df`` with the canonical text, made in steps so that none is worked out twice."""
+    return df.withColumn(name, _joined([df[f] for f in fields])).withColumn(name, composed(F.col(name))).withColumn(name, _cleaned(F.col(name)))
+
+
 def fingerprints(df: DataFrame, id_col: str, fields: list[str]) -> DataFrame:
     """``id``, ``hash`` (16 bytes) and ``check`` (64 bits) of every row."""
-    text = canonical_text([df[f] for f in fields])
-    return df.select(df[id_col].alias("id"), text.alias("text")).select(
-        "id", F.unhex(F.md5("text")).alias("hash"), F.xxhash64("text").alias("check")
-    )
+    return _with_text(df, fields, "__text").select(F.col(id_col).alias("id"), F.unhex(F.md5("__text")).alias("hash"), F.xxhash64("__text").alias("check"))
 
 
 def copy_groups(prints: DataFrame) -> DataFrame:
@@ -105,9 +115,7 @@ def collapse_copies(df: DataFrame, id_col: str, fields: list[str], count_col: st
     """
     if count_col in df.columns:
         raise ValueError(f"there is a column {count_col} already")
-    text = canonical_text([df[f] for f in fields])
     order = F.struct(F.col(id_col).isNull().alias("a"), F.col(id_col).alias("b"), *[F.col(f).alias(f"f{i}") for i, f in enumerate(fields)])
-    rows = df.select(F.struct(*df.columns).alias("row"), order.alias("order"), text.alias("text"))
-    hashed = rows.select("row", "order", F.unhex(F.md5("text")).alias("hash"), F.xxhash64("text").alias("check"))
-    once = hashed.groupBy("hash", "check").agg(F.min_by("row", "order").alias("row"), F.count(F.lit(1)).alias(count_col))
+    rows = _with_text(df, fields, "__text").select(F.struct(*df.columns).alias("row"), order.alias("order"), F.unhex(F.md5("__text")).alias("hash"), F.xxhash64("__text").alias("check"))
+    once = rows.groupBy("hash", "check").agg(F.min_by("row", "order").alias("row"), F.count(F.lit(1)).alias(count_col))
     return once.select("row.*", count_col)
