@@ -17,7 +17,9 @@ TRACKING = (
     "fbclid gclid dclid msclkid yclid mc_cid mc_eid _ga _gl igshid ref_src sessionid session_id sid phpsessid jsessionid cfid cftoken aspsessionid sessid"
 ).split()
 TRACKING_PREFIX = ("utm_", "mtm_", "pk_", "hsa_", "vero_")
-#: Second levels under which registries register names, by way of example.
+#: Labels that registries of countries put before their own to register names under.
+REGISTRY_LABELS = "ac asso co com edu gob gouv gov gub gv mil muni net nom or org sch".split()
+#: Second levels under which registries register names, besides those labels under a country's TLD.
 PUBLIC_SUFFIXES = ("co.uk", "gov.uk", "org.uk", "ac.uk", "gov.it", "edu.it", "gouv.fr", "asso.fr", "gob.es", "com.es", "org.es", "gov.pt", "com.pt", "gov.pl", "com.pl", "org.pl", "edu.pl", "gov.gr", "com.gr", "gov.ie", "com.ro", "gov.ro", "co.at", "gv.at", "or.at")
 #: Domains that are infrastructure under any page, by suffix, and root labels that are so under any TLD.
 INFRASTRUCTURE = (
@@ -104,14 +106,15 @@ def second_level(host: Column) -> Column:
 
 
 def root_domain(host: Column, suffixes: tuple[str, ...] = PUBLIC_SUFFIXES) -> Column:
-    """The registrable domain by a table of public suffixes; '' for IP literals and single labels."""
+    """The registrable domain: a name below a public suffix, which is a listed one or a registry's label under a TLD of two
+    letters; '' for IP literals, single labels and suffixes. A longer list can be given."""
     h = F.rtrim(F.lower(strip(_nz(host))), F.lit("."))
     parts = F.split(h, r"\.")
     two = F.array_join(F.slice(parts, -2, 2), ".")
     three = F.array_join(F.slice(parts, -3, 3), ".")
     return (
         F.when((F.size(parts) < 2) | is_ipv4(h) | h.contains(":"), F.lit(""))
-        .when(two.isin(*suffixes), F.when(F.size(parts) >= 3, three).otherwise(F.lit("")))
+        .when(two.isin(*suffixes) | two.rlike("^(?:" + "|".join(REGISTRY_LABELS) + r")\.[a-z]{2}\z"), F.when(F.size(parts) >= 3, three).otherwise(F.lit("")))
         .otherwise(two)
     )
 

@@ -922,7 +922,7 @@ def fn13_second_level(spark: SparkSession, root: str) -> DataFrame:
     return table(spark, root, RECORDS).select("rec_id", urls.second_level(_bare(F.col("hostname"))).alias("level2"))
 
 
-@query(f"""WITH p AS (SELECT rec_id, string_split(rtrim({_BARE_SQL.format('hostname')}, '.'), '.') AS p FROM site_records) SELECT rec_id, CASE WHEN len(p) < 2 THEN '' WHEN p[-2] || '.' || p[-1] IN ({", ".join(f"'{s}'" for s in urls.PUBLIC_SUFFIXES)}) THEN CASE WHEN len(p) >= 3 THEN p[-3] || '.' || p[-2] || '.' || p[-1] ELSE '' END ELSE p[-2] || '.' || p[-1] END AS root FROM p""")
+@query(f"""WITH p AS (SELECT rec_id, string_split(rtrim({_BARE_SQL.format('hostname')}, '.'), '.') AS p FROM site_records) SELECT rec_id, CASE WHEN len(p) < 2 THEN '' WHEN p[-2] || '.' || p[-1] IN ({", ".join(f"'{s}'" for s in urls.PUBLIC_SUFFIXES)}) OR regexp_matches(p[-2] || '.' || p[-1], '^(?:{"|".join(urls.REGISTRY_LABELS)})\\.[a-z]{{2}}$') THEN CASE WHEN len(p) >= 3 THEN p[-3] || '.' || p[-2] || '.' || p[-1] ELSE '' END ELSE p[-2] || '.' || p[-1] END AS root FROM p""")
 def fn12_root_domain(spark: SparkSession, root: str) -> DataFrame:
     return table(spark, root, RECORDS).select("rec_id", urls.root_domain(_bare(F.col("hostname"))).alias("root"))
 

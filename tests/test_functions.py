@@ -64,6 +64,8 @@ def test_dedupe_key(spark):
 def test_hosts_and_domains(spark):
     assert value(spark, urls.second_level(F.lit("single"))) == "single"
     assert value(spark, urls.root_domain(F.lit("a.b.gov.uk"))) == "b.gov.uk"
+    roots = {"www.comune.x.gov.it": "x.gov.it", "a.asso.fr": "a.asso.fr", "gob.es": "", "x.com.example": "com.example", "a.b.example": "b.example", "10.0.0.1": "", "x": "", "A.B.Or.At.": "b.or.at"}
+    assert {h: value(spark, urls.root_domain(F.lit(h))) for h in roots} == roots
     assert value(spark, urls.root_domain(F.lit("10.0.0.1"))) == ""
     assert value(spark, urls.is_infrastructure(F.lit("www.google.de"))) and not value(spark, urls.is_infrastructure(F.lit("comune.it")))
     assert value(spark, urls.clean_hostname(F.lit("http://A.example:80/x"))) == "a.example" and value(spark, urls.clean_hostname(F.lit("a b"))) is None
