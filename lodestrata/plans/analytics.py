@@ -724,9 +724,9 @@ def rule3_cookie_class(spark: SparkSession, root: str) -> DataFrame:
     return rows.groupBy("name", rules.cookie_class(F.col("name")).alias("klass")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(f"WITH {_software_sql('doc_id')} SELECT doc_id, software, version, licence, open AS open_source FROM f")
+@query(f"WITH {_software_sql('doc_id')} SELECT doc_id, software, version, licence, coalesce(open::VARCHAR, '') AS open_source FROM f")
 def rule4_software_versions(spark: SparkSession, root: str) -> DataFrame:
-    return rules.software_found(table(spark, root, "documents"), ["doc_id"], "text", rules=_MARKS).select("doc_id", "software", "version", "licence", "open_source")
+    return rules.software_found(table(spark, root, "documents"), ["doc_id"], "text", rules=_MARKS).select("doc_id", "software", "version", "licence", F.coalesce(F.col("open_source").cast("string"), F.lit("")).alias("open_source"))
 
 
 @query(f"WITH {_HEAD_BODY} SELECT riga_id, {_POINTS} FROM t")
