@@ -36,7 +36,7 @@ def test_release_takes_what_lies_beside(spark):
     assert lineage.release(spark, before) == 1 and not os.path.exists(path.removeprefix("file://")) and not os.path.exists(f"{path}-out".removeprefix("file://"))
 
 
-@pytest.mark.parametrize("small_bytes", [1 << 20, -1])
+@pytest.mark.parametrize("small_bytes", [256 << 10, -1])
 @pytest.mark.parametrize("how", ["inner", "left", "left_anti"])
 def test_salted_join_is_a_join(spark, monkeypatch, how, small_bytes):
     monkeypatch.setattr(skew, "SMALL_BYTES", small_bytes)
